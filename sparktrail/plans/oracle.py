@@ -272,3 +272,16 @@ def roas_daily_sql(cells: dict[str, tuple[int, int]]) -> str:
     LEFT JOIN used u ON u.coupon_id = g.coupon_id AND u.d = g.d
     LEFT JOIN acc_d a ON a.coupon_id = g.coupon_id AND a.d = g.d
     LEFT JOIN imp_d i ON i.coupon_id = g.coupon_id AND i.d = g.d"""
+
+
+def order_rev_sql(src: str, key: list[str]) -> str:
+    """A13 in SQL: last positive-total line sets the value, later lines add."""
+    k = ", ".join(key)
+    return f"""(WITH l AS (SELECT {k}, ord,
+          GREATEST(total_price, 0) AS tot,
+          CASE WHEN product_price = -1 THEN 0 ELSE product_price END
+            * GREATEST(product_quantity, 0) AS val FROM {src}),
+        lst AS (SELECT {k}, max(CASE WHEN tot > 0 THEN ord END) AS last_ord FROM l GROUP BY {k})
+      SELECT {k}, COALESCE(MAX(CASE WHEN l.ord = lst.last_ord THEN l.tot END), 0)
+               + COALESCE(SUM(CASE WHEN lst.last_ord IS NULL OR l.ord > lst.last_ord THEN l.val END), 0) AS revenue
+      FROM l JOIN lst USING ({k}) GROUP BY {k})"""

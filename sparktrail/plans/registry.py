@@ -58,3 +58,342 @@ for _tt in (0, 1):
 
 register("roas_lifetime_mixed", O.roas_lifetime_sql(A.MIXED_CELLS))(_roas_lifetime(A.MIXED_CELLS))
 register("roas_daily_mixed", O.roas_daily_sql(A.MIXED_CELLS))(_roas_daily(A.MIXED_CELLS))
+
+
+# ------------------------------------------------------ campaign queries
+from pyspark.sql import functions as F  # noqa: E402
+
+from sparktrail.operators import ads as ADS  # noqa: E402
+from sparktrail.operators import banners as BAN  # noqa: E402
+from sparktrail.operators import campaigns as CAMP  # noqa: E402
+from sparktrail.operators import coupons as CPN  # noqa: E402
+from sparktrail.operators import orders as ORD  # noqa: E402
+from sparktrail.operators import stats as ST  # noqa: E402
+
+_P = O.prefix(None, [O.ACTIVITY, O.CAMP])
+_PM = O.prefix(A.MIXED_CELLS, [O.ACTIVITY, O.CAMP])
+_ASOF = O.AS_OF_DATE
+
+
+@register("roas_rollup", O.roas_daily_sql(A.MIXED_CELLS).replace(
+    "\n    SELECT g.coupon_id, c.web_id, g.d AS date_time,", "\n    , daily AS (SELECT g.coupon_id, c.web_id, g.d AS date_time,", 1)
+    + """)
+    SELECT coupon_id, MIN(web_id) AS web_id, CAST(SUM(coupon_imp) AS BIGINT) AS coupon_impression,
+      CAST(SUM(coupon_accepted) AS BIGINT) AS coupon_accept, CAST(SUM(coupon_used) AS BIGINT) AS coupon_used,
+      CAST(SUM(cost) AS BIGINT) AS cost, CAST(SUM(revenue) AS BIGINT) AS revenue
+    FROM daily GROUP BY coupon_id""")
+def q_roas_rollup(spark, sf_dir):
+    """A10 over the A26 daily table of all campaigns."""
+    return ATT.rollup_daily(_roas_daily(A.MIXED_CELLS)(spark, sf_dir))
+
+
+@register("coupon_reach", _P + f"""
+SELECT c.id AS coupon_id,
+  CAST((SELECT COUNT(DISTINCT s.uuid) FROM send s WHERE s.coupon_id = c.id
+        AND s.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) AS BIGINT) AS coupon_sent,
+  CAST((SELECT COUNT(DISTINCT a.uuid) FROM accept a WHERE a.coupon_id = c.id
+        AND a.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) AS BIGINT) AS coupon_accept,
+  CAST((SELECT COUNT(*) FROM (SELECT a.uuid FROM accept a WHERE a.coupon_id = c.id
+        AND a.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)
+        UNION SELECT d.uuid FROM discard d WHERE d.coupon_id = c.id
+        AND d.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) x) AS BIGINT) AS coupon_impression
+FROM act c""")
+def q_coupon_reach(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return ATT.coupon_reach(t.send, t.accept, t.discard, t.activities("all"))
+
+
+@register("coupon_unit_cost", _P + """
+SELECT id, web_id, coupon_type, CAST(unit_cost AS BIGINT) AS unit_cost FROM camp""")
+def q_coupon_unit_cost(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return CAMP.unit_cost(t.activities("all"), t.addfan_stat).select("id", "web_id", "coupon_type", "unit_cost")
+
+
+@register("campaigns_running", _P + f"""
+SELECT a.id, a.web_id, a.link_code, a.coupon_type, a.coupon_amount, a.activity_start, a.activity_end,
+       a.coupon_total, a.coupon_price_limit
+FROM act a JOIN campaigns c ON c.id = a.id
+WHERE {_ASOF} BETWEEN c.start_time AND c.end_time AND c.activity_enable = 1 AND c.coupon_enable = 1
+  AND c.activity_delete = 0""")
+def q_campaigns_running(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return t.activities("running").select(*CAMP.CAMPAIGN_COLUMNS)
+
+
+@register("campaigns_just_expired", _P + f"""
+SELECT a.id, a.web_id, a.link_code, a.coupon_type, a.coupon_amount, a.activity_start, a.activity_end,
+       a.coupon_total, a.coupon_price_limit
+FROM act a JOIN campaigns c ON c.id = a.id
+WHERE CAST(c.update_time AS DATE) BETWEEN c.start_time AND c.end_time
+  AND date_diff('day', c.end_time, {_ASOF}) BETWEEN 0 AND 1
+  AND c.activity_enable = 1 AND c.coupon_enable = 1 AND c.activity_delete = 0""")
+def q_campaigns_just_expired(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return t.activities("just_expired").select(*CAMP.CAMPAIGN_COLUMNS)
+
+
+@register("coupon_budget", _P + f"""
+SELECT id, web_id, CAST(coupon_total - coupon_used AS DOUBLE) / (1 + date_diff('day', {_ASOF}, end_time)) AS avg_n_coupon
+FROM campaigns
+WHERE date_diff('day', {_ASOF}, start_time) <= 2 AND {_ASOF} <= end_time AND activity_enable = 1
+  AND coupon_enable = 1 AND activity_delete = 0""")
+def q_coupon_budget(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
+
+
+@register("stale_coupons", _P + f"""
+SELECT id, web_id, CAST(MAX(g.n) AS INTEGER) AS unused_days
+FROM campaigns c, range(1, 11) g(n)
+WHERE ad_image_url = '_' AND activity_delete = 0 AND coupon_enable = 1 AND activity_enable = 1
+  AND start_time < {_ASOF} - CAST(g.n AS INTEGER) AND end_time > {_ASOF} AND coupon_used = 0
+GROUP BY id, web_id""")
+def q_stale_coupons(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return CAMP.stale_coupons(t.campaigns_raw, A.AS_OF)
+
+
+@register("campaign_assembly", O.prefix(A.MIXED_CELLS, [O.ACTIVITY, O.CAMP]) + """,
+roas AS (""" + "\nUNION ALL\n".join(
+    O.lifetime_cell(tt, cc, [w for w, c in A.MIXED_CELLS.items() if c == (tt, cc)])
+    for (tt, cc) in sorted(set(A.MIXED_CELLS.values()))) + f"""),
+reach AS (SELECT c.id AS coupon_id,
+  (SELECT COUNT(DISTINCT s.uuid) FROM send s WHERE s.coupon_id = c.id
+        AND s.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) AS coupon_sent,
+  (SELECT COUNT(DISTINCT a.uuid) FROM accept a WHERE a.coupon_id = c.id
+        AND a.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) AS coupon_accept,
+  (SELECT COUNT(*) FROM (SELECT a.uuid FROM accept a WHERE a.coupon_id = c.id
+        AND a.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)
+        UNION SELECT d.uuid FROM discard d WHERE d.coupon_id = c.id
+        AND d.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) x) AS coupon_impression
+  FROM act c)
+SELECT r.coupon_id, r.web_id, r.revenue, r.cost, CAST(x.coupon_sent AS BIGINT) AS coupon_sent,
+  CAST(x.coupon_impression AS BIGINT) AS coupon_impression, CAST(x.coupon_accept AS BIGINT) AS coupon_accept,
+  r.coupon_used,
+  CASE WHEN date_diff('day', {_ASOF}, c.activity_end) = 0 THEN 0.0
+       ELSE CAST(c.coupon_total - r.coupon_used AS DOUBLE) / date_diff('day', {_ASOF}, c.activity_end) END AS avg_n_coupon
+FROM roas r JOIN reach x ON x.coupon_id = r.coupon_id JOIN act c ON c.id = r.coupon_id""")
+def q_campaign_assembly(spark, sf_dir):
+    t = Tables(spark, sf_dir, A.MIXED_CELLS)
+    return ATT.campaign_assembly(t.send, t.accept, t.discard, t.purchase, t.enter, t.activities("all"),
+                                 t.cells, t.addfan_stat, A.AS_OF)
+
+
+# ------------------------------------------------------ banners, orders
+_BANNER_SQL = O.prefix() + """,
+c AS (SELECT CAST(date_time AS DATE) AS date, web_id, uuid, session_id, recommend_type FROM clicks
+      WHERE recommend_type BETWEEN 0 AND 10),
+stats AS (SELECT date, web_id, recommend_type, COUNT(*) AS clicks, COUNT(DISTINCT (uuid, session_id)) AS sessions
+          FROM c GROUP BY date, web_id, recommend_type),
+credit AS (SELECT date, web_id, uuid, session_id, MIN(recommend_type) AS rt FROM c GROUP BY date, web_id, uuid, session_id),
+pd AS (SELECT CAST(date_time AS DATE) AS date, * FROM purchase),
+orev AS """ + O.order_rev_sql("pd", ["date", "web_id", "uuid", "session_id", '"timestamp"']) + """,
+sess AS (SELECT date, web_id, uuid, session_id, SUM(revenue) AS revenue FROM orev GROUP BY date, web_id, uuid, session_id),
+cr AS (SELECT s.date, s.web_id, k.rt AS recommend_type, SUM(s.revenue) AS revenue, COUNT(*) AS n
+       FROM sess s JOIN credit k ON k.date = s.date AND k.web_id = s.web_id AND k.uuid = s.uuid AND k.session_id = s.session_id
+       GROUP BY s.date, s.web_id, k.rt)
+SELECT st.date, st.web_id, CAST(st.recommend_type AS INTEGER) AS recommend_type,
+  CAST(COALESCE(cr.revenue, 0) AS DOUBLE) AS revenue, CAST(st.clicks AS BIGINT) AS clicks,
+  CAST(st.sessions AS BIGINT) AS sessions, CAST(COALESCE(cr.n, 0) AS BIGINT) AS "transaction"
+FROM stats st LEFT JOIN cr ON cr.date = st.date AND cr.web_id = st.web_id AND cr.recommend_type = st.recommend_type"""
+
+
+@register("banner_revenue", _BANNER_SQL)
+def q_banner_revenue(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    p = t.purchase.withColumn("date", F.to_date("date_time"))
+    c = t.clicks.withColumn("date", F.to_date("date_time"))
+    return BAN.banner_revenue(p, c, grain=("date",))
+
+
+@register("site_daily_totals", O.prefix() + """,
+us AS (SELECT web_id, CAST(date_time AS DATE) AS date, COUNT(DISTINCT uuid) AS users,
+       COUNT(DISTINCT (uuid, session_id)) AS sessions FROM load GROUP BY web_id, CAST(date_time AS DATE)),
+pd AS (SELECT u.date, p.* FROM us u JOIN purchase p ON p.web_id = u.web_id
+       AND p.date_time BETWEEN CAST(u.date AS TIMESTAMP) AND CAST(u.date + 1 AS TIMESTAMP)),
+orev AS """ + O.order_rev_sql("pd", ["date", "web_id", "uuid", "session_id", '"timestamp"']) + """,
+tot AS (SELECT date, web_id, SUM(revenue) AS total_revenue, COUNT(*) AS transactions FROM orev GROUP BY date, web_id)
+SELECT us.web_id, CAST(COALESCE(tot.total_revenue, 0) AS DOUBLE) AS total_revenue, CAST(us.users AS BIGINT) AS users,
+  CAST(us.sessions AS BIGINT) AS sessions, CAST(COALESCE(tot.transactions, 0) AS BIGINT) AS transactions, us.date
+FROM us LEFT JOIN tot ON tot.date = us.date AND tot.web_id = us.web_id""")
+def q_site_daily_totals(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return BAN.site_daily_totals(t.purchase, t.load)
+
+
+def lineitem_lines(spark, sf_dir):
+    """Second, larger order source: lineitem rows as purchase lines of the
+    order ``l_orderkey`` (line order = l_linenumber)."""
+    li = A.read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("w"), (F.col("l_orderkey") % 5).cast("string")).alias("web_id"),
+        F.lpad(F.col("l_orderkey").cast("string"), 36, "0").alias("uuid"),
+        F.lit("0").alias("session_id"), F.col("l_orderkey").alias("timestamp"),
+        F.col("l_linenumber").cast("bigint").alias("ord"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice").cast("decimal(18,2)")
+               * (1 - F.col("l_discount").cast("decimal(18,2)")))
+         .otherwise(F.lit(-1).cast("decimal(18,2)")).alias("total_price"),
+        F.when(F.col("l_linestatus") == "O", F.lit(-1).cast("decimal(18,2)"))
+         .otherwise(F.col("l_extendedprice").cast("decimal(18,2)")).alias("product_price"),
+        F.col("l_quantity").cast("int").alias("product_quantity"))
+
+
+_LINES_SQL = """lines AS (SELECT 'w' || CAST(l_orderkey % 5 AS VARCHAR) AS web_id,
+    lpad(CAST(l_orderkey AS VARCHAR), 36, '0') AS uuid, '0' AS session_id, l_orderkey AS "timestamp",
+    CAST(l_linenumber AS BIGINT) AS ord,
+    CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))
+         ELSE CAST(-1 AS DECIMAL(18,2)) END AS total_price,
+    CASE WHEN l_linestatus = 'O' THEN CAST(-1 AS DECIMAL(18,2)) ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS product_price,
+    CAST(l_quantity AS INTEGER) AS product_quantity FROM lineitem)"""
+
+
+@register("order_revenue", "WITH " + _LINES_SQL + ", r AS " + O.order_rev_sql(
+    "lines", ["web_id", "uuid", "session_id", '"timestamp"']) + """
+SELECT web_id, uuid, session_id, "timestamp", CAST(revenue AS DOUBLE) AS revenue FROM r""")
+def q_order_revenue(spark, sf_dir):
+    """A13 on lineitem: order value with the last-positive-total rule."""
+    r = ORD.order_revenue(lineitem_lines(spark, sf_dir))
+    return r.withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@register("session_revenue", "WITH " + _LINES_SQL + ", r AS " + O.order_rev_sql(
+    "lines", ["web_id", "uuid", "session_id", '"timestamp"']) + """
+SELECT web_id, CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(COUNT(*) AS BIGINT) AS orders FROM r GROUP BY web_id""")
+def q_session_revenue(spark, sf_dir):
+    """A14 rolled to tenants: sum of order revenue."""
+    r = ORD.order_revenue(lineitem_lines(spark, sf_dir))
+    return r.groupBy("web_id").agg(F.sum("revenue").cast("double").alias("revenue"),
+                                   F.count(F.lit(1)).cast("bigint").alias("orders"))
+
+
+@register("avg_order_value", O.prefix() + """
+SELECT t.web_id, CAST(trunc(COALESCE(s.sh, -1)) AS BIGINT) AS avg_shipping_price,
+       CAST(trunc(COALESCE(o.aov, -1)) AS BIGINT) AS avg_total_price
+FROM (SELECT DISTINCT web_id FROM purchase) t
+LEFT JOIN (SELECT web_id, AVG(shipping_price) AS sh FROM purchase WHERE shipping_price != 0 GROUP BY web_id) s ON s.web_id = t.web_id
+LEFT JOIN (SELECT web_id, CAST(SUM(total) AS DOUBLE) / COUNT(total) AS aov FROM (
+    SELECT web_id, SUM(product_price * product_quantity) AS total FROM purchase
+    GROUP BY web_id, uuid, session_id, "timestamp") GROUP BY web_id) o ON o.web_id = t.web_id""")
+def q_avg_order_value(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return ORD.price_averages(t.purchase)
+
+
+@register("order_totals", O.prefix() + """
+SELECT web_id, uuid, session_id, "timestamp", CAST(SUM(product_price * product_quantity) AS DOUBLE) AS total,
+  ROUND(AVG(ABS(""" + O.num("coupon") + """)), 6) AS coupon_avg
+FROM purchase GROUP BY web_id, uuid, session_id, "timestamp"
+HAVING SUM(product_price * product_quantity) > 20""")
+def q_order_totals(spark, sf_dir):
+    """A03 with a minimum spend of 20."""
+    t = Tables(spark, sf_dir)
+    o = ORD.order_totals(t.purchase, min_total=20)
+    return o.select("web_id", "uuid", "session_id", "timestamp", F.col("total").cast("double").alias("total"),
+                    F.round("coupon_avg", 6).alias("coupon_avg"))
+
+
+@register("first_order_per_session", O.prefix() + """
+SELECT web_id, uuid, session_id, arg_min("timestamp", ("timestamp", ord)) AS "timestamp",
+  CAST(arg_min(total, ("timestamp", ord)) AS DOUBLE) AS total
+FROM (SELECT web_id, uuid, session_id, "timestamp", MIN(ord) AS ord,
+        SUM(product_price * product_quantity) AS total FROM purchase
+      GROUP BY web_id, uuid, session_id, "timestamp") GROUP BY web_id, uuid, session_id""")
+def q_first_order_per_session(spark, sf_dir):
+    """One order per session (earliest)."""
+    t = Tables(spark, sf_dir)
+    o = ORD.order_totals(t.purchase).drop("coupon_avg")
+    f = ORD.first_order_per_session(o)
+    return f.select("web_id", "uuid", "session_id", "timestamp", F.col("total").cast("double").alias("total"))
+
+
+# ------------------------------------------------------------ statistics
+def _stat_cols(types, sessions: bool, pb: bool) -> str:
+    out = []
+    for t in types:
+        out.append(f"CAST(COUNT(*) FILTER (WHERE etype = '{t}') AS BIGINT) AS n_events_{t}")
+        out.append(f"CAST(COUNT(DISTINCT uuid) FILTER (WHERE etype = '{t}') AS BIGINT) AS n_uuid_{t}")
+        if sessions:
+            out.append(f"CAST(COUNT(DISTINCT (uuid, session_id)) FILTER (WHERE etype = '{t}') AS BIGINT) AS n_sessions_{t}")
+    if pb:
+        out.append("CAST(COUNT(DISTINCT uuid) FILTER (WHERE etype = 'load' AND is_purchased_before = 1) AS BIGINT) AS n_uuid_load_purchased_before")
+        out.append("CAST(COUNT(DISTINCT uuid) FILTER (WHERE etype = 'purchase' AND is_purchased_before = 1) AS BIGINT) AS n_uuid_purchase_purchased_before")
+    return ",\n  ".join(out)
+
+
+_TRACKER_U = " UNION ALL ".join(
+    f"SELECT '{t}' AS etype, web_id, uuid, session_id, date_time, is_purchased_before FROM t_{t}"
+    for t in ST.TRACKER_TYPES)
+_COUPON_U = (" SELECT 'sendCoupon' AS etype, web_id, uuid, date_time FROM send UNION ALL "
+             "SELECT 'acceptCoupon', web_id, uuid, date_time FROM accept UNION ALL "
+             "SELECT 'discardCoupon', web_id, uuid, date_time FROM discard")
+_TRACKER_SQL = (f"SELECT web_id, CAST(date_time AS DATE) AS date,\n  {_stat_cols(ST.TRACKER_TYPES, True, True)}\n"
+                f"FROM ({_TRACKER_U}) u GROUP BY web_id, CAST(date_time AS DATE) "
+                "HAVING COUNT(*) FILTER (WHERE etype = 'load') > 0")
+_COUPON_SQL = (f"SELECT web_id, CAST(date_time AS DATE) AS date,\n  {_stat_cols(ST.COUPON_TYPES, False, False)}\n"
+               f"FROM ({_COUPON_U}) u GROUP BY web_id, CAST(date_time AS DATE)")
+
+
+def _stat_tables(t: Tables) -> dict:
+    tabs = A.tracker_tables(t.ev)
+    tabs.update({"sendCoupon": t.send, "acceptCoupon": t.accept, "discardCoupon": t.discard})
+    return tabs
+
+
+@register("tracker_stats", O.prefix() + "\n" + _TRACKER_SQL)
+def q_tracker_stats(spark, sf_dir):
+    return ST.tracker_statistics(_stat_tables(Tables(spark, sf_dir)))
+
+
+@register("coupon_stats", O.prefix() + "\n" + _COUPON_SQL)
+def q_coupon_stats(spark, sf_dir):
+    return ST.coupon_statistics(_stat_tables(Tables(spark, sf_dir)))
+
+
+@register("event_stats", O.prefix() + f", tr AS ({_TRACKER_SQL}), co AS ({_COUPON_SQL})\n"
+          "SELECT * FROM tr FULL OUTER JOIN co USING (web_id, date)")
+def q_event_stats(spark, sf_dir):
+    return ST.event_statistics(_stat_tables(Tables(spark, sf_dir)))
+
+
+# ------------------------------------------------------ ads, batch codes
+@register("ad_growth", _P + f""",
+ads AS (SELECT a.* FROM act a JOIN campaigns c ON c.id = a.id
+        WHERE {_ASOF} BETWEEN c.start_time AND c.end_time AND c.activity_enable = 1 AND c.ad_enable = 1
+          AND c.activity_delete = 0)
+SELECT c.id,
+  CAST((SELECT COUNT(DISTINCT uuid) FROM accept_af x WHERE x.web_id = c.web_id AND x.ad_id = c.id
+        AND x.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP))
+     + CASE WHEN c.ad_url = c.ad_btn_url THEN
+        (SELECT COUNT(DISTINCT uuid) FROM accept_ad x WHERE x.web_id = c.web_id AND x.ad_id = c.id
+        AND x.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) ELSE 0 END
+     AS BIGINT) AS addfan_growth,
+  CAST((SELECT COUNT(*) FROM send_afad x WHERE x.web_id = c.web_id AND x.ad_id = c.id
+        AND x.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP) AND CAST(c.activity_end AS TIMESTAMP)) AS BIGINT)
+     AS addfan_impression
+FROM ads c""")
+def q_ad_growth(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    ads = t.activities("running", flag="ad_enable")
+    return ADS.ad_growth(t.accept_af, t.accept_ad, t.send_afad, ads)
+
+
+@register("coupon_release", _P + f""",
+sent AS (SELECT web_id, 'L' || CAST({O.CID} AS VARCHAR) AS link_code,
+           CAST(user_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS coupon_code, 1 AS is_sent, ts AS update_time
+         FROM ev WHERE event_type = 'view'),
+acc AS (SELECT web_id, 'L' || CAST({O.CID} AS VARCHAR) AS link_code,
+           CAST(user_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS coupon_code FROM ev WHERE event_type = 'signup'),
+batch AS (SELECT DISTINCT web_id, link_code FROM campaigns
+          WHERE coupon_code_mode IN (1, 2) AND {_ASOF} BETWEEN start_time AND end_time
+            AND activity_enable = 1 AND coupon_enable = 1 AND activity_delete = 0)
+SELECT DISTINCT s.web_id, s.link_code, s.coupon_code, 0 AS is_sent
+FROM sent s JOIN batch b ON b.web_id = s.web_id AND b.link_code = s.link_code
+WHERE s.is_sent = 1 AND s.update_time < TIMESTAMP '{A.AS_OF.isoformat(sep=" ")}' - INTERVAL 2 HOUR
+  AND NOT EXISTS (SELECT 1 FROM acc a WHERE a.web_id = s.web_id AND a.link_code = s.link_code
+                  AND a.coupon_code = s.coupon_code)""")
+def q_coupon_release(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    sent, acc = A.batch_codes(t.ev)
+    batch = t.activities("running", code_modes=(1, 2))
+    return CPN.coupon_release(sent, acc, batch, A.AS_OF)
