@@ -62,7 +62,8 @@ def to_datetime(value, pattern: str | None = None) -> _dt.datetime:
 
 def epoch_ms(ts) -> Column:
     """NTZ wall clock -> epoch milliseconds (BIGINT)."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), col_(ts))
+    us = F.timestamp_diff("MICROSECOND", _epoch(), col_(ts))
+    return F.floor(us / F.lit(1000)).cast("bigint")
 
 
 def ms_to_local(ms, utc_offset_hours: int = 8) -> Column:

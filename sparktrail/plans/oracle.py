@@ -42,7 +42,7 @@ EV = """ev AS (
          'w' || CAST(user_id % 5 AS VARCHAR) AS web_id,
          lpad(CAST(user_id AS VARCHAR), 36, '0') AS uuid,
          CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
-         epoch_ms(ts) AS "timestamp", ts AS date_time
+         epoch_us(ts) // 1000 AS "timestamp", ts AS date_time
   FROM events)"""
 
 U = 'web_id, uuid, session_id, "timestamp", date_time, ord'

@@ -397,3 +397,335 @@ def q_coupon_release(spark, sf_dir):
     sent, acc = A.batch_codes(t.ev)
     batch = t.activities("running", code_modes=(1, 2))
     return CPN.coupon_release(sent, acc, batch, A.AS_OF)
+
+
+# ------------------------------------------------- features and the model
+from sparktrail.operators import describe as DES  # noqa: E402
+from sparktrail.operators import features as FEA  # noqa: E402
+from sparktrail.operators import model as MOD  # noqa: E402
+from sparktrail.operators import ordered as ORDR  # noqa: E402
+
+FEATURE_KEYS = ["web_id", "timestamp", "device", "pageviews", "click_count_total", "landing_count",
+                "time_pageview_total", "is_purchased_before"]
+MODEL_FEATURES = ["device", "pageviews", "click_count_total", "landing_count", "time_pageview_total"]
+
+
+def _session_features(t: Tables, match="any_exact"):
+    tabs = A.tracker_tables(t.ev)
+    return FEA.session_features(t.load, t.purchase, tabs["addCart"], tabs["removeCart"], FEATURE_KEYS, match)
+
+
+def _scored(t: Tables):
+    vm = FEA.visitor_max(_session_features(t))
+    return MOD.score(vm, MOD.model_params(t.settings), MODEL_FEATURES)
+
+
+def _last(c):
+    return f'arg_max({c}, ("timestamp", ord)) FILTER (WHERE {c} IS NOT NULL) AS {c}'
+
+
+_FLAGS = """fl AS (SELECT l.*,
+   CASE WHEN EXISTS (SELECT 1 FROM purchase p WHERE p.uuid = l.uuid AND p.session_id = l.session_id) THEN 1 ELSE 0 END AS is_purchased,
+   CASE WHEN EXISTS (SELECT 1 FROM t_addCart p WHERE p.uuid = l.uuid AND p.session_id = l.session_id) THEN 1 ELSE 0 END AS is_addCart,
+   CASE WHEN EXISTS (SELECT 1 FROM t_removeCart p WHERE p.uuid = l.uuid AND p.session_id = l.session_id) THEN 1 ELSE 0 END AS is_removeCart
+  FROM load l WHERE length(uuid) = 36)"""
+_SF_COLS = [c for c in FEATURE_KEYS] + ["is_purchased", "is_addCart", "is_removeCart"]
+_SF = "sf AS (SELECT uuid, session_id, " + ", ".join(_last(c) for c in _SF_COLS) + " FROM fl GROUP BY uuid, session_id)"
+_VM = ("vm AS (SELECT * FROM (SELECT uuid, max(session_id) AS session_id, "
+       + ", ".join(f"max({c}) AS {c}" for c in _SF_COLS) + " FROM sf GROUP BY uuid) WHERE device != 0 AND is_purchased_before = 0)")
+_LIN = ("((((0.0 + CAST(device AS DOUBLE) * 0.2) + CAST(pageviews AS DOUBLE) * 0.15) + CAST(click_count_total AS DOUBLE) * 0.01)"
+        " + CAST(landing_count AS DOUBLE) * -0.3) + CAST(time_pageview_total AS DOUBLE) * 0.002")
+_SC = f"sc AS (SELECT vm.*, 1.0 / (1.0 + exp(-({_LIN} + s.model_intercept))) AS prob FROM vm JOIN settings s ON s.web_id = vm.web_id)"
+_FEAT_P = O.prefix(None, [_FLAGS, _SF, _VM, _SC])
+
+
+@register("session_features", _FEAT_P + "\nSELECT * FROM sf")
+def q_session_features(spark, sf_dir):
+    """Last non-null feature values per session with action flags."""
+    return _session_features(Tables(spark, sf_dir))
+
+
+@register("session_features_last_contains", O.prefix(None, [
+    _FLAGS.replace("EXISTS (SELECT 1 FROM purchase p WHERE p.uuid = l.uuid AND p.session_id = l.session_id)",
+                   "contains((SELECT arg_max(p.session_id, (p.\"timestamp\", p.ord)) FROM purchase p WHERE p.uuid = l.uuid), l.session_id)")
+         .replace("EXISTS (SELECT 1 FROM t_addCart p WHERE p.uuid = l.uuid AND p.session_id = l.session_id)",
+                  "contains((SELECT arg_max(p.session_id, (p.\"timestamp\", p.ord)) FROM t_addCart p WHERE p.uuid = l.uuid), l.session_id)")
+         .replace("EXISTS (SELECT 1 FROM t_removeCart p WHERE p.uuid = l.uuid AND p.session_id = l.session_id)",
+                  "contains((SELECT arg_max(p.session_id, (p.\"timestamp\", p.ord)) FROM t_removeCart p WHERE p.uuid = l.uuid), l.session_id)")
+         .replace("THEN 1 ELSE 0 END", "IS TRUE THEN 1 ELSE 0 END"), _SF]) + "\nSELECT * FROM sf")
+def q_session_features_last_contains(spark, sf_dir):
+    """A19 with the reference's literal flag rule (Q1)."""
+    return _session_features(Tables(spark, sf_dir), match="last_contains")
+
+
+_VF_COLS = [c for c in FEATURE_KEYS if c != "web_id"] + ["web_id", "is_purchased", "is_addCart", "is_removeCart"]
+
+
+@register("visitor_features", O.prefix() + """,
+fl AS (SELECT l.*,
+   CASE WHEN EXISTS (SELECT 1 FROM purchase p WHERE p.uuid = l.uuid) THEN 1 ELSE 0 END AS is_purchased,
+   CASE WHEN EXISTS (SELECT 1 FROM t_addCart p WHERE p.uuid = l.uuid) THEN 1 ELSE 0 END AS is_addCart,
+   CASE WHEN EXISTS (SELECT 1 FROM t_removeCart p WHERE p.uuid = l.uuid) THEN 1 ELSE 0 END AS is_removeCart
+  FROM load l WHERE length(uuid) = 36 AND landing_count > 0)
+SELECT uuid, """ + ", ".join(_last(c) for c in ["session_id"] + _VF_COLS) + " FROM fl GROUP BY uuid")
+def q_visitor_features(spark, sf_dir):
+    """Last non-null values per visitor with landing_count > 0."""
+    t = Tables(spark, sf_dir)
+    tabs = A.tracker_tables(t.ev)
+    return FEA.visitor_features(t.load, t.purchase, tabs["addCart"], tabs["removeCart"],
+                                ["session_id", *FEATURE_KEYS])
+
+
+@register("visitor_max", _FEAT_P + "\nSELECT * FROM vm")
+def q_visitor_max(spark, sf_dir):
+    """Per-visitor max of the session features, mobile new buyers."""
+    return FEA.visitor_max(_session_features(Tables(spark, sf_dir)))
+
+
+@register("score_visitors", _FEAT_P + "\nSELECT * FROM sc")
+def q_score_visitors(spark, sf_dir):
+    """Each tenant's stored logistic model applied in one pass."""
+    return _scored(Tables(spark, sf_dir))
+
+
+@register("confusion_matrix", _FEAT_P + """
+SELECT web_id, is_purchased, CASE WHEN prob BETWEEN 0.5 AND 1.0 THEN 1 ELSE 0 END AS predict,
+  CAST(COUNT(*) AS BIGINT) AS n FROM sc GROUP BY ALL""")
+def q_confusion_matrix(spark, sf_dir):
+    """M05 + M06 at the default 0.5 band."""
+    return MOD.confusion(MOD.label_band(_scored(Tables(spark, sf_dir)), 0.5))
+
+
+@register("precision", _FEAT_P + """
+SELECT web_id, CAST(SUM(CASE WHEN is_purchased = 1 AND prob BETWEEN 0.3 AND 1.0 THEN 1 ELSE 0 END) AS DOUBLE)
+   / NULLIF(SUM(CASE WHEN prob BETWEEN 0.3 AND 1.0 THEN 1 ELSE 0 END), 0) AS precision
+FROM sc GROUP BY web_id""")
+def q_precision(spark, sf_dir):
+    """TP / PP at a 0.3 band (null when nothing is predicted)."""
+    return MOD.precision(MOD.label_band(_scored(Tables(spark, sf_dir)), 0.3))
+
+
+@register("roc_points", _FEAT_P + """,
+d AS (SELECT web_id, prob AS threshold, SUM(CAST(is_purchased AS DOUBLE)) AS pos,
+        SUM(1 - CAST(is_purchased AS DOUBLE)) AS neg FROM sc GROUP BY web_id, prob)
+SELECT web_id, threshold,
+  SUM(neg) OVER (PARTITION BY web_id ORDER BY threshold DESC) / NULLIF(SUM(neg) OVER (PARTITION BY web_id), 0) AS fpr,
+  SUM(pos) OVER (PARTITION BY web_id ORDER BY threshold DESC) / NULLIF(SUM(pos) OVER (PARTITION BY web_id), 0) AS tpr
+FROM d""")
+def q_roc_points(spark, sf_dir):
+    """ROC points per tenant."""
+    return MOD.roc_points(_scored(Tables(spark, sf_dir)))
+
+
+@register("feature_corr", _FEAT_P + "\nSELECT web_id, " + ", ".join(
+    f"corr(CAST({c} AS DOUBLE), CAST(is_purchased AS DOUBLE)) AS {c}" for c in ["pageviews", "click_count_total", "time_pageview_total"])
+    + " FROM sf GROUP BY web_id")
+def q_feature_corr(spark, sf_dir):
+    """Correlation of session features with the purchase flag."""
+    return MOD.feature_corr(_session_features(Tables(spark, sf_dir)),
+                            ["pageviews", "click_count_total", "time_pageview_total"])
+
+
+_ZC = ["pageviews", "click_count_total", "time_pageview_total"]
+
+
+@register("zscore", _FEAT_P + ", st AS (SELECT web_id, " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in _ZC)
+    + " FROM sf GROUP BY web_id)\nSELECT sf.uuid, sf.session_id, sf.web_id, " + ", ".join(
+    f"COALESCE(CASE WHEN s_{c} = 0 THEN NULL ELSE (CAST(sf.{c} AS DOUBLE) - m_{c}) / s_{c} END, 0.0) AS {c}" for c in _ZC)
+    + " FROM sf JOIN st ON st.web_id = sf.web_id")
+def q_zscore(spark, sf_dir):
+    """Per-tenant z-scores of session features."""
+    sf = _session_features(Tables(spark, sf_dir)).select("uuid", "session_id", "web_id", *_ZC)
+    return DES.zscore(sf, _ZC, group=["web_id"])
+
+
+def _hist_sql(src: str, value: str, n: int, group: str) -> str:
+    return f"""st AS (SELECT {group}, CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+                 CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi, COUNT(*) AS tot
+               FROM (SELECT {group}, CAST({value} AS DOUBLE) AS v FROM {src}) GROUP BY {group}),
+st2 AS (SELECT *, (hi - lo) / {float(n)} AS step FROM st),
+b0 AS (SELECT x.{group}, x.v, st2.lo, st2.hi, st2.step,
+         LEAST(CAST(trunc((x.v - st2.lo) * ({float(n)} / (st2.hi - st2.lo))) AS BIGINT), {n - 1}) AS f
+       FROM (SELECT {group}, CAST({value} AS DOUBLE) AS v FROM {src}) x JOIN st2 ON st2.{group} = x.{group}),
+b1 AS (SELECT {group}, CASE WHEN v < CAST(f AS DOUBLE) * step + lo THEN f - 1
+         WHEN f != {n - 1} AND v >= (CASE WHEN f + 1 >= {n} THEN hi ELSE CAST(f + 1 AS DOUBLE) * step + lo END) THEN f + 1
+         ELSE f END AS bin FROM b0),
+cnt AS (SELECT {group}, bin, COUNT(*) AS c FROM b1 GROUP BY ALL),
+spine AS (SELECT st2.*, g.bin FROM st2, range(0, {n}) g(bin)),
+hist AS (SELECT s.{group}, s.bin, CASE WHEN s.bin >= {n} THEN s.hi ELSE CAST(s.bin AS DOUBLE) * s.step + s.lo END AS "left",
+       CASE WHEN s.bin + 1 >= {n} THEN s.hi ELSE CAST(s.bin + 1 AS DOUBLE) * s.step + s.lo END AS "right",
+       CAST(COALESCE(c.c, 0) AS BIGINT) AS count, CAST(COALESCE(c.c, 0) AS DOUBLE) / s.tot / s.step AS density
+     FROM spine s LEFT JOIN cnt c ON c.{group} = s.{group} AND c.bin = s.bin)"""
+
+
+@register("histogram", _FEAT_P + ", " + _hist_sql("sc", "prob", 10, "web_id") + "\nSELECT * FROM hist")
+def q_histogram(spark, sf_dir):
+    """10 equal bins of model scores per tenant, with density."""
+    return DES.histogram(_scored(Tables(spark, sf_dir)), "prob", 10, group=["web_id"], density=True)
+
+
+@register("cumulative_histogram", _FEAT_P + ", " + _hist_sql("sc", "prob", 10, "web_id")
+          + "\nSELECT web_id, bin, count, CAST(SUM(count) OVER (PARTITION BY web_id) - SUM(count) OVER "
+            "(PARTITION BY web_id ORDER BY bin) AS BIGINT) AS cum FROM hist")
+def q_cumulative_histogram(spark, sf_dir):
+    """Reverse cumulative counts over score bins."""
+    h = DES.histogram(_scored(Tables(spark, sf_dir)), "prob", 10, group=["web_id"])
+    return DES.cumulative_counts(h, ["web_id"], reverse=True).select("web_id", "bin", "count", "cum")
+
+
+@register("class_histogram", _FEAT_P + """,
+x AS (SELECT is_purchased, CAST(pageviews AS DOUBLE) AS v FROM sf WHERE pageviews IS NOT NULL AND pageviews >= 0 AND pageviews <= 20),
+cnt AS (SELECT is_purchased, LEAST(CAST(floor(v / 1.0) AS BIGINT), 19) AS bin, COUNT(*) AS c FROM x GROUP BY ALL),
+tot AS (SELECT is_purchased, COUNT(*) AS t FROM x GROUP BY ALL)
+SELECT tot.is_purchased, g.bin, 0.0 + g.bin * 1.0 + 0.5 AS center, CAST(COALESCE(c, 0) AS BIGINT) AS count,
+  CAST(COALESCE(c, 0) AS DOUBLE) / t / 1.0 AS density
+FROM tot, range(0, 20) g(bin) LEFT JOIN cnt ON cnt.is_purchased = tot.is_purchased AND cnt.bin = g.bin""")
+def q_class_histogram(spark, sf_dir):
+    """Pageviews density for purchasers vs others (width 1, 0..20)."""
+    return DES.class_histogram(_session_features(Tables(spark, sf_dir)), "pageviews", 1.0, 0.0, 20.0)
+
+
+@register("bound_by_rank", _FEAT_P + f""",
+bud AS (SELECT id, web_id, CAST(coupon_total - coupon_used AS DOUBLE) / (1 + date_diff('day', {_ASOF}, end_time)) AS avg_n_coupon
+  FROM campaigns WHERE date_diff('day', {_ASOF}, start_time) <= 2 AND {_ASOF} <= end_time AND activity_enable = 1
+  AND coupon_enable = 1 AND activity_delete = 0),
+rk AS (SELECT web_id, uuid, prob, ROW_NUMBER() OVER (PARTITION BY web_id ORDER BY prob DESC, uuid) AS rnk,
+       COUNT(*) OVER (PARTITION BY web_id) AS n FROM sc),
+tr AS (SELECT web_id, SUM(CASE WHEN pageviews > 1 THEN 1 ELSE 0 END) AS pv FROM sc GROUP BY web_id),
+b AS (SELECT bud.*, CAST(s.n_day_testing AS DOUBLE) AS n_day, s.n_weight, s.model_intercept AS b0,
+        CAST(floor(tr.pv / CAST(s.n_day_testing AS DOUBLE)) AS BIGINT) AS max_n_coupon
+      FROM bud JOIN settings s ON s.web_id = bud.web_id JOIN tr ON tr.web_id = bud.web_id),
+b2 AS (SELECT b.*, (CASE WHEN avg_n_coupon * n_weight >= max_n_coupon THEN CAST(floor(max_n_coupon * n_day) AS BIGINT)
+         ELSE CAST(trunc(avg_n_coupon * n_day * n_weight) AS BIGINT) END) - 1 AS pos FROM b),
+b3 AS (SELECT b2.*, (CASE WHEN pos < 0 THEN pos + (SELECT max(n) FROM rk WHERE rk.web_id = b2.web_id) ELSE pos END) + 1 AS rr FROM b2),
+lb AS (SELECT b3.*, CASE WHEN rk.prob <= 1.0 / (1.0 + exp(-b0)) THEN 1.0 / (1.0 + exp(-b0)) * 1.1 ELSE rk.prob END AS lower_bound
+       FROM b3 LEFT JOIN rk ON rk.web_id = b3.web_id AND rk.rnk = b3.rr),
+pr AS (SELECT lb.id, COUNT(sc.uuid) AS pp, SUM(CASE WHEN sc.is_purchased = 1 THEN 1 ELSE 0 END) AS tp,
+         COUNT(DISTINCT sc.uuid) AS pu
+       FROM lb LEFT JOIN sc ON sc.web_id = lb.web_id AND sc.prob BETWEEN lb.lower_bound AND 1.0 GROUP BY lb.id)
+SELECT lb.id, lb.max_n_coupon, lb.avg_n_coupon, lb.lower_bound,
+  CAST(floor(COALESCE(pr.pu, 0) / lb.n_day) AS BIGINT) AS estimated_n_coupon,
+  CAST(COALESCE(pr.tp, 0) AS DOUBLE) / (CAST(COALESCE(pr.pp, 0) AS DOUBLE) + 0.1) AS model_precision
+FROM lb LEFT JOIN pr ON pr.id = lb.id""")
+def q_bound_by_rank(spark, sf_dir):
+    """M13 + M17: score floor per running campaign, precision and estimate."""
+    t = Tables(spark, sf_dir)
+    budgets = CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
+    return MOD.bound_assembly(_scored(t), budgets, MOD.model_params(t.settings))
+
+
+@register("estimate_coupons", _FEAT_P + """
+SELECT sc.web_id, CAST(floor(COUNT(DISTINCT uuid) / CAST(s.n_day_testing AS DOUBLE)) AS BIGINT) AS estimated_n_coupon
+FROM sc JOIN settings s ON s.web_id = sc.web_id WHERE prob BETWEEN 0.3 AND 1.0 GROUP BY sc.web_id, s.n_day_testing""")
+def q_estimate_coupons(spark, sf_dir):
+    """M16 at a 0.3 band."""
+    t = Tables(spark, sf_dir)
+    return MOD.estimate_coupons(MOD.label_band(_scored(t), 0.3), MOD.model_params(t.settings))
+
+
+@register("fitted_curve_bound")
+def q_fitted_curve_bound(spark, sf_dir):
+    """M14 (rows-only: polynomial fit in pandas on binned rows)."""
+    t = Tables(spark, sf_dir)
+    budgets = CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
+    return MOD.fitted_curve_bound(_scored(t), budgets, MOD.model_params(t.settings))
+
+
+@register("upper_bound")
+def q_upper_bound(spark, sf_dir):
+    """M15 (rows-only) on the hash-split test part."""
+    t = Tables(spark, sf_dir)
+    s = MOD.train_test_split(_scored(t), 0.3, 25).where(F.col("is_test") == 1)
+    return MOD.upper_bound_at(s, MOD.model_params(t.settings), 50.0)
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    """M02 (rows-only): hash split of session features."""
+    return MOD.train_test_split(_session_features(Tables(spark, sf_dir)))
+
+
+@register("train_model")
+def q_train_model(spark, sf_dir):
+    """M01 + M18 (rows-only): one model per tenant and a 'default' model."""
+    t = Tables(spark, sf_dir)
+    sf = _session_features(t)
+    return MOD.train_models(sf, t.settings, ["default", "w0", "w1"], MODEL_FEATURES)
+
+
+@register("power_features", _FEAT_P + """
+SELECT uuid, session_id, pow(CAST(pageviews AS DOUBLE), 0.5) AS pageviews,
+  pow(CAST(time_pageview_total AS DOUBLE), 2.0) AS time_pageview_total FROM sf""")
+def q_power_features(spark, sf_dir):
+    """Feature power transform."""
+    sf = _session_features(Tables(spark, sf_dir)).select("uuid", "session_id", "pageviews", "time_pageview_total")
+    return MOD.power_transform(sf, {"pageviews": 0.5, "time_pageview_total": 2.0})
+
+
+# ------------------------------------------------------- generic helpers
+_EVX = "ex AS (SELECT event_id, ts, user_id, event_type, value FROM events)"
+
+
+@register("moving_avg", f"WITH {_EVX} SELECT event_id, user_id, value, AVG(value) OVER "
+          "(PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS value_mavg FROM ex")
+def q_moving_avg(spark, sf_dir):
+    """Trailing 3-row mean of each user's event values."""
+    ev = A.read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return ORDR.moving_average(ev, ["user_id"], ["ts", "event_id"], "value", 3).select(
+        "event_id", "user_id", "value", "value_mavg")
+
+
+@register("block_avg", f"WITH {_EVX}, r AS (SELECT user_id, value, ROW_NUMBER() OVER "
+          "(PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM ex) "
+          "SELECT user_id, CAST(floor((rn - 1) / 3) AS BIGINT) AS block, AVG(value) AS value_bavg FROM r "
+          "GROUP BY user_id, floor((rn - 1) / 3) HAVING COUNT(*) = 3")
+def q_block_avg(spark, sf_dir):
+    """3-row block means, incomplete tail dropped."""
+    ev = A.read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return ORDR.block_average(ev, ["user_id"], ["ts", "event_id"], "value", 3).select(
+        "user_id", F.col("block").cast("bigint").alias("block"), "value_bavg")
+
+
+@register("nth_largest", f"WITH {_EVX} SELECT event_type, event_id, value FROM (SELECT *, ROW_NUMBER() OVER "
+          "(PARTITION BY event_type ORDER BY value DESC, event_id) AS rn FROM ex) WHERE rn = 5")
+def q_nth_largest(spark, sf_dir):
+    """The 5th largest value per event type."""
+    ev = A.read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    r = ORDR.nth_largest(ev, ["event_type"], "value", ["event_id"])
+    return r.where(F.col("_rank") == 5).select("event_type", "event_id", "value")
+
+
+@register("latest_per_user", f"WITH {_EVX} SELECT user_id, arg_max(value, (ts, event_id)) AS value, "
+          "arg_max(event_type, (ts, event_id)) AS event_type FROM ex GROUP BY user_id")
+def q_latest_per_user(spark, sf_dir):
+    """Latest value per key (max_by, no window)."""
+    ev = A.read_table(spark, sf_dir, "events")
+    return ORDR.last_non_null(ev, ["user_id"], ["value", "event_type"], ["ts", "event_id"])
+
+
+@register("linear_fit", "SELECT event_type, regr_slope(value, CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS slope, "
+          "regr_intercept(value, CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS intercept FROM events GROUP BY event_type")
+def q_linear_fit(spark, sf_dir):
+    """Least-squares line of value on k per event type."""
+    ev = A.read_table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    return DES.linear_fit(ev, "k", "value", group=["event_type"])
+
+
+_MIX = [(0.6, 10.0, 4.0), (0.4, 60.0, 15.0)]
+
+
+@register("mixture_density", "SELECT event_id, c.component, c.f * (1.0 / c.s / sqrt(2 * pi())) * exp(-pow(value - c.xm, 2) / (2 * c.s * c.s)) AS density "
+          "FROM events JOIN (VALUES " + ", ".join(f"({i}, {f}, {xm}, {s})" for i, (f, xm, s) in enumerate(_MIX))
+          + ") c(component, f, xm, s) ON TRUE")
+def q_mixture_density(spark, sf_dir):
+    """Two-component Gaussian mixture densities of event values."""
+    ev = A.read_table(spark, sf_dir, "events").select("event_id", "value")
+    return DES.mixture_density(ev, "value", _MIX).select("event_id", "component", "density")
+
+
+@register("gaussian_noise")
+def q_gaussian_noise(spark, sf_dir):
+    """M21 (rows-only): one seeded noise draw per event."""
+    ev = A.read_table(spark, sf_dir, "events").select("event_id", "value")
+    return DES.gaussian_noise(ev, 0.0, 1.0, seed=7)
