@@ -729,3 +729,106 @@ def q_gaussian_noise(spark, sf_dir):
     """M21 (rows-only): one seeded noise draw per event."""
     ev = A.read_table(spark, sf_dir, "events").select("event_id", "value")
     return DES.gaussian_noise(ev, 0.0, 1.0, seed=7)
+
+
+# ---------------------------------------------------- raw decode, flatten
+from sparktrail.operators import flatten as FL  # noqa: E402
+from sparktrail.plans import raw_adapter as RA  # noqa: E402
+from sparktrail.sources import raw as RAW  # noqa: E402
+
+
+def raw_events(spark, sf_dir):
+    """Minute objects of tracker JSON derived from events, decoded."""
+    objs = RA.raw_objects(A.base_events(spark, sf_dir))
+    docs = RAW.decode_objects(objs, keep=("path",))
+    return docs.select(F.try_variant_get("ev", "$._ord", "bigint").alias("ord"), "path", "doc_pos", "ev")
+
+
+@register("raw_decode", O.prefix() + """
+SELECT strftime(ts, '%Y/%m/%d/%H/%M') AS path, CAST(COUNT(*) AS BIGINT) AS n_docs FROM ev GROUP BY 1""")
+def q_raw_decode(spark, sf_dir):
+    """Documents recovered per raw object."""
+    return raw_events(spark, sf_dir).groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
+
+
+@register("raw_corrupt", O.prefix() + "\nSELECT 'x' AS path WHERE FALSE")
+def q_raw_corrupt(spark, sf_dir):
+    """Objects that would not decode (none in well-formed data)."""
+    return RAW.corrupt_objects(RA.raw_objects(A.base_events(spark, sf_dir)))
+
+
+def _flatten_query(et):
+    def q(spark, sf_dir):
+        raw = raw_events(spark, sf_dir)
+        if et == "clicks":
+            return FL.flatten_clicks(raw)
+        settings = RA.product_settings(spark) if et == "purchase" else None
+        return FL.flatten(raw, et, settings)
+    q.__doc__ = f"P10 flatten of {et} events from decoded raw objects."
+    return q
+
+
+for _et in ("load", "leave", "timeout", "acceptCoupon", "enterCoupon", "purchase", "clicks"):
+    register(f"flatten_{_et}", O.prefix() + "\n" + RA.expected_sql(_et))(_flatten_query(_et))
+
+
+@register("criteria_filter", O.prefix() + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n FROM ev WHERE NOT (event_type = 'click' AND k % 2 = 1)
+  AND event_type = 'view' AND NOT (k % 31 = 7)""")
+def q_criteria_filter(spark, sf_dir):
+    """events with web_id, event_type = 'load' and a 36-char uuid
+    (F04 guard on the promoted column)."""
+    raw = RAW.criteria_filter(raw_events(spark, sf_dir), {"web_id": None, "event_type": "load"})
+    raw = raw.withColumn("uuid", F.try_variant_get("ev", "$.uuid", "string"))
+    return FEA.uuid_guard(raw).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("fuzzy_filter", O.prefix() + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n FROM ev WHERE event_type = 'click' AND k % 2 = 1
+  AND list_extract(['keyword_side_hot', 'keyword_side_footprint', 'keyword_search', 'keyword_word_hot',
+   'keyword_word_other', 'sliding_click', 'guess_click', 'footprint_click', 'otherlike_click', 'onpage',
+   'other_click'], (k % 11) + 1) LIKE '%keyword%'""")
+def q_fuzzy_filter(spark, sf_dir):
+    """event names containing 'keyword'."""
+    raw = RAW.fuzzy_filter(raw_events(spark, sf_dir), {"event_type": "keyword"})
+    return raw.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("price_clean", O.prefix() + """
+SELECT ord, CASE WHEN regexp_matches(t, '^-?[0-9]+$') THEN CAST(t AS BIGINT)
+  ELSE COALESCE(CAST(trunc(TRY_CAST(array_to_string(regexp_extract_all(t, '[0-9.]+'), '') AS DOUBLE)) AS BIGINT), -1) END AS price
+FROM (SELECT ord, CASE k % 6 WHEN 0 THEN 'NT$' || CAST(k * 13 AS VARCHAR) || ',' || CAST(k % 10 AS VARCHAR) || '00'
+  WHEN 1 THEN '-' || CAST(k AS VARCHAR) WHEN 2 THEN '-' || CAST(k AS VARCHAR) || '.5'
+  WHEN 3 THEN 'abc' WHEN 4 THEN CAST(k AS VARCHAR) || '.99' ELSE '1.2.' || CAST(k AS VARCHAR) END AS t FROM ev)""")
+def q_price_clean(spark, sf_dir):
+    """P12 on price texts derived from events (covers the D02 shapes)."""
+    ev = A.base_events(spark, sf_dir)
+    k = F.col("k").cast("string")
+    t = (F.when(F.col("k") % 6 == 0, F.concat(F.lit("NT$"), (F.col("k") * 13).cast("string"), F.lit(","),
+                                               (F.col("k") % 10).cast("string"), F.lit("00")))
+          .when(F.col("k") % 6 == 1, F.concat(F.lit("-"), k))
+          .when(F.col("k") % 6 == 2, F.concat(F.lit("-"), k, F.lit(".5")))
+          .when(F.col("k") % 6 == 3, F.lit("abc"))
+          .when(F.col("k") % 6 == 4, F.concat(k, F.lit(".99")))
+          .otherwise(F.concat(F.lit("1.2."), k)))
+    from sparktrail.functions.scalars import price_to_int
+    return ev.select("ord", price_to_int(t, -1).alias("price"))
+
+
+@register("length_guard", O.prefix() + """
+SELECT CAST(COUNT(*) AS BIGINT) AS n FROM ev WHERE length(CASE WHEN k % 31 = 7 THEN 'x' || uuid ELSE uuid END) <= 36""")
+def q_length_guard(spark, sf_dir):
+    """F03 over the raw uuid text."""
+    raw = raw_events(spark, sf_dir).select(F.try_variant_get("ev", "$.uuid", "string").alias("uuid"))
+    return FL.length_guard(raw).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("dedup_last", O.prefix() + """
+SELECT web_id, uuid, session_id, arg_max(ord, ("timestamp", ord)) AS ord, max("timestamp") AS "timestamp"
+FROM load GROUP BY web_id, uuid, session_id""")
+def q_dedup_last(spark, sf_dir):
+    """Keep the last load event per (web_id, uuid, session_id)."""
+    t = Tables(spark, sf_dir)
+    d = FL.dedup_last(t.load.select("web_id", "uuid", "session_id", "timestamp", "ord"),
+                      ["web_id", "uuid", "session_id"], ["timestamp", "ord"])
+    return d.select("web_id", "uuid", "session_id", "ord", "timestamp")
