@@ -832,3 +832,108 @@ def q_dedup_last(spark, sf_dir):
     d = FL.dedup_last(t.load.select("web_id", "uuid", "session_id", "timestamp", "ord"),
                       ["web_id", "uuid", "session_id"], ["timestamp", "ord"])
     return d.select("web_id", "uuid", "session_id", "ord", "timestamp")
+
+
+# --------------------------------------------- mutations, lookups, stream
+from sparktrail.operators import lookups as LK  # noqa: E402
+from sparktrail.operators import upsert as UP  # noqa: E402
+
+_COUPON_COLS = [f"n_{m}_{t}" for t in ST.COUPON_TYPES for m in ("events", "uuid")]
+
+
+@register("upsert_stats", O.prefix() + f", tr AS ({_TRACKER_SQL}), co AS ({_COUPON_SQL})\n"
+          "SELECT * FROM tr FULL OUTER JOIN co USING (web_id, date)")
+def q_upsert_stats(spark, sf_dir):
+    """Tracker statistics upserted with coupon statistics (coupon
+    columns only) - the reference's two upserts into one stat table."""
+    tabs = _stat_tables(Tables(spark, sf_dir))
+    return UP.upsert(ST.tracker_statistics(tabs), ST.coupon_statistics(tabs), ["web_id", "date"], _COUPON_COLS)
+
+
+@register("replace_rows", O.prefix() + f", tr AS ({_TRACKER_SQL})\n"
+          "SELECT * FROM tr WHERE date < DATE '2024-01-15' UNION ALL "
+          "SELECT * REPLACE (n_events_load + 1 AS n_events_load, NULL AS n_uuid_load) FROM tr WHERE date >= DATE '2024-01-15'")
+def q_replace_rows(spark, sf_dir):
+    """Rows of later days replaced whole (a dropped column becomes null)."""
+    tr = ST.tracker_statistics(_stat_tables(Tables(spark, sf_dir)))
+    upd = (tr.where(F.col("date") >= F.lit("2024-01-15").cast("date"))
+             .withColumn("n_events_load", F.col("n_events_load") + 1).drop("n_uuid_load"))
+    return UP.replace_rows(tr, upd, ["web_id", "date"])
+
+
+@register("update_rows", O.prefix() + f", tr AS ({_TRACKER_SQL})\n"
+          "SELECT * REPLACE (CASE WHEN date >= DATE '2024-01-15' THEN n_events_load * 2 ELSE n_events_load END AS n_events_load) FROM tr")
+def q_update_rows(spark, sf_dir):
+    """Matched rows get the new column value; unmatched updates are
+    ignored (never inserted)."""
+    tr = ST.tracker_statistics(_stat_tables(Tables(spark, sf_dir)))
+    upd = tr.where(F.col("date") >= F.lit("2024-01-15").cast("date")).select(
+        "web_id", "date", (F.col("n_events_load") * 2).alias("n_events_load"))
+    ghost = upd.limit(3).withColumn("web_id", F.lit("w_unknown"))
+    return UP.update_rows(tr, upd.unionByName(ghost), ["web_id", "date"], ["n_events_load"])
+
+
+@register("latest_events", O.prefix() + """
+SELECT * FROM (SELECT web_id, uuid, session_id, "timestamp", ord FROM load WHERE web_id = 'w1' ORDER BY ord DESC LIMIT 5)""")
+def q_latest_events(spark, sf_dir):
+    """Latest 5 load events of a tenant (top-k is the feature)."""
+    t = Tables(spark, sf_dir)
+    return LK.latest_events(t.load.select("web_id", "uuid", "session_id", "timestamp", "ord"), "w1", 5)
+
+
+@register("hour_range_events", O.prefix() + """
+SELECT * FROM (SELECT web_id, uuid, session_id, ord, date_time FROM load WHERE web_id = 'w2'
+  AND date_time BETWEEN TIMESTAMP '2024-01-05 10:00:00' AND TIMESTAMP '2024-01-05 11:00:00' ORDER BY ord LIMIT 5)""")
+def q_hour_range_events(spark, sf_dir):
+    """F16: first 5 clean events of a tenant in one local hour."""
+    t = Tables(spark, sf_dir)
+    return LK.hour_events(t.load.select("web_id", "uuid", "session_id", "ord", "date_time"), "2024-01-05", 10, "w2", 5)
+
+
+@register("local_events", O.prefix() + """
+SELECT ord FROM (SELECT ord FROM ev WHERE web_id = 'w3' AND event_type = 'purchase' ORDER BY ord LIMIT 3)""")
+def q_local_events(spark, sf_dir):
+    """first raw purchase events of a tenant."""
+    return LK.local_events(raw_events(spark, sf_dir), "w3", "purchase", 3).select("ord")
+
+
+@register("tenant_status", O.prefix() + """
+SELECT web_id, enable_analysis, enable_tracking, enable_addfan, platform FROM settings""")
+def q_tenant_status(spark, sf_dir):
+    """tenant status projection."""
+    return CAMP.tenant_status(Tables(spark, sf_dir).settings)
+
+
+@register("tenant_selection", O.prefix() + "\nSELECT web_id FROM settings WHERE enable_addfan = 1")
+def q_tenant_selection(spark, sf_dir):
+    """addfan-enabled tenants."""
+    return CAMP.tenant_selection(Tables(spark, sf_dir).settings, "addfan")
+
+
+@register("stream_ingest_load", O.prefix() + "\n" + RA.expected_sql("load"))
+def q_stream_ingest_load(spark, sf_dir):
+    """Raw objects derived from events are written as files, a
+    Structured Streaming query ingests them (availableNow) through the same
+    decode + flatten functions; the landed load table must equal the batch
+    flatten."""
+    import uuid as _uuid
+
+    from sparktrail.session import scratch_path
+    from sparktrail.streaming.ingest import start_ingest
+    base = scratch_path(spark, f"stream-{_uuid.uuid4().hex[:8]}")
+    RA.raw_objects(A.base_events(spark, sf_dir)).select("text").write.text(f"{base}/objects")
+    q = start_ingest(spark, f"{base}/objects", f"{base}/_checkpoint", f"{base}/clean", ["load"], wholetext=False)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/clean/load").drop("date")
+
+
+@register("refresh_stats", O.prefix() + f", tr AS ({_TRACKER_SQL}), co AS ({_COUPON_SQL})\n"
+          "SELECT * FROM tr FULL OUTER JOIN co USING (web_id, date) WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-11'")
+def q_refresh_stats(spark, sf_dir):
+    """Statistics recomputed only for the (tenant, day) pairs a
+    batch touched (here: events of Jan 10-11)."""
+    from sparktrail.streaming.ingest import refresh_statistics, touched_days
+    t = Tables(spark, sf_dir)
+    tabs = _stat_tables(t)
+    batch = t.load.where(F.to_date("date_time").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-11").cast("date")))
+    return refresh_statistics(tabs, touched_days(batch))
