@@ -61,6 +61,49 @@ def _payload_cols(ev: Column, payload: str, keys) -> list[Column]:
     return [field(obj, k, "-1").alias(c) for k, c in keys]
 
 
+# Map form: each JSON object is converted once per row to map<string,string>
+# (a missing key is absent from the map, a JSON null is a NULL value), and
+# every column is a map lookup - far smaller generated code than one
+# variant path lookup per column.
+def as_map(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,string>")
+
+
+def mfield(m: Column, key: str, default: str) -> Column:
+    return F.when(m.isNull() | ~F.map_contains_key(m, F.lit(key)), F.lit(default)) \
+            .otherwise(F.try_element_at(m, F.lit(key)))
+
+
+def _with_maps(base: DataFrame, keep, payload: str | None) -> DataFrame:
+    ev = F.col("ev")
+    cols = [*keep, "ev", as_map(ev).alias("_top"),
+            as_map(F.try_parse_json(F.try_variant_get(ev, "$.record_user", "string"))).alias("_rec")]
+    if payload:
+        cols.append(as_map(F.try_variant_get(ev, vpath(payload), "variant")).alias("_obj"))
+    return base.select(*cols)
+
+
+def _m_nulls(m: Column, keys) -> Column:
+    """True when any of ``keys`` is present in map ``m`` with a JSON null -
+    the F05 test for map-extracted columns, one reference to the map."""
+    arr = F.array(*[F.lit(k) for k, _ in keys])
+    return F.coalesce(F.exists(arr, lambda k: F.map_contains_key(m, k) & F.try_element_at(m, k).isNull()),
+                      F.lit(False))
+
+
+def _m_universal() -> list[Column]:
+    return [mfield(F.col("_top"), k, "_").alias(c) for k, c in S.UNIVERSAL_KEYS]
+
+
+def _m_record(event_type: str | None = None) -> list[Column]:
+    keys = S.RECORD_KEYS + (S.RECORD_PURCHASE_EXTRA if event_type == "purchase" else [])
+    return [mfield(F.col("_rec"), k, "-1").alias(c) for k, c in keys]
+
+
+def _m_payload(keys) -> list[Column]:
+    return [mfield(F.col("_obj"), k, "-1").alias(c) for k, c in keys]
+
+
 def array_csv(c: Column, fallback: str | None) -> Column:
     """JSON list -> comma-joined text; non-list -> its text (or
     ``fallback``)."""
@@ -109,9 +152,13 @@ def _finish(df: DataFrame, event_type: str) -> DataFrame:
             df = df.withColumn(c, array_csv(F.col(c), "_"))
     elif event_type == "enterCoupon":
         df = df.where(F.col("coupon_code") != "")
-    optional = set(S.PURCHASE_PRODUCT_COLUMNS) | set(S.PRODUCT_COLUMNS) \
-        if event_type in ("addCart", "removeCart", "purchase") else set()
-    df = drop_null_rows(df, [c for c in df.columns if c != "ord" and c not in optional])
+    if "_bad" in df.columns:
+        # map-extracted columns: null test computed once per map
+        df = df.where(~F.col("_bad") & F.col("date_time").isNotNull()).drop("_bad")
+    else:
+        optional = set(S.PURCHASE_PRODUCT_COLUMNS) | set(S.PRODUCT_COLUMNS) \
+            if event_type in ("addCart", "removeCart", "purchase") else set()
+        df = drop_null_rows(df, [c for c in df.columns if c != "ord" and c not in optional])
     return length_guard(df)
 
 
@@ -125,21 +172,28 @@ def flatten(raw: DataFrame, event_type: str, product_settings: DataFrame | None
                      & (F.try_variant_get(ev, "$.event_type", "string") == event_type))
     keep = [c for c in keep if c in raw.columns]
     if event_type == "load":
-        cols = universal(ev) + _payload_cols(ev, "load", S.LOAD_KEYS)
-        df = base.where(present(ev, "load")).select(*keep, *cols)
+        m = _with_maps(base.where(present(ev, "load")), keep, "load")
+        bad = _m_nulls(F.col("_top"), S.UNIVERSAL_KEYS) | _m_nulls(F.col("_obj"), S.LOAD_KEYS)
+        df = m.select(*keep, *_m_universal(), *_m_payload(S.LOAD_KEYS), bad.alias("_bad"))
     elif event_type in ("leave", "timeout"):
-        df = base.select(*keep, *universal(ev), *record_user(ev))
+        m = _with_maps(base, keep, None)
+        bad = _m_nulls(F.col("_top"), S.UNIVERSAL_KEYS) | _m_nulls(F.col("_rec"), S.RECORD_KEYS)
+        df = m.select(*keep, *_m_universal(), *_m_record(), bad.alias("_bad"))
     elif event_type in ("sendCoupon", "acceptCoupon", "discardCoupon", "enterCoupon"):
         keys = {"sendCoupon": S.SEND_COUPON_KEYS, "enterCoupon": S.ENTER_COUPON_KEYS}.get(
             event_type, S.ACCEPT_COUPON_KEYS)
-        rec = [] if event_type == "enterCoupon" else record_user(ev)
-        df = base.where(present(ev, "coupon_info")).select(
-            *keep, *universal(ev), *_payload_cols(ev, "coupon_info", keys), *rec)
-        df = _dedupe_columns(df)
+        rec = [] if event_type == "enterCoupon" else _m_record()
+        m = _with_maps(base.where(present(ev, "coupon_info")), keep, "coupon_info")
+        bad = _m_nulls(F.col("_top"), S.UNIVERSAL_KEYS) | _m_nulls(F.col("_obj"), keys)
+        if rec:
+            bad = bad | _m_nulls(F.col("_rec"), S.RECORD_KEYS)
+        df = _dedupe_columns(m.select(*keep, *_m_universal(), *_m_payload(keys), *rec, bad.alias("_bad")))
     elif event_type in ("sendAfAd", "acceptAf", "acceptAd"):
-        df = base.where(present(ev, "afad_info")).select(
-            *keep, *universal(ev), *_payload_cols(ev, "afad_info", S.AFAD_KEYS), *record_user(ev))
-        df = _dedupe_columns(df)
+        m = _with_maps(base.where(present(ev, "afad_info")), keep, "afad_info")
+        bad = (_m_nulls(F.col("_top"), S.UNIVERSAL_KEYS) | _m_nulls(F.col("_obj"), S.AFAD_KEYS)
+               | _m_nulls(F.col("_rec"), S.RECORD_KEYS))
+        df = _dedupe_columns(m.select(*keep, *_m_universal(), *_m_payload(S.AFAD_KEYS), *_m_record(),
+                                      bad.alias("_bad")))
     elif event_type in ("addCart", "removeCart", "purchase"):
         from sparktrail.operators.products import product_rows
         if product_settings is None:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktrail import schemas as S
-from sparktrail.operators.flatten import _dedupe_columns, record_user, universal
+from sparktrail.operators.flatten import _dedupe_columns, _m_nulls, _m_record, _m_universal, as_map
 
 MAX_DEPTH = 4
 
@@ -153,5 +153,11 @@ def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) ->
     out = out.withColumn("product_id", pid)
     if event_type == "purchase":
         out = out.withColumn("product_quantity", F.col("product_quantity"))
-    wide = out.select(*keep, *cols, *universal(ev), *record_user(ev, event_type))
+    out = out.select("*", as_map(ev).alias("_top"),
+                     as_map(F.try_parse_json(F.try_variant_get(ev, "$.record_user", "string"))).alias("_rec"))
+    rkeys = S.RECORD_KEYS + (S.RECORD_PURCHASE_EXTRA if event_type == "purchase" else [])
+    dropped = set(S.PURCHASE_DROP) if event_type == "purchase" else set()
+    bad = (_m_nulls(F.col("_top"), S.UNIVERSAL_KEYS)
+           | _m_nulls(F.col("_rec"), [(k, c) for k, c in rkeys if c not in dropped]))
+    wide = out.select(*keep, *cols, *_m_universal(), *_m_record(event_type), bad.alias("_bad"))
     return _dedupe_columns(wide)
