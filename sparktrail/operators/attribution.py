@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sparktrail.functions.dates import day_bucket, in_window, lit_date
 from sparktrail.functions.scalars import coupon_number
-from sparktrail.plans.sizing import maybe_broadcast
+from sparktrail.plans.sizing import broadcast_if_bounded, maybe_broadcast
 
 KEY = ["web_id", "uuid", "jsess", "jcode"]
 
@@ -171,7 +171,8 @@ def roas_lifetime(accept, purchase, enter, campaigns, cells, addfan_stat) -> Dat
     ``tenant_cells(settings)``.
     """
     from sparktrail.operators.campaigns import unit_cost
-    camp = maybe_broadcast(campaign_cells(unit_cost(campaigns, addfan_stat), cells))
+    # one row per campaign: bounded by the campaign dimension
+    camp = broadcast_if_bounded(campaign_cells(unit_cost(campaigns, addfan_stat), cells), campaigns)
     used = lifetime_used(accept, purchase, enter, camp, cells)
     r = camp.drop("coupon_used").join(used.withColumnRenamed("coupon_id", "id"), "id", "left")
     revenue = F.coalesce(F.col("revenue"), F.lit(0))
@@ -241,7 +242,7 @@ def roas_daily(accept, discard, purchase, enter, campaigns, cells, addfan_stat,
     """A25/A26 daily table: per (coupon_id, date_time) coupon_accepted,
     coupon_imp, coupon_used, revenue, cost (integers, as stored)."""
     from sparktrail.operators.campaigns import unit_cost
-    camp = maybe_broadcast(campaign_cells(unit_cost(campaigns, addfan_stat), cells))
+    camp = broadcast_if_bounded(campaign_cells(unit_cost(campaigns, addfan_stat), cells), campaigns)
     sp = spine(camp, as_of)
     dated = daily_used(accept, purchase, enter, camp, cells, as_of)
     undated_camp = camp.where(_undated())

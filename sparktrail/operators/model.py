@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from sparktrail.functions.scalars import csv_doubles, sigmoid
 from sparktrail.operators.describe import histogram
 from sparktrail.operators.ordered import nth_largest, running_totals
-from sparktrail.plans.sizing import maybe_broadcast
+from sparktrail.plans.sizing import broadcast_if_bounded, maybe_broadcast
 
 
 def model_params(settings: DataFrame) -> DataFrame:
@@ -168,7 +168,8 @@ def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame) ->
     """M17 (rank variant, M13+M05+M08+M16): per campaign id, max_n_coupon,
     avg_n_coupon, lower_bound, estimated_n_coupon, model_precision."""
     lb = traffic_and_rank_bound(scored, budgets, params)
-    cam = maybe_broadcast(lb.select("id", "web_id", "lower_bound"))
+    # one row per campaign: bounded by the budgets (campaign) dimension
+    cam = broadcast_if_bounded(lb.select("id", "web_id", "lower_bound"), budgets)
     pred = (scored.select("web_id", "uuid", "prob", "is_purchased").join(cam, "web_id")
                   .where(F.col("prob").between(F.col("lower_bound"), F.lit(1.0)))
                   .groupBy("id").agg(F.count(F.lit(1)).alias("_pp"),

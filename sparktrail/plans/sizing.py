@@ -23,3 +23,13 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -
     if bounded_count(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def broadcast_if_bounded(df: DataFrame, source: DataFrame,
+                         max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` when it has at most one row per row of ``source`` (a
+    dimension, e.g. the campaign table) and ``source`` is proven small. The
+    check runs on the cheap source instead of executing ``df`` twice."""
+    if bounded_count(source, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df
