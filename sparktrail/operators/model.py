@@ -167,6 +167,9 @@ def traffic_and_rank_bound(scored: DataFrame, budgets: DataFrame, params: DataFr
 def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame) -> DataFrame:
     """M17 (rank variant, M13+M05+M08+M16): per campaign id, max_n_coupon,
     avg_n_coupon, lower_bound, estimated_n_coupon, model_precision."""
+    # one row per visitor, read by the traffic, rank and prediction branches
+    from sparktrail.plans.materialize import materialize
+    scored = materialize(scored.select("web_id", "uuid", "prob", "pageviews", "is_purchased"))
     lb = traffic_and_rank_bound(scored, budgets, params)
     # one row per campaign: bounded by the budgets (campaign) dimension
     cam = broadcast_if_bounded(lb.select("id", "web_id", "lower_bound"), budgets)

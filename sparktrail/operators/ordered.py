@@ -66,7 +66,10 @@ def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
             carry_s = [float(pdf[f"_lcum_{c}"][last].iloc[-1]) for c in sums]
             yield pdf
 
-    loc = ranged.mapInPandas(local, out_schema)
+    # the numbered rows feed both the offsets and the result: materialise
+    # once so the pandas pass runs a single time
+    from sparktrail.plans.materialize import materialize
+    loc = materialize(ranged.mapInPandas(local, out_schema))
     # per (key, partition) totals; only keys seen in several partitions need offsets
     tot = loc.groupBy(*part, "_pid").agg(F.max("_lrank").alias("_pn"),
                                          *[F.max(f"_lcum_{c}").alias(f"_ps_{c}") for c in sums])
