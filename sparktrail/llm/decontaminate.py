@@ -48,22 +48,22 @@ def _words(text: Column) -> Column:
                           "")
 
 
-def _slot(word: Column, before: Column) -> Column:
-    """0 for an ordinary word, 1 number, 2 name, 3 unit."""
-    number = lambda w: F.substring(w, 1, 1).between("0", "9")
-    return (F.when(F.substring(word, 1, 1) == _NAME, 2).when(number(word), 1)
-            .when(F.coalesce(number(before), F.lit(False)) & word.isin(UNITS), 3).otherwise(0))
-
-
-def _hash(word: Column, slot: Column) -> Column:
-    return F.when(slot == 0, F.xxhash64(word)).otherwise(slot.cast("long"))
+def _code(word: Column, before: Column) -> Column:
+    """The hash of an ordinary word, else its kind of placeholder: 1 number, 2 name, 3 unit."""
+    number = lambda w: w.between("0", "9\U0010FFFF")
+    return (F.when(number(word), F.lit(1).cast("long")).when(word < "0", 2)
+            .when(word.isin(UNITS) & number(before), 3).otherwise(F.xxhash64(word)))
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(key, n, codes, w): the windows of each text in order, as structs of hash and slot values (null if none)."""
+    """(key, n, codes, w): the windows of each text in order, as structs of hash and slot values (null if none).
+
+    To be exploded with ``posexplode_outer``: for an inner one, the optimizer
+    would test the array's size below and so work it out twice.
+    """
     rows = texts.select("key", _words(F.col("text")).alias("words"))
     rows = rows.select("key", "words", F.size("words").alias("n"), F.transform(
-        "words", lambda w, i: _hash(w, _slot(w, F.get("words", i - 1)))).alias("codes"))
+        "words", lambda w, i: _code(w, F.get("words", i - 1))).alias("codes"))
     is_slot = lambda c: c.between(0, 3)
     held = lambda p, k: F.filter(F.slice("words", p + 1, k), lambda w, j: is_slot(F.get("codes", p + j)))
     hashed = lambda p: F.xxhash64(*[F.get("codes", p + k) for k in range(window)]).alias("h")
@@ -83,13 +83,17 @@ def _text(name: str) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """(item, at, h, asked, of): the windows of each item that can be told apart, their slot values, their number."""
-    rows = _windows(benchmark.select(col(id_col).alias("key"), _text(text_col).alias("text")), window)
-    each = rows.select(F.col("key").alias("item"), "codes", F.posexplode("w").alias("at", "w"))
+    """(item, at, h, asked, of): the windows of each item that can be told apart, their slot values, their number.
+
+    An item is its id and text, so that repeated rows count once."""
+    key = F.struct(col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("t")).alias("key")
+    rows = _windows(benchmark.select(key, _text(text_col).alias("text")).distinct(), window)
+    each = rows.select(F.col("key").alias("item"), "codes", F.posexplode_outer("w").alias("at", "w"))
     plain = F.size(F.filter(F.slice("codes", F.col("at") + 1, F.lit(window)), lambda c: ~c.between(0, 3)))
     told = each.where(plain >= MIN_WORDS).select("item", "at", "w.h", F.col("w.slots").alias("asked"))
     count = told.groupBy("item").agg(F.count(F.lit(1)).alias("of"))
-    return told.join(count.withColumnRenamed("item", "item_"), F.col("item").eqNullSafe(F.col("item_"))).drop("item_")
+    same = F.col("item").eqNullSafe(F.col("item_"))
+    return told.join(count.withColumnRenamed("item", "item_"), same).drop("item_")
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -100,7 +104,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     few = items.count() <= MAX_BROADCAST
     key = F.struct(col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("t")).alias("key")
     docs = _windows(df.select(key, _text(text_col).alias("text")), window)
-    each = docs.select("key", F.posexplode("w").alias("place", "w")).select(
+    each = docs.select("key", F.posexplode_outer("w").alias("place", "w")).select(
         "key", "place", "w.h", F.col("w.slots").alias("found"))
     hits = each.join(F.broadcast(items) if few else items, "h").select(
         "key", "item", "at", (F.col("place") - F.col("at")).alias("shift"), "of", "asked", "found")
@@ -117,7 +121,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
         "s.key", "s.item", "s.share", F.coalesce("t.asked", F.lit(0)).alias("n_slots"),
         F.coalesce((F.col("t.pairs") == F.col("t.asked")) & (F.col("t.pairs") == F.col("t.found")), F.lit(True))
         .alias("consistent"), F.coalesce("t.same", F.lit(True)).alias("verbatim"))
-    best = both.where("consistent").groupBy("key", "item").agg(F.max(F.struct("share", "verbatim", "n_slots")).alias("b"))
+    best = both.where("consistent").groupBy("key", F.col("item.id").alias("item")).agg(F.max(F.struct("share", "verbatim", "n_slots")).alias("b"))
     return best.select(F.col("key.id").alias(id_col), F.col("key.t").alias("text_hash"), F.col("item").alias(item_col),
                        "b.share", "b.n_slots", "b.verbatim")
 

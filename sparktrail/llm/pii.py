@@ -217,5 +217,5 @@ def pseudonyms(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
 
 def linked_values(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, kind, pseudonym): where each replaced value occurs; equal values have equal pseudonyms."""
-    found = _rows(df, text_col, key, False).select(F.col("row")[id_col].alias(id_col), F.explode("found").alias("x"))
-    return found.select(id_col, "x.kind", F.col("x.new").alias("pseudonym"))
+    found = _rows(df, text_col, key, False).select(F.col("row")[id_col].alias(id_col), F.explode_outer("found").alias("x"))
+    return found.where("x is not null").select(id_col, "x.kind", F.col("x.new").alias("pseudonym"))

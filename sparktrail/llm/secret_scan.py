@@ -45,7 +45,7 @@ SENSITIVE = {
     "credential": 0.9, "credentials": 0.9, "private": 0.6, "key": 0.5, "auth": 0.5, "bearer": 0.9, "access": 0.4,
     "signature": 0.6, "salt": 0.6, "dsn": 0.6,
 }
-MIN_SCORE = 1.0
+MIN_SCORE = 0.9
 
 _HINT = re.compile("|".join(sorted(SENSITIVE)), re.IGNORECASE)
 _PAIR = re.compile(
@@ -171,11 +171,12 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def without_secrets(df: DataFrame, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
-    """``df`` with every span replaced in the text; ``size_col``, if there, counts the new text's code points."""
+    """``df`` with every span replaced in the text; ``size_col``, if there, counts the new text's code points (of a null
+    text, it stays)."""
     other = packed(df.drop(text_col)) if len(df.columns) > 1 else F.struct(F.lit(0).alias("none")).alias("row")
     rows = df.select(other, col(text_col).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     out = rows.mapInArrow(_redacted, f"row {kind}, text string")
-    size = lambda c: F.char_length("text").cast(df.schema[c].dataType)
+    size = lambda c: F.coalesce(F.char_length("text"), F.col("row")[c]).cast(df.schema[c].dataType)
     return out.select(*[F.col("text").alias(c) if c == text_col else (size(c) if c == size_col else F.col("row")[c])
                         .alias(c) for c in df.columns])
