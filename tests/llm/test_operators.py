@@ -310,7 +310,7 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
 def test_language_model_is_a_distribution():
     import numpy as np
 
-    from sparktrail.llm.lm_score import ADD, CLASSES, SINGLES, Classes, _batch_arrays, _logits
+    from sparktrail.llm.lm_score import ADD, CLASSES, SINGLES, Classes, _batch_arrays, _Codes, _logits
 
     words = [b"the", b"a", b"tree", b"trunk", b"xyz"]
     classes = Classes([b"the"])
@@ -318,7 +318,7 @@ def test_language_model_is_a_distribution():
     for w in words:
         n[0][classes.of(w)] += 5
         n[1][classes.of(w)] += 1
-    *_, rows = _batch_arrays([b"the tree a"], classes, {})
+    *_, rows = _batch_arrays([b"the tree a"], _Codes(classes))
     weights = np.random.default_rng(1).normal(size=(1 << 15, CLASSES)).astype(np.float32)
     p = np.exp(_logits(weights, np.zeros(CLASSES, np.float32), rows))
     p /= p.sum(1, keepdims=True)
