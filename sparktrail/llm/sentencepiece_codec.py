@@ -15,7 +15,7 @@ all neighbours may follow each other is the merge result, and there is exactly
 one for each prefix: the admissible path takes the place of the best one, and
 the ids equal those of the library.
 
-Characters without a piece become their UTF-8 bytes.  Words with several marks
+Characters without a piece stand alone and become their UTF-8 bytes.  Words with several marks
 are merged directly (with a heap), since pieces of marks alone share one score.
 
 Work and memory: one Arrow batch at a time; a bounded memory of solved words is
@@ -45,7 +45,7 @@ MARK = "▁"
 #: Default place of the model (a parameter of the operators).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Solved words and checked pairs that a worker remembers; when full, it starts anew.
-MEMORY = 300_000
+MEMORY = 500_000
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 _NEVER = float("inf")
@@ -65,11 +65,12 @@ class Codec:
         self.plain = [b"" if i in special else p.replace(MARK, " ").encode() for i, p in enumerate(self.text)]
         for b, i in enumerate(self.bytes_id):
             self.plain[i] = bytes([b])
-        self.tails = {p[i:] for p in self.ids for i in range(len(p))}
+        self.tails = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), -1) | self.ids
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces of this model cross the cuts between marked words")
         self._steps: dict[str, tuple | None] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._whole = [i not in special and self._history(p) is not None for i, p in enumerate(self.text)]
+        self._pairs: dict[int, bool] = {}
         self._solved: dict[str, tuple[int, ...]] = {}
 
     # merging
@@ -134,8 +135,8 @@ class Codec:
 
     def solve(self, words: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
         """Ids of distinct words, given in sorted order."""
-        ids, tails, pairs = self.ids, self.tails, self._pairs
-        pieces, starts = [""], [0]  # of each prefix of the current word: its last piece and where that begins
+        tail, pairs, whole, text = self.tails.get, self._pairs, self._whole, self.text
+        last, starts = [-1], [0]  # of each prefix of the current word: its last piece (-1: none) and where that begins
         before = ""
         for word in words:
             if word.startswith(MARK * 2):
@@ -144,35 +145,40 @@ class Codec:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del pieces[shared + 1:], starts[shared + 1:]
+            del last[shared + 1:], starts[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                begin = end - 1
-                found = [begin]
-                while begin > 0 and word[begin - 1:end] in tails:
+                begin, found = end - 1, []
+                while begin >= 0 and (piece := tail(word[begin:end])) is not None:
+                    if piece >= 0:
+                        found.append((begin, piece))
                     begin -= 1
-                    if word[begin:end] in ids:
-                        found.append(begin)
-                for begin in reversed(found):  # the longest first; exactly one fits
-                    piece = word[begin:end]
-                    u = pieces[begin]
-                    if not u or u not in ids or piece not in ids:
-                        fits = piece not in ids or self._history(piece) is not None
+                while len(found) > 1:  # the longest first; exactly one fits, so the shortest if no other does
+                    begin, piece = found[-1]
+                    u = last[begin]
+                    if u < 0:
+                        fits = whole[piece]
                     else:
-                        fits = pairs.get((u, piece))
+                        key = u << 20 | piece
+                        fits = pairs.get(key)
                         if fits is None:
-                            fits = pairs[u, piece] = self._follows(u, piece)
+                            fits = pairs[key] = self._follows(text[u], text[piece])
                     if fits:
                         break
-                else:
-                    raise AssertionError(f"no segmentation of {word[:end]!r}")
-                pieces.append(piece)
+                    found.pop()
+                begin, piece = found[-1] if found else (end - 1, -1)
+                last.append(piece)
                 starts.append(begin)
             before = word
             out, end = [], len(word)
             while end:
-                out.append(pieces[end])
-                end = starts[end]
-            yield word, tuple(chain.from_iterable(map(self._id, reversed(out))))
+                piece, begin = last[end], starts[end]
+                if piece >= 0:
+                    out.append(piece)
+                else:
+                    out += [self.bytes_id[x] for x in reversed(word[begin:end].encode("utf-8"))]
+                end = begin
+            out.reverse()
+            yield word, tuple(out)
         if len(pairs) > MEMORY * 4:
             pairs.clear()
 
