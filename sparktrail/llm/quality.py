@@ -42,8 +42,8 @@ MIN_GROUP = 50
 #: ten-thousandths of the characters, lines or words, and hundredths of a character a word.
 MEASURES = {
     "symbol_share": (100, False),
-    "dup_line_share": (500, False),
-    "repeat_share": (500, False),
+    "dup_line_share": (1500, False),
+    "repeat_share": (1000, False),
     "word_size": (50, True),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -65,7 +65,7 @@ def quality_counts(text):
 
 def quality(rows):
     """[(text, lang, source)] -> counts, base_failed and kept."""
-    slack = {"symbol_share": 100, "dup_line_share": 500, "repeat_share": 500, "word_size": 50}
+    slack = {"symbol_share": 100, "dup_line_share": 1500, "repeat_share": 1000, "word_size": 50}
     counts = [quality_counts(t) for t, *_ in rows]
     share = lambda a, b, by: a * by // b if b else 0
     for c in counts:
