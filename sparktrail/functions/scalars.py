@@ -16,12 +16,13 @@ def price_to_int(c, default: int = -1) -> Column:
 
     A whole signed integer is taken as is; otherwise all runs of ``[0-9.]``
     are concatenated and parsed as a float, then truncated. Anything that
-    does not parse gives ``default``.
+    does not parse gives ``default``, as does a number beyond 64 bits. Spaces
+    around a signed number make it text, which loses the sign.
     """
-    s = F.trim(col_(c).cast("string"))
+    s = col_(c).cast("string")
     whole = s.rlike(r"^-?[0-9]+$")
     joined = F.concat_ws("", F.regexp_extract_all(s, F.lit(r"[0-9.]+"), 0))
-    parsed = F.when(whole, s.try_cast("bigint")).otherwise(joined.try_cast("double").cast("bigint"))
+    parsed = F.when(whole, s.try_cast("bigint")).otherwise(joined.try_cast("double").try_cast("bigint"))
     return F.coalesce(parsed, F.lit(default).cast("bigint"))
 
 

@@ -16,7 +16,7 @@ def uuid_guard(df: DataFrame, length: int = 36) -> DataFrame:
 
 
 def session_flags(load: DataFrame, actions: dict[str, DataFrame], match: str = "any_exact") -> DataFrame:
-    """Flag load rows whose (uuid, session_id) also has the action.
+    """Flag load rows whose (web_id, uuid, session_id) also has the action.
 
     ``match='last_contains'`` reproduces the reference code literally: the
     action's latest session of the visitor must *contain* the load row's
@@ -24,12 +24,12 @@ def session_flags(load: DataFrame, actions: dict[str, DataFrame], match: str = "
     out = load
     for flag, act in actions.items():
         if match == "any_exact":
-            keys = act.select("uuid", "session_id").distinct().withColumn(flag, F.lit(1))
-            out = out.join(keys, ["uuid", "session_id"], "left")
+            keys = act.select("web_id", "uuid", "session_id").distinct().withColumn(flag, F.lit(1))
+            out = out.join(keys, ["web_id", "uuid", "session_id"], "left")
         elif match == "last_contains":
-            last = (act.groupBy("uuid")
+            last = (act.groupBy("web_id", "uuid")
                        .agg(F.max_by("session_id", F.struct("timestamp", "ord")).alias(f"_{flag}_s")))
-            out = (out.join(last, "uuid", "left")
+            out = (out.join(last, ["web_id", "uuid"], "left")
                       .withColumn(flag, F.when(F.instr(F.col(f"_{flag}_s").cast("string"),
                                                        F.col("session_id").cast("string")) > 0, 1))
                       .drop(f"_{flag}_s"))
@@ -43,33 +43,34 @@ def visitor_flags(load: DataFrame, actions: dict[str, DataFrame]) -> DataFrame:
     """Flag load rows whose visitor has the action at all."""
     out = load
     for flag, act in actions.items():
-        keys = act.select("uuid").distinct().withColumn(flag, F.lit(1))
-        out = out.join(keys, "uuid", "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int"))
+        keys = act.select("web_id", "uuid").distinct().withColumn(flag, F.lit(1))
+        out = out.join(keys, ["web_id", "uuid"], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int"))
     return out
 
 
 def session_features(load, purchase, add_cart, remove_cart, keys: list[str], match: str = "any_exact") -> DataFrame:
-    """One row per (uuid, session_id): the latest non-null value of each
+    """One row per (web_id, uuid, session_id): the latest non-null value of each
     feature column (by timestamp, then ingest ordinal) and the three flags."""
     load, purchase, add_cart, remove_cart = (uuid_guard(d) for d in (load, purchase, add_cart, remove_cart))
     flagged = session_flags(load, {"is_purchased": purchase, "is_addCart": add_cart,
                                    "is_removeCart": remove_cart}, match)
-    cols = [c for c in keys if c not in ("uuid", "session_id")] + list(ACTIONS)
-    cols = list(dict.fromkeys(cols))
-    return last_non_null(flagged, ["uuid", "session_id"], cols, ["timestamp", "ord"])
+    group = ["web_id", "uuid", "session_id"]
+    cols = list(dict.fromkeys([c for c in keys if c not in group] + list(ACTIONS)))
+    return last_non_null(flagged, group, cols, ["timestamp", "ord"])
 
 
 def visitor_features(load, purchase, add_cart, remove_cart, keys: list[str]) -> DataFrame:
-    """One row per visitor with ``landing_count > 0``: latest non-null
+    """One row per tenant's visitor with ``landing_count > 0``: latest non-null
     values and visitor-level flags."""
     load, purchase, add_cart, remove_cart = (uuid_guard(d) for d in (load, purchase, add_cart, remove_cart))
     flagged = visitor_flags(load, {"is_purchased": purchase, "is_addCart": add_cart, "is_removeCart": remove_cart})
-    cols = list(dict.fromkeys([c for c in keys if c != "uuid"] + list(ACTIONS)))
-    return last_non_null(flagged.where(F.col("landing_count") > 0), ["uuid"], cols, ["timestamp", "ord"])
+    group = ["web_id", "uuid"]
+    cols = list(dict.fromkeys([c for c in keys if c not in group] + list(ACTIONS)))
+    return last_non_null(flagged.where(F.col("landing_count") > 0), group, cols, ["timestamp", "ord"])
 
 
-def visitor_max(sessions: DataFrame, group=("uuid",)) -> DataFrame:
-    """Per visitor the max of every column; then mobile only
+def visitor_max(sessions: DataFrame, group=("web_id", "uuid")) -> DataFrame:
+    """Per tenant's visitor the max of every column; then mobile only
     (``device != 0``) and new buyers (``is_purchased_before = 0``)."""
     cols = [c for c in sessions.columns if c not in group]
     return (sessions.groupBy(*group).agg(*[F.max(c).alias(c) for c in cols])

@@ -165,8 +165,10 @@ def _finish(df: DataFrame, event_type: str) -> DataFrame:
 def flatten(raw: DataFrame, event_type: str, product_settings: DataFrame | None = None,
             keep=("ord",)) -> DataFrame:
     """P10 dispatcher: raw events (``ev`` VARIANT + ``keep`` columns) -> the
-    clean table of ``event_type``; unknown types -> empty with no columns
-    beyond ``keep``."""
+    clean table of ``event_type`` (``clicks``: of all click events). An unknown
+    type is an error."""
+    if event_type == "clicks":
+        return flatten_clicks(raw, keep)
     ev = F.col("ev")
     base = raw.where(present(ev, "web_id") & present(ev, "event_type")
                      & (F.try_variant_get(ev, "$.event_type", "string") == event_type))
@@ -200,7 +202,7 @@ def flatten(raw: DataFrame, event_type: str, product_settings: DataFrame | None
             raise ValueError("product events need the tenant path settings")
         df = product_rows(base, event_type, product_settings, keep)
     else:
-        return raw.where(F.lit(False)).select(*keep)
+        raise ValueError(f"unknown event type {event_type!r}")
     return _finish(df, event_type)
 
 

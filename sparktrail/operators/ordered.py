@@ -24,6 +24,15 @@ def _order_cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys are equal; ``keys`` come from the left."""
+    on = F.lit(True)
+    for k in keys:
+        right = right.withColumnRenamed(k, f"_r_{k}")
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
                    n_partitions: int | None = None) -> DataFrame:
     """Adds ``_rank`` (1-based row number within ``part`` in ``order``) and
@@ -34,9 +43,9 @@ def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
     import pandas as pd
 
     part, sums = list(part), list(sums)
-    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     oc = _order_cols(order)
-    ranged = (df.repartitionByRange(n, *[F.col(p) for p in part], *oc)
+    by = [*[F.col(p) for p in part], *oc]
+    ranged = ((df.repartitionByRange(n_partitions, *by) if n_partitions else df.repartitionByRange(*by))
                 .sortWithinPartitions(*[F.col(p) for p in part], *oc))
     out_schema = T.StructType(list(ranged.schema.fields) + [
         T.StructField("_pid", T.IntegerType()), T.StructField("_lrank", T.LongType())] + [
@@ -49,11 +58,15 @@ def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf[part].astype(str).agg("\x1f".join, axis=1) if part else pd.Series([""] * len(pdf))
-            grp = (keys != keys.shift()).cumsum()
+            new = pd.Series(False, index=pdf.index)
+            for p in part:  # nulls are one key; None and "None" are two
+                new |= (pdf[p] != pdf[p].shift()) & ~(pdf[p].isna() & pdf[p].shift().isna())
+            new.iloc[0] = True
+            grp = new.cumsum()
             first_grp = grp.iloc[0]
             cnt = grp.groupby(grp).cumcount() + 1
-            same = (grp == first_grp) & (keys.iloc[0] == carry_key)
+            key_at = lambda i: tuple(None if pd.isna(x) else x for x in pdf[part].iloc[i]) if part else ()
+            same = (grp == first_grp) & (key_at(0) == carry_key)
             pdf = pdf.copy()
             pdf["_pid"] = pid
             pdf["_lrank"] = (cnt + same.astype("int64") * carry_n).astype("int64")
@@ -61,7 +74,7 @@ def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
                 cs = pdf[c].astype("float64").fillna(0.0).groupby(grp.values).cumsum()
                 pdf[f"_lcum_{c}"] = cs + same.astype("float64") * carry_s[i]
             last = grp == grp.iloc[-1]
-            carry_key = keys.iloc[-1]
+            carry_key = key_at(-1)
             carry_n = int(pdf["_lrank"][last].iloc[-1])
             carry_s = [float(pdf[f"_lcum_{c}"][last].iloc[-1]) for c in sums]
             yield pdf
@@ -75,11 +88,11 @@ def running_totals(df: DataFrame, part: list[str], order, sums: list[str] = (),
                                          *[F.max(f"_lcum_{c}").alias(f"_ps_{c}") for c in sums])
     multi = tot.groupBy(*part).agg(F.count(F.lit(1)).alias("_np")).where(F.col("_np") > 1).drop("_np")
     w = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = (tot.join(F.broadcast(multi), part) if part else tot)
+    off = (null_safe_join(tot, multi, part) if part else tot)
     off = off.select(*part, "_pid",
                      F.coalesce(F.sum("_pn").over(w), F.lit(0)).alias("_on"),
                      *[F.coalesce(F.sum(f"_ps_{c}").over(w), F.lit(0.0)).alias(f"_os_{c}") for c in sums])
-    r = loc.join(F.broadcast(off), [*part, "_pid"], "left")
+    r = null_safe_join(loc, F.broadcast(off), [*part, "_pid"], "left")
     r = r.withColumn("_rank", F.col("_lrank") + F.coalesce(F.col("_on"), F.lit(0)))
     for c in sums:
         r = r.withColumn(f"_cum_{c}", F.col(f"_lcum_{c}") + F.coalesce(F.col(f"_os_{c}"), F.lit(0.0)))
@@ -92,7 +105,7 @@ def nth_largest(df: DataFrame, part: list[str], score: str, tiebreak: list[str])
     r = running_totals(df, part, [F.col(score).desc(), *[F.col(t) for t in tiebreak]])
     n = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     if part:
-        return r.join(n, part)
+        return null_safe_join(r, n, part)
     return r.withColumn("_j", F.lit(1)).join(F.broadcast(n.withColumn("_j", F.lit(1))), "_j").drop("_j")
 
 
@@ -105,7 +118,7 @@ def moving_average(df: DataFrame, part: list[str], order, value: str, m: int) ->
     fan = r.select(*part, F.col(value).alias("_v"),
                    F.explode(F.sequence(F.col("_rank"), F.col("_rank") + (m - 1))).alias("_rank"))
     avg = fan.groupBy(*part, "_rank").agg(F.avg("_v").alias(f"{value}_mavg"))
-    return r.join(avg, [*part, "_rank"])
+    return null_safe_join(r, avg, [*part, "_rank"])
 
 
 def block_average(df: DataFrame, part: list[str], order, value: str, m: int) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each tenant configures, per product event, dotted paths into the payload
 and their column names. The paths are a small broadcast dimension joined
-onto the events; the walk over the payload is a fixed number of
-``transform`` stages over an array of per-path states, so no shuffle and no
+onto the events; each path is folded over the payload segment by segment
+(``aggregate`` over its segments), whatever its depth, so no shuffle and no
 Python are involved.
 """
 
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from sparktrail import schemas as S
 from sparktrail.operators.flatten import _dedupe_columns, _m_nulls, _m_record, _m_universal, as_map
 
-MAX_DEPTH = 4
-
 
 def product_path_settings(settings: DataFrame) -> DataFrame:
     """F14 ``fetch_parse_key_all_settings``: (web_id, event_type, keys csv,
@@ -69,31 +67,28 @@ def _init(payload: Column):
     return f
 
 
-def _step(d: int):
-    def f(st):
-        seg = F.element_at(st["segs"], d + 1)
-        cur = st["cur"]
-        active = (F.size(st["segs"]) > d) & ~st["dead"] & st["items"].isNull()
-        t = _kind(cur)
-        is_json = seg == "json"
-        is_obj = t.startswith("OBJECT")
-        is_arr = t.startswith("ARRAY")
-        nv = _vget(cur, seg)
-        obj_dead = (seg == "empty") | _falsy(nv)
-        lst = F.transform(F.try_variant_get(cur, "$", "array<variant>"),
-                          lambda e: F.when(_falsy(_vget(e, seg)), F.lit("_")).otherwise(_text(_vget(e, seg))))
-        parsed = F.try_parse_json(_text(cur))
-        obj_step = active & ~is_json & is_obj
-        arr_step = active & ~is_json & ~is_obj & is_arr
-        other = active & ~is_json & ~is_obj & ~is_arr
-        return F.struct(
-            st["segs"].alias("segs"), st["rename"].alias("rename"),
-            F.when(active & is_json, parsed).when(obj_step & ~obj_dead, nv)
-             .when(obj_step & obj_dead, F.lit(None).cast("variant")).otherwise(cur).alias("cur"),
-            (st["dead"] | (obj_step & obj_dead) | other).alias("dead"),
-            F.when(obj_step, F.when(obj_dead, F.lit("_")).otherwise(_text(nv))).otherwise(st["scalar"]).alias("scalar"),
-            F.when(arr_step, lst).otherwise(st["items"]).alias("items"))
-    return f
+def _step(st: Column, seg: Column) -> Column:
+    cur = st["cur"]
+    active = ~st["dead"] & st["items"].isNull()
+    t = _kind(cur)
+    is_json = seg == "json"
+    is_obj = t.startswith("OBJECT")
+    is_arr = t.startswith("ARRAY")
+    nv = _vget(cur, seg)
+    obj_dead = (seg == "empty") | _falsy(nv)
+    lst = F.transform(F.try_variant_get(cur, "$", "array<variant>"),
+                      lambda e: F.when(_falsy(_vget(e, seg)), F.lit("_")).otherwise(_text(_vget(e, seg))))
+    parsed = F.try_parse_json(_text(cur))
+    obj_step = active & ~is_json & is_obj
+    arr_step = active & ~is_json & ~is_obj & is_arr
+    other = active & ~is_json & ~is_obj & ~is_arr
+    return F.struct(
+        st["segs"].alias("segs"), st["rename"].alias("rename"),
+        F.when(active & is_json, parsed).when(obj_step & ~obj_dead, nv)
+         .when(obj_step & obj_dead, F.lit(None).cast("variant")).otherwise(cur).alias("cur"),
+        (st["dead"] | (obj_step & obj_dead) | other).alias("dead"),
+        F.when(obj_step, F.when(obj_dead, F.lit("_")).otherwise(_text(nv))).otherwise(st["scalar"]).alias("scalar"),
+        F.when(arr_step, lst).otherwise(st["items"]).alias("items"))
 
 
 def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) -> DataFrame:
@@ -114,15 +109,16 @@ def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) ->
     payload = F.try_parse_json(F.try_variant_get(ev, f"$.{payload_key}", "string"))
     segs0 = F.col("_paths")[0]["segs"]
     s0 = F.element_at(segs0, 1)
-    first_val = F.try_parse_json(F.element_at(F.map_values(
-        F.from_json(F.to_json(payload), "map<string,string>")), 1))
+    # VARIANT sorts its keys: the first key in document order comes from the text
+    first_key = F.get(F.json_object_keys(F.try_variant_get(ev, f"$.{payload_key}", "string")), F.lit(0))
+    first_val = _vget(payload, first_key)
     has0 = _vget(payload, s0).isNotNull()
     unwrapped = F.when((F.size(segs0) > 1) & ~has0, first_val).otherwise(payload)
     j = (j.withColumn("_payload", unwrapped)
           .where(((F.size(segs0) > 1) | has0) & F.schema_of_variant(F.col("_payload")).startswith("OBJECT")))
     j = j.withColumn("_st", F.transform("_paths", _init(F.col("_payload"))))
-    for d in range(1, MAX_DEPTH):
-        j = j.withColumn("_st", F.transform("_st", _step(d)))
+    j = j.withColumn("_st", F.transform("_st", lambda st: F.aggregate(
+        F.slice(st["segs"], F.lit(2), F.size(st["segs"])), st, _step)))
     scal = F.map_from_entries(F.transform(F.filter("_st", lambda s: s["scalar"].isNotNull()),
                                           lambda s: F.struct(s["rename"], s["scalar"])))
     lists = F.filter("_st", lambda s: s["items"].isNotNull())
@@ -133,7 +129,7 @@ def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) ->
                                        .otherwise(F.array(F.lit(0))))))
     j = j.where((F.size("_lists") == 0) | (n > 0))
     list_map = F.map_from_entries(F.transform("_lists", lambda s: F.struct(
-        s["rename"], F.element_at(s["items"], F.col("_i") + 1))))
+        s["rename"], F.get(s["items"], F.col("_i")))))
     j = j.withColumn("_lmap", list_map)
 
     def val(name: str) -> Column:
@@ -148,8 +144,8 @@ def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) ->
     # Product id rules
     pid = F.col("product_id").cast("string")
     out = out.where(pid.isNotNull() & ~pid.startswith("hitobp:product"))
-    pid = F.when(pid.startswith("pufii:product"), F.regexp_replace(F.substring(pid, 15, 1 << 20), "^p", "P")) \
-           .when(pid.startswith("wstyle:product"), F.substring(pid, 16, 1 << 20)).otherwise(pid)
+    pid = F.when(pid.startswith("pufii:product"), F.regexp_replace(F.substr(pid, F.lit(15)), "^p", "P")) \
+           .when(pid.startswith("wstyle:product"), F.substr(pid, F.lit(16))).otherwise(pid)
     out = out.withColumn("product_id", pid)
     if event_type == "purchase":
         out = out.withColumn("product_quantity", F.col("product_quantity"))

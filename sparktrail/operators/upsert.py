@@ -12,10 +12,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:
+def latest_by_key(updates: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row per key: the last by ``order``, the largest row where that ties (or isn't given)."""
+    rest = [c for c in updates.columns if c not in keys]
+    if not rest:
+        return updates.distinct()
+    row = F.struct(*[F.col(c) for c in rest])
+    last = F.max_by(row, F.struct(*[F.col(c) for c in order or []], row)).alias("_row")
+    return updates.groupBy(*keys).agg(last).select(*[c if c in keys else F.col("_row")[c].alias(c)
+                                                     for c in updates.columns])
+
+
+def upsert(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str] | None = None,
+           order: list[str] | None = None) -> DataFrame:
     """Insert new keys; on an existing key update only ``cols`` (all
     non-key update columns when None) - a NULL in the update is written, as
-    ``ON DUPLICATE KEY UPDATE c = VALUES(c)`` does."""
+    ``ON DUPLICATE KEY UPDATE c = VALUES(c)`` does. Of several updates of one
+    key the last by ``order`` counts."""
+    updates = latest_by_key(updates, keys, order)
     cols = [c for c in (cols or [c for c in updates.columns if c not in keys])]
     t = target.withColumn("_in_t", F.lit(True))
     u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c not in keys]) \
@@ -57,8 +71,9 @@ def update_rows(target: DataFrame, updates: DataFrame, keys: list[str], cols: li
 
 
 def delete_rows(target: DataFrame, condition) -> DataFrame:
-    """K05 delete by statement: the table without matching rows."""
-    return target.where(~condition)
+    """K05 delete by statement: the table without matching rows (a row whose
+    condition is NULL doesn't match and stays)."""
+    return target.where(~F.coalesce(condition, F.lit(False)))
 
 
 def insert_rows(target: DataFrame, rows: DataFrame) -> DataFrame:

@@ -34,20 +34,8 @@ AS_OF = _dt.datetime(2024, 1, 20, 0, 0, 0)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan with an input-parallelism floor: a table stored as one
-    row group yields one split, so row-level work (JSON, variant, partial
-    aggregation) would run in a single task. Such scans are spread
-    round-robin over the default parallelism; large multi-file inputs
-    already have more splits and are left untouched."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df)
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """Parquet scan; splits follow ``spark.sql.files.*`` of the session."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -869,7 +869,7 @@ def q_update_rows(spark, sf_dir):
     tr = ST.tracker_statistics(_stat_tables(Tables(spark, sf_dir)))
     upd = tr.where(F.col("date") >= F.lit("2024-01-15").cast("date")).select(
         "web_id", "date", (F.col("n_events_load") * 2).alias("n_events_load"))
-    ghost = upd.limit(3).withColumn("web_id", F.lit("w_unknown"))
+    ghost = upd.withColumn("web_id", F.concat(F.lit("unknown-"), F.col("web_id")))
     return UP.update_rows(tr, upd.unionByName(ghost), ["web_id", "date"], ["n_events_load"])
 
 
@@ -924,7 +924,7 @@ def q_stream_ingest_load(spark, sf_dir):
     RA.raw_objects(A.base_events(spark, sf_dir)).select("text").write.text(f"{base}/objects")
     q = start_ingest(spark, f"{base}/objects", f"{base}/_checkpoint", f"{base}/clean", ["load"], wholetext=False)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/clean/load").drop("date")
+    return spark.read.parquet(f"{base}/clean/load").drop("date", "batch_id")
 
 
 @register("refresh_stats", O.prefix() + f", tr AS ({_TRACKER_SQL}), co AS ({_COUPON_SQL})\n"

@@ -20,7 +20,7 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "sparktrail", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -29,7 +29,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
         conf["spark.driver.memory"] = "16g"
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -43,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only in local mode a scratch folder is created where it is unset; on a
+    cluster that would be a folder that other machines can't see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="sparktrail-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

@@ -142,12 +142,28 @@ def local_day(raw: DataFrame, date_start, date_end=None, utc: int = 8) -> DataFr
 
 
 def retain(raw: DataFrame, as_of, n_days: int = 30) -> DataFrame:
-    """The raw zone without days older than ``n_days`` before as_of
-    (write it back with ``land_raw`` to apply the retention)."""
+    """The raw zone without days older than ``n_days`` before as_of, as
+    a view (``drop_expired`` deletes them)."""
     from sparktrail.functions.dates import lit_date
     return raw.where(F.col("dt") >= F.date_sub(lit_date(as_of), n_days))
 
 
+def drop_expired(spark: SparkSession, root: str, as_of, n_days: int = 30) -> int:
+    """Delete the raw zone's ``dt=`` folders of days more than ``n_days``
+    before as_of; returns how many. Works on any file system Spark can write."""
+    import datetime as _dt
+
+    from sparktrail.functions.dates import to_datetime
+    oldest = (to_datetime(as_of) - _dt.timedelta(days=n_days)).date().isoformat()
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath() for s in fs.listStatus(top)]
+    expired = [p for p in names if p.getName().startswith("dt=") and p.getName()[3:] < oldest]
+    for path in expired:
+        fs.delete(path, True)
+    return len(expired)
+
+
 def hour_range(spark: SparkSession, start, end) -> DataFrame:
     """The (dt, hour) partitions of a backfill range, inclusive."""
     return spark.range(1).select(F.explode(F.sequence(lit_ts(start), lit_ts(end),

@@ -20,9 +20,8 @@ def test_in_window_matches_between(spark, ts, lo, hi, expected):
     assert df.select(in_window(day, mid, F.col("lo"), F.col("hi")).alias("w")).first().w is expected
 
 
-def test_parallelism_floor(spark):
-    from sparktrail.plans.adapters import ensure_parallelism
-    one = spark.range(100).coalesce(1)
-    assert ensure_parallelism(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert ensure_parallelism(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+def test_table_scan_adds_no_exchange(spark):
+    from conftest import SMOKE
+    from sparktrail.plans.adapters import read_table
+    plan = read_table(spark, SMOKE, "events")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
