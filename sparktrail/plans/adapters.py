@@ -69,8 +69,8 @@ def load(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("event_type") == "view").select(
         *UNIVERSAL,
         (F.col("k") % 3).alias("device"),
-        (F.col("k") % 3).alias("landing_count"),
-        F.when(F.col("k") % 4 == 0, 1).otherwise(0).alias("is_purchased_before"),
+        (F.col("k") % 4).alias("landing_count"),
+        F.when(F.col("user_id") % 4 == 0, 1).otherwise(0).alias("is_purchased_before"),
         (1 + F.col("k") % 10).alias("pageviews"),
         (F.col("k") % 17).alias("click_count_total"),
         F.col("value").alias("time_pageview_total"),
@@ -236,3 +236,71 @@ def settings(spark: SparkSession, cells=None) -> DataFrame:
 
 
 MIXED_CELLS = {"w0": (0, 0), "w1": (0, 2), "w2": (1, 1), "w3": (0, 4), "w4": (1, 5)}
+
+
+# ------------------------------------------- dimensions that grow with the data
+# A campaign for each part, and settings and averages for each supplier (as
+# tenant). The rules are SQL that both engines read.
+
+def _campaign_rules(timestamp: str) -> dict[str, str]:
+    start = "DATE '2024-01-01' + CAST(p_partkey % 12 AS INT)"
+    end = f"{start} + CAST(4 + p_partkey % 20 AS INT)"
+    return {
+        "id": "p_partkey",
+        "web_id": "'w' || CAST(1 + p_partkey % 10 AS STRING)",
+        "link_code": "'L' || CAST(p_partkey AS STRING)",
+        "coupon_limit": "CASE p_partkey % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'type=1&limit-bill=20' ELSE 'limit-bill=50' END",
+        "coupon_type": "CAST(p_size % 5 AS INT)",
+        "coupon_amount": "CAST(6 + p_partkey % 4 AS STRING)",
+        "start_time": start,
+        "end_time": end,
+        "coupon_total": "CAST(100 + p_partkey % 70 AS BIGINT)",
+        "coupon_used": "CAST(CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE p_partkey % 30 END AS BIGINT)",
+        "activity_enable": "CASE WHEN p_partkey % 11 = 10 THEN 0 ELSE 1 END",
+        "coupon_enable": "CASE WHEN p_partkey % 7 = 6 THEN 0 ELSE 1 END",
+        "activity_delete": "CASE WHEN p_partkey % 13 = 5 THEN 1 ELSE 0 END",
+        "update_time": f"CAST({end} AS {timestamp})",
+        "ad_image_url": "CASE WHEN p_partkey % 2 = 0 THEN '_' ELSE 'img' END",
+        "ad_url": "'https://a/' || CAST(p_partkey AS STRING)",
+        "ad_btn_url": "'https://b/' || CAST(p_partkey AS STRING)",
+    }
+
+
+SUPPLIER_SETTINGS = {
+    "web_id": "'w' || CAST(s_suppkey AS STRING)",
+    "type_total_price": "CAST(s_suppkey % 2 AS INT)",
+    "type_cal_cost": "CAST(s_suppkey % 6 AS INT)",
+    "enable_analysis": "CAST(CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE 1 END AS INT)",
+    "enable_tracking": "CAST(s_suppkey % 2 AS INT)",
+    "enable_addfan": "CAST(CASE WHEN s_suppkey % 4 = 3 THEN 0 ELSE 1 END AS INT)",
+    "platform": "CASE WHEN s_suppkey % 2 = 0 THEN '91' ELSE 'shopline' END",
+}
+SUPPLIER_STAT = {
+    "web_id": "'w' || CAST(s_suppkey AS STRING)",
+    "avg_shipping_price": "CAST(60 + s_suppkey % 40 AS INT)",
+    "avg_total_price": "CAST(500 + s_nationkey * 10 AS INT)",
+}
+
+
+def _by_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    return df.select(*[F.expr(rule).alias(c) for c, rule in rules.items()])
+
+
+def part_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_rules(read_table(spark, sf_dir, "part"), _campaign_rules("TIMESTAMP_NTZ"))
+
+
+def supplier_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_rules(read_table(spark, sf_dir, "supplier"), SUPPLIER_SETTINGS)
+
+
+def supplier_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_rules(read_table(spark, sf_dir, "supplier"), SUPPLIER_STAT)
+
+
+def dimension_sql() -> str:
+    """The same dimensions as common table expressions."""
+    def cte(name, source, rules):
+        return f"{name} AS (SELECT " + ", ".join(f"{r} AS {c}" for c, r in rules.items()) + f" FROM {source})"
+    return ",\n".join([cte("campaigns", "part", _campaign_rules("TIMESTAMP")),
+                       cte("settings", "supplier", SUPPLIER_SETTINGS), cte("addfan_stat", "supplier", SUPPLIER_STAT)])

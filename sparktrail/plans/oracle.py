@@ -51,7 +51,8 @@ CODE = "'c' || CAST(k % 7 AS VARCHAR)"
 PB = "CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END"
 
 ROLES = {
-    "load": f"""load AS (SELECT {U}, k % 3 AS device, k % 3 AS landing_count, {PB} AS is_purchased_before,
+    "load": f"""load AS (SELECT {U}, k % 3 AS device, k % 4 AS landing_count,
+       CASE WHEN user_id % 4 = 0 THEN 1 ELSE 0 END AS is_purchased_before,
        1 + k % 10 AS pageviews, k % 17 AS click_count_total, value AS time_pageview_total
        FROM ev WHERE event_type = 'view')""",
     "accept": f"""accept AS (SELECT {U}, {CID} AS coupon_id, {CODE} AS coupon_code,

@@ -73,6 +73,12 @@ from sparktrail.operators import stats as ST  # noqa: E402
 _P = O.prefix(None, [O.ACTIVITY, O.CAMP])
 _PM = O.prefix(A.MIXED_CELLS, [O.ACTIVITY, O.CAMP])
 _ASOF = O.AS_OF_DATE
+# campaigns of all parts, tenants of all suppliers
+_D = "WITH " + ",\n".join([A.dimension_sql(), O.ACTIVITY, O.CAMP])
+
+
+def _part_activities(spark, sf_dir, mode="all", **kw):
+    return CAMP.activities(A.part_campaigns(spark, sf_dir), mode, as_of=A.AS_OF, **kw)
 
 
 @register("roas_rollup", O.roas_daily_sql(A.MIXED_CELLS).replace(
@@ -103,25 +109,23 @@ def q_coupon_reach(spark, sf_dir):
     return ATT.coupon_reach(t.send, t.accept, t.discard, t.activities("all"))
 
 
-@register("coupon_unit_cost", _P + """
+@register("coupon_unit_cost", _D + """
 SELECT id, web_id, coupon_type, CAST(unit_cost AS BIGINT) AS unit_cost FROM camp""")
 def q_coupon_unit_cost(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return CAMP.unit_cost(t.activities("all"), t.addfan_stat).select("id", "web_id", "coupon_type", "unit_cost")
+    return CAMP.unit_cost(_part_activities(spark, sf_dir), A.supplier_stat(spark, sf_dir)).select("id", "web_id", "coupon_type", "unit_cost")
 
 
-@register("campaigns_running", _P + f"""
+@register("campaigns_running", _D + f"""
 SELECT a.id, a.web_id, a.link_code, a.coupon_type, a.coupon_amount, a.activity_start, a.activity_end,
        a.coupon_total, a.coupon_price_limit
 FROM act a JOIN campaigns c ON c.id = a.id
 WHERE {_ASOF} BETWEEN c.start_time AND c.end_time AND c.activity_enable = 1 AND c.coupon_enable = 1
   AND c.activity_delete = 0""")
 def q_campaigns_running(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return t.activities("running").select(*CAMP.CAMPAIGN_COLUMNS)
+    return _part_activities(spark, sf_dir, "running").select(*CAMP.CAMPAIGN_COLUMNS)
 
 
-@register("campaigns_just_expired", _P + f"""
+@register("campaigns_just_expired", _D + f"""
 SELECT a.id, a.web_id, a.link_code, a.coupon_type, a.coupon_amount, a.activity_start, a.activity_end,
        a.coupon_total, a.coupon_price_limit
 FROM act a JOIN campaigns c ON c.id = a.id
@@ -129,29 +133,26 @@ WHERE CAST(c.update_time AS DATE) BETWEEN c.start_time AND c.end_time
   AND date_diff('day', c.end_time, {_ASOF}) BETWEEN 0 AND 1
   AND c.activity_enable = 1 AND c.coupon_enable = 1 AND c.activity_delete = 0""")
 def q_campaigns_just_expired(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return t.activities("just_expired").select(*CAMP.CAMPAIGN_COLUMNS)
+    return _part_activities(spark, sf_dir, "just_expired").select(*CAMP.CAMPAIGN_COLUMNS)
 
 
-@register("coupon_budget", _P + f"""
+@register("coupon_budget", _D + f"""
 SELECT id, web_id, CAST(coupon_total - coupon_used AS DOUBLE) / (1 + date_diff('day', {_ASOF}, end_time)) AS avg_n_coupon
 FROM campaigns
 WHERE date_diff('day', {_ASOF}, start_time) <= 2 AND {_ASOF} <= end_time AND activity_enable = 1
   AND coupon_enable = 1 AND activity_delete = 0""")
 def q_coupon_budget(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
+    return CAMP.upcoming_budget(A.part_campaigns(spark, sf_dir), A.AS_OF)
 
 
-@register("stale_coupons", _P + f"""
+@register("stale_coupons", _D + f"""
 SELECT id, web_id, CAST(MAX(g.n) AS INTEGER) AS unused_days
 FROM campaigns c, range(1, 11) g(n)
 WHERE ad_image_url = '_' AND activity_delete = 0 AND coupon_enable = 1 AND activity_enable = 1
   AND start_time < {_ASOF} - CAST(g.n AS INTEGER) AND end_time > {_ASOF} AND coupon_used = 0
 GROUP BY id, web_id""")
 def q_stale_coupons(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return CAMP.stale_coupons(t.campaigns_raw, A.AS_OF)
+    return CAMP.stale_coupons(A.part_campaigns(spark, sf_dir), A.AS_OF)
 
 
 @register("campaign_assembly", O.prefix(A.MIXED_CELLS, [O.ACTIVITY, O.CAMP]) + """,
@@ -897,17 +898,17 @@ def q_local_events(spark, sf_dir):
     return LK.local_events(raw_events(spark, sf_dir), "w3", "purchase", 3).select("ord")
 
 
-@register("tenant_status", O.prefix() + """
+@register("tenant_status", _D + """
 SELECT web_id, enable_analysis, enable_tracking, enable_addfan, platform FROM settings""")
 def q_tenant_status(spark, sf_dir):
     """tenant status projection."""
-    return CAMP.tenant_status(Tables(spark, sf_dir).settings)
+    return CAMP.tenant_status(A.supplier_settings(spark, sf_dir))
 
 
-@register("tenant_selection", O.prefix() + "\nSELECT web_id FROM settings WHERE enable_addfan = 1")
+@register("tenant_selection", _D + "\nSELECT web_id FROM settings WHERE enable_addfan = 1")
 def q_tenant_selection(spark, sf_dir):
     """addfan-enabled tenants."""
-    return CAMP.tenant_selection(Tables(spark, sf_dir).settings, "addfan")
+    return CAMP.tenant_selection(A.supplier_settings(spark, sf_dir), "addfan")
 
 
 @register("stream_ingest_load", O.prefix() + "\n" + RA.expected_sql("load"))
