@@ -38,7 +38,7 @@ KEY = ["web_id", "uuid", "jsess", "jcode"]
 
 def campaign_cells(campaigns: DataFrame, cells: DataFrame) -> DataFrame:
     """Attach the tenant cell; tenants without settings default to (0, 0)."""
-    c = campaigns.join(F.broadcast(cells.select("web_id", "tt", "cc")), "web_id", "left")
+    c = campaigns.join(cells.select("web_id", "tt", "cc"), "web_id", "left")
     return (c.withColumn("tt", F.coalesce(F.col("tt"), F.lit(0)))
              .withColumn("cc", F.coalesce(F.col("cc"), F.lit(0)))
              .withColumn("amount", F.col("coupon_amount").try_cast("double")))
@@ -62,7 +62,7 @@ def _two_sided_daily() -> Column:
 
 
 def _tenant(df: DataFrame, cells: DataFrame) -> DataFrame:
-    c = df.join(F.broadcast(cells.select("web_id", "tt", "cc")), "web_id", "left")
+    c = df.join(cells.select("web_id", "tt", "cc"), "web_id", "left")
     return c.withColumn("tt", F.coalesce(F.col("tt"), F.lit(0))).withColumn("cc", F.coalesce(F.col("cc"), F.lit(0)))
 
 
@@ -103,7 +103,7 @@ def _accept_keys(accept, enter, camp, cells, daily: bool) -> DataFrame:
     cam = camp.select(F.col("id").alias("coupon_id"), "web_id", "tt", "cc",
                       "activity_start", "activity_end",
                       *[c for c in ("acc_lo", "acc_hi", "ent_lo", "ent_hi") if c in camp.columns])
-    ak = acc.join(F.broadcast(cam), ["web_id", "coupon_id"])
+    ak = acc.join(cam, ["web_id", "coupon_id"])
     if daily:
         ak = ak.where(F.col("day") >= F.date_sub("activity_start", 1))
     else:
@@ -158,7 +158,7 @@ def lifetime_used(accept, purchase, enter, camp, cells) -> DataFrame:
     o = order_rows(purchase, cells, daily=False)
     cam = camp.select(F.col("id").alias("coupon_id"), "pur_lo", "pur_hi", "coupon_price_limit")
     j = (o.join(qk, KEY)
-          .join(F.broadcast(cam), "coupon_id")
+          .join(cam, "coupon_id")
           .where(in_window(F.col("o_day"), F.col("o_mid"), F.col("pur_lo"), F.col("pur_hi"))
                  & (F.col("total") > F.col("coupon_price_limit"))))
     return _pick_and_sum(j, ["coupon_id"])
@@ -171,7 +171,8 @@ def roas_lifetime(accept, purchase, enter, campaigns, cells, addfan_stat) -> Dat
     ``tenant_cells(settings)``.
     """
     from sparktrail.operators.campaigns import unit_cost
-    # one row per campaign: bounded by the campaign dimension
+    # one row per tenant and per campaign: hints only where the dimension is proven small
+    cells = maybe_broadcast(cells)
     camp = broadcast_if_bounded(campaign_cells(unit_cost(campaigns, addfan_stat), cells), campaigns)
     used = lifetime_used(accept, purchase, enter, camp, cells)
     r = camp.drop("coupon_used").join(used.withColumnRenamed("coupon_id", "id"), "id", "left")
@@ -242,12 +243,13 @@ def roas_daily(accept, discard, purchase, enter, campaigns, cells, addfan_stat,
     """A25/A26 daily table: per (coupon_id, date_time) coupon_accepted,
     coupon_imp, coupon_used, revenue, cost (integers, as stored)."""
     from sparktrail.operators.campaigns import unit_cost
+    cells = maybe_broadcast(cells)
     camp = broadcast_if_bounded(campaign_cells(unit_cost(campaigns, addfan_stat), cells), campaigns)
     sp = spine(camp, as_of)
     dated = daily_used(accept, purchase, enter, camp, cells, as_of)
     undated_camp = camp.where(_undated())
     und = lifetime_used(accept, purchase, enter, undated_camp, cells)
-    und_daily = (und.join(F.broadcast(sp.where(_undated()).select(F.col("id").alias("coupon_id"), "d")), "coupon_id"))
+    und_daily = und.join(sp.where(_undated()).select(F.col("id").alias("coupon_id"), "d"), "coupon_id")
     used = dated.unionByName(und_daily.select(*dated.columns))
     acc, imp = daily_reach(accept, discard, sp)
     keys = ["coupon_id", "d"]
@@ -255,7 +257,7 @@ def roas_daily(accept, discard, purchase, enter, campaigns, cells, addfan_stat,
     grid = base.unionByName(acc.select(*keys)).distinct()
     info = camp.select(F.col("id").alias("coupon_id"), "web_id", "tt", "cc", "coupon_type", "amount", "unit_cost")
     r = (grid.join(used, keys, "left").join(acc, keys, "left").join(imp, keys, "left")
-             .join(F.broadcast(info), "coupon_id"))
+             .join(info, "coupon_id"))
     revenue = F.coalesce(F.col("revenue"), F.lit(0))
     used_n = F.coalesce(F.col("coupon_used"), F.lit(0))
     csum = F.coalesce(F.col("coupon_sum"), F.lit(0.0))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparktrail.functions.dates import lit_date, lit_ts
 from sparktrail.functions.scalars import min_spend
+from sparktrail.plans.sizing import maybe_broadcast
 
 CAMPAIGN_COLUMNS = ["id", "web_id", "link_code", "coupon_type", "coupon_amount",
                     "activity_start", "activity_end", "coupon_total", "coupon_price_limit"]
@@ -83,7 +84,7 @@ def unit_cost(campaigns: DataFrame, addfan_stat: DataFrame) -> DataFrame:
     2 -> the amount, 3 -> -1 (percent-off, priced later), else 100."""
     stat = addfan_stat.select("web_id", F.col("avg_shipping_price").alias("_ship"))
     amount = F.floor(F.col("coupon_amount").try_cast("double")).cast("bigint")
-    return (campaigns.join(F.broadcast(stat), "web_id", "left")
+    return (campaigns.join(maybe_broadcast(stat), "web_id", "left")
             .withColumn("unit_cost",
                         F.when(F.col("coupon_type") == 1, F.col("_ship").cast("bigint"))
                          .when(F.col("coupon_type") == 2, amount)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktrail.plans.sizing import maybe_broadcast
+
 from sparktrail.functions.dates import lit_ts
 
 
@@ -18,7 +20,7 @@ def coupon_release(sent_codes: DataFrame, accept: DataFrame, batch_campaigns: Da
     ``batch_campaigns``: ``activities(mode='running', code_modes=(1, 2))``.
     """
     cutoff = F.timestamp_add("HOUR", F.lit(-hold_hours), lit_ts(as_of))
-    camp = F.broadcast(batch_campaigns.select("web_id", "link_code").distinct())
+    camp = maybe_broadcast(batch_campaigns.select("web_id", "link_code").distinct())
     sent = (sent_codes.where((F.col("is_sent") == 1) & (F.col("update_time") < cutoff))
                       .join(camp, ["web_id", "link_code"], "left_semi")
                       .select("web_id", "link_code", "coupon_code").distinct())

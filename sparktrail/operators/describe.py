@@ -33,7 +33,7 @@ def histogram(df: DataFrame, value: str, n_bins: int, group=(), density: bool =
                    ((hi - lo) / F.lit(float(n_bins))).alias("_step"))
     j = df.where(x.isNotNull()).select(*g, x.alias("_x"))
     if g:
-        j = j.join(F.broadcast(st), g)
+        j = j.join(st, g)
     else:
         j = j.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k").drop("_k")
 
@@ -101,7 +101,7 @@ def zscore(df: DataFrame, cols: list[str], group=()) -> DataFrame:
     st = df.groupBy(*g).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols],
                             *[F.stddev_samp(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols])
     if g:
-        j = df.join(F.broadcast(st), g)
+        j = df.join(st, g)
     else:
         j = df.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k").drop("_k")
     for c in cols:

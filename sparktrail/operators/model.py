@@ -106,30 +106,39 @@ def train_test_split(df: DataFrame, test_size: float = 0.3, seed: int = 25, keys
 
 def train_logistic(df: DataFrame, features: list[str], label: str = "is_purchased", C: float = 1.0):
     """L2 logistic regression with scikit-learn defaults (C=1,
-    intercept not penalised, no scaling): regParam = 1 / (C * n).
+    intercept not penalised, no scaling): regParam = 1 / (C * n). A null
+    feature counts as 0; rows without a label are no training rows.
 
-    Returns (coefficients list, intercept)."""
+    Returns (coefficients list, intercept, rows, rows with a null feature)."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
-    data = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("_y")))
-    n = data.count()
+    some_null = F.greatest(*[F.col(c).isNull().cast("int") for c in features], F.lit(0)).alias("_null")
+    data = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error").transform(
+        df.where(F.col(label).isNotNull()).select(
+            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
+            F.col(label).cast("double").alias("_y"), some_null))
+    n, n_null = data.agg(F.count(F.lit(1)), F.coalesce(F.sum("_null"), F.lit(0))).first()
     lr = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=1.0 / (C * max(n, 1)),
                             elasticNetParam=0.0, standardization=False, fitIntercept=True, maxIter=200, tol=1e-10)
     m = lr.fit(data)
-    return list(m.coefficients.toArray()), float(m.intercept)
+    return list(m.coefficients.toArray()), float(m.intercept), n, n_null
 
 
 def train_models(features_df: DataFrame, settings: DataFrame, tenants: list[str], features: list[str]) -> DataFrame:
     """M01 + M18 per tenant ('default' = all tenants): model record rows
-    (web_id, model_value csv with 8 decimals, model_intercept)."""
+    (web_id, model_value csv with 8 decimals, model_intercept) and how many
+    rows were used, and of these had a null feature. The features are written
+    once and read by every fit."""
+    from sparktrail.plans.materialize import materialize
     spark = features_df.sparkSession
+    features_df = materialize(features_df.select("web_id", "is_purchased", *features))
     rows = []
     for w in tenants:
         d = features_df if w == "default" else features_df.where(F.col("web_id") == w)
-        coef, b = train_logistic(d, features)
-        rows.append((w, ",".join(f"{c:.8f}" for c in coef), b))
-    return spark.createDataFrame(rows, "web_id string, model_value string, model_intercept double")
+        coef, b, n, n_null = train_logistic(d, features)
+        rows.append((w, ",".join(f"{c:.8f}" for c in coef), b, n, n_null))
+    return spark.createDataFrame(rows, "web_id string, model_value string, model_intercept double, n_rows long, "
+                                       "n_null_rows long")
 
 
 def model_record(coefs: DataFrame) -> DataFrame:
@@ -147,7 +156,7 @@ def traffic_and_rank_bound(scored: DataFrame, budgets: DataFrame, params: DataFr
     budgets: (id, web_id, avg_n_coupon)."""
     pr = params.select("web_id", "n_day", "n_weight", "_b")
     traffic = scored.groupBy("web_id").agg(F.sum((F.col("pageviews") > 1).cast("int")).alias("_pv"))
-    b = (budgets.join(F.broadcast(pr), "web_id").join(traffic, "web_id")
+    b = (budgets.join(maybe_broadcast(pr), "web_id").join(traffic, "web_id")
          .withColumn("max_n_coupon", F.floor(F.col("_pv") / F.col("n_day")).cast("bigint"))
          .withColumn("_target", F.col("avg_n_coupon") * F.col("n_weight"))
          .withColumn("_pos", F.when(F.col("_target") >= F.col("max_n_coupon"),
@@ -186,7 +195,7 @@ def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame) ->
 
 
 _POLY_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
-                             T.StructField("x0", T.DoubleType())])
+                             T.StructField("x0", T.DoubleType()), T.StructField("x1", T.DoubleType())])
 
 
 def _polyfit_group(deg: int, keep_above):
@@ -200,9 +209,11 @@ def _polyfit_group(deg: int, keep_above):
             m = y > keep_above
             x, y = x[m], y[m]
         if len(x) == 0:
-            return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [None], "x0": [None]})
-        coef = np.polyfit(x, y, deg)
-        return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [list(map(float, coef))], "x0": [float(x[0])]})
+            return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [None], "x0": [None], "x1": [None]})
+        # thin data: no more coefficients than distinct points
+        coef = np.polyfit(x, y, min(deg, len(np.unique(x)) - 1))
+        return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [list(map(float, coef))], "x0": [float(x[0])],
+                             "x1": [float(x[-1])]})
     return fit
 
 
@@ -220,15 +231,15 @@ def fitted_curve_bound(scored: DataFrame, budgets: DataFrame, params: DataFrame,
     h = histogram(scored, "prob", bins, group=["web_id"])
     pr = params.select("web_id", "n_day", "n_weight", "_b")
     w = Window.partitionBy("web_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = (h.join(F.broadcast(pr), "web_id")
+    h = (h.join(maybe_broadcast(pr), "web_id")
           .withColumn("_nw", F.col("count") / F.col("n_day"))
           .withColumn("cum", F.sum("_nw").over(Window.partitionBy("web_id")) - F.sum("_nw").over(w)))
     per_campaign = budgets.select("id", "web_id").join(h, "web_id")
     fits = per_campaign.select("id", "bin", "left", "cum").groupBy("id").applyInPandas(
         _polyfit_group(deg, min_prob), _POLY_SCHEMA)
-    b = budgets.join(F.broadcast(pr), "web_id").join(fits, "id", "left")
+    b = budgets.join(maybe_broadcast(pr), "web_id").join(fits, "id", "left")
     target = F.col("avg_n_coupon") * F.col("n_weight")
-    raw = polyval(F.col("coef"), F.least(target, F.col("x0")))
+    raw = polyval(F.col("coef"), F.greatest(F.least(target, F.col("x0")), F.col("x1")))
     limit = sigmoid(F.col("_b"))
     return b.select("id", "web_id", F.col("x0").alias("max_n_coupon"),
                     F.when(raw <= limit, limit * 1.1).otherwise(raw).alias("lower_bound"))
@@ -238,18 +249,20 @@ def upper_bound_at(scored_test: DataFrame, params: DataFrame, n_coupon_per_day:
                    bins: int = 50, deg: int = 4) -> DataFrame:
     """Per tenant, 50-bin histogram of test scores above the tenant's
     lower bound, counts / test_size / n_day, cumulative, degree-4 fit of
-    left edge on cumulative, evaluated at n_coupon_per_day * n_weight."""
+    left edge on cumulative, evaluated at n_coupon_per_day * n_weight, inside
+    the range of the fitted points; a bound is a probability, from 0 to 1."""
     pr = params.select("web_id", "n_day", "n_weight", "test_size", "lower_bound")
-    s = scored_test.join(F.broadcast(pr.select("web_id", F.col("lower_bound").alias("_lb"))), "web_id") \
+    s = scored_test.join(maybe_broadcast(pr.select("web_id", F.col("lower_bound").alias("_lb"))), "web_id") \
                    .where(F.col("prob") > F.col("_lb"))
     h = histogram(s, "prob", bins, group=["web_id"])
     w = Window.partitionBy("web_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = (h.join(F.broadcast(pr), "web_id")
+    h = (h.join(maybe_broadcast(pr), "web_id")
           .withColumn("cum", F.sum(F.col("count") / F.col("test_size") / F.col("n_day")).over(w))
           .withColumn("id", F.xxhash64("web_id")))
     fits = h.select("id", "bin", "left", "cum").groupBy("id").applyInPandas(_polyfit_group(deg, None), _POLY_SCHEMA)
     out = h.select("web_id", "id", "n_weight").distinct().join(fits, "id")
-    return out.select("web_id", polyval(F.col("coef"), F.lit(float(n_coupon_per_day)) * F.col("n_weight"))
+    at = F.least(F.greatest(F.lit(float(n_coupon_per_day)) * F.col("n_weight"), F.col("x0")), F.col("x1"))
+    return out.select("web_id", F.least(F.greatest(polyval(F.col("coef"), at), F.lit(0.0)), F.lit(1.0))
                       .alias("upper_bound"))
 
 
@@ -258,5 +271,5 @@ def estimate_coupons(pred: DataFrame, params: DataFrame, test_size: float | None
     pr = params.select("web_id", "n_day")
     c = pred.where(F.col("predict") == 1).groupBy("web_id").agg(F.count_distinct("uuid").alias("_u"))
     den = F.col("n_day") * (F.lit(test_size) if test_size else F.lit(1.0))
-    return c.join(F.broadcast(pr), "web_id").select("web_id", F.floor(F.col("_u") / den).cast("bigint")
+    return c.join(maybe_broadcast(pr), "web_id").select("web_id", F.floor(F.col("_u") / den).cast("bigint")
                                                      .alias("estimated_n_coupon"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktrail import schemas as S
+from sparktrail.plans.sizing import maybe_broadcast
 from sparktrail.operators.flatten import _dedupe_columns, _m_nulls, _m_record, _m_universal, as_map
 
 
@@ -105,7 +106,7 @@ def product_rows(base: DataFrame, event_type: str, settings: DataFrame, keep) ->
                                                             F.trim(x["r"]).alias("rename"))).alias("_paths")))
     payload_key = S.PAYLOAD_KEY[event_type]
     ev_web = F.try_variant_get(ev, "$.web_id", "string")
-    j = base.join(F.broadcast(cfg), ev_web == F.col("web_id")).drop("web_id")
+    j = base.join(maybe_broadcast(cfg), ev_web == F.col("web_id")).drop("web_id")
     payload = F.try_parse_json(F.try_variant_get(ev, f"$.{payload_key}", "string"))
     segs0 = F.col("_paths")[0]["segs"]
     s0 = F.element_at(segs0, 1)

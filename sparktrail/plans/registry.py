@@ -652,7 +652,7 @@ def q_train_model(spark, sf_dir):
     """M01 + M18 (rows-only): one model per tenant and a 'default' model."""
     t = Tables(spark, sf_dir)
     sf = _session_features(t)
-    return MOD.train_models(sf, t.settings, ["default", "w0", "w1"], MODEL_FEATURES)
+    return MOD.train_models(sf, t.settings, ["default", *(f"w{i}" for i in range(A.N_TENANTS))], MODEL_FEATURES)
 
 
 @register("power_features", _FEAT_P + """

@@ -113,3 +113,11 @@ def test_unknown_event_type_is_an_error(spark):
     raw = spark.createDataFrame([("{}",)], "t string").select(F.parse_json("t").alias("ev"))
     with pytest.raises(ValueError):
         flatten(raw, "nonsense")
+
+
+def test_upper_bound_of_thin_data_is_a_probability(spark):
+    from sparktrail.operators.model import upper_bound_at
+    scored = spark.createDataFrame([("w", f"u{i}", p) for i, p in enumerate((0.3, 0.31, 0.7))], "web_id string, uuid string, prob double")
+    params = spark.createDataFrame([("w", 7, 1.0, 0.3, 0.1)], "web_id string, n_day int, n_weight double, test_size double, lower_bound double")
+    for n in (0.1, 5.0, 1e6):
+        assert all(0 <= r.upper_bound <= 1 for r in upper_bound_at(scored, params, n).collect())
