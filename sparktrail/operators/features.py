@@ -15,21 +15,26 @@ def uuid_guard(df: DataFrame, length: int = 36) -> DataFrame:
     return df.where(F.length(F.col("uuid").cast("string")) == length)
 
 
+def _visitor_keys(load: DataFrame) -> list[str]:
+    """A visitor is known by tenant and id; a table of one tenant may leave the tenant out."""
+    return [c for c in ("web_id", "uuid") if c in load.columns]
+
+
 def session_flags(load: DataFrame, actions: dict[str, DataFrame], match: str = "any_exact") -> DataFrame:
     """Flag load rows whose (web_id, uuid, session_id) also has the action.
 
     ``match='last_contains'`` reproduces the reference code literally: the
     action's latest session of the visitor must *contain* the load row's
     session id as a substring."""
-    out = load
+    out, visitor = load, _visitor_keys(load)
     for flag, act in actions.items():
         if match == "any_exact":
-            keys = act.select("web_id", "uuid", "session_id").distinct().withColumn(flag, F.lit(1))
-            out = out.join(keys, ["web_id", "uuid", "session_id"], "left")
+            keys = act.select(*visitor, "session_id").distinct().withColumn(flag, F.lit(1))
+            out = out.join(keys, [*visitor, "session_id"], "left")
         elif match == "last_contains":
-            last = (act.groupBy("web_id", "uuid")
+            last = (act.groupBy(*visitor)
                        .agg(F.max_by("session_id", F.struct("timestamp", "ord")).alias(f"_{flag}_s")))
-            out = (out.join(last, ["web_id", "uuid"], "left")
+            out = (out.join(last, visitor, "left")
                       .withColumn(flag, F.when(F.instr(F.col(f"_{flag}_s").cast("string"),
                                                        F.col("session_id").cast("string")) > 0, 1))
                       .drop(f"_{flag}_s"))
@@ -41,10 +46,10 @@ def session_flags(load: DataFrame, actions: dict[str, DataFrame], match: str = "
 
 def visitor_flags(load: DataFrame, actions: dict[str, DataFrame]) -> DataFrame:
     """Flag load rows whose visitor has the action at all."""
-    out = load
+    out, visitor = load, _visitor_keys(load)
     for flag, act in actions.items():
-        keys = act.select("web_id", "uuid").distinct().withColumn(flag, F.lit(1))
-        out = out.join(keys, ["web_id", "uuid"], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int"))
+        keys = act.select(*visitor).distinct().withColumn(flag, F.lit(1))
+        out = out.join(keys, visitor, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int"))
     return out
 
 
