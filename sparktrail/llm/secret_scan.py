@@ -21,8 +21,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -83,11 +85,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
-    """(start, end, names joined, score) of the literals that reach MIN_SCORE."""
+    """(start, end, target name, score) of the literals that reach MIN_SCORE."""
     if not _HINT.search(text):
         return []
     literals: dict[str, list[tuple[int, int, str]]] = {}  # name: its literals
-    aliases: dict[str, set[str]] = {}  # name: names that take its value
+    sources: dict[str, set[str]] = {}  # name: names whose value it takes
     for m in _PAIR.finditer(text):
         name, kind = m["name"], m.lastgroup
         value = m[kind]
@@ -95,32 +97,36 @@ def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
             value = value.strip("${}")
         value = value.rstrip(".") if kind == "bare" else value
         if kind == "bare" and _NAME.match(value) and value != name:
-            aliases.setdefault(value, set()).add(name)
+            sources.setdefault(name, set()).add(value)
         literals.setdefault(name, []).append((m.start(kind), m.start(kind) + len(value), value))
+    weight = {name: sensitivity(name) for name in literals}
+    target: dict[str, str] = {}  # name: the most sensitive name that its literal reaches
+    for best in sorted(weight, key=lambda n: (-weight[n], n)):  # each name is visited once, from its best target
+        todo = [] if best in target else [best]
+        while todo:
+            if (name := todo.pop()) not in target:
+                target[name] = best
+                todo += sources.get(name, ())
     out = []
     for name, found in literals.items():
-        reach, todo = {name}, [name]  # constants are propagated along names, each visited once
-        while todo:
-            for other in aliases.get(todo.pop(), ()):
-                if other not in reach:
-                    reach.add(other)
-                    todo.append(other)
-        top = max(map(sensitivity, reach))
+        top = weight[target[name]]
         if top <= 0:
             continue
         for start, end, value in found:
             if value in literals and value != name:  # a reference, not a literal
                 continue
-            score = top * 0.7 + strength(value) * 0.6 if strength(value) > 0.45 else 0.0
+            own = strength(value)
+            score = top * 0.7 + own * 0.6 if own > 0.45 else 0.0
             if score >= MIN_SCORE:
-                out.append((start, end, ",".join(sorted(reach)), round(score, 4)))
+                out.append((start, end, target[name], round(score, 4)))
     return out
 
 
 def scan(text: str) -> dict:
     base = base_spans(text)
     base.sort(key=lambda s: (s[0], KINDS[s[2]]))
-    inside = lambda s, e: any(a <= s and e <= b for a, b, _ in base)
+    starts, reach = [s for s, *_ in base], list(accumulate((e for _, e, _ in base), max))
+    inside = lambda s, e: (i := bisect_right(starts, s)) > 0 and reach[i - 1] >= e
     more = [x for x in lexed_spans(text) if not inside(x[0], x[1])]
     spans = sorted([*base, *((s, e, "lexed") for s, e, *_ in more)], key=lambda s: (s[0], KINDS[s[2]]))
     told = lambda xs: ",".join(f"{k}:{s}:{e}" for s, e, k in xs)
