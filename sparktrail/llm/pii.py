@@ -34,7 +34,8 @@ from .common import col, packed
 ROUNDS = 8
 #: The formats, in the order in which they are tried.
 PATTERNS = {
-    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # one character at a time, since a repeated group of several would recurse once for each label of the domain
+    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?=[A-Za-z0-9-])(?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
     "phone": r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "date": r"(?<![\w.-])\d{4}-\d{2}-\d{2}(?![\w-])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
@@ -152,15 +153,15 @@ def _mail(value: Column, key: str, restore: bool) -> Column:
     rest = F.substring(value, F.length(local) + 1, F.length(value))
 
     def moved(half: Column, other: Column, r: Column) -> Column:
-        text = F.lower(F.array_join(other, ""))
+        digest = F.sha2(F.lower(F.array_join(other, "")), 256)  # so that a letter's work doesn't grow with the half
 
-        def letter(c: Column, i: Column) -> Column:
+        def letter(c: Column, i: Column, text: Column) -> Column:
             by = _noise(key, "mail", F.concat_ws("-", r, i), text, F.lit(1 << 40)) * F.lit(-1 if restore else 1)
             within = lambda base, size: F.char((F.pmod(F.ascii(c) - base + by, F.lit(size)) + base))
             return (F.when(c.between("0", "9"), within(48, 10)).when(c.rlike("[a-z]"), within(97, 26))
                     .when(c.rlike("[A-Z]"), within(65, 26)).otherwise(c))
 
-        return F.transform(half, letter)
+        return _let(digest, lambda text: F.transform(half, lambda c, i: letter(c, i, text)))
 
     def step(s: Column, r: Column) -> Column:
         odd = r % 2 == 1

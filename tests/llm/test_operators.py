@@ -394,3 +394,25 @@ def test_empty_tables(nothing, spark):
 
 def test_registered_queries_run(spark):
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+
+
+def test_secret_chains_of_names_are_linear():
+    from sparktrail.llm.secret_scan import scan
+
+    n = 20_000
+    code = 'a0 = "q8Zt7Lw2Xc9Vb4Nm"\n' + "\n".join(f"a{i + 1} = a{i}" for i in range(n)) + f"\nclient_key = a{n}\n"
+    assert scan(code)["spans"] == "lexed:6:22"
+    assert scan(code.replace("client_key", "colour") + "key: 1")["spans"] == ""
+
+
+def test_pii_of_long_addresses(spark):
+    """Domains of many labels and long local parts: no recursion, and turned back whole."""
+    from sparktrail.llm.pii import pseudonyms
+
+    texts = ["x a@" + "a." * 100_000, "b" * 3_000 + "@mail.example.org, a@b..com a@b.com-x a@b.com.1 q@-.x.io"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pseudonyms(df, "k")
+    got = {r.doc_id: r for r in out.collect()}
+    assert (got[0].n_mail, got[0].text, got[1].n_mail) == (0, texts[0], 4)
+    assert got[1].text != texts[1] and got[1].text.split("@", 1)[1].startswith("mail.example.org, a@b..com ")
+    assert [r.text for r in pseudonyms(out.orderBy("doc_id"), "k", restore=True).collect()] == texts
