@@ -7,18 +7,23 @@ connected component.
 Candidates come from an embedding: the fingerprint is cut into 32 segments of
 two bits, and each segment is mapped to its number of set bits.  The Manhattan
 distance of two such vectors never exceeds their Hamming distance.  If it is at
-most 3, one half of the vector (16 segments) differs by at most 1, so by one
-segment at most: both fingerprints then lie in the grid cell that is named by
-the half, that segment and the other 15 counts.  Every fingerprint is put into
-its 32 cells, the rows of a cell are compared (Manhattan distance first, then
-the exact number of differing bits), and each cell gives a spanning star of
-every class it sees, never all of its pairs.
+most ``max_bits``, so many segments differ at most.  The segments are dealt to
+``groups`` groups, of which then all but ``max_bits`` are equal: both
+fingerprints lie in the grid cell that is named by those groups and their counts.
+Every fingerprint is put into one cell for each choice of groups, the rows of a
+cell are compared (Manhattan distance first, then the exact number of differing
+bits), and each cell gives a spanning star of every class it sees, never all of
+its pairs.
 
 The counts are kept in unary (0, 1, 2 as 00, 01, 11), so that the Manhattan
 distance is the number of set bits of an exclusive or.
 
 Scale: equal fingerprints are one row from the start, so a group of exact
-copies costs one row however large it is.  A cell of more than ``cell_rows``
+copies costs one row however large it is.  More groups make more cells, and each
+of them smaller: ``grid_groups`` takes as many as the number of distinct
+fingerprints needs for about ``PARTNERS`` chance partners in a cell (6 groups and
+20 cells for 3 bits and up to 4e8 fingerprints; 8 groups and 56 cells for 2e10).
+The links found are the same for any number.  A cell of more than ``cell_rows``
 rows is dealt out as blocks of two chunks each, every pair of chunks to one
 block, so that no task holds a whole cell.  Nothing is dropped: all pairs of
 chunks meet.
@@ -32,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,8 @@ from .common import col, ids_and_texts, packed, stored, unpacked
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
+#: Rows that a grid cell may hold by chance, on average.
+PARTNERS = 64
 #: Rows of a grid cell that one comparison block takes at most, on average.
 CELL_ROWS = 1024
 
@@ -92,13 +100,23 @@ def _unary(x):
     return some.bitwiseOR(F.shiftleft(both, 1))
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """(cell, fp): every fingerprint in its 32 grid cells."""
+def grid_groups(nodes: int, max_bits: int = MAX_BITS) -> int:
+    """Groups of segments, so that chance fills a cell with ``PARTNERS`` of so many fingerprints at most."""
+    groups = max(2 * max_bits, 2)
+    while groups < 2 * max_bits + 8 and nodes * (3 / 8) ** (32 * (1 - max_bits / groups)) > PARTNERS:
+        groups += 1  # two counts are equal by chance in 3 of 8 cases
+    return groups
+
+
+def _cells(nodes: DataFrame, max_bits: int, groups: int) -> DataFrame:
+    """(cell, fp): every fingerprint in one cell for each choice of groups; a cell is named by a hash, whose clashes
+    only bring rows together that are then compared."""
+    masks = [sum(3 << 2 * i for i in range(32) if i % groups in kept)
+             for kept in combinations(range(groups), groups - max_bits)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     u = _unary(F.col("fp"))
-    halves = (u.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(u, 32))
-    keys = [half.bitwiseAND(F.lit(0xFFFFFFFF & ~(3 << 2 * i))).bitwiseOR(F.lit((16 * h + i) << 32))
-            for h, half in enumerate(halves) for i in range(16)]
-    return nodes.select("fp", F.explode(F.array(*keys)).alias("cell"))
+    return nodes.select("fp", u.alias("u")).select("fp", F.explode(F.array(*[
+        F.xxhash64(F.col("u").bitwiseAND(F.lit(m)), F.lit(i)) for i, m in enumerate(signed)])).alias("cell"))
 
 
 def _dealt(cells: DataFrame, cell_rows: int) -> DataFrame:
@@ -183,11 +201,13 @@ def _block_edges(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield edges(kept[:3], np.ascontiguousarray(kept[3]).view(np.uint64))
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS,
+          groups: int | None = None) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints ``fp`` as all links of at most ``max_bits`` bits would."""
-    if not 0 <= max_bits <= 3:
-        raise ValueError("the grid of two halves finds links of at most 3 bits")
-    blocks = _dealt(_cells(nodes), cell_rows)
+    groups = grid_groups(nodes.count(), max_bits) if groups is None else groups
+    if not 0 <= max_bits < groups <= 32:
+        raise ValueError("a grid needs more groups than differing bits, and 32 at most")
+    blocks = _dealt(_cells(nodes, max_bits, groups), cell_rows)
     return (blocks.repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b", "fp")
             .mapInArrow(partial(_block_edges, max_bits), "a long, b long").distinct())
 

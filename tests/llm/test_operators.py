@@ -78,8 +78,8 @@ def test_simhash_keeps_one_of_each_class(edge, edge_rows):
     assert len(ids) == len(set(ids)) and set(ids) - {None} == want
 
 
-@pytest.mark.parametrize("cell_rows", [4, 1024])
-def test_simhash_links_of_dense_groups(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows,groups", [(4, 6), (1024, None), (64, 8)])
+def test_simhash_links_of_dense_groups(spark, cell_rows, groups):
     """Many fingerprints near each other, and chains, with cells dealt out in chunks or not."""
     import random
 
@@ -96,7 +96,7 @@ def test_simhash_links_of_dense_groups(spark, cell_rows):
         marks.add(walk)
     signed = lambda f: f - (1 << 64) if f >> 63 else f
     df = spark.createDataFrame([(signed(f),) for f in marks], "fp long")
-    got = {r.node: r.root for r in components(links(df, 3, cell_rows)).collect()}
+    got = {r.node: r.root for r in components(links(df, 3, cell_rows, groups)).collect()}
     groups = defaultdict(set)
     for f in marks:
         groups[got.get(signed(f), signed(f))].add(f)
