@@ -2,9 +2,10 @@
 decode + flatten pipeline (S05, P01-P14) runs over data that grows with
 the given tables.
 
-Each events row becomes one raw JSON document; documents of one
-minute form one object (concatenated with junk tags, as the tracker
-writes them). Rules by ``k`` (= props.k) exercise the edge cases:
+Each events row becomes one raw JSON document; documents of one minute
+and one range of ``IDS_PER_OBJECT`` event ids form one object (concatenated
+with junk tags, as the tracker writes them), so that an object is bounded.
+``SECOND_TYPES`` makes the coupon and advertisement types of the same rows. Rules by ``k`` (= props.k) exercise the edge cases:
   ga_id missing when k % 10 = 3;  fb_id JSON null when k % 23 = 5;
   uuid 37 chars when k % 31 = 7;  record_user missing when k % 13 = 0,
   else an object (even event_id) or a JSON string (odd);
@@ -35,6 +36,15 @@ ACCEPT_PRESENT = {"c_i": "(user_id % 5) * 7 + k % 7", "c_c": "'c' || CAST(k % 7
                   "l_c": "'L' || CAST((user_id % 5) * 7 + k % 7 AS STRING)", "c_ty": "k % 5"}
 ENTER_PRESENT = {"s_id": "session_id", "code": "CASE WHEN k % 9 = 0 THEN '' ELSE 'c' || CAST(k % 7 AS STRING) END"}
 
+SEND_PRESENT = {"l_b": "k % 5", "u_b": "k % 7", "m_k": "array('a', CAST(k % 3 AS STRING))", "m_X": "k % 11", "c_i": "k % 7",
+                "c_c_t": "k % 5"}
+AFAD_PRESENT = {"a_i": "k % 4", "w_t": "k % 2"}
+SCROLLED = "array(k % 3, k % 5)"  # a list in the record of the second types
+
+IDS_PER_OBJECT = 256
+#: Documents with this remainder of the event id by 50 repeat a key in broken objects.
+BROKEN = 7
+
 PURCHASE_KEYS = "order_id,items.id,items.price,items.qty"
 PURCHASE_RENAMES = "order_id,product_id,product_price,product_quantity"
 WRAPPED_KEYS = "items.id,items.price,items.qty,order_id"
@@ -50,6 +60,35 @@ def _raw_type(k: Column) -> Column:
              .when(et == "click", F.when(k % 2 == 0, "enterCoupon").otherwise(F.element_at(names, (k % 11) + 1))))
 
 
+#: Event type of the second documents, for the events table's own types (two: even and odd k).
+SECOND_TYPES = {"view": ("sendCoupon",), "signup": ("discardCoupon",), "error": ("sendAfAd", "acceptAf"),
+                "click": ("acceptAd",)}
+
+
+def second_documents(ev: DataFrame) -> DataFrame:
+    """(event_id, ts, doc) of the coupon and advertisement types; ``coupon_info`` is missing when k % 19 = 0 and
+    ``afad_info`` when k % 17 = 0, ``record_user`` when k % 13 = 0."""
+    k, et = F.col("k"), F.col("event_type")
+    rt = F.lit(None).cast("string")
+    for own, names in SECOND_TYPES.items():
+        rt = F.when(et == own, F.when(k % 2 == 0, names[0]).otherwise(names[-1])).otherwise(rt)
+    given = lambda keys: F.struct(*[F.expr(v).alias(key) for key, v in keys.items()])
+    as_variant = lambda keys: F.parse_json(F.to_json(given(keys)))
+    coupon = F.when(k % 19 != 0, F.when(rt == "sendCoupon", as_variant(SEND_PRESENT)).when(
+        rt == "discardCoupon", as_variant(ACCEPT_PRESENT)))
+    afad = F.when((k % 17 != 0) & rt.isin("sendAfAd", "acceptAf", "acceptAd"), given(AFAD_PRESENT))
+    doc = F.to_json(F.struct(
+        F.col("ord").alias("_ord"), "web_id",
+        F.when(k % 31 == 7, F.concat(F.lit("x"), F.col("uuid"))).otherwise(F.col("uuid")).alias("uuid"),
+        F.when(k % 10 != 3, F.concat(F.lit("GA"), F.col("user_id").cast("string"))).alias("ga_id"),
+        F.when(k % 23 == 5, F.lit("__NULL__")).otherwise(F.concat(F.lit("fb"), F.col("user_id").cast("string"))).alias("fb_id"),
+        "timestamp", (k % 2).cast("string").alias("coupon"), rt.alias("event_type"),
+        F.when(k % 13 != 0, given(RECORD_PRESENT | {"mt_nsa": SCROLLED})).alias("record_user"),
+        coupon.alias("coupon_info"), afad.alias("afad_info")))
+    return ev.where(rt.isNotNull()).select(F.col("ord").alias("event_id"), "ts",
+                                           F.regexp_replace(doc, '"__NULL__"', "null").alias("doc"))
+
+
 def _variant_of_text(text: Column) -> Column:
     """A VARIANT holding a JSON string."""
     return F.try_variant_get(F.parse_json(F.to_json(F.array(text))), "$[0]", "variant")
@@ -100,11 +139,15 @@ def raw_documents(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ord").alias("event_id"), "ts", doc.alias("doc"))
 
 
-def raw_objects(ev: DataFrame) -> DataFrame:
-    """(path, text): minute objects of concatenated documents with junk."""
-    d = raw_documents(ev)
-    junk = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('"landing"'), F.col("doc"))).otherwise(F.col("doc"))
-    g = d.groupBy(F.date_format("ts", "yyyy/MM/dd/HH/mm").alias("path")).agg(
+def raw_objects(ev: DataFrame, documents=raw_documents, broken: bool = False) -> DataFrame:
+    """(path, text): objects of concatenated documents with junk, of ``IDS_PER_OBJECT`` documents at most; if
+    ``broken``, some documents repeat a key and can't be read."""
+    doc = F.col("doc")
+    if broken:
+        doc = F.when(F.col("event_id") % 50 == BROKEN, F.regexp_replace(doc, r"^\{", '{"_ord":0,')).otherwise(doc)
+    junk = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('"landing"'), doc)).otherwise(doc)
+    part = F.floor(F.col("event_id") / IDS_PER_OBJECT).alias("part")
+    g = documents(ev).groupBy(F.date_format("ts", "yyyy/MM/dd/HH/mm").alias("path"), part).agg(
         F.array_sort(F.collect_list(F.struct("event_id", junk.alias("t")))).alias("_docs"))
     text = F.concat_ws("", F.transform("_docs", lambda x: x["t"]))
     tail = F.when(F.element_at("_docs", 1)["event_id"] % 3 == 0, F.lit('"]"')).otherwise(F.lit(""))
@@ -138,11 +181,13 @@ UNIVERSAL_SQL = {
 }
 
 
-def _record_cols(extra: bool = False) -> list[str]:
+def _record_cols(extra: bool = False, scrolled: bool = False) -> list[str]:
     keys = S.RECORD_KEYS + (S.RECORD_PURCHASE_EXTRA if extra else [])
     out = []
     for raw, col in keys:
-        if raw in RECORD_PRESENT:
+        if scrolled and raw == "mt_nsa":
+            out.append(f"CASE WHEN k % 13 = 0 THEN '-1' ELSE {_txt('k % 3')} || ',' || {_txt('k % 5')} END AS {col}")
+        elif raw in RECORD_PRESENT:
             out.append(f"CASE WHEN k % 13 = 0 THEN '-1' ELSE {_txt(RECORD_PRESENT[raw])} END AS {col}")
         else:
             out.append(f"'-1' AS {col}")
@@ -161,6 +206,25 @@ RAW_TYPE = ("CASE event_type WHEN 'view' THEN 'load' WHEN 'signup' THEN 'acceptC
 GUARD = "k % 23 != 5 AND k % 31 != 7"
 
 
+SECOND_RAW_TYPE = "CASE event_type " + " ".join(
+    f"WHEN '{own}' THEN CASE WHEN k % 2 = 0 THEN '{names[0]}' ELSE '{names[-1]}' END"
+    for own, names in SECOND_TYPES.items()) + " END"
+
+
+def second_sql(event_type: str) -> str:
+    """SELECT of the clean rows of one of the second types from the ``ev`` CTE."""
+    keys, given, there = ((S.SEND_COUPON_KEYS, SEND_PRESENT, "k % 19 != 0") if event_type == "sendCoupon" else
+                          (S.ACCEPT_COUPON_KEYS, ACCEPT_PRESENT, "k % 19 != 0") if event_type == "discardCoupon" else
+                          (S.AFAD_KEYS, AFAD_PRESENT, "k % 17 != 0"))
+    lists = {"model_keys": "'a,' || CAST(k % 3 AS VARCHAR)", "model_parameters": "'_'", "model_X": "'_'"}
+    cols = [f"{lists[c] if c in lists else _txt(given[r]) if r in given else chr(39) + '-1' + chr(39)} AS {c}"
+            for r, c in keys]
+    record = [c for c in _record_cols(scrolled=True)
+              if event_type != "sendCoupon" or c.split(" AS ")[-1] not in S.SEND_COUPON_DROP]
+    return (f"SELECT ord, {', '.join(_uni() + cols + record)}, {DT} FROM (SELECT *, {SECOND_RAW_TYPE} AS rt FROM ev) e "
+            f"WHERE rt = '{event_type}' AND {there} AND {GUARD}")
+
+
 def expected_sql(event_type: str) -> str:
     """SELECT of the clean rows of one event type from the ``ev`` CTE."""
     src = f"(SELECT *, {RAW_TYPE} AS rt FROM ev) e"

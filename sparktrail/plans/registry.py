@@ -738,9 +738,9 @@ from sparktrail.plans import raw_adapter as RA  # noqa: E402
 from sparktrail.sources import raw as RAW  # noqa: E402
 
 
-def raw_events(spark, sf_dir):
-    """Minute objects of tracker JSON derived from events, decoded."""
-    objs = RA.raw_objects(A.base_events(spark, sf_dir))
+def raw_events(spark, sf_dir, documents=RA.raw_documents):
+    """Raw objects of tracker JSON derived from events, decoded."""
+    objs = RA.raw_objects(A.base_events(spark, sf_dir), documents)
     docs = RAW.decode_objects(objs, keep=("path",))
     return docs.select(F.try_variant_get("ev", "$._ord", "bigint").alias("ord"), "path", "doc_pos", "ev")
 
@@ -752,10 +752,23 @@ def q_raw_decode(spark, sf_dir):
     return raw_events(spark, sf_dir).groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
 
 
-@register("raw_corrupt", O.prefix() + "\nSELECT 'x' AS path WHERE FALSE")
+_OBJECT_SQL = f"strftime(ts, '%Y/%m/%d/%H/%M') AS path, ord // {RA.IDS_PER_OBJECT} AS part"
+
+
+@register("raw_corrupt", O.prefix() + f"""
+SELECT path FROM (SELECT {_OBJECT_SQL}, ord FROM ev) d GROUP BY path, part HAVING bool_or(ord % 50 = {RA.BROKEN})""")
 def q_raw_corrupt(spark, sf_dir):
-    """Objects that would not decode (none in well-formed data)."""
-    return RAW.corrupt_objects(RA.raw_objects(A.base_events(spark, sf_dir)))
+    """Objects with documents that would not decode (here those that repeat a key)."""
+    return RAW.corrupt_objects(RA.raw_objects(A.base_events(spark, sf_dir), broken=True))
+
+
+@register("raw_salvaged", O.prefix() + f"""
+SELECT strftime(ts, '%Y/%m/%d/%H/%M') AS path, CAST(COUNT(*) AS BIGINT) AS n_docs FROM ev
+WHERE ord % 50 <> {RA.BROKEN} GROUP BY 1""")
+def q_raw_salvaged(spark, sf_dir):
+    """Documents kept where others of their object can't be read."""
+    docs = RAW.decode_objects(RA.raw_objects(A.base_events(spark, sf_dir), broken=True))
+    return docs.groupBy("path").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
 
 
 def _flatten_query(et):
@@ -773,6 +786,17 @@ for _et in ("load", "leave", "timeout", "acceptCoupon", "enterCoupon", "purchase
     register(f"flatten_{_et}", O.prefix() + "\n" + RA.expected_sql(_et))(_flatten_query(_et))
 
 
+def _second_query(et):
+    def q(spark, sf_dir):
+        return FL.flatten(raw_events(spark, sf_dir, RA.second_documents), et)
+    q.__doc__ = f"P10 flatten of {et} events from decoded raw objects."
+    return q
+
+
+for _et in ("sendCoupon", "discardCoupon", "sendAfAd", "acceptAf", "acceptAd"):
+    register(f"flatten_{_et}", O.prefix() + "\n" + RA.second_sql(_et))(_second_query(_et))
+
+
 @register("criteria_filter", O.prefix() + """
 SELECT CAST(COUNT(*) AS BIGINT) AS n FROM ev WHERE NOT (event_type = 'click' AND k % 2 = 1)
   AND event_type = 'view' AND NOT (k % 31 = 7)""")

@@ -4,8 +4,8 @@ zone (S07, S10, S11, S17), object listing / counting (S04), archive copy
 
 Raw objects are minute-sized text blobs, so one object is one row; the
 repair is a chain of ``regexp_replace`` and the parse is ``try_parse_json``
-(a malformed object yields no events and is reported by ``corrupt_objects``
-instead of failing the batch).
+(documents that can't be read yield no events, and their object is reported by
+``corrupt_objects`` instead of failing the batch).
 """
 
 from __future__ import annotations
@@ -34,10 +34,13 @@ def repair_text(text):
 def decode_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -> DataFrame:
     """One row per document: (keep..., doc_pos, ev VARIANT).
 
-    Unreadable objects produce no rows (see ``corrupt_objects``)."""
-    arr = F.try_variant_get(F.try_parse_json(repair_text(F.col(text_col))), "$", "array<variant>")
+    Of an object that isn't readable as a whole (a document repeats a key, say)
+    the readable documents are kept; ``corrupt_objects`` reports it."""
+    repaired = repair_text(F.col(text_col))
+    one_by_one = F.transform(F.from_json(repaired, "array<string>"), lambda doc: F.try_parse_json(doc))
+    arr = F.coalesce(F.try_variant_get(F.try_parse_json(repaired), "$", "array<variant>"), one_by_one)
     exploded = (objects.select(*keep, arr.alias("_docs"))
-                       .select(*keep, F.posexplode("_docs").alias("doc_pos", "_ev")))
+                       .select(*keep, F.posexplode("_docs").alias("doc_pos", "_ev")).where("_ev IS NOT NULL"))
     # Re-materialise each document once: dozens of field extractions placed
     # directly on a generator output make the optimizer push every one of
     # them into the generator (plan size explodes).
@@ -45,7 +48,7 @@ def decode_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -
 
 
 def corrupt_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -> DataFrame:
-    """Objects whose repaired text is not a JSON array."""
+    """Objects whose repaired text is not a JSON array of readable documents."""
     parsed = F.try_parse_json(repair_text(F.col(text_col)))
     return objects.where(parsed.isNull() | F.try_variant_get(parsed, "$", "array<variant>").isNull()).select(*keep)
 
