@@ -51,7 +51,9 @@ MIN_SCORE = 0.9
 
 _HINT = re.compile("|".join(sorted(SENSITIVE)), re.IGNORECASE)
 _PAIR = re.compile(
-    r"""(?<![A-Za-z0-9_.])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,80})["']?[ \t]*(?:=>|:=|=(?!=)|:(?!//))[ \t]*"""
+    # a run of name characters is tried once, from its start: parts that begin with a digit or point aren't the name's
+    r"""(?<![A-Za-z0-9_.-])["']?(?:[0-9.][A-Za-z0-9_.]*+-++|-++)*+(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[ \t]*"""
+    r"""(?:=>|:=|=(?!=)|:(?!//))[ \t]*"""
     r"""(?:"(?P<dq>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<sq>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|(?P<bare>[^\s"',;<>(){}\[\]]+))""")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
