@@ -51,14 +51,19 @@ def _lifetime_windows(s: Column, e: Column) -> dict[str, Column]:
     return {"acc_lo": lo, "acc_hi": hi, "pur_lo": lo, "pur_hi": hi, "ent_lo": lo, "ent_hi": hi}
 
 
-def _undated() -> Column:
-    """Cells whose daily query has no date filter at all (tt != 0, cc not 4/5)."""
-    return (F.col("tt") != 0) & ~F.col("cc").isin(4, 5)
+WINDOWINGS = ("reference", "dated")
 
 
-def _two_sided_daily() -> Column:
-    """Daily cell whose accept window is [d, d+1] instead of >= d-1."""
-    return (F.col("tt") == 0) & (F.col("cc") == 3)
+def _undated(windowing: str) -> Column:
+    """Cells whose daily query has no date filter at all (tt != 0, cc not 4/5); ``dated`` windowing has none."""
+    if windowing not in WINDOWINGS:
+        raise ValueError(f"windowing must be one of {WINDOWINGS}")
+    return F.lit(False) if windowing == "dated" else (F.col("tt") != 0) & ~F.col("cc").isin(4, 5)
+
+
+def _two_sided_daily(windowing: str) -> Column:
+    """Daily cell whose accept window is [d, d+1] instead of >= d-1; with ``dated`` windowing for any tt."""
+    return (F.col("cc") == 3) & (F.lit(windowing == "dated") | (F.col("tt") == 0))
 
 
 def _tenant(df: DataFrame, cells: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def _bucket(df: DataFrame, keys: list[str], ts: str = "date_time") -> DataFrame:
               .groupBy(*keys, "day").agg(F.bool_or("mid").alias("mid")))
 
 
-def _accept_keys(accept, enter, camp, cells, daily: bool) -> DataFrame:
+def _accept_keys(accept, enter, camp, cells, daily: bool, windowing: str = "reference") -> DataFrame:
     """Qualifying (campaign, visitor[, session][, code]) keys with the day
     facts still needed for day-relative windows."""
     acc = _bucket(accept, ["web_id", "coupon_id", "uuid", "session_id", "coupon_code"])
@@ -125,7 +130,7 @@ def _accept_keys(accept, enter, camp, cells, daily: bool) -> DataFrame:
     qk = plain.select(*cols).unionByName(paired.select(*cols))
     if not daily:
         return qk.select("coupon_id", *KEY).distinct()
-    two = (F.col("tt") == 0) & (F.col("cc") == 3)
+    two = _two_sided_daily(windowing)
     ranged = qk.where(two).select("coupon_id", *KEY, "day", "mid").distinct()
     lower = (qk.where(~two).groupBy("coupon_id", *KEY)
                .agg(F.max("day").alias("day"), F.lit(False).alias("mid")))
@@ -193,17 +198,17 @@ def spine(camp: DataFrame, as_of) -> DataFrame:
                         end.alias("spine_end")))
 
 
-def daily_used(accept, purchase, enter, camp, cells, as_of) -> DataFrame:
+def daily_used(accept, purchase, enter, camp, cells, as_of, windowing: str = "reference") -> DataFrame:
     """A02 core on the dated cells: (coupon_id, d, revenue, coupon_used,
     coupon_sum); undated cells are filled by ``roas_daily`` from lifetime."""
-    dated = camp.where(~_undated())
-    qk = _accept_keys(accept, enter, dated, cells, daily=True)
+    dated = camp.where(~_undated(windowing))
+    qk = _accept_keys(accept, enter, dated, cells, daily=True, windowing=windowing)
     o = order_rows(purchase, cells, daily=True)
     days = F.when(F.col("o_mid"), F.array(F.col("o_day"), F.date_sub("o_day", 1))).otherwise(F.array(F.col("o_day")))
-    o = o.where(~_undated()).withColumn("d", F.explode(days))
+    o = o.where(~_undated(windowing)).withColumn("d", F.explode(days))
     sp = maybe_broadcast(spine(dated, as_of).select(
         F.col("id").alias("coupon_id"), "d", "coupon_price_limit",
-        _two_sided_daily().alias("two")))
+        _two_sided_daily(windowing).alias("two")))
     j = (o.join(qk, KEY).join(sp, ["coupon_id", "d"])
           .where(F.when(F.col("two"), in_window(F.col("day"), F.col("mid"), F.col("d"), F.date_add("d", 1)))
                   .otherwise(F.col("day") >= F.date_sub("d", 1))
@@ -239,25 +244,36 @@ def daily_reach(accept, discard, sp: DataFrame) -> DataFrame:
     return acc, imp
 
 
-def roas_daily(accept, discard, purchase, enter, campaigns, cells, addfan_stat, as_of) -> DataFrame:
+def on_day(campaigns: DataFrame, date) -> DataFrame:
+    """A26 "today only": campaigns cut to the one day, for ``roas_daily`` with ``as_of=date``."""
+    return campaigns.where(F.col("activity_end") >= lit_date(date)).withColumn("activity_start", lit_date(date))
+
+
+def roas_daily(accept, discard, purchase, enter, campaigns, cells, addfan_stat, as_of,
+               windowing: str = "reference", complete_only: bool = False) -> DataFrame:
     """A25/A26 daily table: per (coupon_id, date_time) coupon_accepted,
-    coupon_imp, coupon_used, revenue, cost (integers, as stored)."""
+    coupon_imp, coupon_used, revenue, cost (integers, as stored).
+
+    ``campaigns`` is any selection: all, running ones cut to a day (``on_day``),
+    or single ids. ``windowing="dated"`` gives the cells without date filters
+    the windows of tt = 0 (Q9). ``complete_only`` drops days that lack accepts,
+    impressions or uses (J10)."""
     from sparktrail.operators.campaigns import unit_cost
     cells = maybe_broadcast(cells)
     camp = broadcast_if_bounded(campaign_cells(unit_cost(campaigns, addfan_stat), cells), campaigns)
     sp = spine(camp, as_of)
-    dated = daily_used(accept, purchase, enter, camp, cells, as_of)
-    undated_camp = camp.where(_undated())
-    und = lifetime_used(accept, purchase, enter, undated_camp, cells)
-    und_daily = und.join(sp.where(_undated()).select(F.col("id").alias("coupon_id"), "d"), "coupon_id")
-    used = dated.unionByName(und_daily.select(*dated.columns))
+    used = daily_used(accept, purchase, enter, camp, cells, as_of, windowing)
+    if windowing == "reference":
+        und = lifetime_used(accept, purchase, enter, camp.where(_undated(windowing)), cells)
+        days = sp.where(_undated(windowing)).select(F.col("id").alias("coupon_id"), "d")
+        used = used.unionByName(und.join(days, "coupon_id").select(*used.columns))
     acc, imp = daily_reach(accept, discard, sp)
     keys = ["coupon_id", "d"]
     base = sp.select(F.col("id").alias("coupon_id"), "d")
     grid = base.unionByName(acc.select(*keys)).distinct()
     info = camp.select(F.col("id").alias("coupon_id"), "web_id", "tt", "cc", "coupon_type", "amount", "unit_cost")
-    r = (grid.join(used, keys, "left").join(acc, keys, "left").join(imp, keys, "left")
-             .join(info, "coupon_id"))
+    how = "inner" if complete_only else "left"
+    r = grid.join(used, keys, how).join(acc, keys, how).join(imp, keys, how).join(info, "coupon_id")
     revenue = F.coalesce(F.col("revenue"), F.lit(0))
     used_n = F.coalesce(F.col("coupon_used"), F.lit(0))
     csum = F.coalesce(F.col("coupon_sum"), F.lit(0.0))

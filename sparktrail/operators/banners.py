@@ -6,30 +6,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktrail.operators.orders import order_revenue
+from sparktrail.operators.orders import order_revenue, session_revenue
 
 N_BANNER_TYPES = 11
 SESSION = ["web_id", "uuid", "session_id"]
 
 
-def banner_revenue(purchase: DataFrame, clicks: DataFrame, grain=("date",)) -> DataFrame:
+def banner_revenue(purchase: DataFrame, clicks: DataFrame, grain=("date",), require_click_before: bool = False) -> DataFrame:
     """Per (grain, tenant, banner type 0..10): revenue and transactions
     of purchase sessions credited to the lowest-numbered type they clicked
     (priority waterfall), clicks = click rows, sessions = distinct
     (uuid, session_id); only (tenant, type) pairs with clicks are reported.
 
     ``grain`` columns must exist on both inputs (e.g. date, hour of the file).
+    With ``require_click_before`` (Q27) each order is credited to the lowest type
+    that its session clicked no later than the order; a session has at most
+    ``N_BANNER_TYPES`` first clicks, which bounds the join.
     """
     g = list(grain)
     c = clicks.where(F.col("recommend_type").between(0, N_BANNER_TYPES - 1))
     stats = c.groupBy(*g, "web_id", "recommend_type").agg(
         F.count(F.lit(1)).alias("clicks"),
         F.count_distinct("uuid", "session_id").alias("sessions"))
-    credit = c.groupBy(*g, *SESSION).agg(F.min("recommend_type").alias("recommend_type"))
     rev = order_revenue(purchase, key=[*g, *SESSION, "timestamp"])
-    sess = rev.groupBy(*g, *SESSION).agg(F.sum("revenue").alias("revenue"))
-    credited = (sess.join(credit, [*g, *SESSION])
-                    .groupBy(*g, "web_id", "recommend_type")
+    if require_click_before:
+        first = c.groupBy(*g, *SESSION, "recommend_type").agg(F.min("timestamp").alias("_clicked"))
+        sess = (rev.join(first, [*g, *SESSION]).where(F.col("_clicked") <= F.col("timestamp"))
+                   .groupBy(*g, *SESSION, "timestamp")
+                   .agg(F.min("recommend_type").alias("recommend_type"), F.max("revenue").alias("revenue"))
+                   .groupBy(*g, *SESSION, "recommend_type").agg(F.sum("revenue").alias("revenue")))
+    else:
+        credit = c.groupBy(*g, *SESSION).agg(F.min("recommend_type").alias("recommend_type"))
+        sess = session_revenue(rev, [*g, *SESSION]).join(credit, [*g, *SESSION])
+    credited = (sess.groupBy(*g, "web_id", "recommend_type")
                     .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("transaction")))
     out = stats.join(credited, [*g, "web_id", "recommend_type"], "left")
     return out.select(*g, "web_id", F.col("recommend_type").cast("int").alias("recommend_type"),

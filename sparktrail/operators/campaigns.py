@@ -26,7 +26,7 @@ def activities(campaigns: DataFrame, mode: str = "all", as_of=None, ids=None,
                code_modes=None) -> DataFrame:
     """campaign selection.
 
-    mode: ``all`` | ``by_id`` | ``running`` | ``just_expired``. ``flag`` is the
+    mode: ``all`` | ``by_id`` (``ids``: a list, or a table with ``id``) | ``running`` | ``just_expired``. ``flag`` is the
     enable column (``coupon_enable`` for coupons, ``ad_enable`` for ads);
     ``code_modes`` restricts ``coupon_code_mode`` (batch coupons: (1, 2)).
     ``activity_end`` is ``end_time + 1 day`` as in the reference selection.
@@ -35,7 +35,10 @@ def activities(campaigns: DataFrame, mode: str = "all", as_of=None, ids=None,
     if exclude_web_ids:
         df = df.where(~F.col("web_id").isin(list(exclude_web_ids)))
     if mode == "by_id":
-        df = df.where(F.col("id").isin(list(ids or [])))
+        if isinstance(ids, DataFrame):
+            df = df.join(ids.select("id"), "id", "left_semi")
+        else:
+            df = df.where(F.col("id").isin(list(ids or [])))
     elif mode in ("running", "just_expired"):
         today = lit_date(as_of)
         enabled = (F.col("activity_enable") == 1) & (F.col(flag) == 1) & (F.col("activity_delete") == 0)

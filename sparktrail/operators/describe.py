@@ -1,4 +1,4 @@
-"""Descriptive statistics.
+"""Descriptive statistics.
 
 Histograms follow numpy's equal-width binning exactly (edges
 ``min + i * (max - min) / n``, last bin closed, constant data widened by
@@ -172,13 +172,3 @@ def joint_gauss_exp(df: DataFrame, x: str, t: str, components: list[tuple]) -> D
                       (F.lit(float(f)) * gauss(xc, xm, s) * exp_pdf(tc, tau)).alias("density"))
              for i, (f, xm, s, tau) in enumerate(components)]
     return df.select("*", F.inline(F.array(*exprs)))
-
-
-def gaussian_noise(df: DataFrame, mean: float = 0.0, std: float = 1.0, seed: int = 0, name: str = "noise") -> DataFrame:
-    """One N(mean, std) draw per row (seeded per partition by Spark)."""
-    return df.withColumn(name, F.randn(seed) * F.lit(std) + F.lit(mean))
-
-
-def noise_rows(spark, n: int, mean: float = 0.0, std: float = 1.0, seed: int = 0) -> DataFrame:
-    """M21 generator form: n rows of noise."""
-    return gaussian_noise(spark.range(n), mean, std, seed)

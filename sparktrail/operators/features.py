@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktrail.operators.ordered import last_non_null
+from sparktrail.plans.sizing import maybe_broadcast
 
 ACTIONS = {"is_purchased": "purchase", "is_addCart": "addCart", "is_removeCart": "removeCart"}
 
@@ -53,6 +56,16 @@ def visitor_flags(load: DataFrame, actions: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def collect_tenants(tables: dict[str, DataFrame], tenants: DataFrame,
+                    roles=("load", "purchase", "addCart", "removeCart")) -> DataFrame:
+    """Rows of ``roles`` of the listed tenants, with their role and their
+    tenant's number of loads; a tenant without loads is passed over."""
+    loads = tables["load"].groupBy("web_id").agg(F.count(F.lit(1)).alias("n_load"))
+    chosen = maybe_broadcast(tenants.select("web_id").distinct().join(loads, "web_id"))
+    rows = [tables[r].join(chosen, "web_id").withColumn("role", F.lit(r)) for r in roles]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
 def session_features(load, purchase, add_cart, remove_cart, keys: list[str], match: str = "any_exact") -> DataFrame:
     """One row per (web_id, uuid, session_id): the latest non-null value of each
     feature column (by timestamp, then ingest ordinal) and the three flags."""

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparktrail.functions.dates import lit_date
 from sparktrail.functions.scalars import csv_doubles, sigmoid
 from sparktrail.operators.describe import histogram
 from sparktrail.operators.ordered import nth_largest, running_totals
-from sparktrail.plans.sizing import broadcast_if_bounded, maybe_broadcast
+from sparktrail.plans.sizing import maybe_broadcast
 
 
 def model_params(settings: DataFrame) -> DataFrame:
@@ -97,6 +98,16 @@ def feature_corr(df: DataFrame, features: list[str], group=("web_id",), label: s
                                     for c in features])
 
 
+def mining_window(df: DataFrame, settings: DataFrame, as_of, ts: str = "date_time") -> DataFrame:
+    """M01's read window, per tenant: the ``n_day_mining`` days that end ``n_day_testing`` days before as_of (both ends
+    whole days). Rows of tenants without settings are no training rows."""
+    days = maybe_broadcast(settings.select("web_id", F.col("n_day_testing").cast("int").alias("_test"),
+                                           F.col("n_day_mining").cast("int").alias("_mine")))
+    end = F.date_sub(lit_date(as_of), F.col("_test"))
+    day = F.to_date(F.col(ts))
+    return df.join(days, "web_id").where(day.between(F.date_sub(end, F.col("_mine")), end)).drop("_test", "_mine")
+
+
 def train_test_split(df: DataFrame, test_size: float = 0.3, seed: int = 25, keys=("uuid", "session_id")) -> DataFrame:
     """Deterministic hash split, stable under repartitioning and task
     retries; adds ``is_test``."""
@@ -173,25 +184,45 @@ def traffic_and_rank_bound(scored: DataFrame, budgets: DataFrame, params: DataFr
                          "n_day")
 
 
-def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame) -> DataFrame:
-    """M17 (rank variant, M13+M05+M08+M16): per campaign id, max_n_coupon,
-    avg_n_coupon, lower_bound, estimated_n_coupon, model_precision."""
-    # one row per visitor, read by the traffic, rank and prediction branches
+def counts_above(scored: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(id, _n, _tp): visitors of the campaign's tenant with ``lower_bound <= prob <= 1``, and the purchasers of them.
+
+    The bounds are sorted in among the scores, and the running totals at a
+    bound's place are its counts: as many rows as visitors and campaigns, no pairs."""
+    kind = bounds.schema["id"].dataType
+    inside = (F.col("prob") <= 1).cast("double")
+    visitors = scored.select("web_id", F.col("prob").alias("p"), F.lit(None).cast("string").alias("campaign"),
+                             inside.alias("n"), (inside * (F.col("is_purchased") == 1).cast("double")).alias("tp"))
+    marks = bounds.where(F.col("lower_bound").isNotNull()).select(
+        "web_id", F.col("lower_bound").alias("p"), F.col("id").cast("string").alias("campaign"),
+        F.lit(0.0).alias("n"), F.lit(0.0).alias("tp"))
+    order = [F.col("p").desc(), F.col("campaign").asc_nulls_first()]
+    run = running_totals(visitors.where(F.col("p").isNotNull()).unionByName(marks), ["web_id"], order, ["n", "tp"])
+    return run.where(F.col("campaign").isNotNull()).select(
+        F.col("campaign").cast(kind).alias("id"), F.col("_cum_n").cast("bigint").alias("_n"),
+        F.col("_cum_tp").cast("bigint").alias("_tp"))
+
+
+def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame, use_fit: bool = False) -> DataFrame:
+    """Per campaign id, max_n_coupon, avg_n_coupon, lower_bound (by rank, M13, or
+    with ``use_fit`` from the fitted curve, M14), estimated_n_coupon (M16) and
+    model_precision (M05, M08). ``scored`` has one row per tenant's visitor."""
+    # read by the traffic, bound and counting branches
     from sparktrail.plans.materialize import materialize
     scored = materialize(scored.select("web_id", "uuid", "prob", "pageviews", "is_purchased"))
-    lb = traffic_and_rank_bound(scored, budgets, params)
-    # one row per campaign: bounded by the budgets (campaign) dimension
-    cam = broadcast_if_bounded(lb.select("id", "web_id", "lower_bound"), budgets)
-    pred = (scored.select("web_id", "uuid", "prob", "is_purchased").join(cam, "web_id")
-                  .where(F.col("prob").between(F.col("lower_bound"), F.lit(1.0)))
-                  .groupBy("id").agg(F.count(F.lit(1)).alias("_pp"),
-                                      F.sum((F.col("is_purchased") == 1).cast("int")).alias("_tp"),
-                                      F.count_distinct("uuid").alias("_pu")))
-    return (lb.join(pred, "id", "left")
-              .select("id", "max_n_coupon", "avg_n_coupon", "lower_bound",
-                      F.floor(F.coalesce(F.col("_pu"), F.lit(0)) / F.col("n_day")).cast("bigint").alias("estimated_n_coupon"),
-                      (F.coalesce(F.col("_tp"), F.lit(0)).cast("double")
-                       / (F.coalesce(F.col("_pp"), F.lit(0)).cast("double") + F.lit(0.1))).alias("model_precision")))
+    if use_fit:
+        per_day = maybe_broadcast(params.select("web_id", "n_day"))
+        lb = (fitted_curve_bound(scored, budgets, params)
+              .join(budgets.select("id", "avg_n_coupon"), "id").join(per_day, "web_id"))
+    else:
+        lb = traffic_and_rank_bound(scored, budgets, params)
+    lb = materialize(lb)  # one row per campaign
+    counts = counts_above(scored.where(F.col("uuid").isNotNull()), lb.select("id", "web_id", "lower_bound"))
+    n, tp = (F.coalesce(F.col(c), F.lit(0)) for c in ("_n", "_tp"))
+    return lb.join(counts, "id", "left").select(
+        "id", "max_n_coupon", "avg_n_coupon", "lower_bound",
+        F.floor(n / F.col("n_day")).cast("bigint").alias("estimated_n_coupon"),
+        (tp.cast("double") / (n.cast("double") + F.lit(0.1))).alias("model_precision"))
 
 
 _POLY_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType())),

@@ -35,9 +35,9 @@ def order_revenue(purchase: DataFrame, key=ORDER_KEY, ordinal: str = "ord") -> D
     ``price * qty`` (price -1 -> 0, quantity floored at 0).
 
     Result = total of the last positive-total line + the line values after
-    it (all line values when there is none). Two aggregations joined on the
-    order key: both are partial-aggregated, so a hot order spreads over
-    tasks instead of being buffered in one window partition.
+    it (all line values when there is none). The lines are joined with their
+    order's last positive line and summed on the same key, so no window
+    partition buffers a hot order, and the lines are read twice.
     """
     line = purchase.select(
         *key, F.col(ordinal).alias("_ord"),
@@ -49,12 +49,10 @@ def order_revenue(purchase: DataFrame, key=ORDER_KEY, ordinal: str = "ord") -> D
     last = (line.groupBy(*key)
                 .agg(F.max(F.when(F.col("_tot") > 0, F.struct("_ord", "_tot"))).alias("_lp"))
                 .select(*key, F.col("_lp._ord").alias("_last"), F.col("_lp._tot").alias("_set")))
-    after = (line.join(last, list(key))
-                 .where(F.col("_last").isNull() | (F.col("_ord") > F.col("_last")))
-                 .groupBy(*key).agg(F.sum("_val").alias("_add")))
-    return (last.join(after, list(key), "left")
-                .select(*key, (F.coalesce(F.when(F.col("_last").isNotNull(), F.col("_set")), F.lit(0))
-                               + F.coalesce(F.col("_add"), F.lit(0))).alias("revenue")))
+    after = F.col("_last").isNull() | (F.col("_ord") > F.col("_last"))
+    return (last.join(line.select(*key, "_ord", "_val"), list(key), "left")
+                .groupBy(*key).agg(F.max("_set").alias("_set"), F.sum(F.when(after, F.col("_val"))).alias("_add"))
+                .select(*key, (F.coalesce(F.col("_set"), F.lit(0)) + F.coalesce(F.col("_add"), F.lit(0))).alias("revenue")))
 
 
 def session_revenue(order_rev: DataFrame, key=("web_id", "uuid", "session_id")) -> DataFrame:

@@ -128,16 +128,15 @@ def _win(col: str, lo: str | None, hi: str | None) -> str:
     return " AND ".join(out) if out else "TRUE"
 
 
-def _cell_pairs(tt: int, cc: int, web_ids: list[str], daily: bool, grain_from: str) -> str:
+def _cell_pairs(tt: int, cc: int, web_ids: list[str], daily: bool, grain_from: str, windowing: str = "reference") -> str:
     """SQL for the (campaign[, day], visitor, order session) pairs of one cell,
     one row per pair with its earliest joined order."""
     g = "c.id AS cid" + (", c.d" if daily else "")
     gkeys = "c.id" + (", c.d" if daily else "")
     if daily:
         s, e, s1 = "c.d", "c.d + 1", "c.d - 1"
-        dated = not (tt != 0 and cc not in (4, 5))
-        assert dated
-        acc = (_win("a.date_time", s, e) if (tt == 0 and cc == 3) else _win("a.date_time", s1, None))
+        two_sided = cc == 3 and (tt == 0 or windowing == "dated")
+        acc = _win("a.date_time", s, e) if two_sided else _win("a.date_time", s1, None)
         pur = _win("p.date_time", s, e)
         ent = _win("e.date_time", s1, None)
         price_pos = tt == 0 and cc in (1, 2, 3, 4, 5)
@@ -210,16 +209,16 @@ def lifetime_cell(tt: int, cc: int, web_ids: list[str]) -> str:
     GROUP BY c.id, c.web_id, c.coupon_type, c.amount, c.unit_cost"""
 
 
-def daily_cell(tt: int, cc: int, web_ids: list[str]) -> str:
+def daily_cell(tt: int, cc: int, web_ids: list[str], windowing: str = "reference") -> str:
     """SELECT body: (coupon_id, d, revenue, coupon_used, coupon_sum) per
     campaign day of the cell."""
     src = f"(SELECT * FROM days WHERE web_id IN {_in(web_ids)}) c"
-    if tt != 0 and cc not in (4, 5):
+    if tt != 0 and cc not in (4, 5) and windowing == "reference":
         pairs = _cell_pairs(tt, cc, web_ids, False, f"(SELECT * FROM camp WHERE web_id IN {_in(web_ids)}) c")
         return f"""SELECT c.id AS coupon_id, c.d, COALESCE(SUM(p.total), 0) AS revenue,
           COUNT(p.total) AS coupon_used, COALESCE(SUM(p.coupon_val), 0) AS coupon_sum
         FROM {src} LEFT JOIN ({pairs}) p ON p.cid = c.id GROUP BY c.id, c.d"""
-    pairs = _cell_pairs(tt, cc, web_ids, True, src)
+    pairs = _cell_pairs(tt, cc, web_ids, True, src, windowing)
     return f"""SELECT c.id AS coupon_id, c.d, COALESCE(SUM(p.total), 0) AS revenue,
       COUNT(p.total) AS coupon_used, COALESCE(SUM(p.coupon_val), 0) AS coupon_sum
     FROM {src} LEFT JOIN ({pairs}) p ON p.cid = c.id AND p.d = c.d GROUP BY c.id, c.d"""
@@ -238,11 +237,11 @@ def roas_lifetime_sql(cells: dict[str, tuple[int, int]]) -> str:
     return prefix(cells, [ACTIVITY, CAMP]) + "\n" + body
 
 
-def roas_daily_sql(cells: dict[str, tuple[int, int]]) -> str:
+def roas_daily_sql(cells: dict[str, tuple[int, int]], windowing: str = "reference") -> str:
     groups: dict[tuple[int, int], list[str]] = {}
     for w, cell in cells.items():
         groups.setdefault(cell, []).append(w)
-    used = "\nUNION ALL\n".join(daily_cell(tt, cc, ws) for (tt, cc), ws in sorted(groups.items()))
+    used = "\nUNION ALL\n".join(daily_cell(tt, cc, ws, windowing) for (tt, cc), ws in sorted(groups.items()))
     acc = f"""acc_d AS (SELECT c.id AS coupon_id, CAST(a.date_time AS DATE) AS d, COUNT(DISTINCT a.uuid) AS coupon_accepted
       FROM camp c JOIN accept a ON a.web_id = c.web_id AND a.coupon_id = c.id
         AND a.date_time BETWEEN CAST(c.activity_start AS TIMESTAMP)

@@ -41,11 +41,11 @@ def _roas_lifetime(cells_map):
     return q
 
 
-def _roas_daily(cells_map):
+def _roas_daily(cells_map, select=lambda t: t.activities("all"), **options):
     def q(spark, sf_dir):
         t = Tables(spark, sf_dir, cells_map)
-        return ATT.roas_daily(t.accept, t.discard, t.purchase, t.enter, t.activities("all"),
-                              t.cells, t.addfan_stat, A.AS_OF)
+        return ATT.roas_daily(t.accept, t.discard, t.purchase, t.enter, select(t),
+                              t.cells, t.addfan_stat, A.AS_OF, **options)
     return q
 
 
@@ -58,6 +58,34 @@ for _tt in (0, 1):
 
 register("roas_lifetime_mixed", O.roas_lifetime_sql(A.MIXED_CELLS))(_roas_lifetime(A.MIXED_CELLS))
 register("roas_daily_mixed", O.roas_daily_sql(A.MIXED_CELLS))(_roas_daily(A.MIXED_CELLS))
+_DATED = {f"w{i}": (1, cc) for i, cc in enumerate((0, 1, 2, 3, 5))}
+# Q9: all cells by date; J10: only days with accepts, impressions and uses
+register("roas_daily_dated", O.roas_daily_sql(_DATED, "dated"))(_roas_daily(_DATED, windowing="dated"))
+register("roas_daily_complete", "SELECT * FROM (" + O.roas_daily_sql(A.MIXED_CELLS)
+         + ") WHERE coupon_accepted > 0 AND coupon_imp > 0 AND coupon_used > 0")(
+    _roas_daily(A.MIXED_CELLS, complete_only=True))
+
+
+def _today(t: Tables) -> DataFrame:
+    return ATT.on_day(t.activities("running"), A.AS_OF)
+
+
+def _most_accepted(t: Tables) -> DataFrame:
+    """The campaign of each tenant that most accepted coupons are of."""
+    from pyspark.sql import functions as F
+    n = t.accept.groupBy("web_id", "coupon_id").agg(F.count(F.lit(1)).alias("n"))
+    best = n.groupBy("web_id").agg(F.max(F.struct("n", "coupon_id")).alias("b")).select(F.col("b.coupon_id").alias("id"))
+    return t.activities("by_id", ids=best)
+
+
+# Today only, and single campaigns
+register("roas_daily_today", O.roas_daily_sql(A.MIXED_CELLS).replace(
+    "start_time AS activity_start", f"{O.AS_OF_DATE} AS activity_start").replace(
+    "     FROM campaigns)", f"     FROM campaigns WHERE {O.AS_OF_DATE} BETWEEN start_time AND end_time "
+    "AND activity_enable = 1 AND coupon_enable = 1 AND activity_delete = 0)"))(_roas_daily(A.MIXED_CELLS, _today))
+register("roas_daily_by_id", "SELECT * FROM (" + O.roas_daily_sql(A.MIXED_CELLS) + ") WHERE coupon_id IN (" + O.prefix()
+         + "SELECT arg_max(coupon_id, (n, coupon_id)) FROM (SELECT web_id, coupon_id, COUNT(*) AS n FROM accept "
+           "GROUP BY ALL) GROUP BY web_id)")(_roas_daily(A.MIXED_CELLS, _most_accepted))
 
 
 # ------------------------------------------------------ campaign queries
@@ -136,6 +164,15 @@ def q_campaigns_just_expired(spark, sf_dir):
     return _part_activities(spark, sf_dir, "just_expired").select(*CAMP.CAMPAIGN_COLUMNS)
 
 
+@register("campaigns_by_id", _D + """
+SELECT id, web_id, link_code, coupon_type, coupon_amount, activity_start, activity_end, coupon_total, coupon_price_limit
+FROM act WHERE id IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)""")
+def q_campaigns_by_id(spark, sf_dir):
+    """F09/F10 by_id: campaigns of the parts that are ordered in large numbers."""
+    ids = A.read_table(spark, sf_dir, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("id"))
+    return _part_activities(spark, sf_dir, "by_id", ids=ids).select(*CAMP.CAMPAIGN_COLUMNS)
+
+
 @register("coupon_budget", _D + f"""
 SELECT id, web_id, CAST(coupon_total - coupon_used AS DOUBLE) / (1 + date_diff('day', {_ASOF}, end_time)) AS avg_n_coupon
 FROM campaigns
@@ -182,30 +219,50 @@ def q_campaign_assembly(spark, sf_dir):
 
 
 # ------------------------------------------------------ banners, orders
-_BANNER_SQL = O.prefix() + """,
-c AS (SELECT CAST(date_time AS DATE) AS date, web_id, uuid, session_id, recommend_type FROM clicks
-      WHERE recommend_type BETWEEN 0 AND 10),
-stats AS (SELECT date, web_id, recommend_type, COUNT(*) AS clicks, COUNT(DISTINCT (uuid, session_id)) AS sessions
-          FROM c GROUP BY date, web_id, recommend_type),
-credit AS (SELECT date, web_id, uuid, session_id, MIN(recommend_type) AS rt FROM c GROUP BY date, web_id, uuid, session_id),
-pd AS (SELECT CAST(date_time AS DATE) AS date, * FROM purchase),
-orev AS """ + O.order_rev_sql("pd", ["date", "web_id", "uuid", "session_id", '"timestamp"']) + """,
-sess AS (SELECT date, web_id, uuid, session_id, SUM(revenue) AS revenue FROM orev GROUP BY date, web_id, uuid, session_id),
-cr AS (SELECT s.date, s.web_id, k.rt AS recommend_type, SUM(s.revenue) AS revenue, COUNT(*) AS n
-       FROM sess s JOIN credit k ON k.date = s.date AND k.web_id = s.web_id AND k.uuid = s.uuid AND k.session_id = s.session_id
-       GROUP BY s.date, s.web_id, k.rt)
-SELECT st.date, st.web_id, CAST(st.recommend_type AS INTEGER) AS recommend_type,
+_GRAIN = {"date": "CAST(date_time AS DATE)", "hour": "CAST(hour(date_time) AS INTEGER)"}
+
+
+def _banner_sql(grain, click_before: bool = False) -> str:
+    g = ", ".join(grain)
+    made = ", ".join(f"{_GRAIN[x]} AS {x}" for x in grain)
+    same = lambda a, b, cols: " AND ".join(f"{a}.{c} = {b}.{c}" for c in cols)
+    session = [*grain, "web_id", "uuid", "session_id"]
+    rows = f"""sess AS (SELECT {g}, web_id, uuid, session_id, SUM(revenue) AS revenue FROM orev GROUP BY ALL),
+cr AS (SELECT {", ".join("s." + x for x in grain)}, s.web_id, k.rt AS recommend_type, SUM(s.revenue) AS revenue, COUNT(*) AS n
+       FROM sess s JOIN credit k ON {same("s", "k", session)} GROUP BY ALL)"""
+    if click_before:
+        rows = f"""per AS (SELECT {", ".join("o." + x for x in session)}, o."timestamp", o.revenue,
+       (SELECT MIN(k.recommend_type) FROM c k WHERE {same("o", "k", session)} AND k."timestamp" <= o."timestamp") AS rt
+       FROM orev o),
+cr AS (SELECT {g}, web_id, rt AS recommend_type, SUM(revenue) AS revenue, COUNT(DISTINCT (uuid, session_id)) AS n
+       FROM per WHERE rt IS NOT NULL GROUP BY {g}, web_id, rt)"""
+    return O.prefix() + f""",
+c AS (SELECT {made}, web_id, uuid, session_id, "timestamp", recommend_type FROM clicks WHERE recommend_type BETWEEN 0 AND 10),
+stats AS (SELECT {g}, web_id, recommend_type, COUNT(*) AS clicks, COUNT(DISTINCT (uuid, session_id)) AS sessions
+          FROM c GROUP BY ALL),
+credit AS (SELECT {g}, web_id, uuid, session_id, MIN(recommend_type) AS rt FROM c GROUP BY ALL),
+pd AS (SELECT {made}, * FROM purchase),
+orev AS """ + O.order_rev_sql("pd", [*session, '"timestamp"']) + f""",
+{rows}
+SELECT {", ".join("st." + x for x in grain)}, st.web_id, CAST(st.recommend_type AS INTEGER) AS recommend_type,
   CAST(COALESCE(cr.revenue, 0) AS DOUBLE) AS revenue, CAST(st.clicks AS BIGINT) AS clicks,
   CAST(st.sessions AS BIGINT) AS sessions, CAST(COALESCE(cr.n, 0) AS BIGINT) AS "transaction"
-FROM stats st LEFT JOIN cr ON cr.date = st.date AND cr.web_id = st.web_id AND cr.recommend_type = st.recommend_type"""
+FROM stats st LEFT JOIN cr ON {same("cr", "st", [*grain, "web_id", "recommend_type"])}"""
 
 
-@register("banner_revenue", _BANNER_SQL)
-def q_banner_revenue(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    p = t.purchase.withColumn("date", F.to_date("date_time"))
-    c = t.clicks.withColumn("date", F.to_date("date_time"))
-    return BAN.banner_revenue(p, c, grain=("date",))
+def _banners(grain, **options):
+    def q(spark, sf_dir):
+        t = Tables(spark, sf_dir)
+        cols = {"date": F.to_date("date_time"), "hour": F.hour("date_time")}
+        made = {x: cols[x] for x in grain}
+        return BAN.banner_revenue(t.purchase.withColumns(made), t.clicks.withColumns(made), grain, **options)
+    q.__doc__ = f"A12 by {' and '.join(grain)}."
+    return q
+
+
+register("banner_revenue", _banner_sql(["date"]))(_banners(["date"]))
+register("banner_revenue_hourly", _banner_sql(["date", "hour"]))(_banners(["date", "hour"]))
+register("banner_revenue_click_before", _banner_sql(["date"], True))(_banners(["date"], require_click_before=True))
 
 
 @register("site_daily_totals", O.prefix() + """,
@@ -268,6 +325,15 @@ def q_session_revenue(spark, sf_dir):
                                    F.count(F.lit(1)).cast("bigint").alias("orders"))
 
 
+@register("revenue_per_session", O.prefix() + ", r AS " + O.order_rev_sql(
+    "purchase", ["web_id", "uuid", "session_id", '"timestamp"']) + """
+SELECT web_id, uuid, session_id, CAST(SUM(revenue) AS DOUBLE) AS revenue FROM r GROUP BY ALL""")
+def q_revenue_per_session(spark, sf_dir):
+    """Order revenue by session."""
+    r = ORD.session_revenue(ORD.order_revenue(Tables(spark, sf_dir).purchase))
+    return r.withColumn("revenue", F.col("revenue").cast("double"))
+
+
 @register("avg_order_value", O.prefix() + """
 SELECT t.web_id, CAST(trunc(COALESCE(s.sh, -1)) AS BIGINT) AS avg_shipping_price,
        CAST(trunc(COALESCE(o.aov, -1)) AS BIGINT) AS avg_total_price
@@ -411,9 +477,10 @@ FEATURE_KEYS = ["web_id", "timestamp", "device", "pageviews", "click_count_total
 MODEL_FEATURES = ["device", "pageviews", "click_count_total", "landing_count", "time_pageview_total"]
 
 
-def _session_features(t: Tables, match="any_exact"):
+def _session_features(t: Tables, match="any_exact", within=lambda df: df):
     tabs = A.tracker_tables(t.ev)
-    return FEA.session_features(t.load, t.purchase, tabs["addCart"], tabs["removeCart"], FEATURE_KEYS, match)
+    roles = (within(df) for df in (t.load, t.purchase, tabs["addCart"], tabs["removeCart"]))
+    return FEA.session_features(*roles, FEATURE_KEYS, match)
 
 
 def _scored(t: Tables):
@@ -633,6 +700,23 @@ def q_fitted_curve_bound(spark, sf_dir):
     return MOD.fitted_curve_bound(_scored(t), budgets, MOD.model_params(t.settings))
 
 
+@register("bound_by_fit")
+def q_bound_by_fit(spark, sf_dir):
+    """M17 with the fitted curve (rows-only: polynomial fit in pandas on binned rows)."""
+    t = Tables(spark, sf_dir)
+    budgets = CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
+    return MOD.bound_assembly(_scored(t), budgets, MOD.model_params(t.settings), use_fit=True)
+
+
+@register("mining_window", O.prefix() + f"""
+SELECT l.web_id, l.uuid, l.session_id, l.ord FROM load l JOIN settings s ON s.web_id = l.web_id
+WHERE CAST(l.date_time AS DATE) BETWEEN {_ASOF} - s.n_day_testing - s.n_day_mining AND {_ASOF} - s.n_day_testing""")
+def q_mining_window(spark, sf_dir):
+    """Load rows inside their tenant's training window."""
+    t = Tables(spark, sf_dir)
+    return MOD.mining_window(t.load, t.settings, A.AS_OF).select("web_id", "uuid", "session_id", "ord")
+
+
 @register("upper_bound")
 def q_upper_bound(spark, sf_dir):
     """M15 (rows-only) on the hash-split test part."""
@@ -649,9 +733,9 @@ def q_train_test_split(spark, sf_dir):
 
 @register("train_model")
 def q_train_model(spark, sf_dir):
-    """M01 + M18 (rows-only): one model per tenant and a 'default' model."""
+    """M01 + M18 (rows-only): one model per tenant and a 'default' model, from the training windows."""
     t = Tables(spark, sf_dir)
-    sf = _session_features(t)
+    sf = _session_features(t, within=lambda df: MOD.mining_window(df, t.settings, A.AS_OF))
     return MOD.train_models(sf, t.settings, ["default", *(f"w{i}" for i in range(A.N_TENANTS))], MODEL_FEATURES)
 
 
@@ -725,13 +809,6 @@ def q_mixture_density(spark, sf_dir):
     return DES.mixture_density(ev, "value", _MIX).select("event_id", "component", "density")
 
 
-@register("gaussian_noise")
-def q_gaussian_noise(spark, sf_dir):
-    """M21 (rows-only): one seeded noise draw per event."""
-    ev = A.read_table(spark, sf_dir, "events").select("event_id", "value")
-    return DES.gaussian_noise(ev, 0.0, 1.0, seed=7)
-
-
 # ---------------------------------------------------- raw decode, flatten
 from sparktrail.operators import flatten as FL  # noqa: E402
 from sparktrail.plans import raw_adapter as RA  # noqa: E402
@@ -898,6 +975,100 @@ def q_update_rows(spark, sf_dir):
     return UP.update_rows(tr, upd.unionByName(ghost), ["web_id", "date"], ["n_events_load"])
 
 
+@register("delete_rows", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
+          "WHERE NOT COALESCE(o_totalprice > 100000 AND NULLIF(o_custkey % 4, 0) > 1, FALSE)")
+def q_delete_rows(spark, sf_dir):
+    """Large orders of some customers deleted; where the condition is null the row stays."""
+    orders = A.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return UP.delete_rows(orders, F.expr("o_totalprice > 100000 AND nullif(o_custkey % 4, 0) > 1"))
+
+
+@register("upsert_last_order", """SELECT COALESCE(c_custkey, o_custkey) AS c_custkey, c_name,
+  CASE WHEN o_custkey IS NULL THEN c_acctbal ELSE last END AS c_acctbal
+FROM customer FULL JOIN (SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last
+  FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""")
+def q_upsert_last_order(spark, sf_dir):
+    """K01 with many updates of one key: each customer's balance becomes the price of the last order."""
+    target = A.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    updates = A.read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), "o_orderdate", "o_orderkey")
+    return UP.upsert(target, updates, ["c_custkey"], ["c_acctbal"], ["o_orderdate", "o_orderkey"]).select(*target.columns)
+
+
+@register("date_helpers", """SELECT event_id, CAST(ts + INTERVAL 8 HOUR AS DATE) AS today, CAST(ts AS DATE) - 3 AS shifted,
+  CAST(day(last_day(ts)) AS INTEGER) AS month_days, strftime(ts, '%Y/%m/%d %H') AS told,
+  CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS number, CAST(floor(epoch(ts)) AS BIGINT) AS seconds,
+  date_trunc('second', ts) AS again FROM events""")
+def q_date_helpers(spark, sf_dir):
+    """C01, C03-C06, C08 on every event's time."""
+    from sparktrail.functions import dates as D
+    ts = F.col("ts").cast("timestamp_ntz")
+    seconds = D.ts_to_seconds(ts)
+    return A.read_table(spark, sf_dir, "events").select(
+        "event_id", D.curdate(ts, 8).alias("today"), D.date_shift(F.to_date(ts), 3).alias("shifted"),
+        D.days_of_month(F.to_date(ts)).alias("month_days"), D.datetime_to_str(ts, "yyyy/MM/dd HH").alias("told"),
+        D.date_to_int(F.to_date(ts)).alias("number"), seconds.alias("seconds"), D.seconds_to_ts(seconds).alias("again"))
+
+
+@register("events_by_period", """WITH p AS (SELECT TIMESTAMP '2024-01-01' + to_hours(CAST(i * 6 AS BIGINT)) AS date_time FROM range(0, 125) g(i))
+SELECT p.date_time, CAST(COUNT(e.event_id) AS BIGINT) AS n FROM p
+LEFT JOIN events e ON e.ts >= p.date_time AND e.ts < p.date_time + INTERVAL 6 HOUR GROUP BY p.date_time""")
+def q_events_by_period(spark, sf_dir):
+    """Events of each 6 hours of January, empty ones too."""
+    from sparktrail.functions import dates as D
+    ts = F.col("ts").cast("timestamp_ntz")
+    start = F.timestamp_add("HOUR", (F.floor(F.hour(ts) / 6) * 6).cast("int"), F.to_date(ts).cast("timestamp_ntz"))
+    n = A.read_table(spark, sf_dir, "events").groupBy(start.alias("date_time")).agg(F.count(F.lit(1)).alias("n"))
+    return D.datetime_range(spark, "2024-01-01", 31, 6).join(n, "date_time", "left").select(
+        "date_time", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _raw_zone(spark, sf_dir):
+    """The raw zone of all events in a scratch folder."""
+    import uuid as _uuid
+
+    from sparktrail.session import scratch_path
+    root = scratch_path(spark, f"raw-{_uuid.uuid4().hex[:8]}")
+    RAW.land_raw(RAW.with_event_fields(raw_events(spark, sf_dir)), root)
+    return root
+
+
+@register("raw_retained", O.prefix() + f"""
+SELECT CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INTEGER) AS hour, CAST(COUNT(*) AS BIGINT) AS n FROM ev
+WHERE CAST(ts AS DATE) >= {_ASOF} - 10 GROUP BY ALL""")
+def q_raw_retained(spark, sf_dir):
+    """Documents of the raw zone by hour after days of more than 10 days ago are deleted."""
+    root = _raw_zone(spark, sf_dir)
+    RAW.drop_expired(spark, root, A.AS_OF, 10)
+    return RAW.read_raw(spark, root).groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("raw_local_day", O.prefix() + """
+SELECT web_id, event_type, CAST(COUNT(*) AS BIGINT) AS n FROM ev
+WHERE ts >= TIMESTAMP '2024-01-09 16:00:00' AND ts < TIMESTAMP '2024-01-11 16:00:00' GROUP BY ALL""")
+def q_raw_local_day(spark, sf_dir):
+    """Documents of two local days (UTC+8), read by partition."""
+    days = RAW.local_day(RAW.read_raw(spark, _raw_zone(spark, sf_dir)), "2024-01-10", "2024-01-11")
+    ev = A.base_events(spark, sf_dir).select("ord", "event_type")
+    return (days.select("ord", F.col("ev").alias("doc")).join(ev, "ord")
+                .groupBy(F.try_variant_get("doc", "$.web_id", "string").alias("web_id"), "event_type")
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("tenant_rows", O.prefix() + """
+, u AS (SELECT 'load' AS role, web_id FROM t_load UNION ALL SELECT 'purchase', web_id FROM t_purchase
+  UNION ALL SELECT 'addCart', web_id FROM t_addCart UNION ALL SELECT 'removeCart', web_id FROM t_removeCart),
+chosen AS (SELECT 'w' || CAST(s_suppkey AS VARCHAR) AS web_id FROM supplier WHERE s_suppkey % 4 <> 3)
+SELECT u.role, u.web_id, CAST(COUNT(*) AS BIGINT) AS n, (SELECT COUNT(*) FROM t_load l WHERE l.web_id = u.web_id) AS n_load
+FROM u JOIN chosen USING (web_id) WHERE web_id IN (SELECT web_id FROM t_load) GROUP BY u.role, u.web_id""")
+def q_tenant_rows(spark, sf_dir):
+    """Rows of each role of a list of tenants that have loads, with their number of loads."""
+    t = Tables(spark, sf_dir)
+    tenants = CAMP.tenant_selection(A.supplier_settings(spark, sf_dir), "addfan")
+    return FEA.collect_tenants(A.tracker_tables(t.ev), tenants).groupBy("role", "web_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_load").alias("n_load"))
+
+
 @register("latest_events", O.prefix() + """
 SELECT * FROM (SELECT web_id, uuid, session_id, "timestamp", ord FROM load WHERE web_id = 'w1' ORDER BY ord DESC LIMIT 5)""")
 def q_latest_events(spark, sf_dir):

@@ -121,3 +121,47 @@ def test_upper_bound_of_thin_data_is_a_probability(spark):
     params = spark.createDataFrame([("w", 7, 1.0, 0.3, 0.1)], "web_id string, n_day int, n_weight double, test_size double, lower_bound double")
     for n in (0.1, 5.0, 1e6):
         assert all(0 <= r.upper_bound <= 1 for r in upper_bound_at(scored, params, n).collect())
+
+
+def test_counts_above_a_bound_equal_brute_force(spark):
+    from sparktrail.operators.model import counts_above
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", "c"]), rnd.randrange(20) / 20, rnd.randrange(2)) for _ in range(300)]
+    rows += [("a", None, 1), ("b", 0.5, None)]
+    bounds = [(1, "a", 0.5), (2, "a", 0.5), (3, "b", 0.0), (4, "b", 0.99), (5, "c", 0.501), (6, "c", None), (7, "none", 0.1)]
+    got = counts_above(spark.createDataFrame(rows, "web_id string, prob double, is_purchased int").repartition(5),
+                       spark.createDataFrame(bounds, "id long, web_id string, lower_bound double"))
+    want = {}
+    for i, w, low in bounds:
+        if low is not None:
+            hit = [y for v, p, y in rows if v == w and p is not None and p >= low]
+            want[i] = (len(hit), sum(y == 1 for y in hit))
+    assert {r.id: (r._n, r._tp) for r in got.collect()} == want
+
+
+def test_bound_from_the_fitted_curve_counts_its_visitors(spark):
+    from sparktrail.operators.model import bound_assembly
+    scored = spark.createDataFrame([("w", f"u{i}", (i % 97) / 100, 2, i % 2) for i in range(400)],
+                                   "web_id string, uuid string, prob double, pageviews int, is_purchased int")
+    params = spark.createDataFrame([("w", 7.0, 1.0, -3.0)], "web_id string, n_day double, n_weight double, _b double")
+    budgets = spark.createDataFrame([(1, "w", 3.0), (2, "w", 20.0)], "id long, web_id string, avg_n_coupon double")
+    rows = scored.collect()
+    for r in bound_assembly(scored, budgets, params, use_fit=True).collect():
+        hit = [x for x in rows if r.lower_bound <= x.prob <= 1]
+        assert 0 < r.lower_bound < 1 and r.estimated_n_coupon == len(hit) // 7
+        assert abs(r.model_precision - sum(x.is_purchased for x in hit) / (len(hit) + 0.1)) < 1e-9
+
+
+def test_unknown_windowing_is_an_error():
+    from sparktrail.operators.attribution import _undated
+    with pytest.raises(ValueError):
+        _undated("other")
+
+
+def test_order_revenue_reads_the_lines_twice(spark):
+    from sparktrail.operators.orders import order_revenue
+    from sparktrail.plans.registry import lineitem_lines
+    from conftest import SMOKE
+    plan = order_revenue(lineitem_lines(spark, SMOKE))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2

@@ -13,7 +13,9 @@ SAMPLE = ["roas_lifetime_mixed", "roas_daily_tt0_cc3", "roas_lifetime_tt1_cc4",
           "banner_revenue", "site_daily_totals", "order_revenue", "tracker_stats", "event_stats", "ad_growth",
           "coupon_release", "session_features", "score_visitors", "bound_by_rank", "roc_points", "histogram",
           "moving_avg", "block_avg", "flatten_load", "flatten_purchase", "flatten_clicks", "upsert_stats",
-          "stale_coupons", "price_clean"]
+          "stale_coupons", "price_clean", "roas_daily_dated", "roas_daily_today", "campaigns_by_id",
+          "banner_revenue_hourly", "banner_revenue_click_before", "revenue_per_session", "mining_window", "delete_rows",
+          "upsert_last_order", "date_helpers", "events_by_period", "raw_retained", "tenant_rows"]
 
 
 @pytest.fixture(scope="module")
