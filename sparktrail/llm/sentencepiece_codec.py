@@ -45,7 +45,7 @@ MARK = "▁"
 #: Default place of the model (a parameter of the operators).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Solved words and checked pairs that a worker remembers; when full, it starts anew.
-MEMORY = 500_000
+MEMORY = 400_000
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 _NEVER = float("inf")
@@ -204,7 +204,7 @@ class Codec:
 codec = lru_cache(maxsize=1)(Codec)
 
 #: Texts that are solved together: of so many code points or more, and one at least.
-_TOGETHER = 4_000_000
+_TOGETHER = 1_000_000
 
 
 def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
