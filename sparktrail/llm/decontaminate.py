@@ -16,9 +16,12 @@ join is by a shuffle on the hash.  Windows of the documents are made, hashed and
 joined in one pass, so that without the shuffle only hits are moved.
 
 Edge cases: null and empty texts and items have no windows; items of fewer words
-than a window are one window of all their words if they have ``MIN_WORDS`` words
-of their own (else they are too common to tell); windows with fewer than that
-are left out on the benchmark's side, unless the item has no other.
+than a window are one window of all their words, and the documents' windows of
+that many words are hashed too (one pass for each length that the benchmark
+has); items of fewer than ``MIN_WORDS`` words are too common to tell.  Windows
+with fewer than ``MIN_WORDS`` words that aren't placeholders are left out on the
+benchmark's side, unless the item has no other: those are hits only where all
+their slot values are the document's.
 """
 
 from __future__ import annotations
@@ -55,26 +58,41 @@ def _code(word: Column, before: Column) -> Column:
             .when(word.isin(UNITS) & number(before), 3).otherwise(F.xxhash64(word)))
 
 
-def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """(key, n, codes, w): the windows of each text in order, as structs of hash and slot values (null if none).
-
-    To be exploded with ``posexplode_outer``: for an inner one, the optimizer
-    would test the array's size below and so work it out twice.
-    """
+def _coded(texts: DataFrame) -> DataFrame:
+    """(key, words, n, codes) of each text."""
     rows = texts.select("key", _words(F.col("text")).alias("words"))
-    rows = rows.select("key", "words", F.size("words").alias("n"), F.transform(
+    return rows.select("key", "words", F.size("words").alias("n"), F.transform(
         "words", lambda w, i: _code(w, F.get("words", i - 1))).alias("codes"))
-    is_slot = lambda c: c.between(0, 3)
-    held = lambda p, k: F.filter(F.slice("words", p + 1, k), lambda w, j: is_slot(F.get("codes", p + j)))
-    hashed = lambda p: F.xxhash64(*[F.get("codes", p + k) for k in range(window)]).alias("h")
+
+
+def _is_slot(code: Column) -> Column:
+    return code.between(0, 3)
+
+
+def _held(place: Column, size: Column | int) -> Column:
+    """The slot values of a window in order."""
+    return F.filter(F.slice("words", place + 1, size), lambda w, j: _is_slot(F.get("codes", place + j)))
+
+
+def _windows(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(key, w): the windows of each text in order, as structs of place, hash and slot values (null if none), for each size.
+
+    To be exploded with ``explode_outer``: for an inner one, the optimizer would
+    test the array's size below and so work it out twice.
+    """
+    rows = _coded(texts)
     none = F.lit(None).cast("array<string>").alias("slots")
-    places = F.sequence(F.lit(0), F.col("n") - window)
-    some = F.exists("codes", is_slot)
-    long_ = F.when(some, F.transform(places, lambda p: F.struct(hashed(p), held(p, F.lit(window)).alias("slots")))) \
-        .otherwise(F.transform(places, lambda p: F.struct(hashed(p), none)))
-    short = F.when(F.col("n") > 0, F.array(F.struct(
-        F.xxhash64("codes").alias("h"), held(F.lit(0), F.greatest("n", F.lit(1))).alias("slots"))))
-    return rows.select("key", "n", "codes", F.when(F.col("n") >= window, long_).otherwise(short).alias("w"))
+    hashed = lambda p, size: F.xxhash64(*[F.get("codes", p + k) for k in range(size)]).alias("h")
+
+    def of(size: int) -> Column:
+        places = F.sequence(F.lit(0), F.col("n") - size)
+        whole = F.when(F.exists("codes", _is_slot), F.transform(places, lambda p: F.struct(
+            p.alias("place"), hashed(p, size), _held(p, F.lit(size)).alias("slots")))).otherwise(
+            F.transform(places, lambda p: F.struct(p.alias("place"), hashed(p, size), none)))
+        empty = F.array().cast("array<struct<place:int,h:bigint,slots:array<string>>>")
+        return F.when(F.col("n") >= size, whole).otherwise(empty)
+
+    return rows.select("key", (F.concat(*map(of, sizes)) if len(sizes) > 1 else of(sizes[0])).alias("w"))
 
 
 def _text(name: str) -> Column:
@@ -83,17 +101,24 @@ def _text(name: str) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """(item, at, h, asked, of): the windows of each item that can be told apart, their slot values, their number.
+    """(item, at, size, strict, h, asked, of): the windows of each item that can be told apart, their number of words,
+    whether their slot values must be the document's, their slot values (null if none), and their number.
 
     An item is its id and text, so that repeated rows count once."""
     key = F.struct(col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("t")).alias("key")
-    rows = _windows(benchmark.select(key, _text(text_col).alias("text")).distinct(), window)
-    each = rows.select(F.col("key").alias("item"), "codes", F.posexplode_outer("w").alias("at", "w"))
-    plain = F.size(F.filter(F.slice("codes", F.col("at") + 1, F.lit(window)), lambda c: ~c.between(0, 3)))
-    told = each.where(plain >= MIN_WORDS).select("item", "at", "w.h", F.col("w.slots").alias("asked"))
-    count = told.groupBy("item").agg(F.count(F.lit(1)).alias("of"))
+    rows = _coded(benchmark.select(key, _text(text_col).alias("text")).distinct()).where(F.col("n") >= MIN_WORDS)
+    each = rows.select("key", "words", "codes", F.least("n", F.lit(window)).alias("size"), F.explode(F.sequence(
+        F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))).alias("at"))
+    plain = F.size(F.filter(F.slice("codes", F.col("at") + 1, F.col("size")), lambda c: ~_is_slot(c)))
+    asked = _held(F.col("at"), F.col("size"))
+    each = each.select(F.col("key").alias("item"), "at", "size", (plain < MIN_WORDS).alias("strict"),
+                       F.xxhash64(F.slice("codes", F.col("at") + 1, F.col("size"))).alias("h"),
+                       F.when(F.size(asked) > 0, asked).alias("asked"))
+    count = each.groupBy(F.col("item").alias("item_")).agg(
+        F.count_if(~F.col("strict")).alias("told"), F.count(F.lit(1)).alias("all"))
     same = F.col("item").eqNullSafe(F.col("item_"))
-    return told.join(count.withColumnRenamed("item", "item_"), same).drop("item_")
+    return each.join(count, same).where((F.col("told") == 0) | ~F.col("strict")).select(
+        "item", "at", "size", "strict", "h", "asked", F.when(F.col("told") > 0, F.col("told")).otherwise(F.col("all")).alias("of"))
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -103,10 +128,12 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     items = stored(benchmark_windows(benchmark, item_col, item_text_col, window), "items")
     few = items.count() <= MAX_BROADCAST
     key = F.struct(col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("t")).alias("key")
-    docs = _windows(df.select(key, _text(text_col).alias("text")), window)
-    each = docs.select("key", F.posexplode_outer("w").alias("place", "w")).select(
-        "key", "place", "w.h", F.col("w.slots").alias("found"))
-    hits = each.join(F.broadcast(items) if few else items, "h").select(
+    short = sorted(r["size"] for r in items.where(F.col("size") < window).select("size").distinct().collect())
+    docs = _windows(df.select(key, _text(text_col).alias("text")), [window, *short])
+    each = docs.select("key", F.explode_outer("w").alias("w")).select(
+        "key", "w.place", "w.h", F.when(F.size("w.slots") > 0, F.col("w.slots")).alias("found"))
+    hits = each.join(F.broadcast(items) if few else items, "h").where(
+        ~F.col("strict") | F.col("asked").eqNullSafe(F.col("found"))).select(
         "key", "item", "at", (F.col("place") - F.col("at")).alias("shift"), "of", "asked", "found")
     hits = stored(hits, "hits")
     group = ["key", "item", "shift"]

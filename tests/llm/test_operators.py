@@ -431,3 +431,19 @@ def test_pii_of_long_addresses(spark):
     assert (got[0].n_mail, got[0].text, got[1].n_mail) == (0, texts[0], 4)
     assert got[1].text != texts[1] and got[1].text.split("@", 1)[1].startswith("mail.example.org, a@b..com ")
     assert [r.text for r in pseudonyms(out.orderBy("doc_id"), "k", restore=True).collect()] == texts
+
+
+def test_decontaminate_short_and_weak_items(spark):
+    """Items below a window's words inside longer texts, and items of which no window has enough plain words."""
+    from sparktrail.llm.decontaminate import leaks
+
+    short, weak = "Why do cats purr at night?", "12 30 45 plus 7 8 19 21 22 is 5 6 71 80"
+    mixed = "Compute 12 times 15 plus 7"
+    docs = {1: clean(1) + " " + short + " " + clean(2), 2: clean(3) + "\n" + weak + "\n" + clean(4), 3: short,
+            4: "so " + weak.replace("19", "20").replace("45", "44").replace("5 6", "5 9"), 5: clean(5), 6: None, 7: "why do cats purr",
+            8: f"then {mixed.lower()} and {clean(6)}", 9: f"then {mixed.replace('15', '16')} and {clean(6)}"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    items = [(0, short), (1, weak), (2, mixed), (3, "a b"), (4, None)]
+    got = leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 0), (3, 0), (2, 1), (8, 2)}
+    assert all(r.share == 1 and r.verbatim for r in got)
