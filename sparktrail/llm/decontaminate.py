@@ -6,9 +6,13 @@ words are lower-cased and stand alone.  A question whose numbers or names were
 replaced keeps its form.  Windows of ``WINDOW`` canonical words are hashed, and
 the windows of the documents are joined with those of the benchmark.  Windows
 found on one diagonal (same document, item, and difference of places) make up a
-candidate; it counts as a leak if they cover at least ``COVER`` of the item's
-windows and its slots are consistent: within the candidate, equal slot values of
-the item have equal values in the document and the other way round.
+candidate, and so do those of diagonals that lie at most ``MAX_DRIFT`` words
+apart, one after the other, since each inserted or deleted word starts a new one;
+there, a place of the document and one of the item count once, on the diagonal
+that has more.  A candidate counts as a leak if it covers at least ``COVER`` of
+the item's windows, or a diagonal covers ``RUN`` words of the item in a row, and
+if its slots are consistent: within the candidate, equal slot values of the item
+have equal values in the document and the other way round.
 
 Only DataFrame functions are used.  The windows of the benchmark are written
 down first and broadcast if they are at most ``MAX_BROADCAST`` rows; beyond, the
@@ -28,11 +32,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import col, stored
 
 WINDOW = 8
 COVER = 0.5
+#: Words by which neighbouring diagonals of one candidate differ, at most; words in a row that are a leak by themselves.
+MAX_DRIFT, RUN = 8, 13
 #: Words of a window that are not placeholders, at least.
 MIN_WORDS = 4
 MAX_BROADCAST = 500_000
@@ -121,6 +128,37 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
         "item", "at", "size", "strict", "h", "asked", F.when(F.col("told") > 0, F.col("told")).otherwise(F.col("all")).alias("of"))
 
 
+def _candidates(hits: DataFrame) -> DataFrame:
+    """(key, item, cand, at, size, of, asked, found): the hits of each diagonal, and again those of neighbouring ones."""
+    pair = Window.partitionBy("key", "item")
+    kept = ["size", "of", "asked", "found"]
+    cand = lambda merged, at: F.struct(F.lit(merged).alias("merged"), at.alias("at")).alias("cand")
+    single = hits.select("key", "item", cand(False, F.col("shift")), "at", *kept)
+    apart = F.coalesce(F.col("shift") - F.lag("shift").over(pair.orderBy("shift")) > MAX_DRIFT, F.lit(False))
+    rows = hits.withColumn("apart", apart.cast("int"))
+    rows = rows.withColumn("cluster", F.sum("apart").over(pair.orderBy("shift"))).withColumn(
+        "rank", F.struct(F.count(F.lit(1)).over(Window.partitionBy("key", "item", "shift")).alias("n"), (-F.col("shift")).alias("s")))
+    near = Window.partitionBy("key", "item", "cluster")
+    rows = rows.withColumn("several", F.max("shift").over(near) > F.min("shift").over(near)).where("several")
+    each = ["key", "item", "cluster"]
+    best = lambda by, other: rows.groupBy(*each, by).agg(
+        F.max_by(F.struct(other, "rank", *kept), "rank").alias("b"))
+    rows = best("place", "at").select(*each, "place", "b.*")
+    rows = best("at", "place").select(*each, "at", "b.*")
+    return single.unionByName(rows.select("key", "item", cand(True, F.col("cluster").cast("int")), "at", *kept))
+
+
+def _run(ats: Column, size: Column) -> Column:
+    """The most words in a row that windows at these sorted places cover."""
+    start = F.struct(F.lit(0).alias("first"), F.lit(-1).alias("end"), F.lit(0).alias("best"))
+
+    def step(s: Column, at: Column) -> Column:
+        first = F.when(at <= s["end"], s["first"]).otherwise(at)
+        return F.struct(first.alias("first"), (at + size).alias("end"), F.greatest(s["best"], at + size - first).alias("best"))
+
+    return F.aggregate(ats, start, step, lambda s: s["best"])
+
+
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """A row for each (id, text hash, item) that leaks: share of the item's windows found, number of its slot values,
@@ -134,10 +172,12 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
         "key", "w.place", "w.h", F.when(F.size("w.slots") > 0, F.col("w.slots")).alias("found"))
     hits = each.join(F.broadcast(items) if few else items, "h").where(
         ~F.col("strict") | F.col("asked").eqNullSafe(F.col("found"))).select(
-        "key", "item", "at", (F.col("place") - F.col("at")).alias("shift"), "of", "asked", "found")
-    hits = stored(hits, "hits")
-    group = ["key", "item", "shift"]
-    share = hits.groupBy(*group).agg((F.count_distinct("at") / F.max("of")).alias("share")).where(F.col("share") >= cover)
+        "key", "item", "at", "place", (F.col("place") - F.col("at")).alias("shift"), "size", "of", "asked", "found")
+    hits = _candidates(stored(hits, "hits"))
+    group = ["key", "item", "cand"]
+    share = hits.groupBy(*group).agg(F.array_sort(F.collect_set("at")).alias("ats"), F.max("of").alias("of"), F.max("size").alias("size"))
+    share = share.select(*group, (F.size("ats") / F.col("of")).alias("share"), _run(F.col("ats"), F.col("size")).alias("run"))
+    share = share.where((F.col("share") >= cover) | (F.col("run") >= RUN) & ~F.col("cand.merged"))
     pairs = hits.where(F.size("asked") > 0).select(*group, F.explode(F.arrays_zip("asked", "found")).alias("p"))
     pairs = pairs.select(*group, "p.*").distinct()
     told = pairs.groupBy(*group).agg(

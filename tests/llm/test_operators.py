@@ -447,3 +447,20 @@ def test_decontaminate_short_and_weak_items(spark):
     got = leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 0), (3, 0), (2, 1), (8, 2)}
     assert all(r.share == 1 and r.verbatim for r in got)
+
+
+def test_decontaminate_inserted_words_and_long_passages(spark):
+    """An item with a word put in or left out in its middle, and a passage quoted from a long item."""
+    from sparktrail.llm.decontaminate import leaks
+
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(190)]
+    item, long_ = words[:40], words[40:]
+    docs = {1: item[:20] + ["oops"] + item[20:], 2: item[:20] + item[21:], 3: long_[45:105], 4: item[:12], 5: long_[:12],
+            6: item[:9] + ["far"] * 40 + item[30:], 7: item[:13]}
+    docs = [(i, f"{clean(i)} {' '.join(w)} {clean(i + 9)}") for i, w in docs.items()]
+    docs.append((8, "buffalo " * 8 + clean(8)))  # one window of an item that is one window over and over
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(0, " ".join(item)), (1, " ".join(long_)), (2, "buffalo " * 20)]
+    got = leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): round(r.share * (33 if r.item_id == 0 else 143)) for r in got} == {
+        (1, 0): 26, (2, 0): 25, (3, 1): 53, (7, 0): 6}
