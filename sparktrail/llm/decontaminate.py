@@ -2,8 +2,11 @@
 
 Texts are put into a canonical form: numbers become a typed placeholder, so do
 names (capitalised words inside a sentence) and units after a number; all other
-words are lower-cased and stand alone.  A question whose numbers or names were
-replaced keeps its form.  Windows of ``WINDOW`` canonical words are hashed, and
+words are lower-cased and stand alone.  A capitalised word elsewhere, as at a
+sentence's start, is a name in a document that has it as a name inside a sentence
+too and never in lower case; a window of the benchmark has a row for each way to
+read such words, so that it meets either form.  A question whose numbers or names
+were replaced keeps its form.  Windows of ``WINDOW`` canonical words are hashed, and
 the windows of the documents are joined with those of the benchmark.  Windows
 found on one diagonal (same document, item, and difference of places) make up a
 candidate, and so do those of diagonals that lie at most ``MAX_DRIFT`` words
@@ -12,7 +15,7 @@ there, a place of the document and one of the item count once, on the diagonal
 that has more.  A candidate counts as a leak if it covers at least ``COVER`` of
 the item's windows, or a diagonal covers ``RUN`` words of the item in a row, and
 if its slots are consistent: within the candidate, equal slot values of the item
-have equal values in the document and the other way round.
+have equal values in the document (different ones may have become equal).
 
 Only DataFrame functions are used.  The windows of the benchmark are written
 down first and broadcast if they are at most ``MAX_BROADCAST`` rows; beyond, the
@@ -48,16 +51,29 @@ UNITS = ("mm cm m km in ft yd mi mg g kg lb oz ml l s sec min h hr hours minutes
          "percent dollars euros usd eur meters metres miles kilometers kilometres grams pounds liters litres").split()
 
 _NAME = "\u0001"  # stands before a word that is a name; can't be part of a word itself
+_MAYBE = "\u0002"  # stands before a capitalised word that isn't inside a sentence
 
 
 def _words(text: Column) -> Column:
-    """Words, lower-cased; names have a mark before them.  Numbers may have points and commas inside."""
-    clean = F.translate(text, _NAME, " ")
+    """Words, lower-cased, with a mark before names and another before words that may be names.  Numbers may have points
+    and commas inside."""
+    clean = F.translate(text, _NAME + _MAYBE, "  ")
     marked = F.regexp_replace(clean, r"(?<=[\p{L}\p{N},;:)] )(?=\p{Lu}\p{Ll})", _NAME)
-    return F.array_remove(F.split(F.lower(marked), rf"(?:(?!(?<=\p{{N}})[.,](?=\p{{N}}))[^\p{{L}}\p{{M}}\p{{N}}{_NAME}])+"),
+    marked = F.regexp_replace(marked, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{_NAME}])(?=\p{{Lu}}\p{{Ll}})", _MAYBE)
+    return F.array_remove(F.split(F.lower(marked), rf"(?:(?!(?<=\p{{N}})[.,](?=\p{{N}}))[^\p{{L}}\p{{M}}\p{{N}}{_NAME}{_MAYBE}])+"),
                           "")
 
 
+def _bare(word: Column) -> Column:
+    return F.substring(word, 2, 1 << 30)
+
+
+def _names(words: Column) -> Column:
+    """The words that may be names and are: those that are names elsewhere in the text, and nowhere in lower case."""
+    marked = lambda mark: F.transform(F.filter(words, lambda w: w.startswith(mark)), _bare)
+    return F.array_except(F.array_intersect(marked(_MAYBE), marked(_NAME)), words)
+
+
 def _code(word: Column, before: Column) -> Column:
     """The hash of an ordinary word, else its kind of placeholder: 1 number, 2 name, 3 unit."""
     number = lambda w: w.between("0", "9\U0010FFFF")
@@ -68,6 +84,11 @@ def _code(word: Column, before: Column) -> Column:
 def _coded(texts: DataFrame) -> DataFrame:
     """(key, words, n, codes) of each text."""
     rows = texts.select("key", _words(F.col("text")).alias("words"))
+    # the names are bound once as an element, so that they aren't worked out again for each word
+    read = F.transform(F.array(_names(F.col("words"))), lambda names: F.transform("words", lambda w: F.when(
+        w.startswith(_MAYBE), F.concat(F.when(F.array_contains(names, _bare(w)), F.lit(_NAME)).otherwise(""), _bare(w)))
+        .otherwise(w)))
+    rows = rows.select("key", F.get(read, 0).alias("words"))
     return rows.select("key", "words", F.size("words").alias("n"), F.transform(
         "words", lambda w, i: _code(w, F.get("words", i - 1))).alias("codes"))
 
@@ -106,25 +127,41 @@ def _text(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
+def _readings(words: Column) -> Column:
+    """All ways to read a window's words that may be names, as names or not; first the one without."""
+    both = lambda v, w: F.array(F.array_append(v, _bare(w)), F.array_append(v, F.concat(F.lit(_NAME), _bare(w))))
+    return F.aggregate(words, F.array(F.array().cast("array<string>")), lambda vs, w: F.when(
+        w.startswith(_MAYBE), F.flatten(F.transform(vs, lambda v: both(v, w)))).otherwise(
+        F.transform(vs, lambda v: F.array_append(v, w))))
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """(item, at, size, strict, h, asked, of): the windows of each item that can be told apart, their number of words,
-    whether their slot values must be the document's, their slot values (null if none), and their number.
+    """(item, at, size, strict, h, asked, of): the windows of each item that can be told apart, each once for each way to
+    read it, their number of words, whether their slot values must be the document's, their slot values (null if none),
+    and their number.
 
     An item is its id and text, so that repeated rows count once."""
     key = F.struct(col(id_col).alias("id"), F.xxhash64(_text(text_col)).alias("t")).alias("key")
-    rows = _coded(benchmark.select(key, _text(text_col).alias("text")).distinct()).where(F.col("n") >= MIN_WORDS)
-    each = rows.select("key", "words", "codes", F.least("n", F.lit(window)).alias("size"), F.explode(F.sequence(
-        F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))).alias("at"))
-    plain = F.size(F.filter(F.slice("codes", F.col("at") + 1, F.col("size")), lambda c: ~_is_slot(c)))
-    asked = _held(F.col("at"), F.col("size"))
-    each = each.select(F.col("key").alias("item"), "at", "size", (plain < MIN_WORDS).alias("strict"),
-                       F.xxhash64(F.slice("codes", F.col("at") + 1, F.col("size"))).alias("h"),
+    rows = benchmark.select(key, _text(text_col).alias("text")).distinct()
+    rows = rows.select("key", _words(F.col("text")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    n = F.size("words")
+    each = rows.select("key", "words", F.least(n, F.lit(window)).alias("size"), F.explode(F.sequence(
+        F.lit(0), F.greatest(n - window, F.lit(0)))).alias("at"))
+    each = each.select(F.col("key").alias("item"), "at", "size", F.get("words", F.col("at") - 1).alias("before"),
+                       _readings(F.slice("words", F.col("at") + 1, F.col("size"))).alias("readings"))
+    each = each.select("item", "at", "size", F.transform("readings", lambda v: F.struct(v.alias("words"), F.transform(
+        v, lambda w, j: _code(w, F.coalesce(F.get(v, j - 1), F.col("before")))).alias("codes"))).alias("readings"))
+    few_plain = lambda v: F.size(F.filter(v["codes"], lambda c: ~_is_slot(c))) < MIN_WORDS
+    each = each.select("item", "at", "size", few_plain(F.get("readings", 0)).alias("weak"), F.explode("readings").alias("v"))
+    v = F.col("v")
+    asked = F.filter(v["words"], lambda w, j: _is_slot(F.get(v["codes"], j)))
+    each = each.select("item", "at", "size", "weak", few_plain(v).alias("strict"), F.xxhash64(v["codes"]).alias("h"),
                        F.when(F.size(asked) > 0, asked).alias("asked"))
     count = each.groupBy(F.col("item").alias("item_")).agg(
-        F.count_if(~F.col("strict")).alias("told"), F.count(F.lit(1)).alias("all"))
+        F.count_distinct(F.when(~F.col("weak"), F.col("at"))).alias("told"), F.count_distinct("at").alias("all"))
     same = F.col("item").eqNullSafe(F.col("item_"))
-    return each.join(count, same).where((F.col("told") == 0) | ~F.col("strict")).select(
+    return each.join(count, same).where((F.col("told") == 0) | ~F.col("weak")).select(
         "item", "at", "size", "strict", "h", "asked", F.when(F.col("told") > 0, F.col("told")).otherwise(F.col("all")).alias("of"))
 
 
@@ -182,12 +219,11 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     pairs = pairs.select(*group, "p.*").distinct()
     told = pairs.groupBy(*group).agg(
         F.count(F.lit(1)).alias("pairs"), F.count_distinct("asked").alias("asked"),
-        F.count_distinct("found").alias("found"), F.min(F.col("asked") == F.col("found")).alias("same"))
+        F.min(F.col("asked") == F.col("found")).alias("same"))
     same_group = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in group]
     both = share.alias("s").join(told.alias("t"), same_group[0] & same_group[1] & same_group[2], "left").select(
         "s.key", "s.item", "s.share", F.coalesce("t.asked", F.lit(0)).alias("n_slots"),
-        F.coalesce((F.col("t.pairs") == F.col("t.asked")) & (F.col("t.pairs") == F.col("t.found")), F.lit(True))
-        .alias("consistent"), F.coalesce("t.same", F.lit(True)).alias("verbatim"))
+        F.coalesce(F.col("t.pairs") == F.col("t.asked"), F.lit(True)).alias("consistent"), F.coalesce("t.same", F.lit(True)).alias("verbatim"))
     best = both.where("consistent").groupBy("key", F.col("item.id").alias("item")).agg(F.max(F.struct("share", "verbatim", "n_slots")).alias("b"))
     return best.select(F.col("key.id").alias(id_col), F.col("key.t").alias("text_hash"), F.col("item").alias(item_col),
                        "b.share", "b.n_slots", "b.verbatim")

@@ -464,3 +464,16 @@ def test_decontaminate_inserted_words_and_long_passages(spark):
     got = leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id): round(r.share * (33 if r.item_id == 0 else 143)) for r in got} == {
         (1, 0): 26, (2, 0): 25, (3, 1): 53, (7, 0): 6}
+
+
+def test_decontaminate_names_at_a_sentence_start_and_values_that_became_equal(spark):
+    from sparktrail.llm.decontaminate import leaks
+
+    item = "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have now?"
+    docs = {1: item, 2: item.replace("Tom", "Anna"), 3: item.replace("5", "7").replace("3", "7"),
+            4: f"{clean(1)} {item.replace('Tom', 'Anna').replace('5', '8')} {clean(2)}",
+            5: f"From the book How: {item} ", 6: item.replace("How many", "Wie viele").replace("has", "eats").replace("buys", "sells")}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = leaks(df, spark.createDataFrame([(0, item), (1, clean(5) + " 4 and 6")], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.share, r.verbatim) for r in got if r.item_id == 0} == {
+        (1, 1.0, True), (2, 1.0, False), (3, 1.0, False), (4, 1.0, False), (5, 1.0, True)}
