@@ -5,7 +5,8 @@ words are streamed through it, which gives for each place the longest run of
 words ending there that occurs in any template, and the template places where
 it occurs.  Maximal runs of at least ``MIN_RUN`` words are chained, template by
 template, into spans whose matches advance in both the text and the template;
-a span that covers enough of its template gives the template's label.  The
+each span that covers enough of its template gives the template's label, as often
+as the notice stands in the text (of overlapping ones, the best).  The
 short base phrases are templates too: a phrase ends at a place if its state is
 the current one, or a suffix link above it, and the run is long enough.
 
@@ -19,6 +20,7 @@ on a text's length, and memory grows with one text at a time.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -147,8 +149,8 @@ class Scanner:
         self.automaton = Automaton([words_of(p) for p, _ in self.phrases] + [w for _, w in self.templates])
 
     def _chains(self, matches: list[tuple[int, int, list[tuple[int, int]]]]) -> list[tuple[str, int, int, float]]:
-        """(label, first word, end, share covered) of the best chain of each template that covers enough."""
-        base, best = len(self.phrases), {}
+        """(label, first word, end, share covered) of all chains that cover enough; of a template's overlapping ones, the best."""
+        base, enough = len(self.phrases), {}
         open_: dict[int, list[tuple[int, int, int, int]]] = {}  # template: (text end, template end, covered, start)
         for start, length, ends in matches:
             for number, place in ends:
@@ -161,13 +163,17 @@ class Scanner:
                     if end <= start + length and t_end < place + 1 and new > 0 and had + new > covered:
                         covered, first = had + new, begun
                 open_[number] = [*near, (start + length, place + 1, covered, first)]
-                if covered > best.get(number, (0,))[0]:
-                    best[number] = (covered, first, start + length)
+                if covered >= MIN_COVER * len(self.templates[number - base][1]):
+                    enough.setdefault(number, []).append((covered, first, start + length))
         out = []
-        for number, (covered, first, end) in best.items():
+        for number, chains in enough.items():
             label, words = self.templates[number - base]
-            if covered >= MIN_COVER * len(words):
-                out.append((label, first, end, min(1.0, covered / len(words))))
+            taken: list[tuple[int, int]] = []  # in order, apart from each other
+            for covered, first, end in sorted(chains, key=lambda c: -c[0]):
+                i = bisect_left(taken, (first, end))
+                if (i == 0 or taken[i - 1][1] <= first) and (i == len(taken) or end <= taken[i][0]):
+                    taken.insert(i, (first, end))
+                    out.append((label, first, end, min(1.0, covered / len(words))))
         return out
 
     def scan(self, text: str) -> dict:

@@ -477,3 +477,15 @@ def test_decontaminate_names_at_a_sentence_start_and_values_that_became_equal(sp
     got = leaks(df, spark.createDataFrame([(0, item), (1, clean(5) + " 4 and 6")], "item_id long, text string")).collect()
     assert {(r.doc_id, r.share, r.verbatim) for r in got if r.item_id == 0} == {
         (1, 1.0, True), (2, 1.0, False), (3, 1.0, False), (4, 1.0, False), (5, 1.0, True)}
+
+
+def test_license_spans_of_repeated_notices():
+    from sparktrail.llm.license_scan import TEMPLATES, Scanner, words_of
+
+    mit, apache = TEMPLATES["mit"], TEMPLATES["apache"]
+    text = " ".join([mit, "x " * 40, apache, mit.replace("this software", "this program"), mit, "y " * 5, apache])
+    words, spans = words_of(text), Scanner().scan(text)["spans"]
+    found = [s for s in sorted(spans, key=lambda s: s[1]) if s[0] in ("mit", "apache")]
+    assert [s[0] for s in found] == ["mit", "apache", "mit", "mit", "apache"]
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+    assert words[found[3][1]:found[3][2]] == words_of(mit) and found[3][3] == 1.0
