@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import brute
 import pytest
-from conftest import clean
+from cases import clean
 
 from sparktrail.llm import registry
 from sparktrail.llm.common import table
