@@ -11,6 +11,3 @@ def spark():
     from sparktrail.session import get_spark
     s = get_spark("local[4]", shuffle_partitions=4)
     yield s
-
-
-SMOKE = "/root/testdata/sf0.001"

@@ -92,7 +92,7 @@ def test_replayed_batch_doubles_nothing_and_corrupt_objects_land(spark, tmp_path
     from sparktrail.plans import adapters as A
     from sparktrail.plans import raw_adapter as RA
     from sparktrail.streaming.ingest import process_batch
-    from conftest import SMOKE
+    from smoke import SMOKE
     objects = RA.raw_objects(A.base_events(spark, SMOKE)).select("path", "text")
     bad = spark.createDataFrame([("broken", "{no json")], "path string, text string")
     root, stats = str(tmp_path / "clean"), str(tmp_path / "stats")
@@ -162,6 +162,6 @@ def test_unknown_windowing_is_an_error():
 def test_order_revenue_reads_the_lines_twice(spark):
     from sparktrail.operators.orders import order_revenue
     from sparktrail.plans.registry import lineitem_lines
-    from conftest import SMOKE
+    from smoke import SMOKE
     plan = order_revenue(lineitem_lines(spark, SMOKE))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2

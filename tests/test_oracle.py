@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from conftest import SMOKE  # noqa: E402
+from smoke import SMOKE  # noqa: E402
 
 SAMPLE = ["roas_lifetime_mixed", "roas_daily_tt0_cc3", "roas_lifetime_tt1_cc4", "coupon_reach", "campaign_assembly",
           "banner_revenue", "site_daily_totals", "order_revenue", "tracker_stats", "event_stats", "ad_growth",

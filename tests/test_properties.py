@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from smoke import SMOKE
 
 
 @settings(max_examples=8, deadline=None)

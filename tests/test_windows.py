@@ -21,7 +21,7 @@ def test_in_window_matches_between(spark, ts, lo, hi, expected):
 
 
 def test_table_scan_adds_no_exchange(spark):
-    from conftest import SMOKE
+    from smoke import SMOKE
     from sparktrail.plans.adapters import read_table
     plan = read_table(spark, SMOKE, "events")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
