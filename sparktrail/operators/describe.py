@@ -13,6 +13,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparktrail.plans.materialize import materialize
+from sparktrail.plans.sizing import maybe_broadcast
+
 
 def _edges(mn: Column, mx: Column, n: int):
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
@@ -29,11 +32,11 @@ def histogram(df: DataFrame, value: str, n_bins: int, group=(), density: bool =
     st = df.where(x.isNotNull()).groupBy(*g).agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"),
                                                   F.count(F.lit(1)).alias("_tot"))
     lo, hi = _edges(F.col("_mn"), F.col("_mx"), n_bins)
-    st = st.select(*g, lo.alias("_lo"), hi.alias("_hi"), "_tot",
-                   ((hi - lo) / F.lit(float(n_bins))).alias("_step"))
+    st = materialize(st.select(*g, lo.alias("_lo"), hi.alias("_hi"), "_tot",
+                               ((hi - lo) / F.lit(float(n_bins))).alias("_step")))
     j = df.where(x.isNotNull()).select(*g, x.alias("_x"))
     if g:
-        j = j.join(st, g)
+        j = j.join(maybe_broadcast(st), g)
     else:
         j = j.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k").drop("_k")
 
@@ -101,7 +104,7 @@ def zscore(df: DataFrame, cols: list[str], group=()) -> DataFrame:
     st = df.groupBy(*g).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols],
                             *[F.stddev_samp(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols])
     if g:
-        j = df.join(st, g)
+        j = df.join(maybe_broadcast(materialize(st)), g)
     else:
         j = df.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k").drop("_k")
     for c in cols:

@@ -1,21 +1,21 @@
 """Purchase-propensity model operators.
 
 Scoring, labelling, precision, ranks and histograms are column expressions
-and aggregations; the logistic fit is Spark ML (distributed gradient
-aggregation); only the <= 100-point polynomial fits of M14/M15 run in pandas
-(``applyInPandas`` per campaign on already-binned rows).
+and aggregations; the logistic fits of all tenants are Newton steps of one
+aggregate each (``logistic``); the polynomial fits of M14/M15 are expressions
+over the <= 100 bins of a tenant (``polyfit``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparktrail.functions.dates import lit_date
 from sparktrail.functions.scalars import csv_doubles, sigmoid
+from sparktrail.operators import polyfit
 from sparktrail.operators.describe import histogram
-from sparktrail.operators.ordered import nth_largest, running_totals
+from sparktrail.operators.ordered import at_rank, rank_table, running_totals
 from sparktrail.plans.sizing import maybe_broadcast
 
 
@@ -84,12 +84,9 @@ def roc_points(df: DataFrame, group=("web_id",), prob: str = "prob", label: str
     g = list(group)
     d = df.groupBy(*g, F.col(prob).alias("threshold")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"), F.sum(1 - F.col(label).cast("double")).alias("neg"))
-    tot = d.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    r = running_totals(d, g, [F.col("threshold").desc()], sums=["pos", "neg"])
-    return (r.join(tot, g) if g else r.crossJoin(tot)).select(
-        *g, "threshold",
-        F.try_divide(F.col("_cum_neg"), F.col("N")).alias("fpr"),
-        F.try_divide(F.col("_cum_pos"), F.col("P")).alias("tpr"))
+    r = running_totals(d, g, [F.col("threshold").desc()], sums=["pos", "neg"], totals=True)
+    return r.select(*g, "threshold", F.try_divide(F.col("_cum_neg"), F.col("_total_neg")).alias("fpr"),
+                    F.try_divide(F.col("_cum_pos"), F.col("_total_pos")).alias("tpr"))
 
 
 def feature_corr(df: DataFrame, features: list[str], group=("web_id",), label: str = "is_purchased") -> DataFrame:
@@ -109,47 +106,22 @@ def mining_window(df: DataFrame, settings: DataFrame, as_of, ts: str = "date_tim
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.3, seed: int = 25, keys=("uuid", "session_id")) -> DataFrame:
-    """Deterministic hash split, stable under repartitioning and task
-    retries; adds ``is_test``."""
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000))
-    return df.withColumn("is_test", (h < int(round(test_size * 10000))).cast("int"))
-
-
-def train_logistic(df: DataFrame, features: list[str], label: str = "is_purchased", C: float = 1.0):
-    """L2 logistic regression with scikit-learn defaults (C=1,
-    intercept not penalised, no scaling): regParam = 1 / (C * n). A null
-    feature counts as 0; rows without a label are no training rows.
-
-    Returns (coefficients list, intercept, rows, rows with a null feature)."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    some_null = F.greatest(*[F.col(c).isNull().cast("int") for c in features], F.lit(0)).alias("_null")
-    data = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="error").transform(
-        df.where(F.col(label).isNotNull()).select(
-            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
-            F.col(label).cast("double").alias("_y"), some_null))
-    n, n_null = data.agg(F.count(F.lit(1)), F.coalesce(F.sum("_null"), F.lit(0))).first()
-    lr = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=1.0 / (C * max(n, 1)),
-                            elasticNetParam=0.0, standardization=False, fitIntercept=True, maxIter=200, tol=1e-10)
-    m = lr.fit(data)
-    return list(m.coefficients.toArray()), float(m.intercept), n, n_null
-
-
-def train_models(features_df: DataFrame, settings: DataFrame, tenants: list[str], features: list[str]) -> DataFrame:
-    """M01 + M18 per tenant ('default' = all tenants): model record rows
-    (web_id, model_value csv with 8 decimals, model_intercept) and how many
-    rows were used, and of these had a null feature. The features are written
-    once and read by every fit."""
-    from sparktrail.plans.materialize import materialize
-    spark = features_df.sparkSession
-    features_df = materialize(features_df.select("web_id", "is_purchased", *features))
-    rows = []
-    for w in tenants:
-        d = features_df if w == "default" else features_df.where(F.col("web_id") == w)
-        coef, b, n, n_null = train_logistic(d, features)
-        rows.append((w, ",".join(f"{c:.8f}" for c in coef), b, n, n_null))
-    return spark.createDataFrame(rows, "web_id string, model_value string, model_intercept double, n_rows long, "
-                                       "n_null_rows long")
+    """Deterministic split, stable under repartitioning and task retries; adds ``is_test``. A row's lot is the
+    number in the first 8 hex digits of the MD5 digest of its keys and the seed, joined by ``|`` (a null is empty), so any
+    engine draws the same."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    lot = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10000
+    return df.withColumn("is_test", (lot < int(round(test_size * 10000))).cast("int"))
+
+
+def train_models(features_df: DataFrame, settings: DataFrame, features: list[str], C: float = 1.0) -> DataFrame:
+    """M01 + M18 for every tenant of the settings that has rows, and 'default' for all of them: model record rows
+    (web_id, model_value csv with 8 decimals, model_intercept) and how many rows were used, and of these had a null
+    feature."""
+    from sparktrail.operators.logistic import fit_tenants
+    mine = features_df.join(maybe_broadcast(settings.select("web_id").distinct()), "web_id", "left_semi")
+    fits = model_record(fit_tenants(mine, features, C=C))
+    return fits.select("web_id", "model_value", F.col("intercept").alias("model_intercept"), "n_rows", "n_null_rows")
 
 
 def model_record(coefs: DataFrame) -> DataFrame:
@@ -173,11 +145,12 @@ def traffic_and_rank_bound(scored: DataFrame, budgets: DataFrame, params: DataFr
          .withColumn("_pos", F.when(F.col("_target") >= F.col("max_n_coupon"),
                                     F.floor(F.col("max_n_coupon") * F.col("n_day")))
                              .otherwise(F.expr("cast(avg_n_coupon * n_day * n_weight as bigint)")).cast("bigint") - 1))
-    ranked = nth_largest(scored.select("web_id", "uuid", "prob"), ["web_id"], "prob", ["uuid"])
-    n = ranked.select("web_id", "_n").distinct()
+    from sparktrail.plans.materialize import materialize
+    table = materialize(rank_table(scored, ["web_id"], "prob").withColumnRenamed("prob", "_raw"))
+    n = table.groupBy("web_id").agg(F.max("total").alias("_n"))  # a row per tenant, for a row per campaign
     b = b.join(n, "web_id").withColumn("_rank", F.when(F.col("_pos") < 0, F.col("_pos") + F.col("_n"))
                                        .otherwise(F.col("_pos")) + 1)
-    picked = b.join(ranked.select("web_id", "_rank", F.col("prob").alias("_raw")), ["web_id", "_rank"], "left")
+    picked = at_rank(table, b, ["web_id"], "_raw", "_rank")
     limit = sigmoid(F.col("_b"))
     return picked.select("id", "web_id", "avg_n_coupon", "max_n_coupon",
                          F.when(F.col("_raw") <= limit, limit * 1.1).otherwise(F.col("_raw")).alias("lower_bound"),
@@ -187,17 +160,18 @@ def traffic_and_rank_bound(scored: DataFrame, budgets: DataFrame, params: DataFr
 def counts_above(scored: DataFrame, bounds: DataFrame) -> DataFrame:
     """(id, _n, _tp): visitors of the campaign's tenant with ``lower_bound <= prob <= 1``, and the purchasers of them.
 
-    The bounds are sorted in among the scores, and the running totals at a
-    bound's place are its counts: as many rows as visitors and campaigns, no pairs."""
+    The bounds are sorted in among the distinct scores, and the running totals at a
+    bound's place are its counts: as many rows as scores and campaigns, no pairs."""
     kind = bounds.schema["id"].dataType
     inside = (F.col("prob") <= 1).cast("double")
-    visitors = scored.select("web_id", F.col("prob").alias("p"), F.lit(None).cast("string").alias("campaign"),
-                             inside.alias("n"), (inside * (F.col("is_purchased") == 1).cast("double")).alias("tp"))
+    scores = scored.where(F.col("prob").isNotNull()).groupBy("web_id", F.col("prob").alias("p")).agg(
+        F.sum(inside).alias("n"), F.sum(inside * F.coalesce((F.col("is_purchased") == 1).cast("double"), F.lit(0.0))).alias("tp"))
+    visitors = scores.select("web_id", "p", F.lit(None).cast("string").alias("campaign"), "n", "tp")
     marks = bounds.where(F.col("lower_bound").isNotNull()).select(
         "web_id", F.col("lower_bound").alias("p"), F.col("id").cast("string").alias("campaign"),
         F.lit(0.0).alias("n"), F.lit(0.0).alias("tp"))
     order = [F.col("p").desc(), F.col("campaign").asc_nulls_first()]
-    run = running_totals(visitors.where(F.col("p").isNotNull()).unionByName(marks), ["web_id"], order, ["n", "tp"])
+    run = running_totals(visitors.unionByName(marks), ["web_id"], order, ["n", "tp"])
     return run.where(F.col("campaign").isNotNull()).select(
         F.col("campaign").cast(kind).alias("id"), F.col("_cum_n").cast("bigint").alias("_n"),
         F.col("_cum_tp").cast("bigint").alias("_tp"))
@@ -225,55 +199,33 @@ def bound_assembly(scored: DataFrame, budgets: DataFrame, params: DataFrame, use
         (tp.cast("double") / (n.cast("double") + F.lit(0.1))).alias("model_precision"))
 
 
-_POLY_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
-                             T.StructField("x0", T.DoubleType()), T.StructField("x1", T.DoubleType())])
-
-
-def _polyfit_group(deg: int, keep_above):
-    import numpy as np
-    import pandas as pd
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bin")
-        x, y = pdf["cum"].to_numpy(float), pdf["left"].to_numpy(float)
-        if keep_above is not None:
-            m = y > keep_above
-            x, y = x[m], y[m]
-        if len(x) == 0:
-            return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [None], "x0": [None], "x1": [None]})
-        # thin data: no more coefficients than distinct points
-        coef = np.polyfit(x, y, min(deg, len(np.unique(x)) - 1))
-        return pd.DataFrame({"id": [int(pdf["id"].iloc[0])], "coef": [list(map(float, coef))], "x0": [float(x[0])],
-                             "x1": [float(x[-1])]})
-    return fit
-
-
-def polyval(coef: Column, x: Column) -> Column:
-    """Horner evaluation of a coefficient array (highest power first)."""
-    return F.aggregate(coef, F.lit(0.0), lambda acc, c: acc * x + c)
+def _points(h: DataFrame, x: Column) -> DataFrame:
+    """(web_id, x, y): a tenant's bins in order as arrays, at most as long as there are bins."""
+    return (h.groupBy("web_id").agg(F.sort_array(F.collect_list(F.struct("bin", x.alias("x"), F.col("left").alias("y"))))
+                                    .alias("p")).select("web_id", F.col("p.x").alias("x"), F.col("p.y").alias("y")))
 
 
 def fitted_curve_bound(scored: DataFrame, budgets: DataFrame, params: DataFrame,
                        bins: int = 100, deg: int = 10, min_prob: float = 0.06) -> DataFrame:
-    """100-bin histogram of scores per campaign's tenant, per-day reverse
+    """100-bin histogram of scores per tenant, per-day reverse
     cumulative counts, bins with left edge > 0.06, degree-10 polynomial
-    prob(cumulative) evaluated at min(target, first cumulative); same floor
-    as M13. The histogram is Spark; the fit sees <= 100 rows per campaign."""
+    prob(cumulative), evaluated for each campaign at min(target, first
+    cumulative) and not below the last; same floor as M13. One fit per tenant."""
     h = histogram(scored, "prob", bins, group=["web_id"])
     pr = params.select("web_id", "n_day", "n_weight", "_b")
-    w = Window.partitionBy("web_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = (h.join(maybe_broadcast(pr), "web_id")
-          .withColumn("_nw", F.col("count") / F.col("n_day"))
-          .withColumn("cum", F.sum("_nw").over(Window.partitionBy("web_id")) - F.sum("_nw").over(w)))
-    per_campaign = budgets.select("id", "web_id").join(h, "web_id")
-    fits = per_campaign.select("id", "bin", "left", "cum").groupBy("id").applyInPandas(
-        _polyfit_group(deg, min_prob), _POLY_SCHEMA)
-    b = budgets.join(maybe_broadcast(pr), "web_id").join(fits, "id", "left")
+    w = Window.partitionBy("web_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)  # of at most ``bins`` rows
+    above = F.sum("count").over(Window.partitionBy("web_id")) - F.sum("count").over(w)
+    h = h.withColumn("_above", above).join(maybe_broadcast(pr), "web_id").where(F.col("left") > min_prob)
+    points = _points(h, F.col("_above") / F.col("n_day"))
+    fits = points.select("web_id", polyfit.fit(F.col("x"), F.col("y"), deg).alias("fit"), F.col("x")[0].alias("x0"),
+                         F.element_at("x", -1).alias("x1"))
+    b = budgets.join(maybe_broadcast(pr), "web_id").join(fits, "web_id", "left")
     target = F.col("avg_n_coupon") * F.col("n_weight")
-    raw = polyval(F.col("coef"), F.greatest(F.least(target, F.col("x0")), F.col("x1")))
+    raw = polyfit.value_at(F.col("fit"), F.greatest(F.least(target, F.col("x0")), F.col("x1")))
     limit = sigmoid(F.col("_b"))
-    return b.select("id", "web_id", F.col("x0").alias("max_n_coupon"),
-                    F.when(raw <= limit, limit * 1.1).otherwise(raw).alias("lower_bound"))
+    return b.select("id", "web_id", F.col("x0").alias("max_n_coupon"), raw.alias("raw"), limit.alias("limit")).select(
+        "id", "web_id", "max_n_coupon", F.when(F.col("raw") <= F.col("limit"), F.col("limit") * 1.1)
+        .otherwise(F.col("raw")).alias("lower_bound"))
 
 
 def upper_bound_at(scored_test: DataFrame, params: DataFrame, n_coupon_per_day: float,
@@ -287,14 +239,13 @@ def upper_bound_at(scored_test: DataFrame, params: DataFrame, n_coupon_per_day:
                    .where(F.col("prob") > F.col("_lb"))
     h = histogram(s, "prob", bins, group=["web_id"])
     w = Window.partitionBy("web_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    h = (h.join(maybe_broadcast(pr), "web_id")
-          .withColumn("cum", F.sum(F.col("count") / F.col("test_size") / F.col("n_day")).over(w))
-          .withColumn("id", F.xxhash64("web_id")))
-    fits = h.select("id", "bin", "left", "cum").groupBy("id").applyInPandas(_polyfit_group(deg, None), _POLY_SCHEMA)
-    out = h.select("web_id", "id", "n_weight").distinct().join(fits, "id")
+    h = h.withColumn("_upto", F.sum("count").over(w)).join(maybe_broadcast(pr), "web_id")
+    points = _points(h, F.col("_upto") / F.col("test_size") / F.col("n_day"))
+    fits = points.select("web_id", polyfit.fit(F.col("x"), F.col("y"), deg).alias("fit"), F.col("x")[0].alias("x0"),
+                         F.element_at("x", -1).alias("x1")).join(maybe_broadcast(pr), "web_id")
     at = F.least(F.greatest(F.lit(float(n_coupon_per_day)) * F.col("n_weight"), F.col("x0")), F.col("x1"))
-    return out.select("web_id", F.least(F.greatest(polyval(F.col("coef"), at), F.lit(0.0)), F.lit(1.0))
-                      .alias("upper_bound"))
+    return fits.select("web_id", F.least(F.greatest(polyfit.value_at(F.col("fit"), at), F.lit(0.0)), F.lit(1.0))
+                       .alias("upper_bound"))
 
 
 def estimate_coupons(pred: DataFrame, params: DataFrame, test_size: float | None = None) -> DataFrame:

@@ -30,18 +30,42 @@ def _tagged(tables: dict[str, DataFrame], types, with_pb: bool) -> DataFrame:
 
 
 def _visitor_level(tagged: DataFrame) -> DataFrame:
-    s = tagged.groupBy("web_id", "date", "etype", "uuid", "session_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("pb").alias("pb"))
-    return s.groupBy("web_id", "date", "etype", "uuid").agg(
+    return _visitors(tagged.groupBy("web_id", "date", "etype", "uuid", "session_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("pb").alias("pb")))
+
+
+def _visitors(sessions: DataFrame) -> DataFrame:
+    return sessions.groupBy("web_id", "date", "etype", "uuid").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("ns"), F.max("pb").alias("pb"))
 
 
+def session_rows(clean: DataFrame, place: list[str]) -> DataFrame:
+    """A clean table as rows (web_id, place, uuid, session_id, n, pb): what the statistics need of it, in a form that
+    can be stored and added up."""
+    pb = F.col("is_purchased_before") if "is_purchased_before" in clean.columns else F.lit(0)
+    rows = clean.select("web_id", *place, "uuid", F.col("session_id").cast("string").alias("session_id"),
+                        (pb == 1).cast("int").alias("pb"))
+    return rows.groupBy("web_id", *place, "uuid", "session_id").agg(F.count(F.lit(1)).alias("n"), F.max("pb").alias("pb"))
+
+
+def merged_statistics(sessions: DataFrame) -> DataFrame:
+    """A18 from stored session rows (web_id, date, etype, uuid, session_id, n, pb), of which a session may have several."""
+    whole = sessions.groupBy("web_id", "date", "etype", "uuid", "session_id").agg(
+        F.sum("n").alias("n"), F.max("pb").alias("pb"))
+    visitors = _visitors(whole)
+    tracker, coupon = visitors.where(F.col("etype").isin(TRACKER_TYPES)), visitors.where(F.col("etype").isin(COUPON_TYPES))
+    return _tracker_counts(tracker, "load").join(_coupon_counts(coupon), ["web_id", "date"], "full")
+
+
 def tracker_statistics(tables: dict[str, DataFrame], tenants: str = "load") -> DataFrame:
     """Per (web_id, date): n_events / n_uuid / n_sessions for the six
     tracker event types, plus visitors with ``is_purchased_before = 1`` on
     load and on purchase. ``tenants='load'`` keeps only tenant-days with load
     events (as the reference); ``'any'`` keeps all."""
-    v = _visitor_level(_tagged(tables, TRACKER_TYPES, True))
+    return _tracker_counts(_visitor_level(_tagged(tables, TRACKER_TYPES, True)), tenants)
+
+
+def _tracker_counts(v: DataFrame, tenants: str) -> DataFrame:
     aggs = []
     for t in TRACKER_TYPES:
         is_t = F.col("etype") == t
@@ -61,7 +85,10 @@ def tracker_statistics(tables: dict[str, DataFrame], tenants: str = "load") -> D
 def coupon_statistics(tables: dict[str, DataFrame]) -> DataFrame:
     """Per (web_id, date): n_events / n_uuid of send, accept and
     discard coupon events; tenants = any with one of them."""
-    v = _visitor_level(_tagged(tables, COUPON_TYPES, False))
+    return _coupon_counts(_visitor_level(_tagged(tables, COUPON_TYPES, False)))
+
+
+def _coupon_counts(v: DataFrame) -> DataFrame:
     aggs = []
     for t in COUPON_TYPES:
         is_t = F.col("etype") == t

@@ -96,24 +96,46 @@ def enter(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("event_type") == "click").select(*UNIVERSAL, _code().alias("coupon_code"))
 
 
-def purchase(ev: DataFrame) -> DataFrame:
-    """Purchase lines; lines of one visitor-hour share the order timestamp."""
-    hour = F.timestamp_add("HOUR", F.timestamp_diff("HOUR", _epoch(), F.col("ts")), _epoch())
+def _order_hour():
+    return F.timestamp_add("HOUR", F.timestamp_diff("HOUR", _epoch(), F.col("ts")), _epoch())
+
+
+def _line_columns() -> dict:
     qty = 1 + F.col("k") % 3
     price = F.col("value").cast("decimal(18,2)")
+    return {
+        "product_price": price, "product_quantity": qty,
+        "total_price": F.when(F.col("k") % 4 == 0, F.lit(-1).cast("decimal(18,2)")).otherwise(
+            (price * qty).cast("decimal(18,2)")),
+        "coupon": F.when(F.col("k") % 2 == 0, _code()).otherwise((F.col("k") % 5).cast("string")),
+        "avivid_coupon": F.when(F.col("k") % 2 == 1, "1").otherwise("0"),
+        "shipping_price": F.when(F.col("k") % 5 == 0, F.lit(0)).otherwise(F.col("k") % 9 * 10).cast("decimal(18,2)"),
+        "product_id": F.concat(F.lit("p"), (F.col("k") % 13).cast("string"))}
+
+
+def purchase(ev: DataFrame) -> DataFrame:
+    """Purchase lines; lines of one visitor-hour share the order timestamp."""
+    hour = _order_hour()
     return ev.where(F.col("event_type") == "purchase").select(
-        "web_id", "uuid", "session_id", "ord",
-        epoch_ms(hour).alias("timestamp"), hour.alias("date_time"),
-        price.alias("product_price"),
-        qty.alias("product_quantity"),
-        F.when(F.col("k") % 4 == 0, F.lit(-1).cast("decimal(18,2)"))
-         .otherwise((price * qty).cast("decimal(18,2)")).alias("total_price"),
-        F.when(F.col("k") % 2 == 0, _code())
-         .otherwise((F.col("k") % 5).cast("string")).alias("coupon"),
-        F.when(F.col("k") % 2 == 1, "1").otherwise("0").alias("avivid_coupon"),
-        F.when(F.col("k") % 5 == 0, F.lit(0)).otherwise(F.col("k") % 9 * 10).cast("decimal(18,2)").alias("shipping_price"),
-        F.concat(F.lit("p"), (F.col("k") % 13).cast("string")).alias("product_id"),
-    )
+        "web_id", "uuid", "session_id", "ord", epoch_ms(hour).alias("timestamp"), hour.alias("date_time"),
+        *[v.alias(c) for c, v in _line_columns().items()])
+
+
+def tagged(ev: DataFrame) -> DataFrame:
+    """Accepts, discards, entries and purchase lines (``attribution.tag_events``) in one pass over the events."""
+    et = F.col("event_type")
+    role = (F.when(et == "signup", "accept").when(et == "error", "discard").when(et == "click", "enter")
+             .when(et == "purchase", "purchase"))
+    order = et == "purchase"
+    hour, line = _order_hour(), _line_columns()
+    return ev.where(role.isNotNull()).select(
+        role.alias("role"), "web_id", "uuid", "session_id", "ord",
+        F.when(order, hour).otherwise(F.col("date_time")).alias("date_time"),
+        F.when(order, epoch_ms(hour)).alias("timestamp"),
+        F.when(et.isin("signup", "error"), _coupon_id()).alias("coupon_id"),
+        F.when(et.isin("signup", "click"), _code()).alias("coupon_code"),
+        *[F.when(order, line[c]).alias(c) for c in ("coupon", "avivid_coupon", "product_price", "product_quantity",
+                                                     "total_price")])
 
 
 def clicks(ev: DataFrame) -> DataFrame:

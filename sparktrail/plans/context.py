@@ -46,6 +46,10 @@ class Tables:
     def purchase(self) -> DataFrame:
         return A.purchase(self.ev)
 
+    @property
+    def tagged(self) -> DataFrame:
+        return A.tagged(self.ev)
+
     @property
     def clicks(self) -> DataFrame:
         return A.clicks(self.ev)

@@ -139,19 +139,28 @@ def raw_documents(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ord").alias("event_id"), "ts", doc.alias("doc"))
 
 
-def raw_objects(ev: DataFrame, documents=raw_documents, broken: bool = False) -> DataFrame:
+def raw_objects(ev: DataFrame, documents=raw_documents, broken: bool = False,
+                pattern: str = "yyyy/MM/dd/HH/mm") -> DataFrame:
     """(path, text): objects of concatenated documents with junk, of ``IDS_PER_OBJECT`` documents at most; if
-    ``broken``, some documents repeat a key and can't be read."""
+    ``broken``, some documents repeat a key and can't be read. ``pattern``: the time that objects are named by."""
     doc = F.col("doc")
     if broken:
         doc = F.when(F.col("event_id") % 50 == BROKEN, F.regexp_replace(doc, r"^\{", '{"_ord":0,')).otherwise(doc)
     junk = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('"landing"'), doc)).otherwise(doc)
     part = F.floor(F.col("event_id") / IDS_PER_OBJECT).alias("part")
-    g = documents(ev).groupBy(F.date_format("ts", "yyyy/MM/dd/HH/mm").alias("path"), part).agg(
+    g = documents(ev).groupBy(F.date_format("ts", pattern).alias("path"), part).agg(
         F.array_sort(F.collect_list(F.struct("event_id", junk.alias("t")))).alias("_docs"))
     text = F.concat_ws("", F.transform("_docs", lambda x: x["t"]))
     tail = F.when(F.element_at("_docs", 1)["event_id"] % 3 == 0, F.lit('"]"')).otherwise(F.lit(""))
-    return g.select("path", F.concat(text, tail).alias("text"))
+    return g.select("path", F.concat(text, tail).alias("text"), "part")
+
+
+def write_objects(objects: DataFrame, root: str) -> None:
+    """One file per object, as the tracker has them, under ``dt=/hour=`` of the object's time (path: day and hour)."""
+    at = F.to_timestamp("path", "yyyy/MM/dd/HH")
+    rows = objects.select("text", F.to_date(at).alias("dt"), F.hour(at).alias("hour"),
+                          F.concat(F.lit("object-"), F.lpad(F.col("part").cast("string"), 12, "0")).alias("name"))
+    rows.repartition("dt", "hour", "name").write.mode("append").partitionBy("dt", "hour", "name").text(root)
 
 
 def product_settings(spark) -> DataFrame:

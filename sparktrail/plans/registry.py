@@ -44,8 +44,7 @@ def _roas_lifetime(cells_map):
 def _roas_daily(cells_map, select=lambda t: t.activities("all"), **options):
     def q(spark, sf_dir):
         t = Tables(spark, sf_dir, cells_map)
-        return ATT.roas_daily(t.accept, t.discard, t.purchase, t.enter, select(t),
-                              t.cells, t.addfan_stat, A.AS_OF, **options)
+        return ATT.roas_daily_tagged(t.tagged, select(t), t.cells, t.addfan_stat, A.AS_OF, **options)
     return q
 
 
@@ -694,7 +693,7 @@ def q_estimate_coupons(spark, sf_dir):
 
 @register("fitted_curve_bound")
 def q_fitted_curve_bound(spark, sf_dir):
-    """M14 (rows-only: polynomial fit in pandas on binned rows)."""
+    """The score at a campaign's target on its tenant's fitted curve."""
     t = Tables(spark, sf_dir)
     budgets = CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
     return MOD.fitted_curve_bound(_scored(t), budgets, MOD.model_params(t.settings))
@@ -702,7 +701,7 @@ def q_fitted_curve_bound(spark, sf_dir):
 
 @register("bound_by_fit")
 def q_bound_by_fit(spark, sf_dir):
-    """M17 with the fitted curve (rows-only: polynomial fit in pandas on binned rows)."""
+    """M17 with the fitted curve."""
     t = Tables(spark, sf_dir)
     budgets = CAMP.upcoming_budget(t.campaigns_raw, A.AS_OF)
     return MOD.bound_assembly(_scored(t), budgets, MOD.model_params(t.settings), use_fit=True)
@@ -719,7 +718,7 @@ def q_mining_window(spark, sf_dir):
 
 @register("upper_bound")
 def q_upper_bound(spark, sf_dir):
-    """M15 (rows-only) on the hash-split test part."""
+    """M15 on the test part of the split."""
     t = Tables(spark, sf_dir)
     s = MOD.train_test_split(_scored(t), 0.3, 25).where(F.col("is_test") == 1)
     return MOD.upper_bound_at(s, MOD.model_params(t.settings), 50.0)
@@ -727,16 +726,16 @@ def q_upper_bound(spark, sf_dir):
 
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
-    """M02 (rows-only): hash split of session features."""
+    """Split of session features by digest."""
     return MOD.train_test_split(_session_features(Tables(spark, sf_dir)))
 
 
 @register("train_model")
 def q_train_model(spark, sf_dir):
-    """M01 + M18 (rows-only): one model per tenant and a 'default' model, from the training windows."""
+    """M01 + M18 (rows-only): a model for each tenant of the settings and a 'default' model, from the training windows."""
     t = Tables(spark, sf_dir)
     sf = _session_features(t, within=lambda df: MOD.mining_window(df, t.settings, A.AS_OF))
-    return MOD.train_models(sf, t.settings, ["default", *(f"w{i}" for i in range(A.N_TENANTS))], MODEL_FEATURES)
+    return MOD.train_models(sf, t.settings, MODEL_FEATURES)
 
 
 @register("power_features", _FEAT_P + """
@@ -1118,9 +1117,10 @@ def q_stream_ingest_load(spark, sf_dir):
     from sparktrail.streaming.ingest import start_ingest
     base = scratch_path(spark, f"stream-{_uuid.uuid4().hex[:8]}")
     RA.raw_objects(A.base_events(spark, sf_dir)).select("text").write.text(f"{base}/objects")
-    q = start_ingest(spark, f"{base}/objects", f"{base}/_checkpoint", f"{base}/clean", ["load"], wholetext=False)
+    q = start_ingest(spark, f"{base}/objects", f"{base}/_checkpoint", f"{base}/clean", ["load"], wholetext=False,
+                     slot_hours=24)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/clean/load").drop("date", "batch_id")
+    return spark.read.parquet(f"{base}/clean/load").drop("date", "slot", "batch_id")
 
 
 @register("refresh_stats", O.prefix() + f", tr AS ({_TRACKER_SQL}), co AS ({_COUPON_SQL})\n"
@@ -1133,3 +1133,6 @@ def q_refresh_stats(spark, sf_dir):
     tabs = _stat_tables(t)
     batch = t.load.where(F.to_date("date_time").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-11").cast("date")))
     return refresh_statistics(tabs, touched_days(batch))
+
+
+from sparktrail.plans import ingest_queries, model_oracles  # noqa: E402,F401  (register their own)

@@ -1,6 +1,6 @@
 """Raw tracker objects: concatenated-JSON decode (S05), the partitioned raw
-zone (S07, S10, S11, S17), object listing / counting (S04), archive copy
-(S08) and JSON object get/put (S09).
+zone (S07, S10, S11, S17), object listing / counting (S01-S04), backfill of
+hours (S18), archive and restore (S08) and JSON object get/put (S09).
 
 Raw objects are minute-sized text blobs, so one object is one row; the
 repair is a chain of ``regexp_replace`` and the parse is ``try_parse_json``
@@ -53,24 +53,73 @@ def corrupt_objects(objects: DataFrame, text_col: str = "text", keep=("path",))
     return objects.where(parsed.isNull() | F.try_variant_get(parsed, "$", "array<variant>").isNull()).select(*keep)
 
 
-def read_objects(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None,
-                 modified_after: str | None = None) -> DataFrame:
-    """Raw objects under a prefix (``YYYY/MM/DD[/HH]``), one row per
-    object with its path and length; ``modified_after`` gives latest-hour /
-    latest-minute scans."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+#: Prefixes of an hour's objects: as the tracker writes them, and as Spark writes partitions.
+TRACKER_LAYOUT, PARTITION_LAYOUT = "%Y/%m/%d/%H", "dt=%Y-%m-%d/hour=%-H"
+_LISTING = "path string, modificationTime timestamp, length long"
+
+
+def object_prefix(date, hour: int | None = None, layout: str = TRACKER_LAYOUT) -> str:
+    """The prefix of a day's or an hour's objects."""
+    from sparktrail.functions.dates import to_datetime
+    at = to_datetime(date).replace(hour=hour or 0)
+    return at.strftime(layout if hour is not None else layout.rsplit("/", 1)[0])
+
+
+def list_objects(spark: SparkSession, root: str, prefixes: list[str] | None = None, glob: str | None = None,
+                 modified_after: str | None = None, content: bool = False) -> DataFrame:
+    """Objects under ``root``, or under some prefixes of it, as (path, modificationTime, length), and their
+    content if asked for; without it nothing is read but the listing. Only the prefixes are listed; one that isn't
+    there has no objects. ``glob`` is of the objects' names, ``modified_after`` a UTC time."""
+    from sparktrail.streaming.store import path_exists
+    root = root.rstrip("/")
+    paths = [p for p in ([root] if prefixes is None else [f"{root}/{x}" for x in prefixes]) if path_exists(spark, p)]
+    schema = _LISTING + (", content binary" if content else "")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
-    df = r.load(path)
-    return df.select("path", "length", F.decode(F.col("content"), "UTF-8").alias("text"))
+    df = r.load(paths)
+    return df.select("path", "modificationTime", "length", *(["content"] if content else []))
+
+
+def day_objects(spark: SparkSession, root: str, date, layout: str = TRACKER_LAYOUT, **options) -> DataFrame:
+    """Objects of a (UTC) day."""
+    return list_objects(spark, root, [object_prefix(date, None, layout)], **options)
+
+
+def hour_objects(spark: SparkSession, root: str, date, hour: int, layout: str = TRACKER_LAYOUT, **options) -> DataFrame:
+    """Objects of a (UTC) hour."""
+    return list_objects(spark, root, [object_prefix(date, hour, layout)], **options)
 
 
-def count_objects(objects: DataFrame) -> DataFrame:
+def latest_hour_objects(spark: SparkSession, root: str, as_of, layout: str = TRACKER_LAYOUT, **options) -> DataFrame:
+    """Objects of the hour that ``as_of`` lies in."""
+    from sparktrail.functions.dates import to_datetime
+    return hour_objects(spark, root, as_of, to_datetime(as_of).hour, layout, **options)
+
+
+def latest_minute_objects(spark: SparkSession, root: str, as_of, name: str = "*%Y-%m-%d-%H-%M*",
+                          layout: str = TRACKER_LAYOUT, **options) -> DataFrame:
+    """Objects named by the minute before ``as_of``, in that minute's hour."""
+    import datetime as _dt
+
+    from sparktrail.functions.dates import to_datetime
+    at = to_datetime(as_of) - _dt.timedelta(minutes=1)
+    return hour_objects(spark, root, at, at.hour, layout, glob=at.strftime(name), **options)
+
+
+def object_texts(objects: DataFrame) -> DataFrame:
+    """(path, length, text) of objects that were listed with their content."""
+    return objects.select("path", "length", F.decode(F.col("content"), "UTF-8").alias("text"))
+
+
+def count_objects(objects: DataFrame, *by) -> DataFrame:
     """Total and non-empty object counts."""
-    return objects.agg(F.count(F.lit(1)).alias("n_objects"),
-                       F.sum((F.col("length") > 0).cast("int")).alias("n_non_empty"))
+    return objects.groupBy(*by).agg(F.count(F.lit(1)).alias("n_objects"),
+                                    F.sum((F.col("length") > 0).cast("int")).cast("bigint").alias("n_non_empty"))
 
 
 def criteria_filter(events: DataFrame, criteria: dict) -> DataFrame:
@@ -174,18 +223,87 @@ def hour_range(spark: SparkSession, start, end) -> DataFrame:
                 .select(F.to_date("h").alias("dt"), F.hour("h").alias("hour"))
 
 
+def hours_done(spark: SparkSession, manifest: str) -> DataFrame:
+    """(dt, hour, n_events): the hours that backfills have landed."""
+    from sparktrail.streaming.store import path_exists
+    if not path_exists(spark, manifest):
+        return spark.createDataFrame([], "dt date, hour int, n_events long")
+    return spark.read.schema("n_events long, dt date, hour int").parquet(manifest).select("dt", "hour", "n_events")
+
+
+def backfill(spark: SparkSession, objects_root: str, raw_root: str, manifest: str, start, end,
+             criteria: dict | None = None, layout: str = TRACKER_LAYOUT, again: bool = False) -> DataFrame:
+    """Land the hours from ``start`` to ``end`` that are not in the manifest yet (all of them, ``again``).
+
+    The hours' objects are read in one job and land in the raw zone under the
+    hour whose prefix they have; then the hours are noted with their events, an
+    hour without objects with 0. A run that fails notes nothing, and the next one
+    writes the same hours over. Returns the hours of this run."""
+    import datetime as _dt
+
+    asked = hour_range(spark, start, end)
+    if not again:
+        asked = asked.join(F.broadcast(hours_done(spark, manifest)), ["dt", "hour"], "left_anti")
+    hours = [(r.dt, r.hour) for r in asked.collect()]  # of the range: one row per hour
+    todo = spark.createDataFrame(hours, "dt date, hour int")
+    if not hours:
+        return todo.withColumn("n_events", F.lit(0).cast("long"))
+    named = {h: object_prefix(_dt.datetime.combine(*h[:1], _dt.time()), h[1], layout) for h in hours}
+    prefix = spark.createDataFrame([(f"/{p}/", *h) for h, p in named.items()], "prefix string, dt date, hour int")
+    objects = object_texts(list_objects(spark, objects_root, list(named.values()), content=True))
+    depth = len(layout.split("/"))
+    below = F.substring(F.col("path"), F.instr("path", objects_root.rstrip("/")) + len(objects_root.rstrip("/")), 1 << 20)
+    own = F.concat(F.lit("/"), F.array_join(F.slice(F.split(below, "/"), 2, depth), "/"), F.lit("/"))
+    placed = objects.withColumn("prefix", own).join(F.broadcast(prefix), "prefix")
+    events = decode_objects(placed, keep=("dt", "hour"))
+    if criteria:
+        events = criteria_filter(events, criteria)
+    land_raw(events.drop("doc_pos"), raw_root)
+    landed = read_raw_table(spark, raw_root).groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n_events"))
+    counts = todo.join(landed, ["dt", "hour"], "left").select(
+        "dt", "hour", F.coalesce("n_events", F.lit(0)).alias("n_events"))
+    (counts.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt", "hour").parquet(manifest))
+    return hours_done(spark, manifest).join(F.broadcast(todo), ["dt", "hour"], "left_semi")
+
+
+def read_raw_table(spark: SparkSession, root: str) -> DataFrame:
+    """The raw zone as stored; empty before anything landed."""
+    from sparktrail.streaming.store import path_exists
+    schema = "ev_json string, dt date, hour int"
+    return spark.read.schema(schema).parquet(root) if path_exists(spark, root) else spark.createDataFrame([], schema)
+
+
 def archive(df: DataFrame, target: str, partition_by=("dt", "hour")) -> None:
     """Copy a raw-zone slice to another root (object store)."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target)
 
 
+def restore(spark: SparkSession, archive_root: str, target: str, date_start, date_end=None) -> DataFrame:
+    """Copy archived (UTC) days back, over what the target has of them, and compare both: (dt, hour, n_events) of
+    what was restored; an error if an hour differs in rows or contents."""
+    from sparktrail.functions.dates import lit_date
+    days = F.col("dt").between(lit_date(date_start), lit_date(date_end or date_start))
+    archive(read_raw_table(spark, archive_root).where(days), target)
+    marks = [F.count(F.lit(1)).alias("n_events"), F.sum(F.xxhash64("ev_json").cast("decimal(38,0)")).alias("mark")]
+    kept, back = (read_raw_table(spark, root).where(days).groupBy("dt", "hour").agg(*marks)
+                  for root in (archive_root, target))
+    wrong = kept.join(back, ["dt", "hour", "n_events", "mark"], "left_anti").count()
+    if wrong:
+        raise RuntimeError(f"{wrong} restored hours differ from the archive")
+    return kept.drop("mark")
+
+
 def json_put(df: DataFrame, path: str) -> None:
     """S09 put."""
     df.write.mode("overwrite").json(path)
 
 
 def json_get(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """S09 get."""
+    """S09 get; an empty table where there is nothing (``schema`` is needed then)."""
+    from sparktrail.streaming.store import path_exists
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
