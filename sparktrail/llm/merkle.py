@@ -175,8 +175,8 @@ def proofs(m: Manifest, requests: DataFrame) -> DataFrame:
         return requests.select("g", "rank", *carried, F.lit("").alias("found"), F.lit("").alias("subroot"),
                                F.array().cast(_SEGMENTS).alias("path")).limit(0)
     asked = requests.select("g", F.col("rank").alias("idx"))
-    at = spark.range(1).select(F.lit(0).alias("g"), F.lit(0).cast("long").alias("idx"), F.lit(m.root).alias("digest"),
-                               F.array().cast(_SEGMENTS).alias("path"))
+    at = stored(spark.range(1).select(F.lit(0).alias("g"), F.lit(0).cast("long").alias("idx"), F.lit(m.root).alias("digest"),
+                                      F.array().cast(_SEGMENTS).alias("path")), "root")
     of_groups = asked.select(F.lit(0).alias("g"), F.col("g").alias("idx")).distinct()
     for height, wanted in reversed(list(enumerate(_wanted(of_groups, len(m.top)), 1))):
         at = _down(at, m.top[height - 1], wanted, "above")
