@@ -1,8 +1,12 @@
 """Secret scan by assignment-aware lexing.
 
-A text is lexed line by line into name-literal pairs, in the notations that
-source and configuration files share (``name = "literal"``, ``name: literal``,
-``"name": "literal"``, ``name="literal"`` inside a tag, ``name => literal``).
+A text is lexed into name-literal pairs, in the notations that source and
+configuration files share: ``name = "literal"``, ``name: literal``, ``"name":
+"literal"``, ``name="literal"`` inside a tag, ``name => literal``, ``name: type =
+"literal"``, ``var name type = "literal"``, ``table["name"] = "literal"``,
+``setName("literal")``, ``<name>literal</name>``, ``scheme://user:literal@host``;
+a literal may have a prefix (``b"..."``), three quotes, brackets around it, be the
+default or the only argument of a call, or be put together with ``+``.
 Constants are propagated: a name whose right-hand side is another name takes
 that name's literal.  Every literal is scored by the most sensitive target name
 it reaches and by its own make-up (length, kinds of characters, entropy); those
@@ -10,7 +14,8 @@ that reach ``MIN_SCORE`` are reported as spans of kind ``lexed``.
 
 The base kinds are found by their patterns (leftmost, not overlapping, then too
 short ones dropped) and always stay; a lexed literal that lies inside a base
-span isn't reported a second time.
+span isn't reported a second time. Where a base assignment ends inside a quoted
+literal, as at a space, the whole literal is reported.
 
 Positions count code points, ends are exclusive.  Edge cases: null and empty
 texts have no spans; texts of any length are read whole, one at a time.
@@ -34,7 +39,7 @@ from .common import col, ids_and_texts, packed
 
 #: Base kinds in their order, with pattern, group that is measured, and least length.
 BASE = (
-    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("assign", re.compile(r"""((?ia:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
      2, 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
     ("hex", re.compile(r"[0-9a-f]{24,}"), 0, 24),
@@ -45,17 +50,44 @@ KINDS = {kind: i for i, kind in enumerate([*(k for k, *_ in BASE), "lexed"])}
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
     "credential": 0.9, "credentials": 0.9, "private": 0.6, "key": 0.5, "auth": 0.5, "bearer": 0.9, "access": 0.4,
-    "signature": 0.6, "salt": 0.6, "dsn": 0.6,
+    "signature": 0.6, "salt": 0.6, "dsn": 0.6, "pass": 0.9, "signing": 0.5, "client": 0.3,
 }
 MIN_SCORE = 0.9
 
-_HINT = re.compile("|".join(sorted(SENSITIVE)), re.IGNORECASE)
+# "client" alone makes no name sensitive; before "://" there may be a login
+_HINT = re.compile("|".join([*sorted(set(SENSITIVE) - {"client"}), "://[^\\s/@:]*:"]), re.IGNORECASE | re.ASCII)
 _PAIR = re.compile(
     # a run of name characters is tried once, from its start: parts that begin with a digit or point aren't the name's
     r"""(?<![A-Za-z0-9_.-])["']?(?:[0-9.][A-Za-z0-9_.]*+-++|-++)*+(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[ \t]*"""
     r"""(?:=>|:=|=(?!=)|:(?!//))[ \t]*"""
     r"""(?:"(?P<dq>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<sq>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|(?P<bare>[^\s"',;<>(){}\[\]]+))""")
+_QUOTED = r"""(?:\"{3}(?P<td>(?:(?!\"{3}).)*+)\"{3}|'{3}(?P<ts>(?:(?!'{3}).)*+)'{3}|"(?P<dq>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<sq>[^'\\\n]*(?:\\.[^'\\\n]*)*)')"""
+_PLAIN_STRING = r"""(?:"[^"\\\n]*(?:\\.[^"\\\n]*)*"|'[^'\\\n]*(?:\\.[^'\\\n]*)*')"""
+_START = r"(?<![A-Za-z0-9_.-])"
+_WORD = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+# what may stand between the sign of an assignment and its literal: a bracket, or a call (with a first argument)
+_BEFORE = r"(?:(?P<call>[A-Za-z_][A-Za-z0-9_.]*+)?\([ \t]*(?P<first>" + _PLAIN_STRING + r"[ \t]*,[ \t]*)?)?[rbfuRBFU]{0,2}"
+_MORE = r"(?P<more>(?:[ \t]*\+[ \t]*" + _PLAIN_STRING + r")*+)"
+#: Notations besides the plain pair, each with a name and a quoted literal.
+_NOTATIONS = [re.compile(p, re.DOTALL) for p in (
+    # name = ("..."), b"...", triple quotes, call("..."), call("...", "..."), "..." + "..."
+    _START + r"(?P<name>" + _WORD + r")[\"']?[ \t]*(?:=>|:=|=(?!=)|:(?!//))[ \t]*" + _BEFORE + _QUOTED + _MORE,
+    # name: type = "..."
+    _START + r"(?P<name>" + _WORD + r")[ \t]*:[ \t]*&?(?:'static )?[A-Za-z_][A-Za-z0-9_.]*+(?:[\[<][^\]\[<>\n=:]*+[\]>])?[?!]?[ \t]*="
+    r"[ \t]*" + _BEFORE + _QUOTED + _MORE,
+    # var name type = "..."
+    r"\b(?:var|const|let|final)[ \t]+(?P<name>" + _WORD + r")[ \t]+[*A-Za-z_][A-Za-z0-9_.*]*+[ \t]*=[ \t]*" + _BEFORE + _QUOTED + _MORE,
+    # table["name"] = "..."
+    r"\[[ \t]*[\"'](?P<name>" + _WORD + r")[\"'][ \t]*\][ \t]*(?:=>|:=|=(?!=))[ \t]*" + _BEFORE + _QUOTED + _MORE,
+    # setName("...")
+    r"(?<![A-Za-z0-9_])(?:set|with|use)_?(?P<name>[A-Z_a-z][A-Za-z0-9_]*+)\([ \t]*[rbfuRBFU]{0,2}" + _QUOTED + _MORE + r"[ \t]*\)",
+)]
+_ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.:-]*+)(?:\s[^<>]*+)?>(?P<text>[^<>]++)</(?P=name)\s*+>")
+_LOGIN = re.compile(r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*+://[^\s:/@]*+:(?P<text>[^\s@/]++)@")
+#: Calls whose only argument is where a value is found, not the value.
+_FETCH = re.compile(r"(?i)get|env|read|load|fetch|input|prompt|find|lookup|param|config|open|file|import|require")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
+_STRINGS = re.compile(_PLAIN_STRING)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -86,21 +118,43 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def pairs(text: str) -> Iterator[tuple[str, int, int, str, bool]]:
+    """(name, start, end, value, quoted) of all names and literals, the plain pairs first."""
+    for m in _PAIR.finditer(text):
+        kind = m.lastgroup
+        value = m[kind]
+        if kind == "bare":
+            value = (value.strip("${}") if value.startswith("$") else value).rstrip(".")
+        yield m["name"], m.start(kind), m.start(kind) + len(value), value, kind != "bare"
+    for notation in _NOTATIONS:
+        for m in notation.finditer(text):
+            kind = next(k for k in ("td", "ts", "dq", "sq") if m[k] is not None)
+            found = m.groupdict()
+            if found.get("call") and not found.get("first") and _FETCH.search(found["call"]):
+                continue
+            start, end, value = m.start(kind), m.end(kind), m[kind]
+            for more in _STRINGS.finditer(m["more"]):
+                end = m.start("more") + more.end() - 1
+                value += more.group()[1:-1]
+            yield m["name"], start, end, value, True
+    for m in _ELEMENT.finditer(text):
+        value = m["text"].strip()
+        start = m.start("text") + len(m["text"]) - len(m["text"].lstrip())
+        yield m["name"], start, start + len(value), value, True
+    for m in _LOGIN.finditer(text):
+        yield "password", m.start("text"), m.end("text"), m["text"], True
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, target name, score) of the literals that reach MIN_SCORE."""
     if not _HINT.search(text):
         return []
     literals: dict[str, list[tuple[int, int, str]]] = {}  # name: its literals
     sources: dict[str, set[str]] = {}  # name: names whose value it takes
-    for m in _PAIR.finditer(text):
-        name, kind = m["name"], m.lastgroup
-        value = m[kind]
-        if kind == "bare" and value.startswith("$"):
-            value = value.strip("${}")
-        value = value.rstrip(".") if kind == "bare" else value
-        if kind == "bare" and _NAME.match(value) and value != name:
+    for name, start, end, value, quoted in pairs(text):
+        if not quoted and _NAME.match(value) and value != name:
             sources.setdefault(name, set()).add(value)
-        literals.setdefault(name, []).append((m.start(kind), m.start(kind) + len(value), value))
+        literals.setdefault(name, []).append((start, end, value))
     weight = {name: sensitivity(name) for name in literals}
     target: dict[str, str] = {}  # name: the most sensitive name that its literal reaches
     for best in sorted(weight, key=lambda n: (-weight[n], n)):  # each name is visited once, from its best target
@@ -109,7 +163,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
             if (name := todo.pop()) not in target:
                 target[name] = best
                 todo += sources.get(name, ())
-    out = []
+    out: dict[tuple[int, int], tuple[int, int, str, float]] = {}  # of a literal with several names, the best
     for name, found in literals.items():
         top = weight[target[name]]
         if top <= 0:
@@ -119,9 +173,23 @@ def lexed_spans(text: str) -> list[tuple[int, int, str, float]]:
                 continue
             own = strength(value)
             score = top * 0.7 + own * 0.6 if own > 0.45 else 0.0
-            if score >= MIN_SCORE:
-                out.append((start, end, target[name], round(score, 4)))
-    return out
+            if score >= MIN_SCORE and ((start, end) not in out or score > out[start, end][3]):
+                out[start, end] = (start, end, target[name], round(score, 4))
+    return sorted(out.values())
+
+
+def _cut_short(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The quoted literals that a base assignment reaches into, but not to the end."""
+    assigned = [(s, e) for s, e, kind in base if kind == "assign"]
+    if not assigned:
+        return []
+    starts = [s for s, _ in assigned]
+    out = set()
+    for _, start, end, _, quoted in pairs(text):
+        i = bisect_right(starts, start) - 1
+        if quoted and i >= 0 and start < assigned[i][1] < end:
+            out.add((start, end))
+    return sorted(out)
 
 
 def scan(text: str) -> dict:
@@ -129,8 +197,8 @@ def scan(text: str) -> dict:
     base.sort(key=lambda s: (s[0], KINDS[s[2]]))
     starts, reach = [s for s, *_ in base], list(accumulate((e for _, e, _ in base), max))
     inside = lambda s, e: (i := bisect_right(starts, s)) > 0 and reach[i - 1] >= e
-    more = [x for x in lexed_spans(text) if not inside(x[0], x[1])]
-    spans = sorted([*base, *((s, e, "lexed") for s, e, *_ in more)], key=lambda s: (s[0], KINDS[s[2]]))
+    more = sorted({(s, e) for s, e, *_ in lexed_spans(text) if not inside(s, e)} | set(_cut_short(text, base)))
+    spans = sorted([*base, *((s, e, "lexed") for s, e in more)], key=lambda s: (s[0], KINDS[s[2]], s[1]))
     told = lambda xs: ",".join(f"{k}:{s}:{e}" for s, e, k in xs)
     count = Counter(k for *_, k in base)
     return {"n_assign": count["assign"], "n_access": count["access"], "n_hex": count["hex"],
