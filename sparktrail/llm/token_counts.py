@@ -25,6 +25,7 @@ and the rows of one Arrow batch.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache, partial
 
@@ -59,6 +60,23 @@ def encoder(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
+#: White space as the pattern has it, and a run so long that it is cut off before the pattern sees it.
+_SPACES, LONG_RUN = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", 4096
+
+
+def token_ids(encoding, text: str, long_run: int = LONG_RUN) -> list[int]:
+    """The ids of a text. Of a long run of white space, whose matching would take too deep a stack, the pattern makes
+    one piece of all of it at the end of the text, and of all but its last character elsewhere; that piece is cut off
+    here and merged by itself."""
+    ids, at = [], 0
+    for m in re.finditer(_SPACES + "{%d,}" % long_run, text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        ids += encoding.encode_ordinary(text[at:m.start()])
+        ids += encoding._encode_single_piece(text[m.start():end])
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def attribute(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and boundary-crossing tokens of each section; spans tile the text and are given by their ends.
 
@@ -101,7 +119,7 @@ def _counted(path: str, rule: str, lines: bool, batches: Iterator[pa.RecordBatch
             else:
                 parts = [x + "\n" for x in fields[:-1]] + fields[-1:]
                 text = "".join(parts)
-            ends = np.cumsum(sizes[np.array(encoding.encode_ordinary(text), np.int64)])
+            ends = np.cumsum(sizes[np.array(token_ids(encoding, text), np.int64)])
             got, crossing = attribute(ends, sections_of(parts), rule)
             stops = np.cumsum([len(p) for p in parts])
             n = len(parts)
