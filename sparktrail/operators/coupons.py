@@ -29,8 +29,15 @@ def coupon_release(sent_codes: DataFrame, accept: DataFrame, batch_campaigns: Da
                 .withColumn("is_sent", F.lit(0)))
 
 
+def mark_codes_sent(codes: DataFrame, sent: DataFrame) -> DataFrame:
+    """``update_is_sent`` for a list of codes (web_id, link_code, coupon_code): ``is_sent = 1`` (a K03 update)."""
+    from sparktrail.operators.upsert import update_rows
+    keys = ["web_id", "link_code", "coupon_code"]
+    return update_rows(codes, sent.select(*keys, F.lit(1).alias("is_sent")).distinct(), keys, ["is_sent"])
+
+
 def mark_sent(codes: DataFrame, web_id: str, link_code: str, coupon_code: str) -> DataFrame:
-    """``update_is_sent``: set ``is_sent = 1`` on one code (a K03 update)."""
+    """``update_is_sent`` of one code."""
     hit = ((F.col("web_id") == web_id) & (F.col("link_code") == link_code)
            & (F.col("coupon_code") == coupon_code))
     return codes.withColumn("is_sent", F.when(hit, F.lit(1)).otherwise(F.col("is_sent")))

@@ -280,6 +280,7 @@ def _campaign_rules(timestamp: str) -> dict[str, str]:
         "coupon_used": "CAST(CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE p_partkey % 30 END AS BIGINT)",
         "activity_enable": "CASE WHEN p_partkey % 11 = 10 THEN 0 ELSE 1 END",
         "coupon_enable": "CASE WHEN p_partkey % 7 = 6 THEN 0 ELSE 1 END",
+        "ad_enable": "CASE WHEN p_partkey % 5 = 4 THEN 0 ELSE 1 END",
         "activity_delete": "CASE WHEN p_partkey % 13 = 5 THEN 1 ELSE 0 END",
         "update_time": f"CAST({end} AS {timestamp})",
         "ad_image_url": "CASE WHEN p_partkey % 2 = 0 THEN '_' ELSE 'img' END",
@@ -296,6 +297,7 @@ SUPPLIER_SETTINGS = {
     "enable_tracking": "CAST(s_suppkey % 2 AS INT)",
     "enable_addfan": "CAST(CASE WHEN s_suppkey % 4 = 3 THEN 0 ELSE 1 END AS INT)",
     "platform": "CASE WHEN s_suppkey % 2 = 0 THEN '91' ELSE 'shopline' END",
+    "model_value": "CASE WHEN s_suppkey % 5 = 0 THEN '_' WHEN s_suppkey % 7 = 0 THEN NULL ELSE '0.2' END",
 }
 SUPPLIER_STAT = {
     "web_id": "'w' || CAST(s_suppkey AS STRING)",

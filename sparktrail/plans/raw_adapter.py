@@ -61,13 +61,13 @@ def _raw_type(k: Column) -> Column:
 
 
 #: Event type of the second documents, for the events table's own types (two: even and odd k).
-SECOND_TYPES = {"view": ("sendCoupon",), "signup": ("discardCoupon",), "error": ("sendAfAd", "acceptAf"),
+SECOND_TYPES = {"purchase": ("addCart", "removeCart"), "view": ("sendCoupon",), "signup": ("discardCoupon",), "error": ("sendAfAd", "acceptAf"),
                 "click": ("acceptAd",)}
 
 
 def second_documents(ev: DataFrame) -> DataFrame:
-    """(event_id, ts, doc) of the coupon and advertisement types; ``coupon_info`` is missing when k % 19 = 0 and
-    ``afad_info`` when k % 17 = 0, ``record_user`` when k % 13 = 0."""
+    """(event_id, ts, doc) of the cart, coupon and advertisement types; ``coupon_info`` is missing when k % 19 = 0,
+    ``afad_info`` and the carts when k % 17 = 0, ``record_user`` when k % 13 = 0."""
     k, et = F.col("k"), F.col("event_type")
     rt = F.lit(None).cast("string")
     for own, names in SECOND_TYPES.items():
@@ -77,8 +77,15 @@ def second_documents(ev: DataFrame) -> DataFrame:
     coupon = F.when(k % 19 != 0, F.when(rt == "sendCoupon", as_variant(SEND_PRESENT)).when(
         rt == "discardCoupon", as_variant(ACCEPT_PRESENT)))
     afad = F.when((k % 17 != 0) & rt.isin("sendAfAd", "acceptAf", "acceptAd"), given(AFAD_PRESENT))
+    there = k % 17 != 0
+    cart = F.when(there & (rt == "addCart"), F.struct(
+        F.concat(F.lit("p"), (k % 13).cast("string")).alias("id"), (k * 3).alias("price"), (1 + k % 3).alias("qty")))
+    item = lambda i: F.struct(F.concat(F.lit("p"), ((k + i) % 13).cast("string")).alias("id"),
+                              F.concat(F.lit("NT$"), ((k + i) * 2).cast("string")).alias("price"))
+    left = F.to_json(F.struct(F.transform(F.sequence(F.lit(0), k % 3), item).alias("items")))
+    removed = F.when(there & (rt == "removeCart"), left)  # a JSON text, as purchases are
     doc = F.to_json(F.struct(
-        F.col("ord").alias("_ord"), "web_id",
+        F.col("ord").alias("_ord"), "web_id", cart.alias(S.PAYLOAD_KEY["addCart"]), removed.alias(S.PAYLOAD_KEY["removeCart"]),
         F.when(k % 31 == 7, F.concat(F.lit("x"), F.col("uuid"))).otherwise(F.col("uuid")).alias("uuid"),
         F.when(k % 10 != 3, F.concat(F.lit("GA"), F.col("user_id").cast("string"))).alias("ga_id"),
         F.when(k % 23 == 5, F.lit("__NULL__")).otherwise(F.concat(F.lit("fb"), F.col("user_id").cast("string"))).alias("fb_id"),
@@ -163,12 +170,25 @@ def write_objects(objects: DataFrame, root: str) -> None:
     rows.repartition("dt", "hour", "name").write.mode("append").partitionBy("dt", "hour", "name").text(root)
 
 
+CART_KEYS, CART_RENAMES = "id,price,qty", "product_id,product_price,product_quantity"
+REMOVED_KEYS, REMOVED_RENAMES = "items.id,items.price", "product_id,product_price"
+
+
+def tracker_settings(spark) -> DataFrame:
+    """The tenants' settings with the paths of their product events (F14's columns)."""
+    from sparktrail.plans.adapters import settings
+    wrapped = F.col("web_id") == "w1"
+    return (settings(spark)
+            .withColumn("parsed_purchase_key", F.when(wrapped, WRAPPED_KEYS).otherwise(PURCHASE_KEYS))
+            .withColumn("parsed_purchase_key_rename", F.when(wrapped, WRAPPED_RENAMES).otherwise(PURCHASE_RENAMES))
+            .withColumn("parsed_addCart_key", F.lit(CART_KEYS)).withColumn("parsed_addCart_key_rename", F.lit(CART_RENAMES))
+            .withColumn("parsed_removeCart_key", F.lit(REMOVED_KEYS))
+            .withColumn("parsed_removeCart_key_rename", F.lit(REMOVED_RENAMES)))
+
+
 def product_settings(spark) -> DataFrame:
-    rows = []
-    for t in range(5):
-        keys, ren = (WRAPPED_KEYS, WRAPPED_RENAMES) if t == 1 else (PURCHASE_KEYS, PURCHASE_RENAMES)
-        rows.append((f"w{t}", "purchase", keys, ren))
-    return spark.createDataFrame(rows, "web_id string, event_type string, keys string, renames string")
+    from sparktrail.operators.products import product_path_settings
+    return product_path_settings(tracker_settings(spark))
 
 
 # ------------------------------------------------------------ DuckDB side
@@ -222,6 +242,16 @@ SECOND_RAW_TYPE = "CASE event_type " + " ".join(
 
 def second_sql(event_type: str) -> str:
     """SELECT of the clean rows of one of the second types from the ``ev`` CTE."""
+    if event_type in ("addCart", "removeCart"):
+        many = event_type == "removeCart"
+        at = "(k + i)" if many else "k"
+        own = {"product_id": f"'p' || CAST({at} % 13 AS VARCHAR)", "product_price": "'NT$' || CAST((k + i) * 2 AS VARCHAR)" if many else "CAST(k * 3 AS VARCHAR)",
+               "product_quantity": "NULL" if many else "CAST(1 + k % 3 AS VARCHAR)"}
+        cols = [f"{own.get(c, 'NULL')} AS {c}" for c in S.PRODUCT_COLUMNS]
+        rows = "SELECT *, unnest(generate_series(0, k % 3)) AS i FROM ev" if many else "SELECT * FROM ev"
+        return (f"SELECT ord, {', '.join(cols + _uni() + _record_cols(scrolled=True))}, {DT} "
+                f"FROM (SELECT *, {SECOND_RAW_TYPE} AS rt FROM ({rows})) e "
+                f"WHERE rt = '{event_type}' AND k % 17 != 0 AND {GUARD}")
     keys, given, there = ((S.SEND_COUPON_KEYS, SEND_PRESENT, "k % 19 != 0") if event_type == "sendCoupon" else
                           (S.ACCEPT_COUPON_KEYS, ACCEPT_PRESENT, "k % 19 != 0") if event_type == "discardCoupon" else
                           (S.AFAD_KEYS, AFAD_PRESENT, "k % 17 != 0"))

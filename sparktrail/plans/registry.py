@@ -864,12 +864,13 @@ for _et in ("load", "leave", "timeout", "acceptCoupon", "enterCoupon", "purchase
 
 def _second_query(et):
     def q(spark, sf_dir):
-        return FL.flatten(raw_events(spark, sf_dir, RA.second_documents), et)
+        settings = RA.product_settings(spark) if et in ("addCart", "removeCart") else None
+        return FL.flatten(raw_events(spark, sf_dir, RA.second_documents), et, settings)
     q.__doc__ = f"P10 flatten of {et} events from decoded raw objects."
     return q
 
 
-for _et in ("sendCoupon", "discardCoupon", "sendAfAd", "acceptAf", "acceptAd"):
+for _et in ("addCart", "removeCart", "sendCoupon", "discardCoupon", "sendAfAd", "acceptAf", "acceptAd"):
     register(f"flatten_{_et}", O.prefix() + "\n" + RA.second_sql(_et))(_second_query(_et))
 
 
@@ -1135,4 +1136,4 @@ def q_refresh_stats(spark, sf_dir):
     return refresh_statistics(tabs, touched_days(batch))
 
 
-from sparktrail.plans import ingest_queries, model_oracles  # noqa: E402,F401  (register their own)
+from sparktrail.plans import ingest_queries, model_oracles, more_queries  # noqa: E402,F401  (register their own)

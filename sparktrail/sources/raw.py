@@ -31,20 +31,31 @@ def repair_text(text):
     return F.concat(F.lit("["), t, F.lit("]"))
 
 
+def _between_documents() -> str:
+    """Pattern of what lies between two documents: nothing, or a run of one junk tag."""
+    runs = "|".join(f"(?:{re.escape(tag)})+" for tag in JUNK_TAGS)
+    return r"(?<=\})(?:" + runs + r")?(?=\{)"
+
+
 def decode_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -> DataFrame:
     """One row per document: (keep..., doc_pos, ev VARIANT).
 
-    Of an object that isn't readable as a whole (a document repeats a key, say)
-    the readable documents are kept; ``corrupt_objects`` reports it."""
-    repaired = repair_text(F.col(text_col))
+    An object is cut between its documents and each is parsed once. Where that
+    gives something unreadable (a text value holds ``}{``, documents come with
+    commas, a document repeats a key), the object is repaired and read as one
+    array; of one that isn't readable so either the readable documents are kept,
+    and ``corrupt_objects`` reports it."""
+    text = F.col(text_col)
+    for tag in JUNK_TAGS:
+        q = re.escape(tag)
+        text = F.regexp_replace(F.regexp_replace(text, r"^(?:" + q + r")+\{", "{"), r"\}(?:" + q + r")+$", "}")
+    pieces = F.transform(F.split(text, _between_documents()), lambda doc: F.try_parse_json(doc))
+    repaired = repair_text(F.col("_text"))
     one_by_one = F.transform(F.from_json(repaired, "array<string>"), lambda doc: F.try_parse_json(doc))
-    arr = F.coalesce(F.try_variant_get(F.try_parse_json(repaired), "$", "array<variant>"), one_by_one)
-    exploded = (objects.select(*keep, arr.alias("_docs"))
-                       .select(*keep, F.posexplode("_docs").alias("doc_pos", "_ev")).where("_ev IS NOT NULL"))
-    # Re-materialise each document once: dozens of field extractions placed
-    # directly on a generator output make the optimizer push every one of
-    # them into the generator (plan size explodes).
-    return exploded.select(*keep, "doc_pos", F.parse_json(F.to_json(F.col("_ev"))).alias("ev"))
+    as_array = F.coalesce(F.try_variant_get(F.try_parse_json(repaired), "$", "array<variant>"), one_by_one)
+    cut = objects.select(*keep, F.col(text_col).alias("_text"), pieces.alias("_cut"))
+    docs = F.when(F.forall("_cut", lambda d: d.isNotNull()), F.col("_cut")).otherwise(as_array)
+    return cut.select(*keep, docs.alias("_docs")).select(*keep, F.posexplode("_docs").alias("doc_pos", "ev")).where("ev IS NOT NULL")
 
 
 def corrupt_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -> DataFrame:
