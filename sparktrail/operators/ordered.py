@@ -128,12 +128,12 @@ def _power(k: Column) -> Column:
 
 
 def _blocks(lo: Column, hi: Column, levels: int) -> Column:
-    """The range [lo, hi) as at most two blocks of 2^k numbers for each k: array<struct<k, block>>."""
+    """The range [lo, hi) as at most two blocks of 2^k numbers for each k: array<struct<_level, _block>>."""
     def at(k: Column) -> Column:
         size = _power(k)
         first, last = F.ceil(lo / size), F.floor(hi / size)
-        left = F.when((first % 2 == 1) & (first < last), F.struct(k.alias("k"), first.alias("block")))
-        right = F.when((last % 2 == 1) & (first + first % 2 < last), F.struct(k.alias("k"), (last - 1).alias("block")))
+        left = F.when((first % 2 == 1) & (first < last), F.struct(k.alias("_level"), first.alias("_block")))
+        right = F.when((last % 2 == 1) & (first + first % 2 < last), F.struct(k.alias("_level"), (last - 1).alias("_block")))
         return F.filter(F.array(left, right), lambda b: b.isNotNull())
 
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at))
@@ -148,9 +148,9 @@ def at_rank(table: DataFrame, wanted: DataFrame, part: list[str], score: str, ra
     levels = max(1, int(table.agg(F.max("upto")).first()[0] or 1).bit_length())
     ranges = table.select(*part, score, F.inline(_blocks(F.col("upto") - F.col("n"), F.col("upto"), levels)))
     place = F.col(rank) - 1
-    points = wanted.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn(
-        "block", F.floor(place / _power(F.col("k"))))
-    found = null_safe_join(points, ranges, [*part, "k", "block"]).select(*wanted.columns, score)
+    points = wanted.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn(
+        "_block", F.floor(place / _power(F.col("_level"))))
+    found = null_safe_join(points, ranges, [*part, "_level", "_block"]).select(*wanted.columns, score)
     missing = null_safe_join(wanted, found.select(*part, rank).distinct(), [*part, rank], "left_anti")
     return found.unionByName(missing.withColumn(score, F.lit(None).cast(table.schema[score].dataType)))
 

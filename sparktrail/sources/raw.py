@@ -49,12 +49,14 @@ def decode_objects(objects: DataFrame, text_col: str = "text", keep=("path",)) -
     for tag in JUNK_TAGS:
         q = re.escape(tag)
         text = F.regexp_replace(F.regexp_replace(text, r"^(?:" + q + r")+\{", "{"), r"\}(?:" + q + r")+$", "}")
-    pieces = F.transform(F.split(text, _between_documents()), lambda doc: F.try_parse_json(doc))
+    # in brackets, as the parser reads one value and no further
+    pieces = F.transform(F.split(text, _between_documents()), lambda doc: F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), doc, F.lit("]"))), "$", "array<variant>"))
     repaired = repair_text(F.col("_text"))
     one_by_one = F.transform(F.from_json(repaired, "array<string>"), lambda doc: F.try_parse_json(doc))
     as_array = F.coalesce(F.try_variant_get(F.try_parse_json(repaired), "$", "array<variant>"), one_by_one)
     cut = objects.select(*keep, F.col(text_col).alias("_text"), pieces.alias("_cut"))
-    docs = F.when(F.forall("_cut", lambda d: d.isNotNull()), F.col("_cut")).otherwise(as_array)
+    docs = F.when(F.forall("_cut", lambda d: d.isNotNull()), F.flatten("_cut")).otherwise(as_array)
     return cut.select(*keep, docs.alias("_docs")).select(*keep, F.posexplode("_docs").alias("doc_pos", "ev")).where("ev IS NOT NULL")
 
 
@@ -80,7 +82,8 @@ def list_objects(spark: SparkSession, root: str, prefixes: list[str] | None = No
                  modified_after: str | None = None, content: bool = False) -> DataFrame:
     """Objects under ``root``, or under some prefixes of it, as (path, modificationTime, length), and their
     content if asked for; without it nothing is read but the listing. Only the prefixes are listed; one that isn't
-    there has no objects. ``glob`` is of the objects' names, ``modified_after`` a UTC time."""
+    there has no objects. ``glob`` is of the objects' names, ``modified_after`` a UTC time. Spark's scan passes over
+    empty objects: where no content is asked for, these are added from the names that it listed (without a time)."""
     from sparktrail.streaming.store import path_exists
     root = root.rstrip("/")
     paths = [p for p in ([root] if prefixes is None else [f"{root}/{x}" for x in prefixes]) if path_exists(spark, p)]
@@ -93,7 +96,16 @@ def list_objects(spark: SparkSession, root: str, prefixes: list[str] | None = No
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
     df = r.load(paths)
-    return df.select("path", "modificationTime", "length", *(["content"] if content else []))
+    if content:
+        return df.select("path", "modificationTime", "length", "content")
+    df = df.select("path", "modificationTime", "length")
+    names = spark.createDataFrame([(n,) for n in df.inputFiles()], "path string")
+    plain = F.try_url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    names = names.select(F.regexp_replace(plain, "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("path"))
+    seen = df.select(F.regexp_replace("path", "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("path"))
+    empty = names.join(seen, "path", "left_anti").select("path", F.lit(None).cast("timestamp").alias("modificationTime"),
+                                                         F.lit(0).cast("long").alias("length"))
+    return df.unionByName(empty)
 
 
 def day_objects(spark: SparkSession, root: str, date, layout: str = TRACKER_LAYOUT, **options) -> DataFrame:
