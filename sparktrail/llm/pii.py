@@ -10,9 +10,14 @@ pseudonyms in all documents, different ones different pseudonyms, and the key's
 holder can turn them back (``restore=True``).
 
 * card (13 to 19 digits): the digits before the check digit, which is then set anew;
-* phone (``+`` and country code): the digits after the country code;
+* iban (valid by its check digits): the digits after these, which are then set anew; letters stay;
+* phone (``+`` and country code, or ten digits as ``(555) 123-4567`` or ``555-123-4567``): the digits after the country
+  code, so that a number has one pseudonym however it is cut, and with ``+1`` or without;
+* ssn (``123-45-6789``, of the numbers that may be given out): its place among these;
 * ip: the 32 bits of the four octets;
-* date (``yyyy-mm-dd``): the day's number in the 146,097 days of 1800 to 2199 (other dates: unchanged);
+* date (``yyyy-mm-dd``, also before a time): the day's number in the 146,097 days of 1800 to 2199 (other dates: unchanged);
+* dmy (``dd/mm/yyyy``, also with points): the same, with the same pseudonym as that date's; where only ``mm/dd/yyyy`` is a
+  date, year and month, and the day among 13 to 28 (later days stay);
 * mail: the letters and digits before the ``@``, letter by letter; the domain stays.
 
 Marks, spaces and letter case stay as they are.  Invalid values aren't personal
@@ -36,11 +41,17 @@ ROUNDS = 8
 PATTERNS = {
     # one character at a time, since a repeated group of several would recurse once for each label of the domain
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?=[A-Za-z0-9-])(?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
-    "phone": r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "date": r"(?<![\w.-])\d{4}-\d{2}-\d{2}(?![\w-])",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+             r"|(?<![.(-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]|\.\d))",
+    "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "date": r"(?<![\w.-])\d{4}-\d{2}-\d{2}(?:(?=T\d{2}:)|(?![\w-]))",
+    "dmy": r"(?<![\w./-])(?:\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
+#: Fixed value: country codes, of which none begins another.
+_COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _DAYS = (189, 773)  # 189 * 773 = 146,097 days in 400 years
 
@@ -116,13 +127,62 @@ def _card(value: Column, key: str, restore: bool) -> Column:
 
 
 def _phone(value: Column, key: str, restore: bool) -> Column:
-    code = F.regexp_extract(value, r"^\+\d{1,3}(?=\D)", 0)
-    code = F.when(code == "", F.substring(value, 1, 3)).otherwise(code)
+    code = F.regexp_extract(value, _COUNTRY, 0)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
     new = _let(_digits(rest), lambda d: F.when(F.length(d) >= 7, _permuted_digits(d, key, "phone", restore)))
     return _let(new, lambda d: F.when(d.isNotNull(), F.concat(code, _put_back(rest, d))))
 
 
+def _mod97(text: Column) -> Column:
+    """The number that letters (A = 10) and digits spell, modulo 97."""
+    def step(m: Column, c: Column) -> Column:
+        return F.when(c.between("0", "9"), (m * 10 + c.try_cast("int")) % 97).otherwise((m * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _iban(value: Column, key: str, restore: bool) -> Column:
+    def valid(flat: Column) -> Column:
+        country, body = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.length(flat))
+        new = _let(_digits(body), lambda d: F.when(F.length(d) >= 2, _permuted_digits(d, key, "iban", restore)))
+        check = lambda d: F.lpad((98 - _mod97(F.concat(_put_back(body, d), country, F.lit("00")))).cast("string"),
+                                 2, "0")
+        right = _mod97(F.concat(body, F.substring(flat, 1, 4))) == 1
+        return F.when(right, _let(new, lambda d: F.when(d.isNotNull(), _put_back(value, F.concat(check(d), d)))))
+
+    return _let(F.replace(value, F.lit(" "), F.lit("")), valid)
+
+
+def _ssn(value: Column, key: str, restore: bool) -> Column:
+    """Areas 001 to 899 but 666, groups from 01, serials from 0001."""
+    part = lambda at, n: F.substring(value, at, n).try_cast("int")
+    area, group, serial = part(1, 3), part(5, 2), part(8, 4)
+    number = (area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1
+
+    def told(s: Column) -> Column:
+        nth = F.floor(s["a"] / 99)
+        each = ((nth + F.when(nth >= 665, 2).otherwise(1), 3), (s["a"] % 99 + 1, 2), (s["b"] + 1, 4))
+        return F.concat_ws("-", *[F.lpad(v.cast("long").cast("string"), n, "0") for v, n in each])
+
+    valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+    return F.when(valid, _let(_feistel(number, serial - 1, F.lit(898 * 99), F.lit(9999), key, "ssn", restore), told))
+
+
+def _dmy(value: Column, key: str, restore: bool) -> Column:
+    mark = F.substring(value, 3, 1)
+    first, second, year = F.substring(value, 1, 2), F.substring(value, 4, 2), F.substring(value, 7, 4)
+    iso = F.concat_ws("-", year, second, first)
+    as_day = _let(_date(iso, key, restore), lambda d: F.concat(F.substring(d, 9, 2), mark, F.substring(d, 6, 2), mark,
+                                                               F.substring(d, 1, 4)))
+    month, day, since = first.try_cast("int"), second.try_cast("int"), year.try_cast("int") - 1800
+    american = month.between(1, 12) & day.between(13, 28) & since.between(0, 399)
+    moved = _feistel(since * 12 + month - 1, day - 13, F.lit(4800), F.lit(16), key, "mdy", restore)
+    as_month = _let(moved, lambda s: F.concat(
+        F.lpad((s["a"] % 12 + 1).cast("string"), 2, "0"), mark, (s["b"] + 13).cast("string"), mark,
+        (F.floor(s["a"] / 12) + 1800).cast("long").cast("string")))
+    return F.when(american, as_month).otherwise(as_day)
+
+
 def _ip(value: Column, key: str, restore: bool) -> Column:
     def permuted(o: Column) -> Column:
         octet = lambda i: F.get(o, i)
@@ -177,7 +237,7 @@ def _mail(value: Column, key: str, restore: bool) -> Column:
     return F.concat(_let(F.split(local, ""), permuted), rest)
 
 
-_OF = {"mail": _mail, "phone": _phone, "date": _date, "ip": _ip, "card": _card}
+_OF = {"mail": _mail, "iban": _iban, "phone": _phone, "ssn": _ssn, "date": _date, "dmy": _dmy, "ip": _ip, "card": _card}
 
 
 def _kind(value: Column) -> Column:
