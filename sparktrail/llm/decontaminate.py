@@ -28,7 +28,8 @@ that many words are hashed too (one pass for each length that the benchmark
 has); items of fewer than ``MIN_WORDS`` words are too common to tell.  Windows
 with fewer than ``MIN_WORDS`` words that aren't placeholders are left out on the
 benchmark's side, unless the item has no other: those are hits only where all
-their slot values are the document's.
+their slot values are the document's. So are those of an item of one window, as
+one window with other values is no more than a like question.
 """
 
 from __future__ import annotations
@@ -161,8 +162,9 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     count = each.groupBy(F.col("item").alias("item_")).agg(
         F.count_distinct(F.when(~F.col("weak"), F.col("at"))).alias("told"), F.count_distinct("at").alias("all"))
     same = F.col("item").eqNullSafe(F.col("item_"))
+    of = F.when(F.col("told") > 0, F.col("told")).otherwise(F.col("all"))
     return each.join(count, same).where((F.col("told") == 0) | ~F.col("weak")).select(
-        "item", "at", "size", "strict", "h", "asked", F.when(F.col("told") > 0, F.col("told")).otherwise(F.col("all")).alias("of"))
+        "item", "at", "size", (F.col("strict") | (of == 1)).alias("strict"), "h", "asked", of.alias("of"))
 
 
 def _candidates(hits: DataFrame) -> DataFrame:

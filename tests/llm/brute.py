@@ -128,56 +128,122 @@ UNITS = set("mm cm m km in ft yd mi mg g kg lb oz ml l s sec min h hr hours minu
             "percent dollars euros usd eur meters metres miles kilometers kilometres grams pounds liters litres".split())
 
 
-def template(text):
-    """(canonical words, values)."""
+def template_words(text):
+    """[(lower-cased word, mark)]: the mark is "name" inside a sentence, "maybe" where a word is capitalised elsewhere."""
     import regex
 
-    found = [(m.group(), m.start()) for m in regex.finditer(r"[\p{L}\p{M}\p{N}]+(?:(?<=\p{N})[.,](?=\p{N})[\p{L}\p{M}\p{N}]+)*",
-                                                           text or "")]
-    canon, values = [], []
-    for word, at in found:
-        name = regex.search(r"[\p{L}\p{N},;:)] \Z", text[:at][-2:]) and regex.match(r"\p{Lu}\p{Ll}", word)
-        low = word.lower()
+    out = []
+    text = (text or "").translate({1: " ", 2: " "})
+    for m in regex.finditer(r"[\p{L}\p{M}\p{N}]+(?:(?<=\p{N})[.,](?=\p{N})[\p{L}\p{M}\p{N}]+)*", text):
+        mark = ""
+        if regex.match(r"\p{Lu}\p{Ll}", m.group()):
+            mark = "name" if regex.search(r"[\p{L}\p{N},;:)] \Z", text[:m.start()][-2:]) else "maybe"
+        out.append((m.group().lower(), mark))
+    return out
+
+
+def is_number(word):
+    return "0" <= word[:1] <= "9"
+
+
+def kinds(words, names, before=None):
+    """The canonical form of words, and their values: ``names`` says of each whether it is one."""
+    out, values = [], []
+    for (word, _), name in zip(words, names):
+        values.append(("name " if name else "") + word)
         if name:
-            canon.append("<name>")
-        elif "0" <= low[0] <= "9":
-            canon.append("<number>")
-        elif low in UNITS and canon and canon[-1] == "<number>":
-            canon.append("<unit>")
+            out.append("<name>")
+        elif is_number(word):
+            out.append("<number>")
+        elif word in UNITS and before is not None and not before[1] and is_number(before[0]):
+            out.append("<unit>")
         else:
-            canon.append(low)
-        values.append(low)
-    return canon, values
+            out.append(word)
+        before = (word, name)
+    return out, values
+
+
+MARKS = {"<name>", "<number>", "<unit>"}
+
+
+def item_windows(words):
+    """(rows, of): each row is (at, size, strict, canonical window, slot values)."""
+    import itertools
+
+    n, rows = len(words), []
+    if n < 4:
+        return [], 0
+    size = min(n, 8)
+    for at in range(max(n - 8, 0) + 1):
+        part = words[at:at + size]
+        before = (words[at - 1][0], words[at - 1][1]) if at else None
+        choices = [(True,) if mark == "name" else (False, True) if mark == "maybe" else (False,) for _, mark in part]
+        few = []
+        for names in itertools.product(*choices):
+            canon, values = kinds(part, names, before and (before[0], before[1] != ""))
+            few.append(sum(c not in MARKS for c in canon) < 4)
+            rows.append((at, size, few[0], few[-1], tuple(canon), [v for v, c in zip(values, canon) if c in MARKS]))
+    told = {at for at, _, weak, *_ in rows if not weak}
+    of = len(told) or len({r[0] for r in rows})
+    return [(at, size, strict or of == 1, canon, asked) for at, size, weak, strict, canon, asked in rows if not told or not weak], of
+
+
+def is_leak(hits, of):
+    """hits: (at, place, size, asked, found) of one document and item."""
+    by_shift = defaultdict(list)
+    for hit in hits:
+        by_shift[hit[1] - hit[0]].append(hit)
+    groups = [(False, held) for held in by_shift.values()]
+    shifts, cluster = sorted(by_shift), []
+    for shift in [*shifts, None]:
+        if cluster and (shift is None or shift - cluster[-1] > 8):
+            if len(cluster) > 1:
+                rank = lambda h: (len(by_shift[h[1] - h[0]]), -(h[1] - h[0]))
+                near = [h for s in cluster for h in by_shift[s]]
+                for by in (1, 0):  # of a place, then of a window of the item, the hit of the fullest diagonal
+                    best = {}
+                    for h in near:
+                        if h[by] not in best or rank(h) > rank(best[h[by]]):
+                            best[h[by]] = h
+                    near = list(best.values())
+                groups.append((True, near))
+            cluster = []
+        if shift is not None:
+            cluster.append(shift)
+    for merged, held in groups:
+        ats, size = sorted({h[0] for h in held}), max(h[2] for h in held)
+        run, first, end = 0, 0, -1
+        for at in ats:
+            first = first if at <= end else at
+            end = at + size
+            run = max(run, end - first)
+        pairs = {p for h in held for p in zip(h[3], h[4])}
+        if (len(ats) >= 0.5 * of or run >= 13 and not merged) and len(pairs) == len({a for a, _ in pairs}):
+            return True
+    return False
 
 
 def leaks(docs, items):
     """[(id, text)], [(item, text)] -> {(id, item)}"""
-    marks = {"<name>", "<number>", "<unit>"}
-
-    def windows(canon):
-        n = len(canon)
-        return [tuple(canon[i:i + 8]) for i in range(n - 7)] if n >= 8 else [tuple(canon)] if n else []
-
+    asked = {(i, t or ""): item_windows(template_words(t)) for i, t in items}
+    sizes = {8} | {r[1] for rows, _ in asked.values() for r in rows}
+    by_form = defaultdict(list)
+    for key, (rows, of) in asked.items():
+        for at, size, strict, canon, values in rows:
+            by_form[canon].append((key, of, at, size, strict, values))
     out = set()
-    asked = {}
-    for item, text in items:
-        canon, values = template(text)
-        ws = {i: w for i, w in enumerate(windows(canon)) if sum(c not in marks for c in w) >= 4}
-        asked[item] = ws, values
     for doc, text in docs:
-        canon, values = template(text)
-        where = defaultdict(list)
-        for p, w in enumerate(windows(canon)):
-            where[w].append(p)
-        for item, (ws, own) in asked.items():
-            by_shift = defaultdict(list)
-            for at, w in ws.items():
-                for p in where.get(w, ()):
-                    by_shift[p - at].append((at, p, w))
-            for hits in by_shift.values():
-                if len(hits) < 0.5 * len(ws):
-                    continue
-                pairs = {(own[at + k], values[p + k]) for at, p, w in hits for k, c in enumerate(w) if c in marks}
-                if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                    out.add((doc, item))
+        words = template_words(text)
+        inside, maybe = ({w for w, m in words if m == mark} for mark in ("name", "maybe"))
+        known = (inside & maybe) - {w for w, m in words if not m}
+        names = [m == "name" or m == "maybe" and w in known for w, m in words]
+        canon, values = kinds(words, names)
+        found = defaultdict(list)
+        for size in sizes:
+            for p in range(len(canon) - size + 1):
+                for key, of, at, _, strict, own in by_form.get(tuple(canon[p:p + size]), ()):
+                    held = [v for v, c in zip(values[p:p + size], canon[p:p + size]) if c in MARKS]
+                    if not strict or own == held:
+                        found[key, of].append((at, p, size, own, held))
+        out |= {(doc, key[0]) for (key, of), hits in found.items() if is_leak(hits, of)}
     return out
