@@ -1,25 +1,30 @@
 """Language-model scores from a hashed maximum-entropy model.
 
 Tokens are words and one end token a text.  The model factors a token's
-probability by its class,
+probability by its class and its group inside the class,
 
-    P(word | history) = P(class | history) * P(word | class),
+    P(word | history) = P(class | history) * P(group | class, history) * P(word | group),
 
 with ``CLASSES`` classes: one for the end token, one for each of the most
-frequent words, and the rest by a hash of a word's first two bytes.  P(class |
-history) is a maximum-entropy model (softmax) over hashed features: the word
-before, the two words before (n-grams), and the word before the last alone (a
-skip feature).  P(word | class) is the maximum-entropy model that has a feature
-for each word, whose solution is the smoothed share of the word in its class,
-with one place kept for words never seen, so that each distribution adds up to
-one.
-
-Training: counts come first, as one aggregate.  Then every task runs gradient
-steps over the tokens of its own texts, in batches of ``BATCH`` tokens, from the
-same start (class shares), and the tasks' weights are averaged feature by
-feature, weighted by how often each task saw the feature.  All training texts
-are used, whole.  The averaged weights are ``FEATURES x CLASSES`` numbers, a
-fixed size.
+frequent words, and the rest by a hash of a word's first two bytes.  A class of
+many words has ``GROUPS`` groups, by a hash of a word's last two bytes.  The
+first two factors are maximum-entropy models (softmax) over hashed features: the
+word before, the two words before (n-grams), and the word before the last alone
+(a skip feature); those of a group are hashed together with its class.  The
+tables of weights grow with the number of distinct words (``feature_bits``).
+P(word | group) is the maximum-entropy model that has a feature for each word,
+whose solution is the smoothed share of the word in its group, with one place
+kept for words never seen, so that each distribution adds up to one.
+
+Training: counts come first, as one aggregate.  The training texts are then
+dealt into lots of about ``LOT`` tokens by a hash of the text, and put in order
+of that hash.  Each lot takes gradient steps, in batches of ``BATCH`` tokens,
+from the same start (the shares), and the lots' weights are averaged feature by
+feature, weighted by how often each lot saw the feature.  All training texts
+are used, whole.  Equal texts are summed up before the shuffle, and are one text
+with their number as its weight, so that a large group of copies fills no lot.
+Lots follow from the texts alone, so scores don't depend on how rows are
+partitioned, up to the rounding of sums.
 
 Scoring reads all texts once more.  Counts of the ``FREQUENT`` most frequent
 words of ``LONGEST`` bytes at most, a bounded size, go to all tasks; the counts
@@ -38,7 +43,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain, repeat
+from itertools import chain, groupby, repeat
 from zlib import crc32
 
 import numpy as np
@@ -49,8 +54,14 @@ from pyspark.sql import functions as F
 from .common import ids_and_texts, stored
 from .quality import bucket
 
-CLASSES, SINGLES, FEATURES = 16, 6, 1 << 15
+CLASSES, SINGLES, GROUPS = 32, 8, 16
+#: Rows of a table of weights, as powers of two: with the most, both tables take 200 MB in the driver and in each task.
+LEAST_BITS, MOST_BITS = 15, 20
 BATCH, RATE, SATURATION = 8192, 0.05, 8
+#: Tokens that are trained on in one sequence, about.
+LOT = 8_000_000
+#: Sums of weights beyond it count as this; it keeps their exponentials in range.
+STEEP = 40.0
 FREQUENT = 300_000
 #: Bytes of a word that is sent to all tasks, at most: with ``FREQUENT``, the bound of what is broadcast.
 LONGEST = 256
@@ -102,24 +113,32 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Classes:
-    """The class of a token, here and as a Column."""
+    """The leaf of a token, its class and group as one number, here and as a Column."""
 
     def __init__(self, singles: list[bytes]):
         self.singles = {END: 0} | {w: i + 1 for i, w in enumerate(singles[:SINGLES - 1])}
 
     def of(self, token: bytes) -> int:
         known = self.singles.get(token)
-        return SINGLES + crc32(token[:2]) % (CLASSES - SINGLES) if known is None else known
+        if known is not None:
+            return known * GROUPS
+        return (SINGLES + crc32(token[:2]) % (CLASSES - SINGLES)) * GROUPS + crc32(token[-2:]) % GROUPS
 
     def column(self, token: Column) -> Column:
-        out = SINGLES + F.crc32(F.substring(token, 1, 2)) % (CLASSES - SINGLES)
+        class_ = SINGLES + F.crc32(F.substring(token, 1, 2)) % (CLASSES - SINGLES)
+        out = class_ * GROUPS + F.crc32(F.substring(token, -2, 2)) % GROUPS
         for word, i in self.singles.items():
-            out = F.when(token == F.lit(bytearray(word)), F.lit(i).cast("long")).otherwise(out)
+            out = F.when(token == F.lit(bytearray(word)), F.lit(i * GROUPS).cast("long")).otherwise(out)
         return out.cast("int")
 
 
+def feature_bits(distinct: int) -> int:
+    """The size of the tables of weights, as a power of two: a row for every four distinct words."""
+    return min(max(math.ceil(math.log2(max(distinct, 1))) - 2, LEAST_BITS), MOST_BITS)
+
+
 class _Codes(dict):
-    """A token's hash and class in one number; remembered for some, for speed only."""
+    """A token's hash and leaf in one number; remembered for some, for speed only."""
 
     def __init__(self, classes: Classes):
         self.classes = classes
@@ -127,17 +146,17 @@ class _Codes(dict):
     def __missing__(self, token: bytes) -> int:
         if len(self) >= 400_000:
             self.clear()
-        code = self[token] = (crc32(token) | 1 << 32) << 8 | self.classes.of(token)
+        code = self[token] = (crc32(token) | 1 << 32) << 16 | self.classes.of(token)
         return code
 
 
-def _batch_arrays(texts: Iterator[bytes | None], codes_of: _Codes):
-    """Tokens of a batch of texts: their lists, lengths, classes, and the three feature rows of each place."""
+def _batch_arrays(texts: list[bytes | None], codes_of: _Codes):
+    """Tokens of a batch of texts: their lists, lengths, leaves, and the three features (64 bits) of each place."""
     lists = [_tokens(t) for t in texts]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
     flat = list(chain.from_iterable(lists))
     codes = np.fromiter(map(codes_of.__getitem__, flat), np.int64, len(flat))
-    hashes = codes >> 8
+    hashes = codes >> 16
     ends = np.cumsum(sizes)
     h1 = np.concatenate([[0], hashes])[:len(flat)]
     h2 = np.concatenate([[0, 0], hashes])[:len(flat)]
@@ -146,79 +165,148 @@ def _batch_arrays(texts: Iterator[bytes | None], codes_of: _Codes):
     h2[starts] = 0
     second = (starts + 1)[sizes > 1]
     h2[second] = 1
-    mix = lambda x, by: ((x.astype(np.uint64) * np.uint64(by)) >> np.uint64(40)).astype(np.uint16) % FEATURES
-    rows = np.stack([mix(h1 + 7, 0x9E3779B97F4A7C15), mix(h1 * 31 + h2 * 1_000_003 + 11, 0xC2B2AE3D27D4EB4F),
-                     mix(h2 + 13, 0x165667B19E3779F9)])
-    return lists, sizes, flat, codes & 255, rows
+    mix = lambda x, by: x.astype(np.uint64) * np.uint64(by)
+    features = np.stack([mix(h1 + 7, 0x9E3779B97F4A7C15), mix(h1 * 31 + h2 * 1_000_003 + 11, 0xC2B2AE3D27D4EB4F),
+                         mix(h2 + 13, 0x165667B19E3779F9)])
+    return lists, sizes, flat, codes & 0xFFFF, features
+
+
+def class_rows(features: np.ndarray, bits: int) -> np.ndarray:
+    return (features >> np.uint64(64 - bits)).astype(np.int32)
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[0]]
-    z += weights[rows[1]]
-    z += weights[rows[2]]
+def group_rows(features: np.ndarray, classes: np.ndarray, bits: int) -> np.ndarray:
+    mixed = (features ^ (features >> np.uint64(29))) + (classes + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return class_rows(mixed * np.uint64(0x9FB21C651E98DF25), bits)
+
+
+def softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = np.take(weights, rows[0], axis=0, mode="clip")
+    z += np.take(weights, rows[1], axis=0, mode="clip")
+    z += np.take(weights, rows[2], axis=0, mode="clip")
     z += bias
-    z -= z.max(axis=1, keepdims=True)
+    np.clip(z, -STEEP, STEEP, out=z)
+    np.exp(z, out=z)
+    z /= np.einsum("ij->i", z)[:, None]
     return z
 
 
-def _steps(batch: pa.RecordBatch, codes: _Codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for _, texts in _groups(batch):
-        *_, labels, rows = _batch_arrays(texts, codes)
-        for i in range(0, len(labels), BATCH):
-            yield rows[:, i:i + BATCH], labels[i:i + BATCH]
+class Head:
+    """The weights of one factor while they are trained."""
+
+    def __init__(self, bits: int, outcomes: int):
+        self.weights = np.zeros((1 << bits, outcomes), np.float32)
+        self.times = np.zeros(1 << bits, np.int64)
 
+    def step(self, bias: np.ndarray, rows: np.ndarray, y: np.ndarray, much: np.ndarray) -> None:
+        """One gradient step on the tokens of a batch, each as many times as ``much`` says."""
+        error = softmax(self.weights, bias, rows)
+        error[np.arange(len(y)), y] -= 1
+        error *= much[:, None]
+        by_outcome = np.ascontiguousarray(error.T, np.float64)
+        for feature in rows:
+            used, at = np.unique(feature, return_inverse=True)
+            count = np.bincount(at, much)
+            mean = np.stack([np.bincount(at, e, len(used)) for e in by_outcome], axis=1)
+            mean *= (RATE * np.minimum(count, SATURATION) / count)[:, None]
+            self.weights[used] -= mean
+            self.times[used] += count.astype(np.int64)
 
-def _trained(bias: np.ndarray, singles: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
-    times = np.zeros(FEATURES, np.int64)
-    codes = _Codes(Classes(singles))
+
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal texts of a batch as one row."""
+    for batch in batches:
+        sums = pa.Table.from_batches([batch]).group_by(["h", "lot", "text"]).aggregate([([], "count_all")])
+        yield from sums.rename_columns(["h", "lot", "text", "times"]).to_batches()
+
+
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[int]]]:
+    """(lot, texts, times) in groups of about ``TOGETHER`` bytes; equal texts, which are neighbours, are one."""
+    lot, texts, times, size = None, [], [], 0
     for batch in batches:
-        for part, y in _steps(batch, codes):
-            error = np.exp(_logits(weights, bias, part))
-            error /= error.sum(axis=1, keepdims=True)
-            error[np.arange(len(y)), y] -= 1
-            for feature in part:
-                order = np.argsort(feature, kind="stable")
-                sorted_ = feature[order]
-                first = np.concatenate([[0], np.nonzero(sorted_[1:] != sorted_[:-1])[0] + 1])
-                count = np.diff(np.concatenate([first, [len(sorted_)]]))
-                mean = np.add.reduceat(error[order], first, axis=0)
-                mean *= (RATE * np.minimum(count, SATURATION) / count).astype(np.float32)[:, None]
-                weights[sorted_[first]] -= mean
-                times[sorted_[first]] += count
-    used = np.nonzero(times)[0]
+        for t, at, k in zip(_bytes_of(batch), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            if texts and at == lot and texts[-1] == t:
+                times[-1] += k
+                continue
+            if texts and (at != lot or size >= TOGETHER):
+                yield lot, texts, times
+                texts, times, size = [], [], 0
+            lot, size = at, size + len(t)
+            texts.append(t)
+            times.append(k)
+    if texts:
+        yield lot, texts, times
+
+
+def _trained(leaf_n: np.ndarray, singles: list[bytes], bits: int, batches: Iterator[pa.RecordBatch]
+             ) -> Iterator[pa.RecordBatch]:
+    codes, (bias, inner_bias) = _Codes(Classes(singles)), start_bias(leaf_n)
+    for _, parts in groupby(_lots(batches), key=lambda x: x[0]):
+        outer, inner = Head(bits, CLASSES), Head(bits, GROUPS)
+        for _, texts, times in parts:
+            _, sizes, _, leaves, features = _batch_arrays(texts, codes)
+            much = np.repeat(np.array(times, np.float32), sizes)
+            for i in range(0, len(leaves), BATCH):
+                y, x, k = leaves[i:i + BATCH], features[:, i:i + BATCH], much[i:i + BATCH]
+                class_ = y // GROUPS
+                outer.step(bias, class_rows(x, bits), class_, k)
+                many = np.nonzero(class_ >= SINGLES)[0]
+                if len(many):
+                    class_ = class_[many]
+                    inner.step(inner_bias[class_], group_rows(x[:, many], class_, bits), y[many] % GROUPS, k[many])
+        yield from _rows_of(outer, 0)
+        yield from _rows_of(inner, 1 << bits)
+
+
+def _rows_of(head: Head, first: int) -> Iterator[pa.RecordBatch]:
+    used = np.nonzero(head.times)[0]
     for some in np.array_split(used, max(1, len(used) // 4096)):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array(times[some]),
-             *(pa.array(weights[some, c]) for c in range(CLASSES))], names=["feature", "times", *_W])
+        columns = [pa.array(head.weights[some, c]) for c in range(head.weights.shape[1])]
+        columns += [pa.array(np.zeros(len(some), np.float32))] * (len(_W) - len(columns))
+        yield pa.RecordBatch.from_arrays([pa.array((some + first).astype(np.int32)), pa.array(head.times[some]), *columns],
+                                         names=["feature", "times", *_W])
 
 
-_W = [f"w{c}" for c in range(CLASSES)]
+_W = [f"w{c}" for c in range(max(CLASSES, GROUPS))]
 
 
 class Model:
     """Counts and weights, all of bounded size, as they are sent to the tasks."""
 
-    def __init__(self, total: int, distinct: int, class_n: np.ndarray, class_v: np.ndarray, singles: list[bytes],
-                 frequent: list[tuple[bytes, int]], weights: np.ndarray):
-        self.total, self.distinct, self.singles = total, distinct, singles
-        self.class_n, self.class_v, self.weights = class_n, class_v, weights
-        self.base_log = math.log10(total + ADD * (distinct + 1))
-        self.class_log = np.log10(class_n + ADD * (class_v + 1))
-        self.bias = start_bias(class_n)
+    def __init__(self, leaf_n: np.ndarray, leaf_v: np.ndarray, singles: list[bytes], frequent: list[tuple[bytes, int]],
+                 bits: int, weights: np.ndarray, inner: np.ndarray):
+        self.total, self.distinct, self.singles = int(leaf_n.sum()), int(leaf_v.sum()), singles
+        self.bits, self.weights, self.inner = bits, weights, inner
+        self.base_log = math.log10(self.total + ADD * (self.distinct + 1))
+        self.leaf_log = np.log10(leaf_n + ADD * (leaf_v + 1))
+        self.bias, self.inner_bias = start_bias(leaf_n)
         self.frequent = {w: i for i, (w, _) in enumerate(frequent)}
         logs = np.log10(np.array([n for _, n in frequent], np.float64) + ADD)
         classes = Classes(singles)
         of = np.array([classes.of(w) for w, _ in frequent], np.int64)
         self.base = logs - self.base_log
-        self.inside = logs - self.class_log[of] if len(of) else logs
+        self.inside = logs - self.leaf_log[of] if len(of) else logs
 
+    def log_leaf(self, leaves: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """log10 of P(class | history) * P(group | class, history) of each token."""
+        class_, at = leaves // GROUPS, np.arange(len(leaves))
+        logs = np.log10(softmax(self.weights, self.bias, class_rows(features, self.bits))[at, class_], dtype=np.float64)
+        many = np.nonzero(class_ >= SINGLES)[0]
+        if len(many):
+            class_ = class_[many]
+            p = softmax(self.inner, self.inner_bias[class_], group_rows(features[:, many], class_, self.bits))
+            logs[many] += np.log10(p[np.arange(len(many)), leaves[many] % GROUPS], dtype=np.float64)
+        return logs
 
-def start_bias(class_n: np.ndarray) -> np.ndarray:
-    return np.log((class_n + 1.0) / (class_n.sum() + len(class_n))).astype(np.float32)
 
+def start_bias(leaf_n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the shares of the classes, and of the groups in each class."""
+    logs = lambda n: np.log((n + 1.0) / (n + 1.0).sum(-1, keepdims=True)).astype(np.float32)
+    by_class = leaf_n.reshape(CLASSES, GROUPS)
+    return logs(by_class.sum(1)), logs(by_class)
 
-_PARTS = ("place long, id {}, held_out boolean, token binary, cls int, n_tokens long, n_known long, base_score double, "
+
+_PARTS = ("place long, id {}, held_out boolean, token binary, leaf_log double, n_tokens long, n_known long, base_score double, "
           "score double")
 
 
@@ -229,13 +317,11 @@ def _scored(shared, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Ite
     codes = _Codes(classes)
     for batch, texts in ((batch.slice(first, len(texts)), texts) for batch in batches for first, texts in _groups(batch)):
         places = batch.column(batch.schema.get_field_index("place")).to_pylist()
-        lists, sizes, flat, labels, rows = _batch_arrays(texts, codes)
+        lists, sizes, flat, leaves, features = _batch_arrays(texts, codes)
         at = np.fromiter(map(known, flat, repeat(-1)), np.int64, len(flat))
         logs = np.empty(len(flat))
         for i in range(0, len(flat), BATCH):
-            z = _logits(model.weights, model.bias, rows[:, i:i + BATCH])
-            picked = z[np.arange(len(z)), labels[i:i + BATCH]].astype(np.float64)
-            logs[i:i + BATCH] = (picked - np.log(np.exp(z).sum(axis=1, dtype=np.float64))) / math.log(10)
+            logs[i:i + BATCH] = model.log_leaf(leaves[i:i + BATCH], features[:, i:i + BATCH])
         doc = np.repeat(np.arange(len(lists)), sizes)
         found = at >= 0
         sums = lambda x, w: np.bincount(doc[w], x[w], len(lists))
@@ -253,12 +339,12 @@ def _scored(shared, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Ite
             pa.array(places + [places[d] for d in index], pa.int64()),
             pa.concat_arrays([ids, pa.nulls(m, kind)]), pa.concat_arrays([out, pa.nulls(m, pa.bool_())]),
             pa.array([None] * n + [w for _, w in rare], pa.binary()),
-            pa.array([None] * n + [classes.of(w) for _, w in rare], pa.int32()),
+            pa.array([None] * n + [model.leaf_log[classes.of(w)] for _, w in rare], pa.float64()),
             pa.array(sizes.tolist() + list(rare.values()), pa.int64()),
             pa.concat_arrays([pa.array(sums(found.astype(float), found).astype(np.int64)), pa.nulls(m, pa.int64())]),
             pa.concat_arrays([pa.array(sums(base, found)), nothing]),
             pa.concat_arrays([pa.array(sums(logs, everywhere)), nothing])],
-            names=["place", "id", "held_out", "token", "cls", "n_tokens", "n_known", "base_score", "score"])
+            names=["place", "id", "held_out", "token", "leaf_log", "n_tokens", "n_known", "base_score", "score"])
 
 
 def _most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -279,28 +365,41 @@ def _most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(zip(got["token"].to_pylist(), got["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
-def train(texts: DataFrame, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
-    """The model of all ``texts`` that aren't held out, and the table of counts (token, n, cls)."""
+def _dealt(training: DataFrame, lots: int) -> DataFrame:
+    """(text, lot, times): each lot in one partition, in order of the texts' hashes, which make up the lots."""
+    h = F.col("h")
+    lot = F.least(F.floor((h.cast("double") / float(1 << 64) + 0.5) * lots), F.lit(lots - 1)).cast("int")
+    keyed = training.select(F.xxhash64("text").alias("h"), "text").select("h", lot.alias("lot"), "text")
+    once = keyed.mapInArrow(_collapsed, "h long, lot int, text string, times long")
+    return once.repartitionById(lots, F.col("lot")).sortWithinPartitions("h", "text").select("text", "lot", "times")
+
+
+def train(texts: DataFrame, frequent: int = FREQUENT, lot: int = LOT) -> tuple[Model, DataFrame]:
+    """The model of all ``texts`` that aren't held out, and the table of counts (token, n)."""
     training = texts.where(~F.col("held_out")).select("text")
     counts = stored(training.mapInArrow(_counted, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")),
                     "counts")
     top = _most_frequent(counts, frequent)
     singles = [w for w, _ in top[:SINGLES] if w != END][:SINGLES - 1]
     classes = Classes(singles)
-    by_class = counts.groupBy(classes.column(F.col("token")).alias("c")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in by_class:
-        class_n[r.c], class_v[r.c] = r.n, r.v
+    by_leaf = counts.groupBy(classes.column(F.col("token")).alias("leaf")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # CLASSES * GROUPS rows at most
+    leaf_n, leaf_v = np.zeros(CLASSES * GROUPS), np.zeros(CLASSES * GROUPS)
+    for r in by_leaf:
+        leaf_n[r.leaf], leaf_v[r.leaf] = r.n, r.v
+    bits = feature_bits(int(leaf_v.sum()))
     kinds = ", ".join(f"{w} float" for w in _W)
-    tasks = training.mapInArrow(partial(_trained, start_bias(class_n), singles), f"feature int, times long, {kinds}")
-    mean = tasks.groupBy("feature").agg(*[(F.sum(F.col(w) * F.col("times")) / F.sum("times")).cast("float").alias(w)
-                                          for w in _W])
-    weights = np.zeros((FEATURES, CLASSES), np.float32)
-    got = mean.toArrow()  # FEATURES rows at most
-    if got.num_rows:
-        weights[got["feature"].to_numpy()] = np.stack([got[w].to_numpy() for w in _W], axis=1)
-    return Model(int(class_n.sum()), int(class_v.sum()), class_n, class_v, singles, top, weights), counts
+    dealt = _dealt(training, max(1, math.ceil(leaf_n.sum() / lot)))
+    each = dealt.mapInArrow(partial(_trained, leaf_n, singles, bits), f"feature int, times long, {kinds}")
+    mean = each.groupBy("feature").agg(*[(F.sum(F.col(w) * F.col("times")) / F.sum("times")).cast("float").alias(w)
+                                         for w in _W])
+    weights = np.zeros((2 << bits, len(_W)), np.float32)
+    got = mean.toArrow()  # the tables' rows, 2 << MOST_BITS at most
+    rows = got["feature"].to_numpy()
+    for c, w in enumerate(_W):
+        weights[rows, c] = got[w].to_numpy()
+    outer, inner = weights[:1 << bits, :CLASSES], np.ascontiguousarray(weights[1 << bits:, :GROUPS])
+    return Model(leaf_n, leaf_v, singles, top, bits, np.ascontiguousarray(outer), inner), counts
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -313,15 +412,14 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fre
     from pyspark.sql.pandas.types import to_arrow_type
     parts = stored(rows.mapInArrow(partial(_scored, shared, to_arrow_type(kind)), _PARTS.format(kind.simpleString())),
                    "parts")
-    rare = parts.where("token is not null").select("place", "token", "cls", F.col("n_tokens").alias("k"))
+    rare = parts.where("token is not null").select("place", "token", "leaf_log", F.col("n_tokens").alias("k"))
     met = rare.join(counts, "token", "left")
     seen = F.coalesce("n", F.lit(0)) + F.lit(ADD)
-    class_log = F.get(F.array(*[F.lit(float(x)) for x in model.class_log]), "cls")
     rest = met.select(
         "place", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("boolean").alias("held_out"),
         F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0).alias("n_known"),
         (F.col("k") * (F.log10(seen) - F.lit(model.base_log))).alias("base_score"),
-        (F.col("k") * (F.log10(seen) - class_log)).alias("score"))
+        (F.col("k") * (F.log10(seen) - F.col("leaf_log"))).alias("score"))
     whole = parts.where("token is null").select(*rest.columns)
     sums = whole.unionByName(rest).groupBy("place").agg(
         F.max("id").alias(id_col), F.max("held_out").alias("held_out"),

@@ -322,24 +322,79 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_language_model_does_not_depend_on_partitions(spark):
+    from sparktrail.llm import lm_score
+
+    rows = [(i, f"common words {'and copies' if i % 3 else f'of text w{i % 17}'} t{i % 41} end{i % 5}") for i in range(600)]
+    rows += [(None, None), (600, ""), (601, "x" * 20_000), (602, "a b " * 4000)]
+    models = []
+    for parts in (1, 8, 13):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        models.append(lm_score.train(lm_score._texts(df, "doc_id", "text"), lot=900)[0])  # several lots
+    assert abs(models[0].weights).max() > 0 and abs(models[0].inner).max() > 0
+    for m in models[1:]:
+        assert abs(m.weights - models[0].weights).max() < 1e-5 and abs(m.inner - models[0].inner).max() < 1e-5
+    got = [{r.doc_id: r.score for r in lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")
+            .repartition(n)).collect()} for n in (1, 8)]
+    assert got[0].keys() == got[1].keys() and all(abs(got[0][k] - v) <= 1e-5 * abs(v) for k, v in got[1].items())
+
+
+def test_language_model_lots_hold_every_training_text_once(spark):
+    import pyarrow as pa
+
+    from sparktrail.llm import lm_score
+
+    rows = [(i, "the same text" if i % 3 == 0 else f"text {i // 2}") for i in range(3000)]
+    texts = spark.createDataFrame(rows, "id long, text string").repartition(7)
+    dealt = lm_score._dealt(texts.select("text"), 20).collect()
+    want = Counter(t for _, t in rows)
+    got = Counter()
+    for r in dealt:
+        got[r.text] += r.times
+    assert got == want and len({r.lot for r in dealt}) == 20
+    assert all(len({r.lot for r in dealt if r.text == t}) == 1 for t in ("the same text", "text 7"))
+    batch = pa.RecordBatch.from_pylist([{"text": r.text, "lot": r.lot, "times": r.times} for r in sorted(
+        dealt, key=lambda r: (r.lot, r.text))])
+    merged = [(t, k) for _, some, times in lm_score._lots(iter([batch.slice(0, 700), batch.slice(700)]))
+              for t, k in zip(some, times)]
+    assert {t.decode(): k for t, k in merged} == want and len(merged) == len(want)
+
+
 def test_language_model_is_a_distribution():
     import numpy as np
 
-    from sparktrail.llm.lm_score import ADD, CLASSES, SINGLES, Classes, _batch_arrays, _Codes, _logits
+    from sparktrail.llm.lm_score import (ADD, CLASSES, GROUPS, LEAST_BITS, SINGLES, Classes, Model, _batch_arrays, _Codes,
+                                         feature_bits)
 
-    words = [b"the", b"a", b"tree", b"trunk", b"xyz"]
+    words = [b"the", b"a", b"tree", b"trunk", b"xyz", b""]
     classes = Classes([b"the"])
-    n = np.zeros(CLASSES), np.zeros(CLASSES)
+    n, v = np.zeros(CLASSES * GROUPS), np.zeros(CLASSES * GROUPS)
     for w in words:
-        n[0][classes.of(w)] += 5
-        n[1][classes.of(w)] += 1
-    *_, rows = _batch_arrays([b"the tree a"], _Codes(classes))
-    weights = np.random.default_rng(1).normal(size=(1 << 15, CLASSES)).astype(np.float32)
-    p = np.exp(_logits(weights, np.zeros(CLASSES, np.float32), rows))
-    p /= p.sum(1, keepdims=True)
-    inside = sum((5 + ADD) / (n[0] + ADD * (n[1] + 1))[classes.of(w)] * p[:, classes.of(w)] for w in words)
-    unseen = (ADD / (n[0] + ADD * (n[1] + 1)) * p).sum(1)
-    assert np.allclose(inside + unseen, 1, atol=1e-5) and SINGLES < CLASSES
+        n[classes.of(w)] += 5
+        v[classes.of(w)] += 1
+    rng = np.random.default_rng(1)
+    tables = [rng.normal(size=(1 << LEAST_BITS, k)).astype(np.float32) for k in (CLASSES, GROUPS)]
+    model = Model(n, v, [b"the"], [(w, 5) for w in words], LEAST_BITS, *tables)
+    *_, features = _batch_arrays([b"the tree a"], _Codes(classes))
+    # leaves that can be: a single word's class has one, others have all their groups
+    leaves = [c * GROUPS + g for c in range(CLASSES) for g in range(1 if c < SINGLES else GROUPS)]
+    for place in range(features.shape[1]):
+        p = 10 ** model.log_leaf(np.array(leaves), np.repeat(features[:, [place]], len(leaves), axis=1))
+        assert np.isclose(p.sum(), 1, atol=1e-4)
+        p = dict(zip(leaves, p))
+        inside = sum(10 ** model.inside[model.frequent[w]] * p[classes.of(w)] for w in words)
+        unseen = sum(ADD / (n[x] + ADD * (v[x] + 1)) * p[x] for x in leaves)
+        assert np.isclose(inside + unseen, 1, atol=1e-4)
+    assert [feature_bits(x) for x in (0, 1 << 10, 1 << 17, 1 << 20, 1 << 40)] == [15, 15, 15, 18, 20]
+
+
+def test_language_model_classes_agree_with_the_column(spark):
+    from sparktrail.llm.lm_score import Classes
+
+    words = [b"", b"a", b"ab", b"the", b"then", "\u00e9t\u00e9".encode(), b"of"]
+    classes = Classes([b"the", b"of"])
+    df = spark.createDataFrame([(bytearray(w),) for w in words], "w binary")
+    assert [r[0] for r in df.select(classes.column(df.w)).collect()] == [classes.of(w) for w in words]
 
 
 def luhn(digits):
