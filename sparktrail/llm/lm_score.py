@@ -11,13 +11,15 @@ many words has ``GROUPS`` groups, by a hash of a word's last two bytes.  The
 first two factors are maximum-entropy models (softmax) over hashed features: the
 word before, the two words before (n-grams), and the word before the last alone
 (a skip feature); those of a group are hashed together with its class.  The
-tables of weights grow with the number of distinct words (``feature_bits``).
+tables of weights grow with the root of the number of distinct words
+(``feature_bits``), and so does what is trained in one sequence: more text gives
+larger tables and more sequences.
 P(word | group) is the maximum-entropy model that has a feature for each word,
 whose solution is the smoothed share of the word in its group, with one place
 kept for words never seen, so that each distribution adds up to one.
 
 Training: counts come first, as one aggregate.  The training texts are then
-dealt into lots of about ``LOT`` tokens by a hash of the text, and put in order
+dealt into lots of about ``LOT`` tokens a row of the tables by a hash of the text, and put in order
 of that hash.  Each lot takes gradient steps, in batches of ``BATCH`` tokens,
 from the same start (the shares), and the lots' weights are averaged feature by
 feature, weighted by how often each lot saw the feature.  All training texts
@@ -58,8 +60,8 @@ CLASSES, SINGLES, GROUPS = 32, 8, 16
 #: Rows of a table of weights, as powers of two: with the most, both tables take 200 MB in the driver and in each task.
 LEAST_BITS, MOST_BITS = 15, 20
 BATCH, RATE, SATURATION = 8192, 0.05, 8
-#: Tokens that are trained on in one sequence, about.
-LOT = 8_000_000
+#: Tokens of a lot for each row of a table: a lot's weights stay below a seventh or so of its text.
+LOT = 128
 #: Sums of weights beyond it count as this; it keeps their exponentials in range.
 STEEP = 40.0
 FREQUENT = 300_000
@@ -112,6 +114,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "n"])
 
 
+def many_leaf(token: bytes) -> int:
+    return (SINGLES + crc32(token[:2]) % (CLASSES - SINGLES)) * GROUPS + crc32(token[-2:]) % GROUPS
+
+
 class Classes:
     """The leaf of a token, its class and group as one number, here and as a Column."""
 
@@ -122,7 +128,7 @@ class Classes:
         known = self.singles.get(token)
         if known is not None:
             return known * GROUPS
-        return (SINGLES + crc32(token[:2]) % (CLASSES - SINGLES)) * GROUPS + crc32(token[-2:]) % GROUPS
+        return many_leaf(token)
 
     def column(self, token: Column) -> Column:
         class_ = SINGLES + F.crc32(F.substring(token, 1, 2)) % (CLASSES - SINGLES)
@@ -133,20 +139,26 @@ class Classes:
 
 
 def feature_bits(distinct: int) -> int:
-    """The size of the tables of weights, as a power of two: a row for every four distinct words."""
-    return min(max(math.ceil(math.log2(max(distinct, 1))) - 2, LEAST_BITS), MOST_BITS)
+    """The size of the tables of weights, as a power of two: about 32 times the root of the number of distinct words."""
+    return min(max(round(math.log2(max(distinct, 1)) / 2) + 5, LEAST_BITS), MOST_BITS)
 
 
 class _Codes(dict):
     """A token's hash and leaf in one number; remembered for some, for speed only."""
 
     def __init__(self, classes: Classes):
-        self.classes = classes
+        self.fixed = {w: self.of(w, classes.of(w)) for w in classes.singles}
+        self.update(self.fixed)
+
+    @staticmethod
+    def of(token: bytes, leaf: int) -> int:
+        return (crc32(token) | 1 << 32) << 16 | leaf
 
     def __missing__(self, token: bytes) -> int:
         if len(self) >= 400_000:
             self.clear()
-        code = self[token] = (crc32(token) | 1 << 32) << 16 | self.classes.of(token)
+            self.update(self.fixed)
+        code = self[token] = self.of(token, many_leaf(token))
         return code
 
 
@@ -203,11 +215,12 @@ class Head:
         error = softmax(self.weights, bias, rows)
         error[np.arange(len(y)), y] -= 1
         error *= much[:, None]
-        by_outcome = np.ascontiguousarray(error.T, np.float64)
+        wide, outcomes = error.ravel().astype(np.float64), np.arange(error.shape[1])
         for feature in rows:
             used, at = np.unique(feature, return_inverse=True)
             count = np.bincount(at, much)
-            mean = np.stack([np.bincount(at, e, len(used)) for e in by_outcome], axis=1)
+            cells = (at[:, None] * len(outcomes) + outcomes).ravel()
+            mean = np.bincount(cells, wide, len(used) * len(outcomes)).reshape(len(used), -1)
             mean *= (RATE * np.minimum(count, SATURATION) / count)[:, None]
             self.weights[used] -= mean
             self.times[used] += count.astype(np.int64)
@@ -374,7 +387,7 @@ def _dealt(training: DataFrame, lots: int) -> DataFrame:
     return once.repartitionById(lots, F.col("lot")).sortWithinPartitions("h", "text").select("text", "lot", "times")
 
 
-def train(texts: DataFrame, frequent: int = FREQUENT, lot: int = LOT) -> tuple[Model, DataFrame]:
+def train(texts: DataFrame, frequent: int = FREQUENT, lot: float = LOT) -> tuple[Model, DataFrame]:
     """The model of all ``texts`` that aren't held out, and the table of counts (token, n)."""
     training = texts.where(~F.col("held_out")).select("text")
     counts = stored(training.mapInArrow(_counted, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")),
@@ -389,7 +402,7 @@ def train(texts: DataFrame, frequent: int = FREQUENT, lot: int = LOT) -> tuple[M
         leaf_n[r.leaf], leaf_v[r.leaf] = r.n, r.v
     bits = feature_bits(int(leaf_v.sum()))
     kinds = ", ".join(f"{w} float" for w in _W)
-    dealt = _dealt(training, max(1, math.ceil(leaf_n.sum() / lot)))
+    dealt = _dealt(training, max(1, math.ceil(leaf_n.sum() / (lot * (1 << bits)))))
     each = dealt.mapInArrow(partial(_trained, leaf_n, singles, bits), f"feature int, times long, {kinds}")
     mean = each.groupBy("feature").agg(*[(F.sum(F.col(w) * F.col("times")) / F.sum("times")).cast("float").alias(w)
                                          for w in _W])
