@@ -44,3 +44,31 @@ def test_payloads_are_parsed_once_and_keys_are_taken_as_they_are(spark):
     assert _plan(clean).count("$.cart") == 1
     got = {(r.ord, r.product_id, r.product_price) for r in clean.collect()}
     assert got == {(1, "p1", "3"), (2, "-1", "4")}
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    from sparktrail.sources.raw import list_objects
+    folders = 100
+    for i in range(folders):
+        (tmp_path / f"name=object-{i}").mkdir()
+        (tmp_path / f"name=object-{i}" / "part.txt").write_text("x")
+    key, tracker = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext.statusTracker()
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        assert list_objects(spark, str(tmp_path)).count() == folders
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        known = [tracker.getStageInfo(s) for s in stages]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in known if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before
+
+
+def test_objects_of_the_stream_hold_many_documents(spark):
+    from smoke import SMOKE
+    from sparktrail.plans import adapters as A
+    from sparktrail.plans import raw_adapter as RA
+    ev = A.base_events(spark, SMOKE).where("ord < 600").withColumn("ts", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
+    assert RA.raw_objects(ev).count() == 3
+    assert RA.raw_objects(ev, ids=RA.IDS_PER_FILE).count() == 1
