@@ -72,3 +72,21 @@ def test_objects_of_the_stream_hold_many_documents(spark):
     ev = A.base_events(spark, SMOKE).where("ord < 600").withColumn("ts", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'"))
     assert RA.raw_objects(ev).count() == 3
     assert RA.raw_objects(ev, ids=RA.IDS_PER_FILE).count() == 1
+
+
+def test_a_listing_is_scanned_by_a_few_tasks(spark, tmp_path):
+    from sparktrail.sources.raw import list_objects
+    files = 40 * spark.sparkContext.defaultParallelism
+    for i in range(files):
+        (tmp_path / f"object-{i}.txt").write_text("x" if i else "")
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(128 << 20))  # a task for each file
+    try:
+        listed = list_objects(spark, str(tmp_path))
+        assert listed.where("length > 0").select("path").distinct().count() == files - 1 and listed.count() == files
+        scan = listed.inputFiles()
+        assert len(scan) == files
+        assert listed.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism + spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(key, before)
