@@ -42,14 +42,14 @@ scored each; without training texts all counts are 0.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain, groupby, repeat
+from itertools import groupby, repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +81,26 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return ids_and_texts(df, id_col, text_col).withColumn("held_out", held_out(F.col("id")))
 
 
-def _tokens(text: bytes | None) -> list[bytes]:
-    words = text.lower().split() if text else []  # bytes: A-Z and ASCII space only
-    words.append(END)
-    return words
+def _tokens(texts: pa.Array | list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens of some texts, the number among them of each token, text after text, and the texts' lengths."""
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+    whole = pc.fill_null(column.cast(pa.binary()).view(pa.string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(whole))  # A-Z and ASCII space only
+    words = lists.flatten().dictionary_encode()
+    # leading, trailing and no space at all give empty words: these are dropped, and the end token is one, too
+    distinct, at = words.dictionary.cast(pa.binary()), words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    end = pc.index(distinct, pa.scalar(END, pa.binary())).as_py()
+    if end < 0:
+        end, distinct = len(distinct), pa.concat_arrays([distinct, pa.array([END], pa.binary())])
+    is_word = at != end
+    upto = np.concatenate([[0], np.cumsum(is_word)])
+    edges = lists.offsets.to_numpy().astype(np.int64)
+    sizes = np.diff(upto[edges - edges[0]]) + 1
+    out = np.full(int(sizes.sum()), end, np.int64)
+    place = np.ones(len(out), bool)
+    place[np.cumsum(sizes) - 1] = False
+    out[place] = at[is_word]
+    return distinct, out, sizes
 
 
 def _bytes_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes | None]:
@@ -92,26 +108,32 @@ def _bytes_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes | Non
         yield t.as_py()
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes | None]]]:
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array]]:
     """The texts of a batch in groups of about ``TOGETHER`` bytes, with the place of the first."""
-    first, group, size = 0, [], 0
-    for text in _bytes_of(batch):
-        group.append(text)
-        size += len(text or b"")
+    texts = batch.column(batch.schema.get_field_index("text"))
+    first, size = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
         if size >= TOGETHER:
-            yield first, group
-            first, group, size = first + len(group), [], 0
-    if group:
-        yield first, group
+            yield first, texts.slice(first, i + 1 - first)
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, texts.slice(first)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: Counter = Counter()
-        for text in _bytes_of(batch):
-            counts.update(_tokens(text))
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
-                                         names=["token", "n"])
+        parts = []
+        for _, texts in _groups(batch):
+            words, at, _ = _tokens(texts)
+            parts.append(pa.table([words, np.bincount(at, minlength=len(words))], names=["token", "n"]))
+        if parts:
+            sums = pa.concat_tables(parts).group_by("token").aggregate([("n", "sum")]).rename_columns(["token", "n"])
+            yield from sums.filter(pc.greater(sums["n"], 0)).to_batches()
 
 
 def many_leaf(token: bytes) -> int:
@@ -143,35 +165,39 @@ def feature_bits(distinct: int) -> int:
     return min(max(round(math.log2(max(distinct, 1)) / 2) + 5, LEAST_BITS), MOST_BITS)
 
 
-class _Codes(dict):
-    """A token's hash and leaf in one number; remembered for some, for speed only."""
+class _Codes:
+    """The hash and the leaf of tokens in one number."""
 
     def __init__(self, classes: Classes):
-        self.fixed = {w: self.of(w, classes.of(w)) for w in classes.singles}
-        self.update(self.fixed)
+        self.singles = pa.array(classes.singles, pa.binary())
+        self.leaves = np.fromiter(classes.singles.values(), np.int64, len(classes.singles)) * GROUPS
 
     @staticmethod
-    def of(token: bytes, leaf: int) -> int:
-        return (crc32(token) | 1 << 32) << 16 | leaf
-
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-            self.update(self.fixed)
-        code = self[token] = self.of(token, many_leaf(token))
-        return code
-
-
-def _batch_arrays(texts: list[bytes | None], codes_of: _Codes):
-    """Tokens of a batch of texts: their lists, lengths, leaves, and the three features (64 bits) of each place."""
-    lists = [_tokens(t) for t in texts]
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = list(chain.from_iterable(lists))
-    codes = np.fromiter(map(codes_of.__getitem__, flat), np.int64, len(flat))
+    def _hashes(words: pa.Array) -> np.ndarray:
+        return np.fromiter(map(crc32, _listed(words)), np.int64, len(words))
+
+    def _few(self, words: pa.Array) -> np.ndarray:
+        few = words.dictionary_encode()
+        return self._hashes(few.dictionary)[few.indices.to_numpy()]
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """As ``Classes.of`` has the leaves, for many tokens."""
+        class_ = SINGLES + self._few(pc.binary_slice(words, 0, 2)) % (CLASSES - SINGLES)
+        leaf = class_ * GROUPS + self._few(pc.binary_slice(words, -2)) % GROUPS
+        single = pc.fill_null(pc.index_in(words, value_set=self.singles), -1).to_numpy(zero_copy_only=False)
+        leaf = np.where(single >= 0, self.leaves[single], leaf)
+        return (self._hashes(words) | 1 << 32) << 16 | leaf
+
+
+def _batch_arrays(texts: pa.Array | list[bytes | None], codes: _Codes):
+    """Tokens of a batch of texts: the distinct ones, which of them is at each place, the texts' lengths, the leaf and the
+    three features (64 bits) of each place."""
+    words, at, sizes = _tokens(texts)
+    codes = codes.of(words)[at]
     hashes = codes >> 16
     ends = np.cumsum(sizes)
-    h1 = np.concatenate([[0], hashes])[:len(flat)]
-    h2 = np.concatenate([[0, 0], hashes])[:len(flat)]
+    h1 = np.concatenate([[0], hashes])[:len(at)]
+    h2 = np.concatenate([[0, 0], hashes])[:len(at)]
     starts = ends - sizes
     h1[starts] = 0
     h2[starts] = 0
@@ -180,7 +206,7 @@ def _batch_arrays(texts: list[bytes | None], codes_of: _Codes):
     mix = lambda x, by: x.astype(np.uint64) * np.uint64(by)
     features = np.stack([mix(h1 + 7, 0x9E3779B97F4A7C15), mix(h1 * 31 + h2 * 1_000_003 + 11, 0xC2B2AE3D27D4EB4F),
                          mix(h2 + 13, 0x165667B19E3779F9)])
-    return lists, sizes, flat, codes & 0xFFFF, features
+    return words, at, sizes, codes & 0xFFFF, features
 
 
 def class_rows(features: np.ndarray, bits: int) -> np.ndarray:
@@ -209,20 +235,31 @@ class Head:
     def __init__(self, bits: int, outcomes: int):
         self.weights = np.zeros((1 << bits, outcomes), np.float32)
         self.times = np.zeros(1 << bits, np.int64)
+        self._last = np.zeros(1 << bits, np.int32)
+
+    def _distinct(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct rows, and which of them each is; without a sort."""
+        places = np.arange(len(rows), dtype=np.int32)
+        self._last[rows] = places
+        last = self._last[rows]
+        is_last = last == places
+        return rows[is_last], (np.cumsum(is_last) - 1)[last]
 
     def step(self, bias: np.ndarray, rows: np.ndarray, y: np.ndarray, much: np.ndarray) -> None:
         """One gradient step on the tokens of a batch, each as many times as ``much`` says."""
         error = softmax(self.weights, bias, rows)
         error[np.arange(len(y)), y] -= 1
-        error *= much[:, None]
-        wide, outcomes = error.ravel().astype(np.float64), np.arange(error.shape[1])
+        if (much != 1).any():
+            error *= much[:, None]
+        by_outcome = np.ascontiguousarray(error.T, dtype=np.float64)
         for feature in rows:
-            used, at = np.unique(feature, return_inverse=True)
+            used, at = self._distinct(feature)
             count = np.bincount(at, much)
-            cells = (at[:, None] * len(outcomes) + outcomes).ravel()
-            mean = np.bincount(cells, wide, len(used) * len(outcomes)).reshape(len(used), -1)
-            mean *= (RATE * np.minimum(count, SATURATION) / count)[:, None]
-            self.weights[used] -= mean
+            mean = np.empty((len(by_outcome), len(used)))
+            for sums, e in zip(mean, by_outcome):
+                sums[:] = np.bincount(at, e)
+            mean *= RATE * np.minimum(count, SATURATION) / count
+            self.weights[used] -= mean.T
             self.times[used] += count.astype(np.int64)
 
 
@@ -257,7 +294,7 @@ def _trained(leaf_n: np.ndarray, singles: list[bytes], bits: int, batches: Itera
     for _, parts in groupby(_lots(batches), key=lambda x: x[0]):
         outer, inner = Head(bits, CLASSES), Head(bits, GROUPS)
         for _, texts, times in parts:
-            _, sizes, _, leaves, features = _batch_arrays(texts, codes)
+            _, _, sizes, leaves, features = _batch_arrays(texts, codes)
             much = np.repeat(np.array(times, np.float32), sizes)
             for i in range(0, len(leaves), BATCH):
                 y, x, k = leaves[i:i + BATCH], features[:, i:i + BATCH], much[i:i + BATCH]
@@ -326,34 +363,33 @@ _PARTS = ("place long, id {}, held_out boolean, token binary, leaf_log double, n
 def _scored(shared, kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each text a row of what is known here, and a row for each rare word (``n_tokens`` times)."""
     model: Model = shared.value
-    classes, known = Classes(model.singles), model.frequent.get
-    codes = _Codes(classes)
+    codes, known = _Codes(Classes(model.singles)), model.frequent.get
     for batch, texts in ((batch.slice(first, len(texts)), texts) for batch in batches for first, texts in _groups(batch)):
         places = batch.column(batch.schema.get_field_index("place")).to_pylist()
-        lists, sizes, flat, leaves, features = _batch_arrays(texts, codes)
-        at = np.fromiter(map(known, flat, repeat(-1)), np.int64, len(flat))
-        logs = np.empty(len(flat))
-        for i in range(0, len(flat), BATCH):
+        words, word, sizes, leaves, features = _batch_arrays(texts, codes)
+        at = np.fromiter(map(known, _listed(words), repeat(-1)), np.int64, len(words))[word]
+        logs = np.empty(len(word))
+        for i in range(0, len(word), BATCH):
             logs[i:i + BATCH] = model.log_leaf(leaves[i:i + BATCH], features[:, i:i + BATCH])
-        doc = np.repeat(np.arange(len(lists)), sizes)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
         found = at >= 0
-        sums = lambda x, w: np.bincount(doc[w], x[w], len(lists))
+        sums = lambda x, w: np.bincount(doc[w], x[w], len(sizes))
         base = np.where(found, model.base[at] if len(model.base) else 0.0, 0.0)
         logs += np.where(found, model.inside[at] if len(model.inside) else 0.0, 0.0)
-        everywhere = np.ones(len(flat), bool)
+        everywhere = np.ones(len(word), bool)
         unknown = np.nonzero(~found)[0]
-        rare: Counter = Counter(zip(doc[unknown].tolist(), map(flat.__getitem__, unknown.tolist())))
-        n, m = len(lists), len(rare)
-        index = [d for d, _ in rare]
+        rare, first, times = np.unique(doc[unknown] * len(words) + word[unknown], return_index=True, return_counts=True)
+        n, m = len(sizes), len(rare)
+        index = (rare // len(words)).tolist()
         ids = batch.column(batch.schema.get_field_index("id")).cast(kind)
         out = batch.column(batch.schema.get_field_index("held_out"))
         nothing = pa.nulls(m, pa.float64())
         yield pa.RecordBatch.from_arrays([
             pa.array(places + [places[d] for d in index], pa.int64()),
             pa.concat_arrays([ids, pa.nulls(m, kind)]), pa.concat_arrays([out, pa.nulls(m, pa.bool_())]),
-            pa.array([None] * n + [w for _, w in rare], pa.binary()),
-            pa.array([None] * n + [model.leaf_log[classes.of(w)] for _, w in rare], pa.float64()),
-            pa.array(sizes.tolist() + list(rare.values()), pa.int64()),
+            pa.concat_arrays([pa.nulls(n, pa.binary()), words.take(pa.array(rare % len(words)))]),
+            pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(model.leaf_log[leaves[unknown[first]]])]),
+            pa.array(np.concatenate([sizes, times])),
             pa.concat_arrays([pa.array(sums(found.astype(float), found).astype(np.int64)), pa.nulls(m, pa.int64())]),
             pa.concat_arrays([pa.array(sums(base, found)), nothing]),
             pa.concat_arrays([pa.array(sums(logs, everywhere)), nothing])],
