@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,12 @@ def unpacked(df: DataFrame, like: DataFrame, name: str = "row") -> DataFrame:
 def ids_and_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text), a null text as the empty one."""
     return df.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; before each next one and at the end Arrow gives back what it has freed. It keeps that by itself, a
+    hundred MB or so, and a Python worker stays beside the executor when its task is done."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, ids_and_texts, packed
+from .common import col, ids_and_texts, packed, released
 
 #: Base kinds in their order, with pattern, group that is measured, and least length.
 BASE = (
@@ -221,7 +221,7 @@ _FIELDS = {"n_assign": pa.int64(), "n_access": pa.int64(), "n_hex": pa.int64(),
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         found = [scan(t.as_py() or "") for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *(pa.array([x[k] for x in found], kind) for k, kind in _FIELDS.items())],
@@ -229,7 +229,7 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         texts = []
         for t in batch.column(1):
             text = t.as_py()

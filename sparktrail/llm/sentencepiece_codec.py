@@ -44,13 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, ids_and_texts
+from .common import col, ids_and_texts, released
 
 MARK = "▁"
 #: Default place of the model (a parameter of the operators).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Solved words that a worker remembers (and four times as many checked pairs); once beyond, it starts anew.
-MEMORY = 600_000
+MEMORY = 300_000
 
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 _NEVER = float("inf")
@@ -346,7 +346,7 @@ def _groups(texts: Iterable[str], most: int) -> Iterator[list[str]]:
 
 def _encoded(model: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     c = codec(model)
-    for batch in batches:
+    for batch in released(batches):
         at = 0
         for group in _groups((t.as_py() or "" for t in batch.column(1)), _TOGETHER):
             for texts, ids, ends, plain, stops in c.encoded(group, _SLICE):
@@ -365,7 +365,7 @@ def _encoded(model: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def _decoded(model: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     c = codec(model)
-    for batch in batches:
+    for batch in released(batches):
         texts = [c.decode(x.as_py() or ()) for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, ids_and_texts, packed, stored, unpacked
+from .common import col, ids_and_texts, packed, released, stored, unpacked
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -76,7 +76,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprints(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
         marks = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
         rest = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "text"]
@@ -184,7 +184,7 @@ def _block_edges(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         b = np.concatenate([y for _, y in found] or [fps[:0]]).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    for batch in batches:
+    for batch in released(batches):
         cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
         if kept is not None:
             cols = [np.concatenate(x) for x in zip(kept, cols)]
