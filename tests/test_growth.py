@@ -1,5 +1,7 @@
 """Steps whose work grew faster than the input, or was done several times over."""
 
+import re
+
 from pyspark.sql import functions as F
 
 
@@ -90,3 +92,20 @@ def test_a_listing_is_scanned_by_a_few_tasks(spark, tmp_path):
         assert listed.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism + spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set(key, before)
+
+
+def test_documents_of_one_file_are_written_by_many_tasks(spark):
+    from pyspark.sql import types as T
+    from sparktrail.plans import raw_adapter as RA
+    kinds = "ord long, ts timestamp_ntz, user_id long, event_type string, value double, k int, web_id string, uuid string, session_id string, timestamp long, date_time timestamp_ntz"
+    ev = (spark.range(0, 4000, 1, 1).selectExpr(
+        "id AS ord", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1D AS value",
+        "int(id % 7) AS k", "'w' AS web_id", "'u' AS uuid", "'s' AS session_id", "1L AS timestamp",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS date_time").to(T.StructType.fromDDL(kinds)))
+
+    def documents(rows):
+        # each task that has rows leaves its number in its documents
+        return rows.select(F.col("ord").alias("event_id"), "ts", F.format_string('{"t":%d}', F.spark_partition_id()).alias("doc"))
+    texts = [r.text for r in RA.raw_objects(ev, documents).collect()]
+    assert len(re.findall(r"\{", "".join(texts))) == 4000
+    assert len(set(re.findall(r'"t":(\d+)', "".join(texts)))) >= 2 * spark.sparkContext.defaultParallelism
