@@ -14,7 +14,9 @@ a prefix of their digits go down together as one row, so a height moves as many
 rows as it has nodes asked for, at most an eighth of the height below, and no
 record is joined with more than one row for each node.  Only the last step
 gives a row per request.  The segments, found from the top down, are turned
-round, as a proof is checked from the leaf up.
+round, as a proof is checked from the leaf up.  The way down is a chain of joins
+in which each step is read once; it is written at every second height only, which
+keeps the plans small.
 
 Ranks come from one range partitioning: a row's position is its place in its
 partition plus the rows of the partitions before, and its rank is its position
@@ -44,6 +46,8 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _BITS = 3
 ARITY = 1 << _BITS
 _SEGMENTS = "array<struct<left:string,right:string>>"
+#: Nodes of a height for which a file is worth its while: about 1.3 MB of records.
+_FILE_NODES = 2048
 
 
 def digest(value: Column) -> Column:
@@ -76,13 +80,16 @@ def positions(df: DataFrame, *order: Column) -> DataFrame:
 @dataclass
 class Manifest:
     """``rows``: the leaves with group number ``g`` and ``rank``; ``groups``: g, group, height; ``trees`` and ``top``:
-    the store's records (digest, children) by height from 1, of the groups' trees and of the tree over subroots."""
+    the store's records (digest, children) by height from 1, of the groups' trees and of the tree over subroots;
+    ``size`` and ``many``: how many rows and groups there are."""
 
     rows: DataFrame
     groups: DataFrame
     trees: list[DataFrame]
     top: list[DataFrame]
     root: str | None
+    size: int
+    many: int
 
 
 def _height(n: int) -> int:
@@ -93,9 +100,14 @@ def _height(n: int) -> int:
     return levels
 
 
-def _risen(nodes: DataFrame, levels: int, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """The records of each height over ``nodes`` (g, idx, digest, n: nodes of the tree at this height), and the last
-    node of each tree."""
+def _in_files(nodes: DataFrame, size: int, trees: int, height: int) -> DataFrame:
+    """``nodes`` of a height over ``size`` leaves of so many ``trees``, in as few partitions as their number is worth."""
+    return nodes.coalesce(-(-(size // ARITY ** height + trees) // _FILE_NODES))
+
+
+def _risen(nodes: DataFrame, size: int, trees: int, levels: int, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """The records of each height over ``nodes`` (g, idx, digest, n: nodes of the tree at this height; ``size`` in all,
+    in so many ``trees``), and the last node of each tree."""
     records, done = [], nodes.where("n = 1").select("g", "digest")
     for height in range(1, levels + 1):
         run = F.sort_array(F.collect_list(F.struct("idx", "digest")))  # 8 at most
@@ -103,7 +115,7 @@ def _risen(nodes: DataFrame, levels: int, name: str) -> tuple[list[DataFrame], D
                  .agg(F.transform(run, lambda x: x["digest"]).alias("children"), F.max("n").alias("n"))
                  .select("g", "idx", digest(F.array_join("children", "")).alias("digest"), "children",
                          F.ceil(F.col("n") / ARITY).alias("n")))
-        nodes = stored(nodes, f"{name}{height}")
+        nodes = stored(_in_files(nodes, size, trees, height), f"{name}{height}")
         records.append(nodes.select("digest", "children"))
         done = done.union(nodes.where("n = 1").select("g", "digest"))
     return records, done
@@ -116,42 +128,40 @@ def manifest(leaves: DataFrame) -> Manifest:
                      F.col("_tie")).drop("_tie")
     spans = rows.groupBy("group").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
     spans = stored(positions(spans, F.col("first")).withColumnRenamed("pos", "g"), "groups")
-    how_many, widest = spans.agg(F.count(F.lit(1)), F.max("n")).first()
+    how_many, widest, size = spans.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
     same = F.col("group").eqNullSafe(F.col("of"))
     rows = rows.join(spans.withColumnRenamed("group", "of"), same).withColumn("rank", F.col("pos") - F.col("first"))
     rows = stored(rows.drop("of", "first", "pos"), "ranked")
     nodes = rows.select("g", F.col("rank").alias("idx"), F.col("leaf").alias("digest"), "n")
-    trees, subroots = _risen(nodes, _height(widest or 0), "tree")
+    trees, subroots = _risen(nodes, size or 0, how_many, _height(widest or 0), "tree")
     ordered = subroots.select(F.lit(0).alias("g"), F.col("g").alias("idx"), "digest", F.lit(how_many).alias("n"))
-    top, last = _risen(stored(ordered, "subroots"), _height(how_many), "top")
+    top, last = _risen(stored(ordered, "subroots"), how_many, 1, _height(how_many), "top")
     root = last.first()
     n, height = F.col("n"), F.lit(0)
     for _ in trees:
         height, n = height + (n > 1).cast("int"), F.when(n > 1, F.ceil(n / ARITY)).otherwise(n)
     groups = spans.select("g", "group", height.alias("height"))
-    return Manifest(rows.drop("n"), groups, trees, top, root["digest"] if root else None)
+    return Manifest(rows.drop("n"), groups, trees, top, root["digest"] if root else None, size or 0, how_many)
 
 
-def _wanted(asked: DataFrame, levels: int) -> list[DataFrame]:
-    """For each height from 1 the digits (child numbers) that are asked for at each of its nodes: g, idx, digits."""
-    found = []
-    for _ in range(levels):
-        one = asked.select("g", F.shiftright("idx", _BITS).alias("parent"),
-                           F.col("idx").bitwiseAND(F.lit(ARITY - 1)).cast("int").alias("digit"))
-        found.append(one.groupBy("g", F.col("parent").alias("idx")).agg(F.collect_set("digit").alias("digits")))
-        asked = stored(found[-1], "wanted")
-        found[-1] = asked
-    return found
+def _wanted(asked: DataFrame, up: int) -> DataFrame:
+    """The digits (child numbers, as bits) by which nodes ``up`` heights above those asked for lead to them: g, idx,
+    digits."""
+    digit = F.shiftright("idx", _BITS * (up - 1)).bitwiseAND(F.lit(ARITY - 1)).cast("int")
+    return (asked.groupBy("g", F.shiftright("idx", _BITS * up).alias("idx"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), digit)).alias("digits")))
 
 
-def _down(nodes: DataFrame, records: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+def _down(nodes: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame:
     """From nodes (g, idx, digest, path, ...) to those of their children that are wanted, paths longer by the others."""
     known = records.groupBy("digest").agg(F.first("children").alias("children"))  # equal subtrees have one record
     met = nodes.join(wanted, ["g", "idx"]).join(known, "digest")
-    each = met.select(*[c for c in met.columns if c not in ("digits", "digest")], F.explode("digits").alias("digit"))
-    return stored(each.withColumn("path", _longer()).select(
+    bits = [F.when(F.col("digits").bitwiseAND(F.lit(1 << i)) != 0, i) for i in range(ARITY)]
+    digits = F.explode(F.array_compact(F.array(*bits))).alias("digit")
+    each = met.select(*[c for c in met.columns if c not in ("digits", "digest")], digits)
+    return each.withColumn("path", _longer()).select(
         "g", (F.shiftleft("idx", _BITS) + F.col("digit")).alias("idx"), _taken().alias("digest"), "path",
-        *[c for c in nodes.columns if c not in ("g", "idx", "digest", "path")]), name)
+        *[c for c in nodes.columns if c not in ("g", "idx", "digest", "path")])
 
 
 def _taken() -> Column:
@@ -174,22 +184,24 @@ def proofs(m: Manifest, requests: DataFrame) -> DataFrame:
     if m.root is None:
         return requests.select("g", "rank", *carried, F.lit("").alias("found"), F.lit("").alias("subroot"),
                                F.array().cast(_SEGMENTS).alias("path")).limit(0)
-    asked = requests.select("g", F.col("rank").alias("idx"))
+    runs = requests.select("g", F.shiftright("rank", _BITS).alias("idx")).distinct()
+    asked = stored(_in_files(runs, m.size, m.many, 1), "asked")
     at = stored(spark.range(1).select(F.lit(0).alias("g"), F.lit(0).cast("long").alias("idx"), F.lit(m.root).alias("digest"),
                                       F.array().cast(_SEGMENTS).alias("path")), "root")
     of_groups = asked.select(F.lit(0).alias("g"), F.col("g").alias("idx")).distinct()
-    for height, wanted in reversed(list(enumerate(_wanted(of_groups, len(m.top)), 1))):
-        at = _down(at, m.top[height - 1], wanted, "above")
+    for height in range(len(m.top), 0, -1):
+        at = _down(at, m.top[height - 1], _wanted(of_groups, height))
     trees = at.select(F.col("idx").alias("g"), F.lit(0).cast("long").alias("idx"), "digest", "path",
                       F.col("digest").alias("subroot"))
     entering = stored(trees.join(m.groups.select("g", "height"), "g"), "entering")
-    wants = _wanted(asked, len(m.trees)) if m.trees else []
     at = None
     for height in range(len(m.trees), 0, -1):
         new = entering.where(F.col("height") == height).drop("height")
         at = new if at is None else at.unionByName(new)
         if height > 1:
-            at = _down(at, m.trees[height - 1], wants[height - 1], "below")
+            at = _down(at, m.trees[height - 1], _wanted(asked, height - 1))
+            if height % 2:
+                at = stored(_in_files(at, m.size, m.many, height - 1), "below")
     row = F.struct("rank", *carried)
     lone = entering.where("height = 0").drop("height").join(requests, "g").select(
         "g", row.alias("ask"), F.col("digest").alias("found"), "subroot", "path")

@@ -284,3 +284,29 @@ def test_proofs_of_nothing_and_of_some_leaves(spark, nothing, edge):
     got = proofs(m, some).collect()
     assert len(got) == some.count() and all(r.found == r.leaf for r in got)
     assert proofs(m, some.limit(0)).count() == 0
+
+
+def test_proofs_write_few_tables(spark, monkeypatch):
+    """The way down writes every second height, and a height of few nodes is one file, whatever partitions a shuffle has."""
+    from sparktrail.llm import merkle as operator
+    written, write = [], operator.stored
+
+    def noted(df, name):
+        out = write(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(operator, "stored", noted)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = spark.createDataFrame([(i, f"Text {i}", f"l{i % 2}", "s", i, *("x",) * 11) for i in range(600)], SCHEMA)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert proved(tampered(rows)) == merkle(rows_in(rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    heights = [w for w in written if w[0].startswith(("tree", "top", "asked", "below"))]
+    assert heights == [("tree1", 1), ("tree2", 1), ("tree3", 1), ("top1", 1), ("asked", 1), ("below", 1)]
+    assert len(written) == 8 + len(heights)
