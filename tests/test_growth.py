@@ -109,3 +109,37 @@ def test_documents_of_one_file_are_written_by_many_tasks(spark):
     texts = [r.text for r in RA.raw_objects(ev, documents).collect()]
     assert len(re.findall(r"\{", "".join(texts))) == 4000
     assert len(set(re.findall(r'"t":(\d+)', "".join(texts)))) >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_objects_of_the_stream_are_filled(spark):
+    from sparktrail.plans import raw_adapter as RA
+    # every third id of two days that take turns; some rows come twice, some have no time
+    day = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id DIV 3000 % 2))"
+    rows = spark.range(0, 24000, 3).selectExpr("id AS ord", f"CASE WHEN id % 1000 = 0 THEN NULL ELSE {day} END AS ts")
+    rows = rows.unionAll(rows.where("ord % 500 = 0"))
+    parts = RA.filled_parts(rows, "yyyy/MM/dd/'00'", 1024)
+
+    def documents(ev):
+        return ev.select(F.col("ord").alias("event_id"), "ts", F.format_string('{"_ord":%d}', "ord").alias("doc"), "part")
+    objects = RA.raw_objects(parts, documents, pattern="yyyy/MM/dd/'00'", rows=rows.count()).collect()
+    held = {(o.path, o.part): [int(x) for x in re.findall(r'"_ord":(\d+)', o.text)] for o in objects}
+    assert len(held) == len(objects)
+    assert sorted(i for ids in held.values() for i in ids) == sorted(r.ord for r in rows.collect())
+    for path in {p for p, _ in held}:
+        ids = [held[path, part] for part in sorted(n for p, n in held if p == path)]
+        assert sum(ids, []) == sorted(sum(ids, [])) and len(ids) <= -(-sum(map(len, ids)) // 1024)
+        assert all(len(x) < 1024 + 2 * RA.IDS_PER_OBJECT for x in ids)
+
+
+def test_shuffles_are_sized_by_rows(spark):
+    from sparktrail.plans.sizing import MOST_PARTITIONS, ROWS_PER_TASK, shuffled_for
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get(key, None)
+    for rows, want in ((0, before), (least * ROWS_PER_TASK, before), (50 * ROWS_PER_TASK, "50"), (1 << 40, str(MOST_PARTITIONS))):
+        try:
+            with shuffled_for(spark, rows):
+                assert spark.conf.get(key, None) == want
+                raise KeyError
+        except KeyError:
+            assert spark.conf.get(key, None) == before

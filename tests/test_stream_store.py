@@ -149,3 +149,34 @@ def test_backfill_lands_each_hour_once(spark, bucket, tmp_path):
     assert RAW.drop_expired(spark, raw, "2024-01-07", 0) == 1 and RAW.read_raw_table(spark, raw).count() == 0
     back = RAW.restore(spark, kept, raw, "2024-01-05")
     assert {(r.hour, r.n_events) for r in back.collect()} == {(3, 1), (4, 3)} and RAW.read_raw_table(spark, raw).count() == 4
+
+
+def test_a_batch_takes_no_storage_memory(spark, tmp_path, monkeypatch):
+    from sparktrail.streaming.store import CleanStore
+
+    def stored():
+        return {i.id(): (i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    before, seen, commit = stored(), [], CleanStore.commit
+
+    def looked(*args):
+        seen.append({k: v for k, v in stored().items() if k not in before})
+        return commit(*args)
+    with monkeypatch.context() as m:
+        m.setattr(CleanStore, "commit", looked)
+        run(spark, str(tmp_path), 0, {"o1": [document(1, 10), document(2, 20, kind="leave"), document(3, 30, kind="timeout")]})
+    assert len(seen) == 1 and seen[0] and sum(mem for mem, _ in seen[0].values()) == 0 < sum(disk for _, disk in seen[0].values())
+    assert not [k for k in stored() if k in seen[0]]
+    assert {r.ord for r in rows_of(spark, str(tmp_path)).collect()} == {1}
+
+
+def test_only_documents_of_the_asked_types_are_kept(spark):
+    from sparktrail.operators.flatten import flatten
+    from sparktrail.streaming.ingest import _of_types
+    click = '{"web_id":"w","event_type":"onpage","uuid":"u","timestamp":1,"click_info":{"s_id":"s"}}'
+    texts = [document(1, 10), document(2, 20, kind="leave"), document(3, 30, kind="timeout"), click, '{"web_id":"w"}', '{"event_type":null}']
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "ord long, t string").select("ord", F.parse_json("t").alias("ev"))
+    for types, some in ((["load"], {0}), (["leave", "clicks"], {1, 3}), (["load", "leave", "timeout", "clicks"], {0, 1, 2, 3})):
+        kept = _of_types(docs, types)
+        assert {r.ord for r in kept.collect()} == some
+        for t in types:
+            assert flatten(kept, t).collect() == flatten(docs, t).collect() != []
