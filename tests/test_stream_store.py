@@ -180,3 +180,17 @@ def test_only_documents_of_the_asked_types_are_kept(spark):
         assert {r.ord for r in kept.collect()} == some
         for t in types:
             assert flatten(kept, t).collect() == flatten(docs, t).collect() != []
+
+
+def test_rows_of_the_types_arent_written_as_checkpoints(spark, tmp_path, monkeypatch):
+    from sparktrail.streaming import ingest
+    made, materialize = [], ingest.materialize
+
+    def counted(df):
+        made.append(df.columns)
+        return materialize(df)
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "materialize", counted)
+        run(spark, str(tmp_path), 0, {"o1": [document(1, 10), document(2, 20, kind="leave"), document(3, 30, kind="timeout")]})
+    assert made == [["name", "date", "slot", "batch_id"]]  # the versions only
+    assert statistics(spark, str(tmp_path)) == {"2024-01-05": (1, 1, 1, 1, 0)}
